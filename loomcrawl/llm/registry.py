@@ -2,23 +2,71 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
 from .exact_dedup import exact_groups
+from .mixing import mix_report
+from .packing import PackParams, pack_report
+from .quality import quality_report
+from .simhash import simhash_report
+
+
+def tokenizer_file(name: str) -> str:
+    """Where a public tokenizer's file lies: in $TOKENIZER_DIR, or in the package public_tokenizers."""
+    if told := os.environ.get("TOKENIZER_DIR"):
+        return os.path.join(told, name)
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_report(table(spark, sf_dir, "documents"))
+
+
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_report(table(spark, sf_dir, "documents"))
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_report(table(spark, sf_dir, "documents"), PackParams(tokenizer_file("word_bpe_49k.json")))
 
 
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_simhash": op2_simhash,
+    "op4_mixing": op4_mixing,
+    "op7_packing": op7_packing,
     "op8_exact_dedup": op8_exact_dedup,
+    "op10_quality": op10_quality,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op4_mixing": r"""
+        with d as (select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::bigint as size from documents),
+        s as (select source, sum(size)::bigint as source_size, 1 + (row_number() over (order by source nulls last) - 1) % 3 as weight from d group by source),
+        c as (select *, 3 * source_size as cap,
+                     coalesce(sum(3 * source_size) over (order by 3 * source_size / weight, source nulls last rows between unbounded preceding and 1 preceding), 0) as spent,
+                     sum(weight) over (order by 3 * source_size / weight, source nulls last rows between current row and unbounded following) as free,
+                     sum(source_size) over () as total from s),
+        l as (select (total - spent)::double / free::double as level, (total - spent)::hugeint as remaining, free::hugeint as free from c where cap * free >= (total - spent) * weight order by cap / weight, source nulls last limit 1),
+        t as (select source, source_size, case when cap * l.free < l.remaining * weight then cap::double else l.level * weight end as target from c, l),
+        j as (select doc_id, size, source_size, target, case when source_size > 0 then target / source_size else 0 end as rate from d join t on d.source is not distinct from t.source)
+        select doc_id, size, source_size, target,
+               (floor(rate) + case when ('0x' || substr(md5('mix:' || coalesce(doc_id::varchar, '')), 1, 13))::bigint / 4503599627370496.0 < rate - floor(rate) then 1 else 0 end)::bigint as copies,
+               size * (floor(rate) + case when ('0x' || substr(md5('mix:' || coalesce(doc_id::varchar, '')), 1, 13))::bigint / 4503599627370496.0 < rate - floor(rate) then 1 else 0 end)::bigint as taken
+        from j""",
     "op8_exact_dedup": """
         with d as (select doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t from documents)
         select doc_id, max(doc_id) over (partition by t) as keep_id, count(*) over (partition by t) as group_size,
