@@ -3,12 +3,36 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Iterable
+import re
+from array import array
+from collections.abc import Callable, Iterable
 
 import numpy as np
 
-#: Chunks kept at once; at more the cache starts anew. It changes no ids.
-CACHE = 300_000
+#: Chunks kept at once, twice; at more the older half goes, but for what is met again. It changes no ids.
+CACHE = 400_000
+#: A Latin word, perhaps with punctuation after it, a line feed, and another such word: a pre-token each, whatever the tokenizer's pattern.
+_PLAIN = re.compile("( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?%&*#$|()]*)(?:(\n)([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?%&*#$|()]*))?")
+_RARE_SPACE = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0  -     　]")
+
+
+def _byte_characters() -> dict[int, str]:
+    """How byte-level models write the bytes that are no visible characters of Latin-1: from U+0100 on, in order."""
+    hidden = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174)]
+    return {b: chr(256 + k) for k, b in enumerate(hidden)}
+
+
+class _Chunks(dict):
+    """Ids by chunk; a chunk that is not there is looked up among the older ones, or encoded."""
+
+    def __init__(self, older: dict, encode: Callable[[str], bytes]):
+        super().__init__()
+        self.older, self.encode = older, encode
+
+    def __missing__(self, chunk: str) -> bytes:
+        ids = self.older.get(chunk)
+        ids = self[chunk] = self.encode(chunk) if ids is None else ids
+        return ids
 
 
 class ChunkEncoder:
@@ -22,6 +46,7 @@ class ChunkEncoder:
       ends the text, is encoded whole.
     - "words": white space only parts words and is dropped. Texts are cut at spaces and line feeds.
 
+    New chunks are rare words mostly, whose cost is the way to the model: plain ones go there directly.
     Strings of special tokens in a text are ordinary text.
     """
 
@@ -29,17 +54,41 @@ class ChunkEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.kind, self.cache = Tokenizer.from_file(path), kind, {}
+        self.tokenizer, self.kind = Tokenizer.from_file(path), kind
         self.tokenizer.encode_special_tokens = True
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, np.uint32).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _chunks(self, text: str) -> list[str] | None:
+        self.model, self.written = self.tokenizer.model, _byte_characters()
+        self.parts: dict[str, bytes] = {}
+        self.chunks = _Chunks({}, self._chunk)
+
+    def _whole(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids).tobytes()
+
+    def _part(self, part: str) -> bytes:
+        """Ids of one pre-token."""
+        part = part.lower() if self.kind == "words" else part
+        return array("I", [t.id for t in self.model.tokenize(part.encode().decode("latin-1").translate(self.written))]).tobytes()
+
+    def _chunk(self, chunk: str) -> bytes:
+        if not (m := _PLAIN.fullmatch(chunk)):
+            return self._whole(chunk)
+        ids = self._part(m[1])
+        for after in m.groups()[1:]:
+            if after:
+                known = self.parts.get(after)
+                if known is None:
+                    known = self._part(after)
+                    if len(after) < 3:
+                        self.parts[after] = known
+                ids += known
+        return ids
+
+    def _cut(self, text: str) -> list[str] | None:
         if self.kind == "words":
             return list(filter(None, text.replace("\n", " ").split(" ")))
         parts = text.split(" ")
-        if not all(parts) or any(p[0].isspace() or p[-1].isspace() for p in parts):
+        if "" in parts or " \n" in text or "\n " in text or text[0] == "\n" or text[-1] == "\n":
+            return None
+        if _RARE_SPACE.search(text) and any(p[0].isspace() or p[-1].isspace() for p in parts):
             return None
         return [parts[0], *[" " + p for p in parts[1:]]]
 
@@ -47,15 +96,10 @@ class ChunkEncoder:
         """uint32 ids per text; a null text has none."""
         out = []
         for text in texts:
-            chunks = self._chunks(text) if text else []
-            if chunks is None:
-                out.append(np.frombuffer(self._ids([text])[0], np.uint32))
-                continue
-            if new := list(set(chunks) - self.cache.keys()):
-                if len(self.cache) + len(new) > CACHE:
-                    self.cache, new = {}, list(set(chunks))
-                self.cache.update(zip(new, self._ids(new)))
-            out.append(np.frombuffer(b"".join(map(self.cache.__getitem__, chunks)), np.uint32))
+            chunks = self._cut(text) if text else []
+            out.append(np.frombuffer(self._whole(text) if chunks is None else b"".join(map(self.chunks.__getitem__, chunks)), np.uint32))
+            if len(self.chunks) > CACHE:
+                self.chunks = _Chunks(dict(self.chunks), self._chunk)
         return out
 
 
