@@ -48,7 +48,7 @@ def cut_pieces(docs: DataFrame, params: PackParams, text: str = "text", doc_id:
         enc = encoder(params.tokenizer, params.kind)
         for b in batches:
             rows: list[tuple] = []
-            for i, ids in zip(b.column(0).to_pylist(), enc.encode(t.as_py() for t in b.column(1))):
+            for i, ids in zip(b.column(0).to_pylist(), enc.encode(t.as_py() for t in b.column(1).cast(pa.binary()))):
                 ids = np.append(ids, np.uint32(params.end_id)).astype("<u4")
                 for k, start in enumerate(range(0, len(ids), params.capacity)):
                     part = ids[start : start + params.capacity]

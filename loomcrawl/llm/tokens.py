@@ -1,19 +1,25 @@
-"""Whole texts to token ids, through the tokenizers library and a cache of chunks."""
+"""Whole texts to token ids, through the tokenizers library and a cache of words."""
 
 from __future__ import annotations
 
 import os
 import re
 from array import array
-from collections.abc import Callable, Iterable
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 
-#: Chunks kept at once, twice; at more the older half goes, but for what is met again. It changes no ids.
-CACHE = 400_000
-#: A Latin word, perhaps with punctuation after it, a line feed, and another such word: a pre-token each, whatever the tokenizer's pattern.
-_PLAIN = re.compile("( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?%&*#$|()]*)(?:(\n)([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?%&*#$|()]*))?")
-_RARE_SPACE = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0  -     　]")
+from .hashing import mix, words
+
+#: Words kept at once, and pre-tokens; at more the cache starts anew. It changes no ids.
+CACHE, PARTS = 3_000_000, 300_000
+#: Bytes of text whose words are looked up together.
+TOGETHER = 6 << 20
+#: A Latin word, perhaps with punctuation after it: a pre-token each, whatever the tokenizer's pattern.
+_PLAIN = re.compile("([ \n]?[A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?%&*#$|()]*)")
+_RARE_SPACE = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
+_START, _SPACE, _FEED, _OTHER = 0, 1, 2, 3
+_BEFORE = ["", " ", "\n"]
 
 
 def _byte_characters() -> dict[int, str]:
@@ -22,31 +28,43 @@ def _byte_characters() -> dict[int, str]:
     return {b: chr(256 + k) for k, b in enumerate(hidden)}
 
 
-class _Chunks(dict):
-    """Ids by chunk; a chunk that is not there is looked up among the older ones, or encoded."""
+class _Known:
+    """Ids by hash of a word: sorted hashes, and where the ids of each begin in one flat array."""
 
-    def __init__(self, older: dict, encode: Callable[[str], bytes]):
-        super().__init__()
-        self.older, self.encode = older, encode
+    def __init__(self):
+        self.hashes, self.begin, self.size = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
+        self.flat, self.used = np.empty(1 << 16, np.uint32), 0
 
-    def __missing__(self, chunk: str) -> bytes:
-        ids = self.older.get(chunk)
-        ids = self[chunk] = self.encode(chunk) if ids is None else ids
-        return ids
+    def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For sorted hashes: their places, and whether they are known."""
+        at = np.searchsorted(self.hashes, h)
+        inside = np.minimum(at, max(0, len(self.hashes) - 1))
+        return inside, (self.hashes[inside] == h if len(self.hashes) else np.zeros(len(h), bool))
+
+    def add(self, h: np.ndarray, ids: list[bytes]) -> None:
+        """Sorted hashes that are not known yet, and the ids of each."""
+        new = np.frombuffer(b"".join(ids), np.uint32)
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        if self.used + len(new) > len(self.flat):
+            self.flat = np.concatenate([self.flat[: self.used], np.empty(max(len(self.flat), len(new)), np.uint32)])
+        self.flat[self.used : self.used + len(new)] = new
+        at = np.searchsorted(self.hashes, h)
+        self.hashes, self.begin, self.size = np.insert(self.hashes, at, h), np.insert(self.begin, at, self.used + np.cumsum(size) - size), np.insert(self.size, at, size)
+        self.used += len(new)
 
 
-class ChunkEncoder:
+class WordEncoder:
     """Ids of whole texts, equal to Tokenizer.encode(text, add_special_tokens=False).ids.
 
-    Texts repeat words, so ids are looked up by chunk: a word with the white space in front of it.
-    Cutting there changes nothing, as both kinds of tokenizer below begin a new pre-token there:
+    Texts repeat words, so the words of many texts are told apart by a 64-bit hash, each distinct one is
+    looked up or encoded once with the white space in front of it, and the texts' ids are put together
+    from that. Cutting there changes nothing, as both kinds of tokenizer below begin a pre-token there:
 
-    - "spaces": a byte-level pre-tokenizer that takes one space with the word after it. Texts are cut
-      before single spaces; a text in which a space stands beside other white space, or begins or
-      ends the text, is encoded whole.
-    - "words": white space only parts words and is dropped. Texts are cut at spaces and line feeds.
+    - "spaces": a byte-level pre-tokenizer that takes one space with the word after it, and a line feed
+      alone. A text with any other white space between, before or behind its words is encoded whole.
+    - "words": white space only parts words and is dropped.
 
-    New chunks are rare words mostly, whose cost is the way to the model: plain ones go there directly.
+    New words are rare ones mostly, whose cost is the way to the model: plain ones go there directly.
     Strings of special tokens in a text are ordinary text.
     """
 
@@ -58,56 +76,105 @@ class ChunkEncoder:
         self.tokenizer.encode_special_tokens = True
         self.model, self.written = self.tokenizer.model, _byte_characters()
         self.parts: dict[str, bytes] = {}
-        self.chunks = _Chunks({}, self._chunk)
+        self.known = _Known()
 
     def _whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids).tobytes()
 
     def _part(self, part: str) -> bytes:
-        """Ids of one pre-token."""
-        part = part.lower() if self.kind == "words" else part
-        return array("I", [t.id for t in self.model.tokenize(part.encode().decode("latin-1").translate(self.written))]).tobytes()
-
-    def _chunk(self, chunk: str) -> bytes:
-        if not (m := _PLAIN.fullmatch(chunk)):
-            return self._whole(chunk)
-        ids = self._part(m[1])
-        for after in m.groups()[1:]:
-            if after:
-                known = self.parts.get(after)
-                if known is None:
-                    known = self._part(after)
-                    if len(after) < 3:
-                        self.parts[after] = known
-                ids += known
+        """Ids of one pre-token; words come back with other punctuation behind them, so parts are kept too."""
+        ids = self.parts.get(part)
+        if ids is None:
+            written = part if part.isalpha() and part.isascii() else part.encode().decode("latin-1").translate(self.written)
+            ids = self.parts[part] = array("I", [t.id for t in self.model.tokenize(written)]).tobytes()
         return ids
 
-    def _cut(self, text: str) -> list[str] | None:
-        if self.kind == "words":
-            return list(filter(None, text.replace("\n", " ").split(" ")))
-        parts = text.split(" ")
-        if "" in parts or " \n" in text or "\n " in text or text[0] == "\n" or text[-1] == "\n":
-            return None
-        if _RARE_SPACE.search(text) and any(p[0].isspace() or p[-1].isspace() for p in parts):
-            return None
-        return [parts[0], *[" " + p for p in parts[1:]]]
-
-    def encode(self, texts: Iterable[str | None]) -> list[np.ndarray]:
-        """uint32 ids per text; a null text has none."""
-        out = []
+    def _word(self, word: str) -> bytes:
+        m = _PLAIN.fullmatch(word.lower() if self.kind == "words" else word)
+        if not m:
+            return self._whole(word)
+        first, after = m.groups()
+        ids = self._part("\n") + self._part(first[1:]) if first[0] == "\n" else self._part(first)
+        return ids + self._part(after) if after else ids
+
+    def _before(self, buffer: np.ndarray, s: np.ndarray, e: np.ndarray, start: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """What stands before each word: nothing, a space, a line feed, or something else; start: first byte of each text."""
+        gap = np.empty(len(s), np.int8)
+        one = s[1:] - e[:-1] == 1
+        byte = buffer[s[1:] - 1]
+        gap[1:] = np.where(one & (byte == 32), _SPACE, np.where(one & (byte == 10), _FEED, _OTHER))
+        gap[first] = np.where(s[first] == start, _START, _OTHER)
+        return gap
+
+    def _some(self, texts: list[bytes]) -> list[np.ndarray]:
+        """Ids of texts that all have a word."""
+        data = b"\n".join(texts)
+        data = data.lower() if self.kind == "words" else data  # of bytes: A-Z alone, which the tokenizer lowers too
+        h, s, e = words(data)
+        start = np.cumsum([0, *(len(t) + 1 for t in texts[:-1])])
+        bounds = np.append(np.searchsorted(s, start), len(s))
+        whole = np.zeros(len(texts), bool)
+        if self.kind == "spaces":
+            buffer, stop = np.frombuffer(data, np.uint8), start + [len(t) for t in texts]
+            gap = self._before(buffer, s, e, start, bounds[:-1])
+            whole = np.logical_or.reduceat(gap == _OTHER, bounds[:-1]) | (e[bounds[1:] - 1] != stop)
+            rare = [k for k, t in enumerate(texts) if not t.isascii() or any(c in t for c in (b"\x1c", b"\x1d", b"\x1e", b"\x1f"))]
+            for k in rare:
+                if not whole[k] and _RARE_SPACE.search(t := texts[k].decode()) and any(w[0].isspace() or w[-1].isspace() for w in re.split("[ \n]", t)):
+                    whole[k] = True
+            h = mix(h + gap.astype(np.uint64) * np.uint64(0xD1B54A32D192ED03))
+        else:
+            gap = np.zeros(len(s), np.int8)
+        h[gap == _OTHER] = 0  # of texts that are encoded whole
+        one, first, of = np.unique(h, return_index=True, return_inverse=True)
+        if len(self.known.hashes) + len(one) > CACHE:
+            self.known = _Known()
+        _, there = self.known.find(one)
+        if not there.all():
+            new = first[~there]
+            found = [self._word(_BEFORE[g] + data[a:b].decode()) if g != _OTHER else b"" for a, b, g in zip(s[new].tolist(), e[new].tolist(), gap[new].tolist())]
+            self.known.add(one[~there], found)
+        at, _ = self.known.find(one)
+        begin, size = self.known.begin[at], self.known.size[at]
+        each = size[of]
+        end = np.cumsum(each)
+        ids = self.known.flat[np.repeat(begin[of] - (end - each), each) + np.arange(end[-1])]
+        cuts = np.append(0, end)[bounds]
+        return [np.frombuffer(self._whole(t.decode()), np.uint32) if w else ids[a:b] for t, w, a, b in zip(texts, whole.tolist(), cuts[:-1].tolist(), cuts[1:].tolist())]
+
+    def encode(self, texts: Iterable[bytes | str | None]) -> Iterator[np.ndarray]:
+        """uint32 ids per text, in order; a null text has none."""
+        some: list[bytes] = []
+        order: list[np.ndarray | None] = []
+
+        def flush() -> Iterator[np.ndarray]:
+            got = iter(self._some(some) if some else [])
+            yield from (next(got) if x is None else x for x in order)
+            some.clear()
+            order.clear()
+            if len(self.parts) > PARTS:
+                self.parts = {}
+
+        size = 0
         for text in texts:
-            chunks = self._cut(text) if text else []
-            out.append(np.frombuffer(self._whole(text) if chunks is None else b"".join(map(self.chunks.__getitem__, chunks)), np.uint32))
-            if len(self.chunks) > CACHE:
-                self.chunks = _Chunks(dict(self.chunks), self._chunk)
-        return out
+            text = text.encode() if isinstance(text, str) else text or b""
+            if text.strip():
+                some.append(text)
+                order.append(None)
+                size += len(text)
+            else:
+                order.append(np.frombuffer(self._whole(text.decode()) if text else b"", np.uint32))
+            if size >= TOGETHER:
+                yield from flush()
+                size = 0
+        yield from flush()
 
 
-_encoders: dict[tuple[str, str], ChunkEncoder] = {}
+_encoders: dict[tuple[str, str], WordEncoder] = {}
 
 
-def encoder(path: str, kind: str) -> ChunkEncoder:
+def encoder(path: str, kind: str) -> WordEncoder:
     """One per Python worker, so that the cache outlives a task."""
     if (path, kind) not in _encoders:
-        _encoders[path, kind] = ChunkEncoder(path, kind)
+        _encoders[path, kind] = WordEncoder(path, kind)
     return _encoders[path, kind]

@@ -192,11 +192,11 @@ def test_packing(docs):
 
 
 @pytest.mark.parametrize("name,kind", [("byte_bpe_50k.json", "spaces"), ("word_bpe_49k.json", "words")])
-def test_chunks_encode_like_whole_texts(name, kind):
-    from loomcrawl.llm.tokens import ChunkEncoder
+def test_words_encode_like_whole_texts(name, kind):
+    from loomcrawl.llm.tokens import WordEncoder
 
-    enc = ChunkEncoder(tokenizer_file(name), kind)
-    texts = ["a b", " a", "a ", "a  b", "it's 'tis\nwe'll\n\nx", "tab\tb  c", "é ́x", "12 345,6 !?", "\x1c a\x1cb", "<|endoftext|> x", "ÀÉ ß ﬁ İ Σς", "", None, "\n", "日本 語", "a\r\nb c"]
+    enc = WordEncoder(tokenizer_file(name), kind)
+    texts = ["a b", " a", "a ", "a  b", "it's 'tis\nwe'll\n\nx", "tab\tb  c", "é ́x", "12 345,6 !?", "\x1c a\x1cb", "<|endoftext|> x", "ÀÉ ß ﬁ İ Σς", "", None, "\n", "日本 語", "a\r\nb c", "\xa0a \xa0\xa0b\xa0", "x\u2003 y", "a\n\xa0\xa0b", "\u2028", " ", "Kelvin \u212a \u212b"]
     whole = [enc.tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
     assert [x.tolist() for x in enc.encode(texts)] == whole
 
