@@ -9,10 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
 from .exact_dedup import exact_groups
+from .html_text import extract_text
 from .mixing import mix_report
 from .packing import PackParams, pack_report
+from .pseudo_likelihood import score_documents
 from .quality import quality_report
+from .records import RecordParams, record_report
+from .sharding import shard_report
 from .simhash import simhash_report
+from .substring import repeated_spans
 
 
 def tokenizer_file(name: str) -> str:
@@ -24,14 +29,30 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_spans(table(spark, sf_dir, "documents"))
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_report(table(spark, sf_dir, "documents"))
 
 
+def op3_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(table(spark, sf_dir, "documents"))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_report(table(spark, sf_dir, "documents"))
 
 
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages"))
+
+
+def op6_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return record_report(table(spark, sf_dir, "documents"), RecordParams(tokenizer_file("byte_bpe_50k.json")))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_report(table(spark, sf_dir, "documents"), PackParams(tokenizer_file("word_bpe_49k.json")))
 
@@ -40,15 +61,24 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_report(table(spark, sf_dir, "documents"))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op2_simhash": op2_simhash,
+    "op3_pseudo_likelihood": op3_pseudo_likelihood,
     "op4_mixing": op4_mixing,
+    "op5_html_text": op5_html_text,
+    "op6_token_records": op6_token_records,
     "op7_packing": op7_packing,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_sharding": op9_sharding,
     "op10_quality": op10_quality,
 }
 
