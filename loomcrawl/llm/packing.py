@@ -30,6 +30,8 @@ from pyspark.sql import functions as F
 from .common import dense_index, saved
 from .tokens import encoder
 
+#: Documents whose pieces are handed on together.
+ROWS = 1000
 PIECES = "doc_id long, piece int, start long, length int, ids binary"
 
 
@@ -46,14 +48,16 @@ def cut_pieces(docs: DataFrame, params: PackParams, text: str = "text", doc_id:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(params.tokenizer, params.kind)
-        for b in batches:
-            rows: list[tuple] = []
-            for i, ids in zip(b.column(0).to_pylist(), enc.encode(t.as_py() for t in b.column(1).cast(pa.binary()))):
-                ids = np.append(ids, np.uint32(params.end_id)).astype("<u4")
-                for k, start in enumerate(range(0, len(ids), params.capacity)):
-                    part = ids[start : start + params.capacity]
-                    rows.append((i, k, start, len(part), pack_ids(part)))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 5, (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.binary()))], ["doc_id", "piece", "start", "length", "ids"])
+        for whole in batches:
+            for at in range(0, whole.num_rows, ROWS):
+                b = whole.slice(at, ROWS)
+                rows: list[tuple] = []
+                for i, ids in zip(b.column(0).to_pylist(), enc.encode(t.as_py() for t in b.column(1).cast(pa.binary()))):
+                    ids = np.append(ids, np.uint32(params.end_id)).astype("<u4")
+                    for k, start in enumerate(range(0, len(ids), params.capacity)):
+                        part = ids[start : start + params.capacity]
+                        rows.append((i, k, start, len(part), pack_ids(part)))
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 5, (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.binary()))], ["doc_id", "piece", "start", "length", "ids"])
 
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, PIECES)
 
