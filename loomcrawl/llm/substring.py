@@ -32,7 +32,6 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,7 +39,7 @@ from .common import saved
 from .components import components
 from .hashing import mix, range_hashes, words
 
-SPANS = "doc_id long, start int, end int, first int, last int, hash long, bands array<long>"
+SPANS = "doc_id long, start int, end int, first int, last int, hash long"
 PIVOTS = 16
 
 
@@ -64,64 +63,96 @@ def shingles(h: np.ndarray, n: int) -> np.ndarray:
     return range_hashes(h, at, np.minimum(at + n, len(h)))
 
 
-def cuts(h: np.ndarray, reach: int) -> np.ndarray:
-    """Places of words whose hash is the least within reach on both sides, of equal ones the first."""
-    if len(h) == 0:
-        return np.empty(0, np.int64)
-    pad = np.full(reach, np.iinfo(np.uint64).max, np.uint64)
-    near = sliding_window_view(np.concatenate([pad, h, pad]), 2 * reach + 1)
-    return np.flatnonzero(near.argmin(1) == reach)
+def ragged(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """begin[0], begin[0] + 1, … for size[0] numbers, then the same for the next."""
+    end = np.cumsum(size)
+    return np.arange(int(end[-1]) if len(end) else 0) + np.repeat(begin - (end - size), size)
 
 
-def spans(text: bytes, p: SubstringParams) -> list[tuple]:
-    """(start, end, first, last, hash, bands) of the lines and parts of a text; bands is None for a part.
+def cuts(h: np.ndarray, a: np.ndarray, z: np.ndarray, reach: int) -> np.ndarray:
+    """Of the words a to z of each line, those whose hash is the least within reach on both sides of its line, of equal ones the first."""
+    at = ragged(a, z - a)
+    step = np.repeat(np.arange(1, len(a) + 1) * reach, z - a)  # lines stand apart by more than anything reaches
+    padded = np.full(len(at) + (len(a) + 1) * reach, np.iinfo(np.uint64).max, np.uint64)
+    where = np.arange(len(at)) + step
+    padded[where] = h[at]
+    least = np.ones(len(at), bool)
+    for k in range(1, reach + 1):
+        least &= (h[at] < padded[where - k]) & (h[at] <= padded[where + k])
+    return at[least]
 
-    start and end are code points of the text, first and last words of it, last excluded.
+
+def spans(texts: list[bytes], p: SubstringParams) -> tuple[dict[str, np.ndarray], dict[str, np.ndarray]]:
+    """Lines and parts of some texts: arrays of, start, end, first, last, hash; of lines also bands, one row a line.
+
+    of is the text's place in the list, start and end are code points of it, first and last are words
+    of it, last excluded. Words are numbered through all texts here, and no text shares a line with another.
     """
-    h, s, e = words(text.lower())
-    if len(h) < p.min_words:
-        return []
-    b = np.frombuffer(text, np.uint8)
-    point = np.concatenate(([0], np.cumsum((b & 0xC0) != 0x80))) if not text.isascii() else None
+    data = b"\n".join(texts)
+    h, s, e = words(data.lower())
+    b = np.frombuffer(data, np.uint8)
+    base = np.cumsum([0, *(len(t) + 1 for t in texts[:-1])])
     line = np.searchsorted(np.flatnonzero(b == 10), s)
-    edge = np.flatnonzero(np.concatenate(([True], line[1:] != line[:-1])))
-    stop = np.append(edge[1:], len(h))
+    edge = np.flatnonzero(np.concatenate(([True], line[1:] != line[:-1]))) if len(s) else np.empty(0, np.int64)
+    stop = np.append(edge[1:], len(h))[: len(edge)]
     long = stop - edge >= p.min_words
     a, z = edge[long], stop[long]
-    if not len(a):
-        return []
     h = mix(h)
-    whole = range_hashes(h, a, z)
+    word = np.searchsorted(s, base)
+    ascii_only = data.isascii()
+    point = None if ascii_only else np.concatenate(([0], np.cumsum((b & 0xC0) != 0x80)))
+    at_point = (lambda k: k) if ascii_only else (lambda k: point[k])
+
+    def table(x: np.ndarray, y: np.ndarray, v: np.ndarray) -> dict[str, np.ndarray]:
+        of = np.searchsorted(base, s[x], "right") - 1 if len(x) else x
+        return {"of": of, "start": at_point(s[x]) - at_point(base[of]), "end": at_point(e[y - 1]) - at_point(base[of]), "first": x - word[of], "last": y - word[of], "hash": v.view(np.int64)}
+
+    lines = table(a, z, range_hashes(h, a, z))
+    if not len(a):
+        return lines | {"bands": np.empty((0, p.bands), np.int64)}, table(a, z, np.empty(0, np.uint64))
     # shingles of the long lines, one after another
     count = z - a - p.shingle + 1
-    begin = np.cumsum(count) - count
-    at = np.arange(int(count.sum())) - np.repeat(begin - a, count)
+    begin, at = np.cumsum(count) - count, ragged(a, count)
     sh = range_hashes(h, at, at + p.shingle)
     mins = np.empty((len(a), p.bands * p.rows), np.uint64)
     for k in range(p.bands * p.rows):
-        mins[:, k] = np.minimum.reduceat(mix(sh + np.uint64(0x9E3779B97F4A7C15 * (k + 1) & (1 << 64) - 1)), begin)
-    flat = mins.ravel()
+        one = sh * np.uint64(2 * k + 0x9E3779B97F4A7C15 & (1 << 64) - 1 | 1)  # another order of the shingles, by a product and its upper half
+        mins[:, k] = np.minimum.reduceat((one ^ (one >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93 + 4 * k), begin)
+    flat = mix(mins.ravel())
     start = np.arange(0, len(flat), p.rows)
-    keys = mix(range_hashes(mix(flat), start, start + p.rows).reshape(-1, p.bands) + np.arange(p.bands, dtype=np.uint64)).view(np.int64)
-    out = [(x, y, v, bands) for x, y, v, bands in zip(a.tolist(), z.tolist(), whole.view(np.int64).tolist(), keys.tolist())]
-    places = [np.unique(np.concatenate(([x], x + cuts(h[x:y], p.reach), [y]))) for x, y in zip(a, z)]
-    x, y = np.concatenate([c[:-1] for c in places]), np.concatenate([c[1:] for c in places])
+    lines["bands"] = mix(range_hashes(flat, start, start + p.rows).reshape(-1, p.bands) + np.arange(p.bands, dtype=np.uint64)).view(np.int64)
+    inner = cuts(h, a, z, p.reach)
+    x = np.unique(np.concatenate([a, inner]))
+    y = np.append(x[1:], z[-1])
+    y = np.minimum(y, z[np.searchsorted(a, x, "right") - 1])  # a line's last part ends with it
     full = y - x > p.reach
     x, y = x[full], y[full]
-    out += [(i, j, v, None) for i, j, v in zip(x.tolist(), y.tolist(), mix(range_hashes(h, x, y) + np.uint64(1)).view(np.int64).tolist())]
-    to = (lambda k: int(point[k])) if point is not None else int
-    return [(to(s[x]), to(e[y - 1]), x, y, v, bands) for x, y, v, bands in out]
+    return lines, table(x, y, mix(range_hashes(h, x, y) + np.uint64(1)))
+
+
+#: Bytes of text whose spans are found together.
+TOGETHER = 1 << 20
 
 
 def _scan(p: SubstringParams):
+    names = ["doc_id", "start", "end", "first", "last", "hash", *(f"band{k}" for k in range(p.bands))]
+
+    def handed(ids: np.ndarray, t: dict[str, np.ndarray]) -> pa.RecordBatch:
+        n = len(t["of"])
+        bands = [pa.array(np.ascontiguousarray(t["bands"][:, k])) if "bands" in t else pa.nulls(n, pa.int64()) for k in range(p.bands)]
+        return pa.RecordBatch.from_arrays([pa.array(ids[t["of"]]), *(pa.array(t[c].astype(np.int32)) for c in names[1:5]), pa.array(t["hash"]), *bands], names)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = [pa.int64(), *[pa.int32()] * 4, pa.int64(), pa.list_(pa.int64())]
-        names = ["doc_id", "start", "end", "first", "last", "hash", "bands"]
         for b in batches:
-            for k in range(0, b.num_rows, 256):
-                part = b.slice(k, 256)
-                rows = [(i, *x) for i, t in zip(part.column(0).to_pylist(), part.column(1).cast(pa.binary())) for x in spans(t.as_py() or b"", p)]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 7, kinds)], names)
+            ids, some, first, size = b.column(0).to_numpy(), [], 0, 0
+            for k, t in enumerate(b.column(1).cast(pa.binary())):
+                some.append(t.as_py() or b"")
+                size += len(some[-1])
+                if size >= TOGETHER or k == b.num_rows - 1:
+                    for t in spans(some, p):
+                        if len(t["of"]):
+                            yield handed(ids[first : k + 1], t)
+                    some, first, size = [], k + 1, 0
 
     return run
 
@@ -300,17 +331,19 @@ def repeated_spans(docs: DataFrame, params: SubstringParams = SubstringParams(),
     """
     p = params
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).where("doc_id is not null")
-    found = saved(docs.mapInArrow(_scan(p), SPANS), "spans")
-    lines, parts = found.where("bands is not null"), found.where("bands is null").drop("bands")
+    bands = [f"band{k}" for k in range(p.bands)]
+    found = saved(docs.mapInArrow(_scan(p), ", ".join([SPANS, *(f"{c} long" for c in bands)])).withColumn("span", F.monotonically_increasing_id()), "spans")
+    lines, parts = found.where("band0 is not null"), found.where("band0 is null").drop(*bands)
     # lines: equal ones are one node; nodes that share a band are compared
-    nodes = saved(lines.groupBy("hash").agg(F.min(F.struct("doc_id", "start", "end", "bands")).alias("at"), F.max("doc_id").alias("hi")), "nodes")
-    banded = nodes.select(F.explode("at.bands").alias("key"), F.col("hash").alias("node"))
+    nodes = saved(lines.groupBy("hash").agg(F.min("span").alias("span"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), *(F.min(c).alias(c) for c in bands)), "nodes")
+    banded = nodes.select(F.explode(F.array(*bands)).alias("key"), F.col("hash").alias("node"))
     buckets = saved(banded.repartition("key").sortWithinPartitions("key").mapInArrow(_shared_keys, "key long, node long"), "shared-bands")
     shared = buckets.select(F.col("node").alias("of")).distinct()
-    near = nodes.join(shared, F.col("hash") == F.col("of")).select(F.col("hash").alias("node"), "at.doc_id", "at.start", "at.end")
-    payload = saved(_payload(docs, saved(near, "near-nodes"), p), "shingle-sets")
+    near = saved(nodes.join(shared, F.col("hash") == F.col("of")).select(F.col("span").alias("at")), "near-nodes")
+    near = lines.join(near, F.col("span") == F.col("at")).select(F.col("hash").alias("node"), "doc_id", "start", "end")
+    payload = saved(_payload(docs, saved(near, "near-lines"), p), "shingle-sets")
     clusters = similar_nodes(buckets, payload, p)
-    members = nodes.join(clusters.withColumnRenamed("node", "of"), F.col("hash") == F.col("of"), "left").select("hash", F.coalesce("component", "hash").alias("component"), F.col("at.doc_id").alias("lo"), "hi")
+    members = nodes.join(clusters.withColumnRenamed("node", "of"), F.col("hash") == F.col("of"), "left").select("hash", F.coalesce("component", "hash").alias("component"), "lo", "hi")
     members = saved(members, "members")
     reach = saved(members.groupBy("component").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("lo < hi").select(F.col("component").alias("of"), "lo"), "repeated")
     line_groups = saved(members.select("hash", "component").join(reach, F.col("component") == F.col("of")).select("hash", "lo"), "repeated-lines")

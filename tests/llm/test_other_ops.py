@@ -113,11 +113,30 @@ def test_bands_reach_their_recall():
     for _ in range(150):
         line = prose(60)
         other = edited(line, *rng.choice(60, 1, replace=False))
-        a, b = (set(substring.spans(x.encode(), p)[0][5]) for x in (line, other))
+        a, b = map(set, substring.spans([line.encode(), other.encode()], p)[0]["bands"].tolist())
         n, met = n + 1, met + bool(a & b)
     assert met / n > 0.97
 
 
+def test_spans_do_not_depend_on_their_company():
+    p = substring.SubstringParams()
+    texts = ["", f"é {prose(30)}\n{prose(5)}\n\n {prose(45)} ", prose(400), " \n", f"{prose(21)} ünd\n{prose(25)}", "x"]
+    data = [t.encode() for t in texts]
+    both = [{k: v for k, v in t.items()} for t in substring.spans(data, p)]
+    for which, n in ((0, 5), (1, 40)):
+        rows = []
+        for i, d in enumerate(data):
+            t = substring.spans([d], p)[which]
+            rows += [(i, *(t[c][k] for c in ("start", "end", "first", "last", "hash"))) for k in range(len(t["of"]))]
+        got = both[which]
+        assert rows == [(got["of"][k], *(got[c][k] for c in ("start", "end", "first", "last", "hash"))) for k in range(len(got["of"]))]
+        assert len(rows) >= n
+        for i, start, end, first, last, _ in rows:
+            assert texts[i][start:end].split() == texts[i].split()[first:last]
+    x = {tuple(t["hash"].tolist()) for t in (substring.spans([f"{prose(25)} {texts[2]}".encode()], p)[1],)}.pop()
+    assert len(set(x) & set(substring.spans([data[2]], p)[1]["hash"].tolist())) >= 25
+
+
 def test_shared_keys():
     import pyarrow as pa
 
