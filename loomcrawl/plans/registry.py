@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loomcrawl.operators import links
+from loomcrawl.operators import cooc, entities, links, profile, quads, relations, structured_data, web_tables
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**links.QUERIES}
-ORACLE_SQL: dict[str, str] = {**links.ORACLE_SQL}
+MODULES = (links, quads, entities, profile, cooc, relations, structured_data, web_tables)
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {k: v for m in MODULES for k, v in m.QUERIES.items()}
+ORACLE_SQL: dict[str, str] = {k: v for m in MODULES for k, v in m.ORACLE_SQL.items()}
