@@ -76,13 +76,13 @@ def is_alphanumeric(cells: Column) -> Column:
 
 
 def average_length(cells: Column) -> Column:
-    return F.when(F.size(cells) > 0, F.aggregate(cells, F.lit(0), lambda a, x: a + F.length(x)) / F.size(cells))
+    return F.try_divide(F.aggregate(cells, F.lit(0), lambda a, x: a + F.length(x)), F.size(cells))
 
 
 def key_rank(cells: Column) -> Column:
     """Share of distinct values less share of empty ones; 0 for columns of long cells."""
     empty = F.size(F.filter(cells, lambda x: x == ""))
-    return F.when(average_length(cells) > MAX_RANKED_LENGTH, 0.0).otherwise((F.size(F.array_distinct(cells)) - empty) / F.size(cells))
+    return F.when(average_length(cells) > MAX_RANKED_LENGTH, 0.0).otherwise(F.try_divide(F.size(F.array_distinct(cells)) - empty, F.size(cells)))
 
 
 def key_column(relation: Column) -> Column:
