@@ -44,6 +44,17 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows of whole texts that cross to Python at once.
+TEXT_ROWS = 1000
+
+
+def text_batches(spark: SparkSession) -> None:
+    """Keeps Arrow batches of whole texts small, unless the session has a number of its own."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":  # Spark's default
+        spark.conf.set(key, str(TEXT_ROWS))
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z in lower case, everything else as it is; pure ASCII takes Spark's faster lower()."""
     return F.when(F.length(text) == F.octet_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, UPPER.lower()))

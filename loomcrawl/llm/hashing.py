@@ -7,7 +7,7 @@ import numpy as np
 _P = 0x9E3779B97F4A7C15
 _M = np.uint64(0xD6E8FEB86659FD93)
 #: Bytes hashed at once; a longer text is cut at white space.
-_PART = 1 << 20
+_PART = 1 << 18
 _powers: list[np.ndarray] = []
 
 

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import dense_index, saved
+from .common import dense_index, saved, text_batches
 from .tokens import encoder
 
 #: Documents whose pieces are handed on together.
@@ -59,6 +59,7 @@ def cut_pieces(docs: DataFrame, params: PackParams, text: str = "text", doc_id:
                         rows.append((i, k, start, len(part), pack_ids(part)))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 5, (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.binary()))], ["doc_id", "piece", "start", "length", "ids"])
 
+    text_batches(docs.sparkSession)
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, PIECES)
 
 

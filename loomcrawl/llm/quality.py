@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import text_batches
+
 #: Fixed values of the base rules.
 SYMBOLS = b"#*$%&|<>"
 MIN_WORDS = 50
@@ -198,6 +200,7 @@ def _platt(z: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 def fit(docs: DataFrame, labels: DataFrame, params: QualityParams = QualityParams(), text: str = "text", doc_id: str = "doc_id", label: str = "quality") -> QualityModel | None:
     """A model of label = 1 against 0, or None without labels of both kinds."""
+    text_batches(docs.sparkSession)
     by_hash = F.xxhash64(F.col("of"), F.lit(7))
     chosen = labels.select(F.col(doc_id).alias("of"), F.col(label).cast("int").alias("y")).where("of is not null and y in (0, 1)").groupBy("of").agg(F.min("y").alias("y")).orderBy(by_hash, "of").limit(params.max_labelled)
     held = F.pmod(F.xxhash64("of", F.lit(11)), F.lit(1000)) < int(1000 * params.held_out)

@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved, scratch_path
+from .common import saved, scratch_path, text_batches
 from .packing import pack_ids, unpack_ids
 from .tokens import encoder
 
@@ -103,6 +103,7 @@ def write_records(docs: DataFrame, folder: str, params: RecordParams, text: str
                 f.write(np.array([*offsets, at], "<u8").tobytes())
             yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([path]), pa.array([len(offsets)], pa.int64()), pa.array([total], pa.int64())], ["part", "path", "records", "ids"])
 
+    text_batches(docs.sparkSession)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     # longs alone are sampled for the ranges; nulls sort first
     sorted_rows = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))

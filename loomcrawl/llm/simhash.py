@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved
+from .common import saved, text_batches
 from .components import components
 
 SEED = 42
@@ -144,6 +144,7 @@ def _links(anchor: np.ndarray, fp: np.ndarray, rep: np.ndarray) -> pa.RecordBatc
 
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One row per row of docs: doc_id, fp (long, the fingerprint's bits), component_id."""
+    text_batches(docs.sparkSession)
     prints = saved(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(_fingerprints, "doc_id long, fp long"), "fingerprints")
     entries = saved(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")), "entries")
     spread = entries.where("rep is not null").mapInArrow(_replicate, "anchor long, fp long, rep long")

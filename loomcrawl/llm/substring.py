@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved
+from .common import saved, text_batches
 from .components import components
 from .hashing import mix, range_hashes, words
 
@@ -330,6 +330,7 @@ def repeated_spans(docs: DataFrame, params: SubstringParams = SubstringParams(),
     false for the copy that stays.
     """
     p = params
+    text_batches(docs.sparkSession)
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).where("doc_id is not null")
     bands = [f"band{k}" for k in range(p.bands)]
     found = saved(docs.mapInArrow(_scan(p), ", ".join([SPANS, *(f"{c} long" for c in bands)])).withColumn("span", F.monotonically_increasing_id()), "spans")

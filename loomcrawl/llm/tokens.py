@@ -14,7 +14,7 @@ from .hashing import mix, words
 #: Words kept at once, and pre-tokens; at more the cache starts anew. It changes no ids.
 CACHE, PARTS = 1_000_000, 150_000
 #: Bytes of text whose words are looked up together.
-TOGETHER = 2 << 20
+TOGETHER = 1 << 20
 #: A Latin word, perhaps with punctuation after it: a pre-token each, whatever the tokenizer's pattern.
 _PLAIN = re.compile("([ \n]?[A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?%&*#$|()]*)")
 _RARE_SPACE = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
