@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomcrawl.functions.urls import domain, resolve
+from loomcrawl.functions.urls import domain, registered_domain, resolve
 from loomcrawl.operators.ranks import dense_ids
 
 #: The part of a crawl-metadata envelope that link extraction reads; all other keys are ignored.
@@ -21,6 +21,14 @@ def page_links(pages: DataFrame) -> DataFrame:
     return pages.select("page_id", "url", F.explode(F.regexp_extract_all("html", F.lit(r'<a href="([^"]*)"'), 1)).alias("href"))
 
 
+def page_anchors(pages: DataFrame) -> DataFrame:
+    """(page_id, url, target, anchor), one row per `<a href>` with its text without markup; white space collapsed."""
+    pattern = F.lit(r'(?is)<a\b[^>]*\bhref="([^"]*)"[^>]*>(.*?)</a>')
+    both = F.arrays_zip(F.regexp_extract_all("html", pattern, F.lit(1)).alias("target"), F.regexp_extract_all("html", pattern, F.lit(2)).alias("anchor"))
+    x = pages.select("page_id", "url", F.explode(both).alias("x"))
+    return x.select("page_id", "url", "x.target", F.trim(F.regexp_replace(F.regexp_replace("x.anchor", "<[^>]*>", ""), r"\s+", " ")).alias("anchor"))
+
+
 def wat_records(lines: DataFrame) -> DataFrame:
     """Envelopes (type, uri, status, content_type, links) from text lines; lines that are not JSON objects are skipped."""
     e = F.from_json("value", WAT_SCHEMA)["Envelope"]
@@ -162,6 +170,15 @@ def target_indegree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return by.agg(F.count("*").alias("links"), F.countDistinct("page_id").alias("pages")).orderBy(F.desc("links"), "host", "path").limit(20)
 
 
+def anchor_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_anchors(_pages(spark, sf_dir)).groupBy("target", "anchor").agg(F.countDistinct("page_id").alias("pages"))
+
+
+def site_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages by registered domain."""
+    return _pages(spark, sf_dir).groupBy(registered_domain(F.col("url")).alias("site")).agg(F.count("*").alias("pages"), F.countDistinct(domain(F.col("url"))).alias("hosts"))
+
+
 def link_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     links = page_links(_pages(spark, sf_dir))
     return links.select("page_id", domain(F.col("url")).alias("host"), "href")
@@ -224,7 +241,7 @@ def wat_link_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wat_counters(wat_records(_wat_lines(spark, sf_dir)))
 
 
-QUERIES = {f.__name__: f for f in (target_indegree, link_extract, link_clean_resolve, url_distinct_sorted, url_index_ids, edge_index_inner, edge_index_keep, edge_distinct_sorted, host_graph, wat_filter_links, wat_redirect_uris, wat_link_counters)}
+QUERIES = {f.__name__: f for f in (target_indegree, anchor_texts, site_pages, link_extract, link_clean_resolve, url_distinct_sorted, url_index_ids, edge_index_inner, edge_index_keep, edge_distinct_sorted, host_graph, wat_filter_links, wat_redirect_uris, wat_link_counters)}
 
 _LINKS = """l as (select page_id, url as origin, unnest(regexp_extract_all(html, '<a href="([^"]*)"', 1)) as href from pages)"""
 _HOST = "lower(regexp_extract({}, '^https?://(?:[^/?#@]*@)?([^/?#:@]+)', 1))"
@@ -243,6 +260,10 @@ _INDEX = "i as (select url, row_number() over (order by url) - 1 as id from (sel
 ORACLE_SQL = {
     "target_indegree": f"""with {_LINKS} select {_HOST.format("origin")} as host, href as path, count(*) as links, count(distinct page_id) as pages
         from l group by 1, 2 order by links desc, host, path limit 20""",
+    "anchor_texts": """with a as (select page_id, unnest(regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 1)) as target, unnest(regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 2)) as anchor from pages)
+        select target, trim(anchor) as anchor, count(distinct page_id) as pages from a group by 1, 2""",
+    "site_pages": f"""with h as (select {_HOST.format("url")} as host from pages), p as (select host, str_split(host, '.') as x from h)
+        select x[-2] || '.' || x[-1] as site, count(*) as pages, count(distinct host) as hosts from p group by 1""",
     "link_extract": f"with {_LINKS} select page_id, {_HOST.format('origin')} as host, href from l",
     "link_clean_resolve": f"with {_EDGES} select origin, target, count(*) as links from e group by 1, 2",
     "url_distinct_sorted": f"with {_EDGES} select origin as url from e union select target from e order by 1",
