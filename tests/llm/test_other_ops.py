@@ -359,3 +359,15 @@ def test_sharding(spark, tmp_path):
     assert sum(r[1] * r[2] for r in seen) / len(seen) < 0.5 * 3 * 8  # a shard spans a small part of the grid
     assert sharding.shard_report(docs.limit(0)).count() == 0
     assert [r.shard for r in sharding.shard_report(docs.limit(3)).orderBy("shard").collect()] == [0, 5, 10]
+
+
+def test_substring_of_empty_and_short_tables(spark):
+    docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
+    assert substring.repeated_spans(docs).count() == 0 and substring.repeated_spans(docs.limit(0)).count() == 0
+    assert sorted(r.doc_id for r in substring.remove_spans(docs).collect()) == [1, 2]
+
+
+def test_rows_that_share_an_id_are_one_document(spark):
+    text = prose(60)
+    docs = spark.createDataFrame([(1, text), (1, text)], "doc_id long, text string")
+    assert substring.repeated_spans(docs).count() == 0
