@@ -8,14 +8,14 @@ from pyspark.sql import functions as F
 from loomcrawl.operators.scratch import saved
 
 
-def dense_ids(df: DataFrame, order: list[str | Column], out: str) -> DataFrame:
+def dense_ids(df: DataFrame, order: list[str | Column], out: str, name: str = "ranks") -> DataFrame:
     """df with a gapless long from 0 in the order given; ties get any order among themselves.
 
     A range sort deals rows out; inside each partition the place is counted, and one count per
     partition is summed up. No task sees more than its range of rows.
     """
     ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
-    rows = saved(ranged, "ranks")
+    rows = saved(ranged, name)
     part = F.shiftright("_at", 33)
     counts = rows.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
     # one row per partition of the range sort, whatever the number of rows is
