@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loomcrawl.operators.ranks import dense_ids
+from loomcrawl.operators.scratch import saved, scratch_path
+
+__all__ = ["UPPER", "WORD", "ascii_lower", "dense_index", "saved", "scratch_path", "table", "text_batches"]
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Words are the runs of anything but the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -17,33 +19,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or a temporary one where that is unset (tests)."""
-    if told := spark.conf.get("spark.checkpoint.dir", None):
-        return told
-    sc = spark.sparkContext
-    if not (told := sc.getCheckpointDir()):
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="loomcrawl-"))
-        told = sc.getCheckpointDir()
-    return told
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder, deleted when the session's JVM ends."""
-    path = f"{shared_dir(spark)}/loomcrawl/{name}-{uuid.uuid4().hex}"
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
-    return path
-
-
-def saved(df: DataFrame, name: str) -> DataFrame:
-    """df as a written table: lineage ends here, and a lost executor costs a re-read, not a re-run."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 #: Rows of whole texts that cross to Python at once.
 TEXT_ROWS = 1000
 
@@ -61,20 +36,5 @@ def ascii_lower(text: Column) -> Column:
 
 
 def dense_index(df: DataFrame, order: list[Column], name: str, out: str = "idx") -> DataFrame:
-    """df with a gapless long from 0 in the given total order.
-
-    Rows are dealt out by range and sorted inside each partition; only one count per partition is
-    summed up, so no task sees more than its range. Ties in `order` get any order among themselves.
-    """
-    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
-    rows = saved(ranged, name)
-    part = F.shiftright("_at", 33)
-    counts = rows.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
-    # one row per partition of the range sort, whatever the number of rows is
-    offsets = counts.selectExpr("_part", "coalesce(sum(_n) over (order by _part rows between unbounded preceding and 1 preceding), 0) as _before")
-    return (
-        rows.withColumn("_part", part)
-        .join(F.broadcast(offsets), "_part")
-        .withColumn(out, F.col("_before") + F.col("_at").bitwiseAND((1 << 33) - 1))
-        .drop("_part", "_before", "_at")
-    )
+    """df with a gapless long from 0 in the given total order; `name` names the written table."""
+    return dense_ids(df, order, out, name)

@@ -3,7 +3,7 @@
 Paragraphs are the lines of a text with at least `min_words` words. Each has a MinHash signature over
 its 5-word shingles, cut into bands; paragraphs that collide in a band are compared by the exact
 Jaccard similarity of their shingle sets, those at 0.8 or more are linked, and components of links are
-clusters. With 8 bands of 3 rows a pair at 0.8 collides with probability 0.995, one at 0.9 with 0.99998.
+clusters. With 8 bands of 3 rows a pair at 0.8 collides with probability 0.997, one at 0.9 with 0.99997.
 
 A passage that repeats inside lines that are otherwise different is found by its parts: lines are cut
 where a word's hash is the least among the `reach` words on either side, which depends on those words
