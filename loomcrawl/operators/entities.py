@@ -166,7 +166,7 @@ _ENT = f"""e as (select o_orderkey, '{_B}o/' || o_orderkey as url, 'http://g' ||
         l.l_quantity as quantity, l.l_returnflag as flag
         from orders o left join {_LAST} m on m.l_orderkey = o.o_orderkey left join (select l_orderkey, l_linenumber, max(l_quantity::int::varchar) as l_quantity, max(l_returnflag) as l_returnflag from lineitem group by 1, 2) l on l.l_orderkey = m.l_orderkey and l.l_linenumber = m.ln)"""
 ORACLE_SQL = {
-    "entity_assembly": f"with {_ENT} select url, context, class, status, quantity, flag, 3 + case when quantity is null then 0 else 2 end as n from e",
+    "entity_assembly": f"with {_ENT} select url, context, class, status, quantity, flag, (3 + case when quantity is null then 0 else 2 end)::bigint as n from e",
     "entity_class_counts": f"with {_ENT} select class, count(*) as entities, count(distinct context) as domains from e group by 1",
     "entity_totals": f"""with {_ENT} select count(*) as entities, count(distinct context) as domains, sum(3 + case when quantity is null then 0 else 2 end)::bigint as properties,
         2 * count(*) as links, (count(*) + count_if(o_orderkey % 29 <> 1))::bigint as remote_links, sum(1 + case when quantity is null then 0 else 2 end)::bigint as literals from e""",

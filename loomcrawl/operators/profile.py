@@ -171,7 +171,7 @@ ORACLE_SQL = {
     "format_profiles": f"""with {_STATS} select format, sum(triples)::bigint as triples, count(*) as urls, count(distinct domain) as domains,
         round(sum(triples) / count(*), 6) as triples_per_url, round(sum(triples) / count(distinct domain), 6) as triples_per_domain from x group by 1""",
     "format_top_domains": f"""with {_STATS}, n as (select format, domain, sum(triples)::bigint as n from x group by 1, 2)
-        select * from (select *, row_number() over (partition by format order by n desc, domain) as place from n) where place <= 5""",
+        select * from (select *, (row_number() over (partition by format order by n desc, domain))::int as place from n) where place <= 5""",
     "topk_exact": "select user_id, count(*) as n from events group by 1 order by n desc, user_id limit 100",
     "desc_stats": "select l_returnflag, min(l_quantity) as min, max(l_quantity) as max, round(avg(l_quantity), 6) as mean, median(l_quantity) as median, count(l_quantity) as n from lineitem group by 1",
     "crawl_totals": """select sum(o_orderkey % 100)::bigint as pages_total, sum(o_orderkey % 90)::bigint as pages_parsed, sum(o_orderkey % 40)::bigint as pages_triples, sum(o_orderkey * 3)::bigint as size,

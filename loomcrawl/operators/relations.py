@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomcrawl.functions.text import has_time_expression, terms
+from loomcrawl.functions.text import TIME_PATTERNS, has_time_expression, terms
 from loomcrawl.functions.typing import cell_pattern, cell_type, column_types
 
 DATASET_SCHEMA = (
@@ -235,7 +235,19 @@ _CELLS = r"""c as (select p_partkey as k, (p_partkey // 7) % 60 as col, printf('
         when len(regexp_extract(cell, '-?[\d,]+')) / len(cell) > 0.6 then 'long' else 'string' end as type from cells)"""
 _TERMS = """w as (select doc_id, unnest(str_split(trim(lower(regexp_replace(text, '[^A-Za-z0-9]+', ' ', 'g'))), ' ')) as term from documents where lang = 'en')"""
 _STOP = "('a','an','and','are','as','at','be','but','by','for','if','in','into','is','it','no','not','of','on','or','such','that','the','their','then','there','these','they','this','to','was','will','with')"
+_TIME = " or ".join("regexp_matches(text, '{}')".format(p.replace("'", "''")) for p in TIME_PATTERNS.values())
 ORACLE_SQL = {
+    "time_expressions": f"""with x as (select text from documents union all select case o_orderkey % 5 when 0 then strftime(o_orderdate, '%d-%m-%Y') when 1 then 'at ' || strftime(o_orderdate, '%H:%M')
+            when 2 then 'nothing here' when 3 then 'in ' || strftime(o_orderdate, '%Y') || ' BC' else '5 o''clock' end from orders)
+        select coalesce({_TIME}, false) as has_time, count(*) as n from x group by 1""",
+    "key_columns": rf"""with {_REL},
+        t as (select id, 0 as i, a as col from r where id not like '%-0%' union all select id, 1, b from r where id not like '%-0%' union all select id, 2, c from r where id not like '%-0%'
+              union all select id, 3, d from r where id not like '%-0%' union all select id, 0, b from r where id like '%-0%' union all select id, 1, c from r where id like '%-0%'),
+        x as (select id, i, len(col) as n, len(list_distinct(col)) as u, list_sum(list_transform(col, lambda v: len(v))) / len(col) as l, array_to_string(col, '') as s from t),
+        y as (select *, len(regexp_replace(s, '[^\p{{L}}\p{{Z}}]', '', 'g')) as letters, len(regexp_replace(s, '\P{{Nd}}', '', 'g')) as digits, len(s) as signs from x),
+        z as (select id, i, case when l > 50 then 0.0 else u / n end as rank from y where 2 * letters > signs and 10 * (signs - letters - digits) < letters and l > 3.5 and l <= 200),
+        best as (select id, arg_min(i, (-rank, i)) as i, max(rank) as rank from z group by 1)
+        select coalesce(case when rank >= 0.5 then best.i else -1 end, -1)::int as key_column, count(*) as tables from r left join best on best.id = r.id group by 1""",
     "table_dedup": f"with {_REL} select min(id) as id from r group by a[1:2], b[1:2], c[1:2], d[1:2]",
     "table_schemas": f"with {_REL} select 'p_name,p_brand,p_type,p_size' as schema, count(*) as tables, sum(len(a))::bigint as rows from r",
     "cell_types": f"with {_CELLS} select type, count(*) as n from t group by 1",

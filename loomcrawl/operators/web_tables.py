@@ -312,7 +312,7 @@ def table_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def table_relations(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = relations(extract_tables(_table_pages(spark, sf_dir)))
-    return r.select("url", "header_position", "header_row", F.size(F.col("relation")[0]).alias("rows"), F.size("time_before").alias("dated_before"), F.size("time_after").alias("dated_after"))
+    return r.select("url", "header_position", F.size(F.col("relation")[0]).alias("rows"), F.size("time_before").alias("dated_before"), F.size("time_after").alias("dated_after"))
 
 
 def table_features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -325,4 +325,13 @@ _G = "g as (select c_nationkey, (c_custkey // 3) % 6 as k, count(*) as n from cu
 ORACLE_SQL = {
     "table_filters": f"""with {_G} select case when k = 2 then 'in_form' when least(n, case when k = 3 then 2 else n end) + (k = 1)::int < 3 then 'few_rows' when k = 4 then 'spans' when k = 5 then 'link_list' else 'kept' end as counter, count(*) as n
         from g group by 1""",
+    "table_relations": f"""with {_G} select 'http://t.example.org/' || c_nationkey || '/' || k as url, case when k = 1 then 'FIRST_ROW' else 'NONE' end as header_position,
+        (n + (k = 1)::int)::int as rows, 1 as dated_before, 0 as dated_after from g where k < 2 and n + (k = 1)::int >= 3""",
+    "table_features": f"""with c as (select c_nationkey, (c_custkey // 3) % 6 as k, c_custkey, len(c_name) + len(c_mktsegment) + len(floor(c_acctbal)::bigint::varchar) as l, row_number() over (partition by c_nationkey, (c_custkey // 3) % 6 order by c_custkey) as place from customer),
+        g as (select c_nationkey, k, count(*) as n, sum(l) as l from c where k <> 3 or place <= 2 group by 1, 2),
+        x as (select *, n + (k = 1)::int as m from g)
+        select 'http://t.example.org/' || c_nationkey || '/' || k as url, round((l + case when k = 1 then 14 else 0 end) / (3 * m), 6) as avg_cell_length, round(n / m, 6) as local_ratio_is_number_col_2,
+            round(case when k = 1 then 2 / 3 else 0.0 end, 6) as local_ratio_header_row_0, 3.0::double as max_cols, round(case k when 1 then (n + 2) / (3 * m) when 5 then 0.0 else 1 / 3 end, 6) as ratio_alphabetical,
+            round(case k when 1 then greatest(1.0, (3 * n - 1) / 3) when 4 then greatest(1.0, 0.75 * m) when 5 then greatest(3.0, m) else greatest(1.0, m) end, 6)::double as cumulative_content_consistency
+        from x where m >= 2""",
 }
