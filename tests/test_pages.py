@@ -218,3 +218,35 @@ def test_windowed_counts(spark, tmp_path):
     df = spark.createDataFrame([(k, s) for k, s in (("a", 1), ("a", 2), ("b", 400))], "k string, s long").select("k", F.timestamp_seconds("s").alias("ts"))
     got = {(r.window.start.minute, r.k): r.n for r in stream_entities.windowed_counts(df, "ts", "k").collect()}
     assert got == {(0, "a"): 2, (5, "b"): 1}
+
+
+def test_jobs(spark, tmp_path):
+    from loomcrawl.plans import jobs
+
+    page = f'<body><div itemscope itemtype="http://schema.org/T"><b itemprop="name">N</b></div>{TABLE}</body>'
+    records = [warc("response", f"http://a.example/{k}", http("text/html", page.encode())) for k in range(3)] + [warc("response", "http://a.example/x", http("text/html", b"<p>none"))]
+    (tmp_path / "a.warc.gz").write_bytes(b"".join(map(gzip.compress, records)) + gzip.compress(records[0])[:60])
+    source, out = str(tmp_path / "a.warc.gz"), str(tmp_path / "out")
+    assert jobs.run("structured-data", spark, source, f"{out}/sd") == ["failures", "quads", "page_stats", "totals"]
+    assert spark.read.parquet(f"{out}/sd/totals").first().asDict() == {"extractor": "html-microdata", "triples": 9, "urls": 3}
+    assert spark.read.parquet(f"{out}/sd/page_stats").where("total_triples = 0").count() == 1
+    assert text.nquads(spark, f"{out}/sd/quads").count() == 9
+    jobs.run("tables", spark, source, f"{out}/t")
+    (t,) = spark.read.json(f"{out}/t/tables").collect()
+    assert t.relation[0] == ["name", "Anna", "Bob", "Cid"] and t.url == "http://a.example/0" and t.hasHeader
+    assert {r.counter: r.n for r in spark.read.parquet(f"{out}/t/counters").collect()} == {"kept": 3}
+    (tmp_path / "map").write_text("http://a.example/1\tC\n")
+    jobs.lookup_job(spark, source, str(tmp_path / "map"), f"{out}/l")
+    assert [r["class"] for r in spark.read.json(f"{out}/l/labelled").collect()] == ["C"]
+    wat = lambda uri, refs: json.dumps({"Envelope": {"WARC-Header-Metadata": {"WARC-Type": "response", "WARC-Target-URI": uri}, "Payload-Metadata": {"HTTP-Response-Metadata": {"Headers": {"Content-Type": "text/html"}, "Response-Message": {"Status": "200"}, "HTML-Metadata": {"Links": [{"path": "A@/href", "url": r} for r in refs]}}}}})
+    (tmp_path / "a.wat").write_text(wat("http://a/", ["/x", "http://b/"]) + "\n" + wat("http://b/", ["http://a/", "#f"]) + "\n")
+    jobs.run("links", spark, str(tmp_path / "a.wat"), f"{out}/w")
+    ids = {r.url: r.id for r in spark.read.parquet(f"{out}/w/index").collect()}
+    assert ids == {"http://a/": 0, "http://a/x": 1, "http://b/": 2}
+    assert {(r.origin, r.target) for r in spark.read.parquet(f"{out}/w/edges").collect()} == {(0, 1), (0, 2), (2, 0)}
+
+    @jobs.job("mine")
+    def mine(spark, source, out):
+        return [source]
+
+    assert jobs.run("mine", spark, "s", "o") == ["s"]
