@@ -233,6 +233,8 @@ def test_html_pages():
     assert one(page('<div role="main"><p>m</div>')) == "m"
     assert one("") == "" and one("plain text") == "plain text" and one("<article></article>") == ""
     assert one('<article><div class="notice-box">n</div><div class="loaded">kept</div><p title="a>b">q</p><textarea>z</textarea></article>') == "kept q"
+    assert one('<article><p hidden>a</p><p style="display: none">b</p><p aria-hidden="true">c</p><p class="hidden-gem" data-x="hidden">d</p></article>') == "d"
+    assert one('<article><p>It<!-- a --> is <em>so</em>, a&lt;b &copy;</p><ul><li>x<li>y</ul><div class="reader-comments"><p>no</p></div></article><aside>s</aside>') == "It is so, a<b © x y"
 
 
 def test_templates(spark):
