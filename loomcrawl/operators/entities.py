@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from loomcrawl.functions.urls import domain
 from loomcrawl.operators.quads import RDF_TYPE
+from loomcrawl.operators.scratch import saved
 
 #: Blank nodes below an entity are merged down to this depth.
 MAX_DEPTH = 3
@@ -19,17 +20,18 @@ def entity_properties(quads: DataFrame, depth: int = MAX_DEPTH) -> DataFrame:
     """(graph, subject, p, o, o_kind, pos): all statements of each entity, with those of blank nodes it holds.
 
     An entity is a subject of a graph with an rdf:type; quads need a column pos, their place in the
-    input. Every step is a join by graph and node; a blank node that several entities hold is merged
-    into each of them, and one beyond `depth` contributes nothing.
+    input. Every step is a join by graph and node, written once and left out when no blank node is left;
+    a blank node that several entities hold is merged into each of them, and one beyond `depth`
+    contributes nothing.
     """
     q = quads.select("graph", "s", "p", "o", "o_kind", "pos")
     roots = q.where(F.col("p") == RDF_TYPE).select("graph", F.col("s").alias("subject")).distinct()
-    level = roots.join(q.withColumnRenamed("s", "subject"), ["graph", "subject"])
-    levels = [level]
+    levels = [saved(roots.join(q.withColumnRenamed("s", "subject"), ["graph", "subject"]), "entities")]
     for _ in range(depth):
-        nested = level.where("o_kind = 'bnode'").select("graph", "subject", F.col("o").alias("s"))
-        level = nested.join(q, ["graph", "s"]).select("graph", "subject", "p", "o", "o_kind", "pos")
-        levels.append(level)
+        nested = levels[-1].where("o_kind = 'bnode'").select("graph", "subject", F.col("o").alias("s"))
+        if nested.isEmpty():
+            break
+        levels.append(saved(nested.join(q, ["graph", "s"]).select("graph", "subject", "p", "o", "o_kind", "pos"), "nested"))
     return reduce(DataFrame.unionByName, levels).where("o_kind <> 'bnode'")
 
 
