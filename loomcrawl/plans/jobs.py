@@ -7,8 +7,9 @@ names of what it wrote. All of them run as Spark jobs from end to end; damaged r
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,6 +35,21 @@ def run(name: str, spark: SparkSession, source: str, out: str) -> list[str]:
     return JOBS[name](spark, source, out)
 
 
+def iterate(rows: DataFrame, process: Callable[[pd.DataFrame], pd.DataFrame], schema: str, finish: Callable[[], pd.DataFrame] | None = None) -> DataFrame:
+    """process() over batches of rows, and finish() once per task after its last batch, for code that no column expression replaces.
+
+    Both return rows of the schema given. Tasks share nothing: combine what they return with an aggregate.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield process(b)
+        if finish is not None:
+            yield finish()
+
+    return rows.mapInPandas(run, schema)
+
+
 def _pages(spark: SparkSession, source: str, out: str) -> DataFrame:
     """HTML responses of WARC archives; what could not be read is written to `failures`."""
     archives.register(spark)

@@ -250,3 +250,12 @@ def test_jobs(spark, tmp_path):
         return [source]
 
     assert jobs.run("mine", spark, "s", "o") == ["s"]
+
+
+def test_iterate(spark):
+    import pandas as pd
+
+    from loomcrawl.plans.jobs import iterate
+
+    got = iterate(spark.range(100).repartition(3), lambda b: pd.DataFrame({"k": ["rows"], "n": [len(b)]}), "k string, n long", lambda: pd.DataFrame({"k": ["tasks"], "n": [1]}))
+    assert {r.k: r.n for r in got.groupBy("k").agg(F.sum("n").alias("n")).collect()} == {"rows": 100, "tasks": 3}
