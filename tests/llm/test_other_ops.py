@@ -241,13 +241,14 @@ def test_templates(spark):
     rows = [(i, f"http://H.example.com/{i}", page(f"<div><p>story {i} {i}</div>", "<p>Follow our letter now</p>")) for i in range(6)]
     rows += [(50, "http://few.example.com/", page("<div><p>alone</div>", "<p>Follow our letter now</p>")), (51, None, None), (52, "x", ""), (0, "http://h.example.com/0", rows[0][2])]
     rows += [(60 + i, f"http://same.example.com/{i}", page("<article><p>the same article</article>")) for i in range(5)]
+    rows += [(80 + i, f"http://copies.example.com/{i}", page("<div><p>copied story</div>")) for i in range(5)]
     pages = spark.createDataFrame([(*r, "t") for r in rows], "page_id long, url string, html string, template string")
     got = Counter((r.page_id, r.text, r.n_chars) for r in html_text.extract_text(pages).collect())
-    want = Counter([(i, f"story {i} {i}", len(f"story {i} {i}")) for i in [*range(6), 0]] + [(50, "alone Follow our letter now", 27), (51, "", 0), (52, "", 0)] + [(60 + i, "the same article", 16) for i in range(5)])
+    want = Counter([(i, f"story {i} {i}", len(f"story {i} {i}")) for i in [*range(6), 0]] + [(50, "alone Follow our letter now", 27), (51, "", 0), (52, "", 0)] + [(60 + i, "the same article", 16) for i in range(5)] + [(80 + i, "copied story", 12) for i in range(5)])
     assert got == want
     assert html_text.extract_text(pages.limit(0)).count() == 0
     tokens = {r.host: r.template for r in html_text.deduce_templates(pages).collect()}
-    assert set(tokens) == {"h.example.com", "same.example.com"}
+    assert set(tokens) == {"h.example.com", "same.example.com", "copies.example.com"}
 
 
 def test_equivalence_classes(spark):
