@@ -121,7 +121,7 @@ def _order_quads(spark: SparkSession, sf_dir: str) -> DataFrame:
             )
         ).alias("q")
     )
-    return top.unionByName(below).select("q.*")
+    return saved(top.unionByName(below).select("q.*"), "order-quads")  # statements are a table, not made anew for each join
 
 
 def entity_assembly(spark: SparkSession, sf_dir: str) -> DataFrame:
