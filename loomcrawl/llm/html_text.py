@@ -14,8 +14,12 @@ costs each task one row per token. A template holds at most twice the tokens of
 each is in half of the pages. Pages are read a second time with their host's template; they are not
 moved where Spark finds the templates small enough to send, and joined by host beyond that.
 
-Inside an article or main element, text stays even if other pages repeat it (copies of an article are
-no template), and so does the text of a page that has nothing but template text. Hosts with fewer than `min_pages` pages have no template; the element rules still hold.
+The template decides inside article and main elements too: a notice that repeats over a host is left
+out there whatever its class name is. Copies of an article are no template: a class that makes up at
+least `copied` of the article text of the pages it is in is such a copy, its text stays, and so does that
+of classes in no more pages than it, which are parts that some copies lack. The text of a page that has
+nothing but template text stays. Hosts with fewer than `min_pages` pages have no template; the element
+rules still hold.
 
 A null html is an empty page with empty text. Pages that share an id are pages of their own. A null
 url counts as a host of its own. An empty table gives an empty result.
@@ -28,6 +32,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -64,6 +69,8 @@ class ExtractParams:
     #: Pages a host needs for a template, and the share of them that a large class is in.
     min_pages: int = 4
     share: float = 0.5
+    #: Share of its pages' article text from which on a class is a copied article.
+    copied: float = 0.8
 
 
 @dataclass(slots=True)
@@ -158,40 +165,48 @@ def parse(page: str) -> tuple[list[Block], list[int]]:
 
 
 def main_text(blocks: list[Block], template: frozenset[int] | set[int]) -> str:
-    """Blocks of the article's slots, in page order; without an article element, of the slots that hold more than links."""
-    if any(b.article for b in blocks):
-        return " ".join(b.text for b in blocks if b.article and not b.out)
-    free = [b for b in blocks if not b.out and not b.link]
+    """Blocks of the article's slots, in page order; without article text, of the slots that hold more than links."""
+    free = [b for b in blocks if b.article and not b.out] or [b for b in blocks if not b.out and not b.link]
     own = [b for b in free if b.token not in template]
-    return " ".join(b.text for b in own or free)  # where all is template, most pages of the host are copies of this one
+    return " ".join(b.text for b in own or free)  # a page of nothing but template text keeps it
 
 
 def host_of(url: Column) -> Column:
     return F.coalesce(F.lower(F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1)), F.lit(""))
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _count(batches: Iterator[pa.RecordBatch], sizes: bool = False) -> Iterator[pa.RecordBatch]:
     """Per host and token of a batch: pages it is in, XOR of the hashes of (page, count), sum of its first places.
 
-    Token 0 stands for the page itself.
+    Token 0 stands for the page itself. With sizes also, of tokens that are article text: its characters, and
+    those of all article text of the pages it is in.
     """
+    names = ["host", "token", "pages", "vector", "place", "size", "whole"][: 7 if sizes else 5]
     task, row = TaskContext.get().partitionId(), 0
     for b in batches:
         found: dict[tuple[str, int], list[int]] = {}
         for host, page in zip(b.column(0).to_pylist(), b.column(1)):
             row += 1
             seed = xxhash.xxh64_intdigest(f"{task}:{row}")
-            _, tokens = parse(page.as_py() or "")
+            blocks, tokens = parse(page.as_py() or "")
+            size: Counter[int] = Counter()
+            for x in blocks:
+                if x.article and not x.out:
+                    size[x.token] += len(x.text)
+            whole = size.total()
             first: dict[int, int] = {}
             for k, t in enumerate(tokens):
                 first.setdefault(t, k)
             for t, n in [*Counter(tokens).items(), (0, 1)]:
-                x = found.setdefault((host, t), [0, 0, 0])
+                x = found.setdefault((host, t), [0] * 5)
                 x[0] += 1
                 x[1] ^= xxhash.xxh64_intdigest(n.to_bytes(4, "little"), seed)
                 x[2] += first.get(t, 0)
-        keys, values = list(found), np.array(list(found.values()), np.uint64).reshape(-1, 3).view(np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array([h for h, _ in keys], pa.string()), pa.array(np.array([t for _, t in keys], np.uint64).view(np.int64)), *map(pa.array, values.T.copy())], ["host", "token", "pages", "vector", "place"])
+                if t in size:
+                    x[3] += size[t]
+                    x[4] += whole
+        keys, values = list(found), np.array(list(found.values()), np.uint64).reshape(-1, 5).view(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array([h for h, _ in keys], pa.string()), pa.array(np.array([t for _, t in keys], np.uint64).view(np.int64)), *map(pa.array, values.T[: len(names) - 2].copy())], names)
 
 
 def valid_classes(vector: np.ndarray, pages: np.ndarray, place: np.ndarray) -> np.ndarray:
@@ -209,22 +224,32 @@ def valid_classes(vector: np.ndarray, pages: np.ndarray, place: np.ndarray) -> n
     return keep
 
 
+def copied_articles(vector: np.ndarray, pages: np.ndarray, size: np.ndarray, whole: np.ndarray, copied: float) -> np.ndarray:
+    """True for tokens of article text that are copies of an article, by the share that their class has of its pages' article text."""
+    classes: dict[tuple[int, int], list[int]] = {}
+    for k in np.flatnonzero(size).tolist():
+        classes.setdefault((int(pages[k]), int(vector[k])), []).append(k)
+    most = max((n for (n, _), members in classes.items() if size[members].sum() >= copied * whole[members].max()), default=0)
+    return (size > 0) & (pages <= most)
+
+
 def deduce_templates(pages: DataFrame, params: ExtractParams = ExtractParams(), html: str = "html", url: str = "url") -> DataFrame:
-    """(host, template): the tokens of each host's valid classes; hosts without any have no row."""
+    """(host, template): the tokens of each host's valid classes, without copied articles; hosts without any class have no row."""
     text_batches(pages.sparkSession)
-    found = pages.select(host_of(F.col(url)).alias("host"), F.col(html).alias("html")).mapInArrow(_count, "host string, token long, pages long, vector long, place long")
-    tokens = saved(found.groupBy("host", "token").agg(F.sum("pages").alias("pages"), F.bit_xor("vector").alias("vector"), F.sum("place").alias("place")), "tokens")
+    found = pages.select(host_of(F.col(url)).alias("host"), F.col(html).alias("html")).mapInArrow(partial(_count, sizes=True), "host string, token long, pages long, vector long, place long, size long, whole long")
+    tokens = saved(found.groupBy("host", "token").agg(F.sum("pages").alias("pages"), F.bit_xor("vector").alias("vector"), *(F.sum(c).alias(c) for c in ("place", "size", "whole"))), "tokens")
     hosts = saved(tokens.where(f"token = 0 and pages >= {params.min_pages}").select(F.col("host").alias("of"), F.col("pages").alias("all_pages")), "hosts")
     large = tokens.where(f"token <> 0 and pages >= {params.min_pages} * {params.share}").join(hosts, F.col("host") == F.col("of")).where(F.col("pages") >= F.col("all_pages") * params.share)
 
     def nest(key, t):
         ok = valid_classes(t.vector.to_numpy(), t.pages.to_numpy(), (t.place / t.pages).to_numpy())
+        ok &= ~copied_articles(t.vector.to_numpy(), t.pages.to_numpy(), t["size"].to_numpy(), t.whole.to_numpy(), params.copied)
         import pandas as pd
 
         return pd.DataFrame({"host": [key[0]], "template": [t.token[ok].tolist()]})
 
     # a host's rows here are at most twice the tokens of its average page
-    return large.select("host", "token", "pages", "vector", "place").groupBy("host").applyInPandas(nest, "host string, template array<long>")
+    return large.select("host", "token", "pages", "vector", "place", "size", "whole").groupBy("host").applyInPandas(nest, "host string, template array<long>")
 
 
 def extract_text(pages: DataFrame, params: ExtractParams = ExtractParams(), page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
@@ -236,7 +261,7 @@ def extract_text(pages: DataFrame, params: ExtractParams = ExtractParams(), page
             texts = []
             for page, template in zip(b.column(2), b.column(3)):
                 blocks, _ = parse(page.as_py() or "")
-                known = frozenset() if not template.is_valid or any(x.article for x in blocks) else frozenset(np.asarray(template.values).view(np.uint64).tolist())
+                known = frozenset() if not template.is_valid else frozenset(np.asarray(template.values).view(np.uint64).tolist())
                 texts.append(main_text(blocks, known))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], ["page_id", "url", "text", "n_chars"])
 

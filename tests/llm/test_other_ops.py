@@ -251,6 +251,20 @@ def test_templates(spark):
     assert set(tokens) == {"h.example.com", "same.example.com", "copies.example.com"}
 
 
+def test_templates_decide_inside_articles(spark):
+    notice = "<div class=\"box\"><p>Read the terms of this host</div>"
+    rows = [(i, f"http://h.example.com/{i}", page(f"<article><p>story {i}{notice}<p>end of {i}</article>")) for i in range(6)]
+    copy = "".join(f"<p>part {k} of a story that was copied to most of the pages of a host</p>" for k in range(5))
+    rows += [(20 + i, f"http://c.example.com/{i}", page(f"<article>{copy}{'<p>more</p>' if i else ''}{notice}</article>")) for i in range(5)]
+    rows += [(30 + i, f"http://c.example.com/o{i}", page(f"<article>{''.join(f'<p>other {i} {k}</p>' for k in range(20))}{notice}</article>")) for i in range(2)]
+    rows += [(40, "http://d.example.com/", '<div><p>body text</div><div class="comments"><article><p>reader</article></div>')]
+    got = {r.page_id: r.text for r in html_text.extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    story = " ".join(f"part {k} of a story that was copied to most of the pages of a host" for k in range(5))
+    want = {i: f"story {i} end of {i}" for i in range(6)} | {20 + i: f"{story} more" if i else story for i in range(5)}
+    want |= {30 + i: " ".join(f"other {i} {k}" for k in range(20)) for i in range(2)} | {40: "body text"}
+    assert got == want
+
+
 def test_equivalence_classes(spark):
     """Classes from XORed vectors equal classes from whole vectors."""
     pages = [page("".join(f"<p>{k}</p>" for k in range(n)) + "<ul>" + "<li>i</li>" * (n % 3) + "</ul>") for n in (1, 2, 3, 4, 5)]
