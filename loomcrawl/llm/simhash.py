@@ -14,7 +14,8 @@ At an anchor the entries are compared among themselves and one link per entry th
 of its cluster leaves the task, not all pairs. Components over these links give the groups.
 
 A null text is an empty one; a text without words has fingerprint 0, which links like any other.
-Rows that share a doc_id each get a row. A null doc_id never names a component unless all are null.
+Fingerprints are linked by themselves, whatever the ids of their rows. Rows that share a doc_id each get
+a row. A component is named by its smallest doc_id; a null doc_id names none unless all are null.
 """
 
 from __future__ import annotations
@@ -62,7 +63,7 @@ def _signed(values) -> np.ndarray:
 
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(_signed([fingerprint(t.as_py()) for t in b.column(1).cast(pa.binary())]))], ["doc_id", "fp"])
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(_signed([fingerprint(t.as_py()) for t in b.column(2).cast(pa.binary())]))], ["row", "doc_id", "fp"])
 
 
 def syndrome(points: np.ndarray) -> np.ndarray:
@@ -144,24 +145,33 @@ def _links(anchor: np.ndarray, fp: np.ndarray, rep: np.ndarray) -> pa.RecordBatc
 
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One row per row of docs: doc_id, fp (long, the fingerprint's bits), component_id."""
-    text_batches(docs.sparkSession)
-    prints = saved(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(_fingerprints, "doc_id long, fp long"), "fingerprints")
-    entries = saved(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")), "entries")
-    spread = entries.where("rep is not null").mapInArrow(_replicate, "anchor long, fp long, rep long")
+    labels = _labelled(docs.select(F.lit(0).cast("long").alias("row"), F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")))
+    lows = labels.groupBy("component").agg(F.min("doc_id").alias("component_id")).withColumnRenamed("component", "of")
+    return labels.join(saved(lows, "component-ids"), F.col("component") == F.col("of")).select("doc_id", "fp", "component_id")
+
+
+def _labelled(rows: DataFrame) -> DataFrame:
+    """(row, doc_id, fp, component) of (row, doc_id, text); component is a fingerprint of the group."""
+    text_batches(rows.sparkSession)
+    prints = saved(rows.mapInArrow(_fingerprints, "row long, doc_id long, fp long"), "fingerprints")
+    entries = saved(prints.select("fp", F.col("fp").alias("rep")).distinct(), "entries")
+    spread = entries.mapInArrow(_replicate, "anchor long, fp long, rep long")
     links = spread.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_compare, "a long, b long")
-    groups = components(links)
-    labels = saved(entries.join(groups, entries["rep"] == groups["node"], "left").select(F.col("fp").alias("of"), F.coalesce("component", "rep").alias("component_id")), "labels")
-    return prints.join(labels, prints["fp"] == labels["of"]).select("doc_id", "fp", "component_id")
+    groups = saved(components(links).withColumnRenamed("node", "of"), "groups")
+    return saved(prints.join(groups, F.col("fp") == F.col("of"), "left").select("row", "doc_id", "fp", F.coalesce("component", "fp").alias("component")), "labels")
 
 
 def drop_near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """The rows of docs whose doc_id is the smallest of its group; rows that share that doc_id all stay.
+    """One row of each group of docs: that with the smallest doc_id, of rows that share it one; a null doc_id comes last.
 
-    Dropped ids are sent to every executor where Spark finds them small enough, and joined by id beyond that.
+    Ids of dropped rows are sent to every executor where Spark finds them small enough, and joined beyond that.
     """
-    labels = near_duplicates(docs, text, doc_id)
-    gone = saved(labels.where("doc_id <> component_id or (doc_id is null and component_id is not null)").select(F.col("doc_id").alias("_gone")).distinct(), "gone")
-    return docs.join(gone, docs[doc_id].eqNullSafe(gone["_gone"]), "left_anti")
+    cols = docs.columns
+    rows = saved(docs.select(F.monotonically_increasing_id().alias("near_row"), F.struct(*(F.col(f"`{c}`") for c in cols)).alias("kept_row")), "rows")
+    labels = _labelled(rows.select(F.col("near_row").alias("row"), F.col("kept_row").getField(doc_id).cast("long").alias("doc_id"), F.col("kept_row").getField(text).alias("text")))
+    many = labels.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("stays"), F.count("*").alias("n")).where("n > 1").withColumnRenamed("component", "of")
+    gone = saved(labels.join(saved(many, "groups-of-many"), F.col("component") == F.col("of")).where("row <> stays.row").select("row"), "gone")
+    return rows.join(gone, F.col("near_row") == F.col("row"), "left_anti").select("kept_row.*")
 
 
 def simhash_report(docs: DataFrame) -> DataFrame:

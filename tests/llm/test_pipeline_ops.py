@@ -76,6 +76,21 @@ def test_simhash(docs):
     assert all(r.component_id == label[r.doc_id] for r in got if r.doc_id is not None)
 
 
+def test_near_duplicates_are_dropped_by_row(spark):
+    words = [f"v{i}" for i in range(400)]
+    other, third = " ".join(reversed(words)), " ".join(words[::3] * 2)
+    texts = [(5, BASE), (None, BASE + "\n"), (None, other), (7, third), (7, BASE + " "), (None, "x y z"), (None, "x  y z")]
+    got = simhash.drop_near_duplicates(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    assert Counter((r.doc_id, " ".join(r.text.split())) for r in got) == Counter([(5, " ".join(BASE.split())), (None, other), (7, third), (None, "x y z")])
+
+
+def test_null_ids_bridge_fingerprints(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "_fingerprints", lambda batches: (b.select([0, 1]).append_column("fp", b.column(2).cast("int64")) for b in batches))
+    rows = [(3, "0"), (None, "3"), (9, "15"), (None, str(1 << 40 | 1 << 50 | 1 << 60))]
+    got = simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.fp, r.component_id or -1) for r in got) == [(0, 3), (3, 3), (15, 3), (int(rows[3][1]), -1)]
+
+
 def test_anchors_meet_all_pairs_within_two():
     rng = np.random.default_rng(1)
     x = rng.integers(0, 1 << 64, 300, np.uint64)
