@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from .common import saved, text_batches
 from .components import components
+from .substring import SubstringParams, similar_documents
 
 SEED = 42
 SHINGLE = 3
@@ -63,7 +64,7 @@ def _signed(values) -> np.ndarray:
 
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(_signed([fingerprint(t.as_py()) for t in b.column(2).cast(pa.binary())]))], ["row", "doc_id", "fp"])
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(_signed([fingerprint(t.as_py()) for t in b.column(1).cast(pa.binary())]))], ["doc_id", "fp"])
 
 
 def syndrome(points: np.ndarray) -> np.ndarray:
@@ -145,30 +146,28 @@ def _links(anchor: np.ndarray, fp: np.ndarray, rep: np.ndarray) -> pa.RecordBatc
 
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One row per row of docs: doc_id, fp (long, the fingerprint's bits), component_id."""
-    labels = _labelled(docs.select(F.lit(0).cast("long").alias("row"), F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")))
-    lows = labels.groupBy("component").agg(F.min("doc_id").alias("component_id")).withColumnRenamed("component", "of")
-    return labels.join(saved(lows, "component-ids"), F.col("component") == F.col("of")).select("doc_id", "fp", "component_id")
-
-
-def _labelled(rows: DataFrame) -> DataFrame:
-    """(row, doc_id, fp, component) of (row, doc_id, text); component is a fingerprint of the group."""
-    text_batches(rows.sparkSession)
-    prints = saved(rows.mapInArrow(_fingerprints, "row long, doc_id long, fp long"), "fingerprints")
+    text_batches(docs.sparkSession)
+    prints = saved(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(_fingerprints, "doc_id long, fp long"), "fingerprints")
     entries = saved(prints.select("fp", F.col("fp").alias("rep")).distinct(), "entries")
     spread = entries.mapInArrow(_replicate, "anchor long, fp long, rep long")
     links = spread.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_compare, "a long, b long")
     groups = saved(components(links).withColumnRenamed("node", "of"), "groups")
-    return saved(prints.join(groups, F.col("fp") == F.col("of"), "left").select("row", "doc_id", "fp", F.coalesce("component", "fp").alias("component")), "labels")
+    labels = saved(prints.join(groups, F.col("fp") == F.col("of"), "left").select("doc_id", "fp", F.coalesce("component", "fp").alias("component")), "labels")
+    lows = labels.groupBy("component").agg(F.min("doc_id").alias("component_id")).withColumnRenamed("component", "of")
+    return labels.join(saved(lows, "component-ids"), F.col("component") == F.col("of")).select("doc_id", "fp", "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", params: SubstringParams = SubstringParams()) -> DataFrame:
     """One row of each group of docs: that with the smallest doc_id, of rows that share it one; a null doc_id comes last.
 
+    Groups are texts whose sets of params.shingle words have exact Jaccard params.similarity, or a chain of
+    such texts; candidates come from params.bands, as a fingerprint of 64 bits tells nothing at that distance.
     Ids of dropped rows are sent to every executor where Spark finds them small enough, and joined beyond that.
     """
+    text_batches(docs.sparkSession)
     cols = docs.columns
     rows = saved(docs.select(F.monotonically_increasing_id().alias("near_row"), F.struct(*(F.col(f"`{c}`") for c in cols)).alias("kept_row")), "rows")
-    labels = _labelled(rows.select(F.col("near_row").alias("row"), F.col("kept_row").getField(doc_id).cast("long").alias("doc_id"), F.col("kept_row").getField(text).alias("text")))
+    labels = similar_documents(rows.select(F.col("near_row").alias("row"), F.col("kept_row").getField(doc_id).cast("long").alias("doc_id"), F.col("kept_row").getField(text).alias("text")), params)
     many = labels.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("stays"), F.count("*").alias("n")).where("n > 1").withColumnRenamed("component", "of")
     gone = saved(labels.join(saved(many, "groups-of-many"), F.col("component") == F.col("of")).where("row <> stays.row").select("row"), "gone")
     return rows.join(gone, F.col("near_row") == F.col("row"), "left_anti").select("kept_row.*")

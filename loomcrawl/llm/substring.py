@@ -32,6 +32,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -82,6 +83,17 @@ def cuts(h: np.ndarray, a: np.ndarray, z: np.ndarray, reach: int) -> np.ndarray:
     return at[least]
 
 
+def band_keys(sh: np.ndarray, begin: np.ndarray, p: SubstringParams) -> np.ndarray:
+    """The MinHash bands of sets of shingles that lie one after another, each from its place in begin on."""
+    mins = np.empty((len(begin), p.bands * p.rows), np.uint64)
+    for k in range(p.bands * p.rows):
+        one = sh * np.uint64(2 * k + 0x9E3779B97F4A7C15 & (1 << 64) - 1 | 1)  # another order of the shingles, by a product and its upper half
+        mins[:, k] = np.minimum.reduceat((one ^ (one >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93 + 4 * k), begin)
+    flat = mix(mins.ravel())
+    start = np.arange(0, len(flat), p.rows)
+    return mix(range_hashes(flat, start, start + p.rows).reshape(-1, p.bands) + np.arange(p.bands, dtype=np.uint64)).view(np.int64)
+
+
 def spans(texts: list[bytes], p: SubstringParams) -> tuple[dict[str, np.ndarray], dict[str, np.ndarray]]:
     """Lines and parts of some texts: arrays of, start, end, first, last, hash; of lines also bands, one row a line.
 
@@ -114,13 +126,7 @@ def spans(texts: list[bytes], p: SubstringParams) -> tuple[dict[str, np.ndarray]
     count = z - a - p.shingle + 1
     begin, at = np.cumsum(count) - count, ragged(a, count)
     sh = range_hashes(h, at, at + p.shingle)
-    mins = np.empty((len(a), p.bands * p.rows), np.uint64)
-    for k in range(p.bands * p.rows):
-        one = sh * np.uint64(2 * k + 0x9E3779B97F4A7C15 & (1 << 64) - 1 | 1)  # another order of the shingles, by a product and its upper half
-        mins[:, k] = np.minimum.reduceat((one ^ (one >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93 + 4 * k), begin)
-    flat = mix(mins.ravel())
-    start = np.arange(0, len(flat), p.rows)
-    lines["bands"] = mix(range_hashes(flat, start, start + p.rows).reshape(-1, p.bands) + np.arange(p.bands, dtype=np.uint64)).view(np.int64)
+    lines["bands"] = band_keys(sh, begin, p)
     inner = cuts(h, a, z, p.reach)
     x = np.unique(np.concatenate([a, inner]))
     y = np.append(x[1:], z[-1])
@@ -323,6 +329,38 @@ def similar_nodes(buckets: DataFrame, payload: DataFrame, p: SubstringParams) ->
     return saved(components(links.unionByName(more)), "all-clusters")
 
 
+def _documents(p: SubstringParams):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            node, bands = np.zeros(b.num_rows, np.int64), np.zeros((b.num_rows, p.bands), np.int64)
+            for k, t in enumerate(b.column(2).cast(pa.binary())):
+                h = mix(words((t.as_py() or b"").lower())[0])
+                if len(h):
+                    node[k] = range_hashes(h, np.array([0]), np.array([len(h)])).view(np.int64)[0]
+                    bands[k] = band_keys(shingles(h, p.shingle), np.array([0]), p)[0]
+            some = pa.array(node != 0)
+            columns = [pa.array(node), *(pc.if_else(some, pa.array(np.ascontiguousarray(c)), None) for c in bands.T)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *columns], ["row", "doc_id", "node", *(f"band{k}" for k in range(p.bands))])
+
+    return run
+
+
+def similar_documents(rows: DataFrame, p: SubstringParams) -> DataFrame:
+    """(row, doc_id, component) of (row, doc_id, text): whole texts whose shingle sets have the similarity share a component.
+
+    Texts of equal words are one node, those without words too.
+    """
+    bands = [f"band{k}" for k in range(p.bands)]
+    keyed = saved(rows.mapInArrow(_documents(p), ", ".join(["row long, doc_id long, node long", *(f"{c} long" for c in bands)])), "documents")
+    nodes = saved(keyed.where("band0 is not null").groupBy("node").agg(F.min("row").alias("row"), *(F.min(c).alias(c) for c in bands)), "document-nodes")
+    buckets = saved(nodes.select(F.explode(F.array(*bands)).alias("key"), "node").repartition("key").sortWithinPartitions("key").mapInArrow(_shared_keys, "key long, node long"), "shared-document-bands")
+    shared = buckets.select(F.col("node").alias("of")).distinct()
+    near = saved(nodes.join(shared, F.col("node") == F.col("of")).select("node", F.col("row").alias("doc_id"), F.lit(0).alias("start"), F.lit((1 << 31) - 1).alias("end")), "near-documents")
+    payload = saved(_payload(rows.select(F.col("row").alias("doc_id"), "text"), near, p), "document-shingles")
+    found = similar_nodes(buckets, payload, p).withColumnRenamed("node", "of")
+    return saved(keyed.join(found, F.col("node") == F.col("of"), "left").select("row", "doc_id", F.coalesce("component", "node").alias("component")), "document-groups")
+
+
 def repeated_spans(docs: DataFrame, params: SubstringParams = SubstringParams(), text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """(doc_id, start, end, n_words, component_id, removed), one row per joined span of a document.
 

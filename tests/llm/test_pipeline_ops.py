@@ -84,8 +84,28 @@ def test_near_duplicates_are_dropped_by_row(spark):
     assert Counter((r.doc_id, " ".join(r.text.split())) for r in got) == Counter([(5, " ".join(BASE.split())), (None, other), (7, third), (None, "x y z")])
 
 
+def test_near_copies_at_jaccard_are_dropped(spark):
+    rng = np.random.default_rng(5)
+    rows, sets = [], {}
+    for i in range(120):
+        w = [f"u{x}" for x in rng.integers(0, 3000, 100)]
+        rows.append((2 * i, " ".join(w)))
+        for p in rng.choice(100, int(rng.integers(1, 7)), replace=False):
+            w[p] = "edit"
+        rows.append((2 * i + 1, " ".join(w).upper()))
+    for i, t in rows:
+        w = t.lower().split()
+        sets[i] = {tuple(w[k : k + 5]) for k in range(96)}
+    near = {i for i in range(1, 240, 2) if len(sets[i] & sets[i - 1]) / len(sets[i] | sets[i - 1]) >= 0.8}
+    got = {r.doc_id for r in simhash.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    gone = set(sets) - got
+    assert 20 < len(near) < 100 and gone <= near and len(gone) >= 0.97 * len(near)
+    prints = {i: simhash.fingerprint(t.encode()) for i, t in rows}
+    assert sum((prints[i] ^ prints[i - 1]).bit_count() <= 2 for i in near) < len(near) / 2
+
+
 def test_null_ids_bridge_fingerprints(spark, monkeypatch):
-    monkeypatch.setattr(simhash, "_fingerprints", lambda batches: (b.select([0, 1]).append_column("fp", b.column(2).cast("int64")) for b in batches))
+    monkeypatch.setattr(simhash, "_fingerprints", lambda batches: (b.select([0]).append_column("fp", b.column(1).cast("int64")) for b in batches))
     rows = [(3, "0"), (None, "3"), (9, "15"), (None, str(1 << 40 | 1 << 50 | 1 << 60))]
     got = simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted((r.fp, r.component_id or -1) for r in got) == [(0, 3), (3, 3), (15, 3), (int(rows[3][1]), -1)]
