@@ -39,6 +39,8 @@ PIECES = "doc_id long, piece int, start long, length int, ids binary"
 class PackParams:
     tokenizer: str
     kind: str = "words"
+    #: Whether a special token's string in a text is that token.
+    special: bool = False
     end_id: int = 0
     capacity: int = 2048
 
@@ -47,7 +49,7 @@ def cut_pieces(docs: DataFrame, params: PackParams, text: str = "text", doc_id:
     """(doc_id, piece, start, length, ids): ids are little-endian unsigned 16-bit, 32-bit for a large vocabulary."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(params.tokenizer, params.kind)
+        enc = encoder(params.tokenizer, params.kind, params.special)
         for whole in batches:
             for at in range(0, whole.num_rows, ROWS):
                 b = whole.slice(at, ROWS)

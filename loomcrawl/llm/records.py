@@ -45,6 +45,8 @@ READ_AHEAD = 4 << 20
 class RecordParams:
     tokenizer: str
     kind: str = "spaces"
+    #: Whether a special token's string in a text is that token.
+    special: bool = False
     end_id: int = 2
 
 
@@ -82,7 +84,7 @@ def write_records(docs: DataFrame, folder: str, params: RecordParams, text: str
     """Writes the files and returns their manifest: part (file number), path, records, ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, part = encoder(params.tokenizer, params.kind), TaskContext.get().partitionId()
+        enc, part = encoder(params.tokenizer, params.kind, params.special), TaskContext.get().partitionId()
         path, out, offsets, at, total = f"{folder}/part-{part:06d}-{uuid.uuid4().hex}.rec", None, [], 0, 0
         for b in batches:
             for i, ids in zip(b.column(0).to_pylist(), enc.encode(t.as_py() for t in b.column(1).cast(pa.binary()))):

@@ -50,11 +50,11 @@ def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return record_report(table(spark, sf_dir, "documents"), RecordParams(tokenizer_file("byte_bpe_50k.json")))
+    return record_report(table(spark, sf_dir, "documents"), RecordParams(tokenizer_file("byte_bpe_50k.json"), special=True))
 
 
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack_report(table(spark, sf_dir, "documents"), PackParams(tokenizer_file("word_bpe_49k.json")))
+    return pack_report(table(spark, sf_dir, "documents"), PackParams(tokenizer_file("word_bpe_49k.json"), special=True))
 
 
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

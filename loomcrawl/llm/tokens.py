@@ -54,7 +54,7 @@ class _Known:
 
 
 class WordEncoder:
-    """Ids of whole texts, equal to Tokenizer.encode(text, add_special_tokens=False).ids.
+    """Ids of whole texts, equal to Tokenizer.encode(text, add_special_tokens=False).ids; without `special`, of one with encode_special_tokens.
 
     Texts repeat words, so the words of many texts are told apart by a 64-bit hash, each distinct one is
     looked up or encoded once with the white space in front of it, and the texts' ids are put together
@@ -65,15 +65,18 @@ class WordEncoder:
     - "words": white space only parts words and is dropped.
 
     New words are rare ones mostly, whose cost is the way to the model: plain ones go there directly.
-    Strings of special tokens in a text are ordinary text.
+    With `special`, a string of a special token in a text has that token's id, as the library has it by default;
+    such texts are encoded whole. Without, it is ordinary text.
     """
 
-    def __init__(self, path: str, kind: str):
+    def __init__(self, path: str, kind: str, special: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer, self.kind = Tokenizer.from_file(path), kind
         self.tokenizer.encode_special_tokens = True
+        self.untouched = Tokenizer.from_file(path)
+        self.added = [t.content.encode() for t in self.untouched.get_added_tokens_decoder().values()] if special else []
         self.model, self.written = self.tokenizer.model, _byte_characters()
         self.parts: dict[str, bytes] = {}
         self.known = _Known()
@@ -81,6 +84,15 @@ class WordEncoder:
     def _whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids).tobytes()
 
+    def _holds_added(self, text: bytes) -> bool:
+        return any(a in text for a in self.added)
+
+    def _text(self, text: bytes) -> bytes:
+        """Ids of a text that is encoded whole."""
+        if self._holds_added(text):
+            return array("I", self.untouched.encode(text.decode(), add_special_tokens=False).ids).tobytes()
+        return self._whole(text.decode())
+
     def _part(self, part: str) -> bytes:
         """Ids of one pre-token; words come back with other punctuation behind them, so parts are kept too."""
         ids = self.parts.get(part)
@@ -125,6 +137,8 @@ class WordEncoder:
             h = mix(h + gap.astype(np.uint64) * np.uint64(0xD1B54A32D192ED03))
         else:
             gap = np.zeros(len(s), np.int8)
+        if self.added:
+            whole |= np.fromiter(map(self._holds_added, texts), bool, len(texts))
         h[gap == _OTHER] = 0  # of texts that are encoded whole
         one, first, of = np.unique(h, return_index=True, return_inverse=True)
         if len(self.known.hashes) + len(one) > CACHE:
@@ -140,7 +154,7 @@ class WordEncoder:
         end = np.cumsum(each)
         ids = self.known.flat[np.repeat(begin[of] - (end - each), each) + np.arange(end[-1])]
         cuts = np.append(0, end)[bounds]
-        return [np.frombuffer(self._whole(t.decode()), np.uint32) if w else ids[a:b] for t, w, a, b in zip(texts, whole.tolist(), cuts[:-1].tolist(), cuts[1:].tolist())]
+        return [np.frombuffer(self._text(t), np.uint32) if w else ids[a:b] for t, w, a, b in zip(texts, whole.tolist(), cuts[:-1].tolist(), cuts[1:].tolist())]
 
     def encode(self, texts: Iterable[bytes | str | None]) -> Iterator[np.ndarray]:
         """uint32 ids per text, in order; a null text has none."""
@@ -170,11 +184,11 @@ class WordEncoder:
         yield from flush()
 
 
-_encoders: dict[tuple[str, str], WordEncoder] = {}
+_encoders: dict[tuple[str, str, bool], WordEncoder] = {}
 
 
-def encoder(path: str, kind: str) -> WordEncoder:
+def encoder(path: str, kind: str, special: bool = False) -> WordEncoder:
     """One per Python worker, so that the cache outlives a task."""
-    if (path, kind) not in _encoders:
-        _encoders[path, kind] = WordEncoder(path, kind)
-    return _encoders[path, kind]
+    if (path, kind, special) not in _encoders:
+        _encoders[path, kind, special] = WordEncoder(path, kind, special)
+    return _encoders[path, kind, special]

@@ -236,6 +236,26 @@ def test_words_encode_like_whole_texts(name, kind):
     assert [x.tolist() for x in enc.encode(texts)] == whole
 
 
+@pytest.mark.parametrize("name,kind", [("byte_bpe_50k.json", "spaces"), ("word_bpe_49k.json", "words")])
+def test_special_strings_have_their_ids(name, kind):
+    from tokenizers import Tokenizer
+
+    from loomcrawl.llm.tokens import WordEncoder
+
+    untouched = Tokenizer.from_file(tokenizer_file(name))
+    texts = ["a b", "<|endoftext|>", "one <|endoftext|> two", "x<|endoftext|>y  z\n", "<|ENDOFTEXT|> w", "<|startoftext|>a b<|endoftext|>", "", None, " ", "\xa0 <|endoftext|>", "a <|endoftext |>"]
+    want = [untouched.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert [x.tolist() for x in WordEncoder(tokenizer_file(name), kind, special=True).encode(texts)] == want
+    assert untouched.token_to_id("<|endoftext|>") in want[2]
+
+
+def test_packing_query_keeps_special_tokens(spark, tmp_path):
+    from loomcrawl.llm import registry
+
+    spark.createDataFrame([(1, "one <|endoftext|> two")], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    assert [r.length for r in registry.op7_packing(spark, str(tmp_path)).collect()] == [4]
+
+
 def brute_base(text):
     w = (text or "").encode().split()
     win = Counter(zip(w, w[1:], w[2:]))
