@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import numpy as np
+import xxhash
 
 _P = 0x9E3779B97F4A7C15
 _M = np.uint64(0xD6E8FEB86659FD93)
 #: Bytes hashed at once; a longer text is cut at white space.
 _PART = 1 << 18
+#: Words of more bytes are hashed one at a time.
+_LONG = 64
 _powers: list[np.ndarray] = []
 
 
@@ -33,12 +36,37 @@ def range_hashes(values: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray
     return mix((total[b] - total[a]) * down[a] + (b - a).astype(np.uint64))
 
 
-def _part_words(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    b = np.frombuffer(text, np.uint8)
+def edges(b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First byte and end byte of every word."""
     black = ~((b == 32) | ((b >= 9) & (b <= 13)))
     edge = np.flatnonzero(np.diff(np.concatenate(([False], black, [False])).astype(np.int8)))
-    s, e = edge[::2], edge[1::2]
-    return range_hashes(b.astype(np.uint64) + np.uint64(1), s, e), s, e
+    return edge[::2], edge[1::2]
+
+
+def lanes(text: bytes) -> np.ndarray:
+    """The eight bytes from each place of a text on, as one number; zeros follow the text."""
+    return np.ndarray(len(text) + 1, "<u8", text + bytes(8), strides=(1,))
+
+
+def lane(of: np.ndarray, s: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """The numbers at s with no more than the `left` bytes that a word still has."""
+    short = (np.maximum(8 - left, 0) * 8).astype(np.uint64)
+    return of[s] << short >> short
+
+
+def _part_words(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    s, e = edges(np.frombuffer(text, np.uint8))
+    size, of = e - s, lanes(text)
+    h = size.astype(np.uint64) * np.uint64(_P)
+    at, k = np.arange(len(s)), 0
+    while len(at):
+        h[at] = mix(h[at] ^ lane(of, s[at] + k, size[at] - k))
+        k += 8
+        at = at[size[at] > k]
+        if k >= _LONG:  # few words; one at a time
+            h[at] = [xxhash.xxh64_intdigest(text[x:y]) for x, y in zip(s[at].tolist(), e[at].tolist())]
+            break
+    return h, s, e
 
 
 def words(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -45,8 +45,6 @@ READ_AHEAD = 4 << 20
 class RecordParams:
     tokenizer: str
     kind: str = "spaces"
-    #: Whether a special token's string in a text is that token.
-    special: bool = False
     end_id: int = 2
 
 
@@ -60,12 +58,16 @@ def frame(payload: bytes) -> bytes:
     return head + struct.pack("<I", masked(head)) + payload + struct.pack("<I", masked(payload))
 
 
+def payload_size(head: bytes, at: int = 0) -> int:
+    """The length that a record's first 12 bytes tell; ValueError if they are cut short or their checksum is wrong."""
+    if len(head) < 12 or masked(head[:8]) != struct.unpack_from("<I", head, 8)[0]:
+        raise ValueError(f"a record's length is damaged at byte {at}")
+    return struct.unpack_from("<Q", head)[0]
+
+
 def unframe(data: bytes, at: int = 0) -> tuple[bytes, int]:
     """The payload of the record at an offset, and the offset after it; ValueError if a checksum is wrong."""
-    head = data[at : at + 8]
-    if len(head) < 8 or masked(head) != struct.unpack_from("<I", data, at + 8)[0]:
-        raise ValueError(f"a record's length is damaged at byte {at}")
-    end = at + 12 + struct.unpack("<Q", head)[0]
+    end = at + 12 + payload_size(data[at : at + 12], at)
     payload = data[at + 12 : end]
     if len(data) < end + 4 or masked(payload) != struct.unpack_from("<I", data, end)[0]:
         raise ValueError(f"a record is damaged at byte {at}")
@@ -84,7 +86,7 @@ def write_records(docs: DataFrame, folder: str, params: RecordParams, text: str
     """Writes the files and returns their manifest: part (file number), path, records, ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, part = encoder(params.tokenizer, params.kind, params.special), TaskContext.get().partitionId()
+        enc, part = encoder(params.tokenizer, params.kind), TaskContext.get().partitionId()
         path, out, offsets, at, total = f"{folder}/part-{part:06d}-{uuid.uuid4().hex}.rec", None, [], 0, 0
         for b in batches:
             for i, ids in zip(b.column(0).to_pylist(), enc.encode(t.as_py() for t in b.column(1).cast(pa.binary()))):
@@ -129,8 +131,7 @@ def read_records(manifest: DataFrame) -> DataFrame:
                     rows: list[tuple] = []
                     size = 0
                     while head := f.read(12):
-                        rest = f.read(struct.unpack_from("<Q", head)[0] + 4)
-                        payload, _ = unframe(head + rest)
+                        payload, _ = unframe(head + f.read(payload_size(head) + 4))
                         known, doc = struct.unpack_from("<Bq", payload)
                         rows.append((doc if known else None, before, payload[9:]))
                         before += (len(payload) - 10) // payload[9]

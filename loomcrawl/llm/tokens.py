@@ -9,7 +9,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 
-from .hashing import mix, words
+from .hashing import lane, lanes, mix, words
 
 #: Words kept at once, and pre-tokens; at more the cache starts anew. It changes no ids.
 CACHE, PARTS = 1_000_000, 150_000
@@ -29,54 +29,69 @@ def _byte_characters() -> dict[int, str]:
 
 
 class _Known:
-    """Ids by hash of a word: sorted hashes, and where the ids of each begin in one flat array."""
+    """Ids by word and what stands before it: sorted hashes, and for each the word's bytes and its ids, in flat arrays."""
 
     def __init__(self):
-        self.hashes, self.begin, self.size = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
-        self.flat, self.used = np.empty(1 << 16, np.uint32), 0
+        self.hashes = np.empty(0, np.uint64)
+        #: first id, number of ids, first byte, number of bytes, what stands before
+        self.entry = np.empty((0, 5), np.int64)
+        self.ids, self.n_ids = np.empty(1 << 16, np.uint32), 0
+        self.letters = bytearray()
 
     def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """For sorted hashes: their places, and whether they are known."""
-        at = np.searchsorted(self.hashes, h)
-        inside = np.minimum(at, max(0, len(self.hashes) - 1))
-        return inside, (self.hashes[inside] == h if len(self.hashes) else np.zeros(len(h), bool))
+        """For hashes: their places, and whether they are known."""
+        at = np.minimum(np.searchsorted(self.hashes, h), max(0, len(self.hashes) - 1))
+        return at, (self.hashes[at] == h if len(self.hashes) else np.zeros(len(h), bool))
 
-    def add(self, h: np.ndarray, ids: list[bytes]) -> None:
-        """Sorted hashes that are not known yet, and the ids of each."""
+    def add(self, h: np.ndarray, words: list[bytes], gap: np.ndarray, ids: list[bytes]) -> None:
+        """Sorted hashes that are not known yet, with their words, what stands before them, and the ids of each."""
         new = np.frombuffer(b"".join(ids), np.uint32)
         size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        if self.used + len(new) > len(self.flat):
-            self.flat = np.concatenate([self.flat[: self.used], np.empty(max(len(self.flat), len(new)), np.uint32)])
-        self.flat[self.used : self.used + len(new)] = new
+        letters = np.fromiter(map(len, words), np.int64, len(words))
+        if self.n_ids + len(new) > len(self.ids):
+            self.ids = np.concatenate([self.ids[: self.n_ids], np.empty(max(len(self.ids), len(new)), np.uint32)])
+        self.ids[self.n_ids : self.n_ids + len(new)] = new
+        entry = np.stack([self.n_ids + np.cumsum(size) - size, size, len(self.letters) + np.cumsum(letters) - letters, letters, gap], 1)
+        self.letters += b"".join(words)
         at = np.searchsorted(self.hashes, h)
-        self.hashes, self.begin, self.size = np.insert(self.hashes, at, h), np.insert(self.begin, at, self.used + np.cumsum(size) - size), np.insert(self.size, at, size)
-        self.used += len(new)
+        self.hashes, self.entry = np.insert(self.hashes, at, h), np.insert(self.entry, at, entry, axis=0)
+        self.n_ids += len(new)
+
+
+def _same(a: np.ndarray, s: np.ndarray, b: np.ndarray, t: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether words of `size` bytes at places s and t of two texts, given by their lanes, have the same bytes."""
+    ok, at, k = np.ones(len(s), bool), np.arange(len(s)), 0
+    while len(at):
+        left = size[at] - k
+        ok[at] &= lane(a, s[at] + k, left) == lane(b, t[at] + k, left)
+        k += 8
+        at = at[ok[at] & (size[at] > k)]
+    return ok
 
 
 class WordEncoder:
-    """Ids of whole texts, equal to Tokenizer.encode(text, add_special_tokens=False).ids; without `special`, of one with encode_special_tokens.
+    """Ids of whole texts, equal to Tokenizer.encode(text, add_special_tokens=False).ids.
 
-    Texts repeat words, so the words of many texts are told apart by a 64-bit hash, each distinct one is
-    looked up or encoded once with the white space in front of it, and the texts' ids are put together
-    from that. Cutting there changes nothing, as both kinds of tokenizer below begin a pre-token there:
+    Texts repeat words, so the words of many texts are told apart by a 64-bit hash and then by their
+    bytes, each distinct one is looked up or encoded once with the white space in front of it, and the
+    texts' ids are put together from that. Cutting there changes nothing, as both kinds of tokenizer below
+    begin a pre-token there:
 
     - "spaces": a byte-level pre-tokenizer that takes one space with the word after it, and a line feed
       alone. A text with any other white space between, before or behind its words is encoded whole.
     - "words": white space only parts words and is dropped.
 
     New words are rare ones mostly, whose cost is the way to the model: plain ones go there directly.
-    With `special`, a string of a special token in a text has that token's id, as the library has it by default;
-    such texts are encoded whole. Without, it is ordinary text.
+    Encoded whole are texts that hold a special token's string, which has that token's id by the library's
+    default, and texts with a word whose hash is that of another word.
     """
 
-    def __init__(self, path: str, kind: str, special: bool = False):
+    def __init__(self, path: str, kind: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer, self.kind = Tokenizer.from_file(path), kind
-        self.tokenizer.encode_special_tokens = True
-        self.untouched = Tokenizer.from_file(path)
-        self.added = [t.content.encode() for t in self.untouched.get_added_tokens_decoder().values()] if special else []
+        self.added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.model, self.written = self.tokenizer.model, _byte_characters()
         self.parts: dict[str, bytes] = {}
         self.known = _Known()
@@ -85,14 +100,10 @@ class WordEncoder:
         return array("I", self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids).tobytes()
 
     def _holds_added(self, text: bytes) -> bool:
+        """Whether a special token's string is in the text, or comes there when its words are put in lower case."""
+        text = text.lower() if self.kind == "words" else text
         return any(a in text for a in self.added)
 
-    def _text(self, text: bytes) -> bytes:
-        """Ids of a text that is encoded whole."""
-        if self._holds_added(text):
-            return array("I", self.untouched.encode(text.decode(), add_special_tokens=False).ids).tobytes()
-        return self._whole(text.decode())
-
     def _part(self, part: str) -> bytes:
         """Ids of one pre-token; words come back with other punctuation behind them, so parts are kept too."""
         ids = self.parts.get(part)
@@ -137,8 +148,8 @@ class WordEncoder:
             h = mix(h + gap.astype(np.uint64) * np.uint64(0xD1B54A32D192ED03))
         else:
             gap = np.zeros(len(s), np.int8)
-        if self.added:
-            whole |= np.fromiter(map(self._holds_added, texts), bool, len(texts))
+        whole |= np.fromiter(map(self._holds_added, texts), bool, len(texts))
+        gap[np.repeat(whole, np.diff(bounds))] = _OTHER
         h[gap == _OTHER] = 0  # of texts that are encoded whole
         one, first, of = np.unique(h, return_index=True, return_inverse=True)
         if len(self.known.hashes) + len(one) > CACHE:
@@ -146,15 +157,21 @@ class WordEncoder:
         _, there = self.known.find(one)
         if not there.all():
             new = first[~there]
-            found = [self._word(_BEFORE[g] + data[a:b].decode()) if g != _OTHER else b"" for a, b, g in zip(s[new].tolist(), e[new].tolist(), gap[new].tolist())]
-            self.known.add(one[~there], found)
+            written = [data[a:b] if g != _OTHER else b"" for a, b, g in zip(s[new].tolist(), e[new].tolist(), gap[new].tolist())]
+            found = [self._word(_BEFORE[g] + w.decode()) if g != _OTHER else b"" for w, g in zip(written, gap[new].tolist())]
+            self.known.add(one[~there], written, gap[new], found)
         at, _ = self.known.find(one)
-        begin, size = self.known.begin[at], self.known.size[at]
-        each = size[of]
+        known = self.known.entry[at][of]
+        # the bytes decide: each word against the one that its hash was learnt from
+        other = (gap != known[:, 4]) | (gap != _OTHER) & (e - s != known[:, 3])
+        alike = np.flatnonzero(~other & (gap != _OTHER))
+        other[alike] = ~_same(lanes(data), s[alike], lanes(bytes(self.known.letters)), known[alike, 2], known[alike, 3])
+        whole |= np.logical_or.reduceat(other, bounds[:-1])
+        begin, each = known[:, 0], known[:, 1]
         end = np.cumsum(each)
-        ids = self.known.flat[np.repeat(begin[of] - (end - each), each) + np.arange(end[-1])]
+        ids = self.known.ids[np.repeat(begin - (end - each), each) + np.arange(end[-1])]
         cuts = np.append(0, end)[bounds]
-        return [np.frombuffer(self._text(t), np.uint32) if w else ids[a:b] for t, w, a, b in zip(texts, whole.tolist(), cuts[:-1].tolist(), cuts[1:].tolist())]
+        return [np.frombuffer(self._whole(t.decode()), np.uint32) if w else ids[a:b] for t, w, a, b in zip(texts, whole.tolist(), cuts[:-1].tolist(), cuts[1:].tolist())]
 
     def encode(self, texts: Iterable[bytes | str | None]) -> Iterator[np.ndarray]:
         """uint32 ids per text, in order; a null text has none."""
@@ -184,11 +201,11 @@ class WordEncoder:
         yield from flush()
 
 
-_encoders: dict[tuple[str, str, bool], WordEncoder] = {}
+_encoders: dict[tuple[str, str], WordEncoder] = {}
 
 
-def encoder(path: str, kind: str, special: bool = False) -> WordEncoder:
+def encoder(path: str, kind: str) -> WordEncoder:
     """One per Python worker, so that the cache outlives a task."""
-    if (path, kind, special) not in _encoders:
-        _encoders[path, kind, special] = WordEncoder(path, kind, special)
-    return _encoders[path, kind, special]
+    if (path, kind) not in _encoders:
+        _encoders[path, kind] = WordEncoder(path, kind)
+    return _encoders[path, kind]

@@ -149,7 +149,7 @@ def test_shared_keys():
 
 
 def test_word_hashes():
-    text = "a é  bb\n\tc\x0b" * 5 + "long" * 9
+    text = "a é  bb\n\tc\x0b" * 5 + "long" * 9 + " eightlet eightlett " + "x" * 64 + " " + "x" * 65 + " " + "x" * 300
     h, s, e = hashing.words(text.encode())
     assert [text.encode()[a:b] for a, b in zip(s, e)] == text.encode().split()
     by = defaultdict(set)
@@ -302,7 +302,6 @@ def test_records(spark):
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(params.tokenizer)
-    tok.encode_special_tokens = True
     want = Counter((r[0], tuple([*tok.encode(r[1] or "", add_special_tokens=False).ids, 2])) for r in rows)
     assert Counter((r.doc_id, tuple(unpack_ids(r.ids).tolist())) for r in back) == want
     ids = [-1 if r.doc_id is None else r.doc_id for r in back]
@@ -334,6 +333,19 @@ def test_damaged_records_are_told():
         records.unframe(data[:-1], at)
 
 
+def test_damaged_files_are_told(spark, tmp_path):
+    data = records.frame(bytes([1]) + bytes(8) + b"\2\1\0") + records.frame(bytes(9) + b"\2\7\0")
+    bad = {k: bytes([*data[:k], data[k] ^ 0x40, *data[k + 1 :]]) for k in (0, 5, 7, 9, 14, 26, len(data) - 1)}
+    for name, content in {**bad, "head": data[: len(data) - 20], "body": data[:-6]}.items():
+        path = tmp_path / f"{name}.rec"
+        path.write_bytes(content)
+        manifest = spark.createDataFrame([(0, str(path), 2, 2)], records.MANIFEST)
+        with pytest.raises(Exception, match="ValueError: a record"):
+            records.read_records(manifest).collect()
+    path.write_bytes(data)
+    assert [(r.doc_id, r.start) for r in records.read_records(manifest).collect()] == [(0, 0), (None, 1)]
+
+
 # sharding
 
 

@@ -226,27 +226,41 @@ def test_packing(docs):
     assert sum(len(r.pieces) for r in packing.sequences(packing.pack(docs, params)).collect()) == n
 
 
+def thue_morse(n, a, b):
+    return "".join(b if i.bit_count() % 2 else a for i in range(n))
+
+
 @pytest.mark.parametrize("name,kind", [("byte_bpe_50k.json", "spaces"), ("word_bpe_49k.json", "words")])
 def test_words_encode_like_whole_texts(name, kind):
+    from tokenizers import Tokenizer
+
     from loomcrawl.llm.tokens import WordEncoder
 
-    enc = WordEncoder(tokenizer_file(name), kind)
-    texts = ["a b", " a", "a ", "a  b", "it's 'tis\nwe'll\n\nx", "tab\tb  c", "é ́x", "12 345,6 !?", "\x1c a\x1cb", "<|endoftext|> x", "ÀÉ ß ﬁ İ Σς", "", None, "\n", "日本 語", "a\r\nb c", "\xa0a \xa0\xa0b\xa0", "x\u2003 y", "a\n\xa0\xa0b", "\u2028", " ", "Kelvin \u212a \u212b"]
-    whole = [enc.tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
-    assert [x.tolist() for x in enc.encode(texts)] == whole
+    untouched = Tokenizer.from_file(tokenizer_file(name))
+    texts = ["a b", " a", "a ", "a  b", "it's 'tis\nwe'll\n\nx", "tab\tb  c", "é ́x", "12 345,6 !?", "\x1c a\x1cb", "ÀÉ ß ﬁ İ Σς", "", None, "\n", "日本 語", "a\r\nb c", "\xa0a \xa0\xa0b\xa0", "x\u2003 y", "a\n\xa0\xa0b", "\u2028", " ", "Kelvin \u212a \u212b"]
+    texts += ["<|endoftext|>", "one <|endoftext|> two", "x<|endoftext|>y  z\n", "<|ENDOFTEXT|> w", "<|startoftext|>a b<|endoftext|>", "\xa0 <|endoftext|>", "a <|endoftext |>", "<|endoftext|> x"]
+    texts += [f"{thue_morse(1024, 'a', 'b')} {thue_morse(1024, 'b', 'a')}", thue_morse(1024, "b", "a"), thue_morse(1024, "a", "b")]
+    rng = np.random.default_rng(5)
+    points = [*range(32, 127), *range(160, 1000), 9, 10, 13, 0x1C, 0x85, 0x2003, 0x3000, 0x4E2D, 0x6587, 0x1F600, 0x0301, 0x200D]
+    texts += ["".join(map(chr, rng.choice(points, int(n)))) for n in rng.integers(1, 200, 300)]
+    want = [untouched.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert [x.tolist() for x in WordEncoder(tokenizer_file(name), kind).encode(texts)] == want
+    assert untouched.token_to_id("<|endoftext|>") in untouched.encode("one <|endoftext|> two", add_special_tokens=False).ids
 
 
 @pytest.mark.parametrize("name,kind", [("byte_bpe_50k.json", "spaces"), ("word_bpe_49k.json", "words")])
-def test_special_strings_have_their_ids(name, kind):
+def test_words_of_equal_hash_keep_their_own_ids(name, kind, monkeypatch):
     from tokenizers import Tokenizer
 
-    from loomcrawl.llm.tokens import WordEncoder
+    from loomcrawl.llm import tokens
 
+    found = tokens.words
+    monkeypatch.setattr(tokens, "words", lambda text: (lambda h, s, e: (h & np.uint64(7), s, e))(*found(text)))
+    texts = ["the quiet river walks by stone", "stone walks a river", "harbours, evenings; words and words", "a\nb c"] * 3
     untouched = Tokenizer.from_file(tokenizer_file(name))
-    texts = ["a b", "<|endoftext|>", "one <|endoftext|> two", "x<|endoftext|>y  z\n", "<|ENDOFTEXT|> w", "<|startoftext|>a b<|endoftext|>", "", None, " ", "\xa0 <|endoftext|>", "a <|endoftext |>"]
-    want = [untouched.encode(t or "", add_special_tokens=False).ids for t in texts]
-    assert [x.tolist() for x in WordEncoder(tokenizer_file(name), kind, special=True).encode(texts)] == want
-    assert untouched.token_to_id("<|endoftext|>") in want[2]
+    enc = tokens.WordEncoder(tokenizer_file(name), kind)
+    for some in (texts, texts[::-1], ["unseen yet"]):
+        assert [x.tolist() for x in enc.encode(some)] == [untouched.encode(t, add_special_tokens=False).ids for t in some]
 
 
 def test_packing_query_keeps_special_tokens(spark, tmp_path):
