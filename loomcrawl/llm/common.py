@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomcrawl.operators.ranks import dense_ids
 from loomcrawl.operators.scratch import saved, scratch_path
 
-__all__ = ["UPPER", "WORD", "ascii_lower", "dense_index", "saved", "scratch_path", "table", "text_batches"]
+__all__ = ["UPPER", "WORD", "ascii_lower", "bit", "dense_index", "numbered", "saved", "scratch_path", "table", "text_batches", "without"]
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Words are the runs of anything but the six ASCII white-space characters.
@@ -38,3 +40,40 @@ def ascii_lower(text: Column) -> Column:
 def dense_index(df: DataFrame, order: list[Column], name: str, out: str = "idx") -> DataFrame:
     """df with a gapless long from 0 in the given total order; `name` names the written table."""
     return dense_ids(df, order, out, name)
+
+
+#: Rows of a numbered table that share a bitmap.
+ROW_BLOCK = 8192
+
+
+def numbered(docs: DataFrame, name: str) -> DataFrame:
+    """docs as a written table: row (a number of its own), block and kept_row (a struct of all columns).
+
+    The table is bucketed by block, which moves nothing, as a task's rows make up blocks of their own.
+    """
+    spark = docs.sparkSession
+    row = F.monotonically_increasing_id()
+    whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("kept_row")).withColumn("row", row).withColumn("block", F.shiftright("row", ROW_BLOCK.bit_length() - 1))
+    known = f"loomcrawl_{name.replace('-', '_')}_{uuid.uuid4().hex}"
+    whole.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "block").option("path", scratch_path(spark, name)).saveAsTable(known)
+    rows = spark.table(known)
+    spark.sql(f"drop table {known}")  # from the catalog; the files stay
+    return rows
+
+
+def bit(bits: Column, at: Column) -> Column:
+    """The bit of a bitmap of bitmap_construct_agg, 0 or 1; null without one."""
+    byte = F.conv(F.hex(F.substring(bits, (F.shiftright(at, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("long")
+    return F.floor(byte / F.pow(F.lit(2), F.pmod(at, F.lit(8)))).bitwiseAND(1)
+
+
+def without(rows: DataFrame, gone: DataFrame) -> DataFrame:
+    """The rows of a numbered table but those whose number is in gone (row), with the columns of their struct.
+
+    What is moved are bitmaps of the numbers, one per block of rows that has any: by the table's buckets, so
+    that the rows themselves stay where they are read, however many go.
+    """
+    at = F.col("row").bitwiseAND(ROW_BLOCK - 1)
+    bits = gone.groupBy(F.shiftright("row", ROW_BLOCK.bit_length() - 1).alias("block")).agg(F.bitmap_construct_agg(at).alias("bits"))
+    found = rows.join(bits.hint("shuffle_hash"), "block", "left")
+    return found.where(F.coalesce(bit(F.col("bits"), at), F.lit(0)) == 0).select("kept_row.*")

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved, text_batches
+from .common import numbered, saved, text_batches, without
 from .components import components
 from .substring import SubstringParams, similar_documents
 
@@ -162,15 +162,13 @@ def drop_near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc
 
     Groups are texts whose sets of params.shingle words have exact Jaccard params.similarity, or a chain of
     such texts; candidates come from params.bands, as a fingerprint of 64 bits tells nothing at that distance.
-    Ids of dropped rows are sent to every executor where Spark finds them small enough, and joined beyond that.
     """
     text_batches(docs.sparkSession)
-    cols = docs.columns
-    rows = saved(docs.select(F.monotonically_increasing_id().alias("near_row"), F.struct(*(F.col(f"`{c}`") for c in cols)).alias("kept_row")), "rows")
-    labels = similar_documents(rows.select(F.col("near_row").alias("row"), F.col("kept_row").getField(doc_id).cast("long").alias("doc_id"), F.col("kept_row").getField(text).alias("text")), params)
+    rows = numbered(docs, "rows")
+    labels = similar_documents(rows.select("row", F.col("kept_row").getField(doc_id).cast("long").alias("doc_id"), F.col("kept_row").getField(text).alias("text")), params)
     many = labels.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("stays"), F.count("*").alias("n")).where("n > 1").withColumnRenamed("component", "of")
     gone = saved(labels.join(saved(many, "groups-of-many"), F.col("component") == F.col("of")).where("row <> stays.row").select("row"), "gone")
-    return rows.join(gone, F.col("near_row") == F.col("row"), "left_anti").select("kept_row.*")
+    return without(rows, gone)
 
 
 def simhash_report(docs: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from loomcrawl.llm import components, exact_dedup, mixing, packing, quality, simhash
 from loomcrawl.llm.registry import tokenizer_file
@@ -54,6 +55,24 @@ def test_drop_exact_duplicates(docs):
     assert sorted((r.doc_id, low(r.text)) for r in got.collect()) == sorted((i, t) for t, i in best.items())
 
 
+def test_no_text_is_shuffled_where_nothing_is_broadcast(spark, docs, capsys):
+    want = sorted(map(repr, exact_dedup.drop_exact_duplicates(docs).collect())), sorted(map(repr, exact_dedup.exact_groups(docs).collect()))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = exact_dedup.drop_exact_duplicates(docs.withColumn("attributes", F.create_map(F.lit("a"), F.lit(1))))
+        assert sorted(map(repr, got.drop("attributes").collect())) == want[0]
+        got.explain("formatted")
+        nodes = [n.split("\n\n")[0] for n in capsys.readouterr().out.split("\n(")[1:]]
+        moved = [n for n in nodes if "Exchange" in n.split("\n")[0] and "Input" in n]
+        assert moved and not any("kept_row" in n or "text" in n for n in moved)
+        assert sorted(map(repr, exact_dedup.exact_groups(docs).collect())) == want[1]
+        near = simhash.drop_near_duplicates(docs)
+        near.explain("formatted")
+        assert not any("kept_row" in n for n in capsys.readouterr().out.split("\n(")[1:] if "Exchange" in n.split("\n")[0])
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def brute_fingerprint(text):
     w = low(text).encode().split()
     if not w:
