@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomcrawl.operators.ranks import dense_ids
-from loomcrawl.operators.scratch import saved, scratch_path
+from loomcrawl.operators.scratch import saved as written
+from loomcrawl.operators.scratch import scratch_path
 
-__all__ = ["UPPER", "WORD", "ascii_lower", "bit", "dense_index", "numbered", "saved", "scratch_path", "table", "text_batches", "without"]
+__all__ = ["UPPER", "WORD", "ascii_lower", "bit", "dense_index", "numbered", "saved", "scratch_path", "small_batches", "table", "without"]
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Words are the runs of anything but the six ASCII white-space characters.
@@ -25,11 +28,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 TEXT_ROWS = 1000
 
 
-def text_batches(spark: SparkSession) -> None:
-    """Keeps Arrow batches of whole texts small, unless the session has a number of its own."""
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Within it, at most TEXT_ROWS rows cross to Python at once; afterwards the session is as it was."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if spark.conf.get(key) == "10000":  # Spark's default
-        spark.conf.set(key, str(TEXT_ROWS))
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(TEXT_ROWS, int(before)) if int(before) > 0 else TEXT_ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def saved(df: DataFrame, name: str) -> DataFrame:
+    """df as a written table of the shared folder, made from small batches."""
+    with small_batches(df.sparkSession):
+        return written(df, name)
 
 
 def ascii_lower(text: Column) -> Column:
@@ -46,14 +60,15 @@ def dense_index(df: DataFrame, order: list[Column], name: str, out: str = "idx")
 ROW_BLOCK = 8192
 
 
-def numbered(docs: DataFrame, name: str) -> DataFrame:
-    """docs as a written table: row (a number of its own), block and kept_row (a struct of all columns).
+def numbered(docs: DataFrame, name: str, more: dict[str, Column] | None = None, block: int = ROW_BLOCK) -> DataFrame:
+    """docs as a written table: row (a number of its own), block, kept_row (a struct of all columns), and the columns `more`.
 
-    The table is bucketed by block, which moves nothing, as a task's rows make up blocks of their own.
+    The table is bucketed by block, which moves nothing, as a task's rows make up blocks of their own, of
+    `block` rows at most (a power of two; ROW_BLOCK where `without` is to take rows away).
     """
     spark = docs.sparkSession
     row = F.monotonically_increasing_id()
-    whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("kept_row")).withColumn("row", row).withColumn("block", F.shiftright("row", ROW_BLOCK.bit_length() - 1))
+    whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("kept_row"), *(c.alias(n) for n, c in (more or {}).items())).withColumn("row", row).withColumn("block", F.shiftright("row", block.bit_length() - 1))
     known = f"loomcrawl_{name.replace('-', '_')}_{uuid.uuid4().hex}"
     whole.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "block").option("path", scratch_path(spark, name)).saveAsTable(known)
     rows = spark.table(known)

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_batches
+from .common import small_batches
 from .hashing import mix, words
 
 
@@ -181,7 +181,6 @@ def vocabulary(texts: DataFrame, p: LmParams) -> Vocabulary:
 def fit(texts: DataFrame, params: LmParams = LmParams()) -> tuple[Vocabulary, Network]:
     """A vocabulary and a network from all rows of texts (column text)."""
     p, sc = params, texts.sparkSession.sparkContext
-    text_batches(texts.sparkSession)
     vocab = vocabulary(texts, p)
     net = Network(p)
     for _ in range(p.rounds):

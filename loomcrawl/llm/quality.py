@@ -2,7 +2,7 @@
 
 Base rules come first and are exact. Every document that passes them is judged by a model fitted on
 labelled rows: the document's score is an intercept plus the mean weight of its word n-grams plus the
-mean weight of its character n-grams (bytes of UTF-8), over the whole text. A Platt scaling fitted on
+mean weight of its character n-grams (code points), over the whole text. A Platt scaling fitted on
 rows the weights have not seen turns the score into a probability, and a fixed threshold decides.
 
 The model is fitted on at most `max_labelled` labelled documents (those with the smallest hashes of
@@ -10,7 +10,8 @@ their ids, so reruns agree); everything else covers all rows. Fitting gets count
 executors, not texts. Without labels of both kinds there is no model and the base rules alone decide.
 
 A null text has no words and fails the base rules. Labels with a null id or value are not used; an id
-that has several labels counts once, with the smallest. An empty table gives an empty result.
+that has several labels counts once, with the smallest, and one with several rows in docs with the least of
+its texts. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -23,7 +24,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_batches
+from .common import small_batches
+from .hashing import words
 
 #: Fixed values of the base rules.
 SYMBOLS = b"#*$%&|<>"
@@ -32,9 +34,10 @@ MAX_REPEAT_PERCENT = 50
 WINDOW = 3
 
 VERDICT = "struct<n_words:long,word_chars:long,n_symbols:long,n_dup_lines:long,n_repeat_words:long,base_failed:boolean,probability:double,kept:boolean>"
-#: Odd multipliers of the hashes, and the size of the parts in which texts are hashed.
-_P, _M = 0x9E3779B97F4A7C15, np.uint64(0xD6E8FEB86659FD93)
+#: Bytes of text whose characters are hashed together.
 _PART = 1 << 20
+#: An odd multiplier for each place of an n-gram.
+_STEP, _M = 0xFF51AFD7ED558CCD, np.uint64(0xD6E8FEB86659FD93)
 
 
 @dataclass(frozen=True)
@@ -65,84 +68,65 @@ class QualityModel:
 
 def base_counts(text: bytes) -> tuple[int, int, int, int, int]:
     """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words of a whole text in UTF-8."""
-    words = text.split()  # at the six ASCII white-space bytes
-    chars = sum(map(len, words)) - (0 if text.isascii() else _continuation_bytes(text))
+    found = text.split()  # at the six ASCII white-space bytes
+    chars = sum(map(len, found)) - (0 if text.isascii() else _continuation_bytes(text))
     symbols = sum(text.count(s) for s in (bytes([c]) for c in SYMBOLS))
     lines = [x for x in text.split(b"\n") if x.strip()]
     repeat = 0
-    if len(words) > WINDOW:
+    if len(found) > WINDOW:
         ids: dict[bytes, int] = {}
-        at = np.array([ids.setdefault(w, len(ids)) for w in words], np.int64)
+        at = np.array([ids.setdefault(w, len(ids)) for w in found], np.int64)
         n = len(ids)
         _, pair = (at[:-1], at[1:]) if n < 2 else np.unique(at[:-1] * n + at[1:], return_inverse=True)
         _, inverse, count = np.unique(pair[:-1] * np.int64(n) + at[2:], return_inverse=True, return_counts=True)
         twice = np.flatnonzero(count[inverse] > 1)
-        marked = np.zeros(len(words), bool)
+        marked = np.zeros(len(found), bool)
         for k in range(WINDOW):
             marked[twice + k] = True
         repeat = int(marked.sum())
-    return len(words), chars, symbols, len(lines) - len(set(lines)), repeat
+    return len(found), chars, symbols, len(lines) - len(set(lines)), repeat
 
 
 def _continuation_bytes(text: bytes) -> int:
     return int(((np.frombuffer(text, np.uint8) & 0xC0) == 0x80).sum())
 
 
-_powers: list[np.ndarray] = []
-
-
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of _P and of its inverse modulo 2^64."""
-    if not _powers or len(_powers[0]) < n:
-        n = max(n, _PART * 2)
-        _powers[:] = [np.cumprod(np.where(np.arange(n) > 0, np.uint64(p), np.uint64(1)), dtype=np.uint64) for p in (_P, pow(_P, -1, 1 << 64))]
-    return _powers[0], _powers[1]
-
-
-def _mixed(h: np.ndarray, bits: int) -> np.ndarray:
+def _buckets(h: np.ndarray, bits: int) -> np.ndarray:
     h = h * _M
     return ((h ^ (h >> np.uint64(32))) * _M >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def ngrams(text: bytes, p: QualityParams) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of all word 1- to word_n-grams, and of all character n-grams, of a text."""
-    b = np.frombuffer(text, np.uint8)
-    if not len(b):
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    up, down = _power_tables(len(b) + 1)
-    total = np.zeros(len(b) + 1, np.uint64)
-    np.cumsum((b.astype(np.uint64) + np.uint64(1)) * up[: len(b)], dtype=np.uint64, out=total[1:])
-    black = ~((b == 32) | ((b >= 9) & (b <= 13)))
-    edge = np.flatnonzero(np.diff(np.concatenate(([False], black, [False])).astype(np.int8)))
-    s, e = edge[::2], edge[1::2]
-    word = (total[e] - total[s]) * down[s]
-    grams, last = [word], word
-    for _ in range(1, p.word_n):
-        last = last[:-1] * np.uint64(0xFF51AFD7ED558CCD) + word[len(word) - len(last) + 1 :]
-        grams.append(last)
-    at = np.arange(max(0, len(b) - p.char_n + 1))
-    chars = (total[at + p.char_n] - total[at]) * down[at]
-    return _mixed(np.concatenate(grams), p.bits), _mixed(chars, p.bits)
-
-
-def _blocks(text: bytes, p: QualityParams) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """n-grams of the parts of a text; a very long one is cut at white space, where that is."""
-    while len(text) > _PART:
-        cut = max(text.rfind(b" ", 0, _PART), text.rfind(b"\n", 0, _PART))
-        cut = cut if cut > 0 else _PART
-        yield ngrams(text[:cut], p)
-        text = text[cut:]
-    yield ngrams(text, p)
+def _joined(x: np.ndarray, n: int) -> np.ndarray:
+    """A number for each n neighbours."""
+    count = max(0, len(x) - n + 1)
+    return sum((x[k : k + count] * np.uint64(pow(_STEP, k + 1, 1 << 64)) for k in range(n)), np.zeros(count, np.uint64))
+
+
+def ngrams(text: bytes, p: QualityParams) -> Iterator[tuple[int, np.ndarray]]:
+    """(0, buckets of word 1- to word_n-grams) and (1, buckets of character n-grams) of a whole text in UTF-8, in parts."""
+    word = words(text)[0]
+    for n in range(1, p.word_n + 1):
+        for k in range(0, len(word), _PART):  # grams that begin in a part
+            yield 0, _buckets(_joined(word[k : k + _PART + n - 1], n), p.bits)
+    before = ""
+    at = 0
+    while at < len(text):
+        stop = min(len(text), at + _PART)
+        while stop < len(text) and text[stop] & 0xC0 == 0x80:
+            stop += 1  # no code point is cut
+        part = before + text[at:stop].decode()
+        points = np.frombuffer(part.encode("utf-32-le"), np.uint32).astype(np.uint64)
+        yield 1, _buckets(_joined(points + np.uint64(1), p.char_n), p.bits)
+        before, at = part[len(part) - min(len(part), p.char_n - 1) :], stop
 
 
 def score(text: bytes, model: QualityModel) -> float:
     """Mean weight of the word n-grams plus mean weight of the character n-grams."""
     size = 1 << model.params.bits
     sums, n = [0.0, 0.0], [0, 0]
-    for both in _blocks(text, model.params):
-        for k, at in enumerate(both):
-            sums[k] += float(model.weights[k * size : (k + 1) * size][at].sum())
-            n[k] += len(at)
+    for k, at in ngrams(text, model.params):
+        sums[k] += float(model.weights[k * size : (k + 1) * size][at].sum())
+        n[k] += len(at)
     return sum(s / max(1, m) for s, m in zip(sums, n))
 
 
@@ -157,9 +141,8 @@ def _features(p: QualityParams):
             at, value = [], []
             for t in b.column(2).cast(pa.binary()):
                 total = [np.zeros(size), np.zeros(size)]
-                for both in _blocks(t.as_py() or b"", p):
-                    for k in (0, 1):
-                        total[k] += np.bincount(both[k], minlength=size)
+                for k, grams in ngrams(t.as_py() or b"", p):
+                    total[k] += np.bincount(grams, minlength=size)
                 x = np.concatenate([c / max(1.0, c.sum()) for c in total])
                 on = np.flatnonzero(x)
                 at.append(on.astype(np.int32))
@@ -200,13 +183,14 @@ def _platt(z: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 def fit(docs: DataFrame, labels: DataFrame, params: QualityParams = QualityParams(), text: str = "text", doc_id: str = "doc_id", label: str = "quality") -> QualityModel | None:
     """A model of label = 1 against 0, or None without labels of both kinds."""
-    text_batches(docs.sparkSession)
     by_hash = F.xxhash64(F.col("of"), F.lit(7))
     chosen = labels.select(F.col(doc_id).alias("of"), F.col(label).cast("int").alias("y")).where("of is not null and y in (0, 1)").groupBy("of").agg(F.min("y").alias("y")).orderBy(by_hash, "of").limit(params.max_labelled)
     held = F.pmod(F.xxhash64("of", F.lit(11)), F.lit(1000)) < int(1000 * params.held_out)
-    # at most max_labelled rows of two numbers: sent to all, so that no text is moved
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(F.broadcast(chosen), F.col("doc_id") == F.col("of")).select(held.alias("held"), "y", "text")
-    got = rows.mapInArrow(_features(params), "held boolean, y int, at array<int>, value array<float>").toArrow().combine_chunks()
+    # at most max_labelled rows of two numbers: sent to all, so that no other text is moved; one text of each id is taken
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(F.broadcast(chosen), F.col("doc_id") == F.col("of"))
+    rows = rows.groupBy("of", "y").agg(F.min("text").alias("text")).select(held.alias("held"), "y", "text")
+    with small_batches(docs.sparkSession):
+        got = rows.mapInArrow(_features(params), "held boolean, y int, at array<int>, value array<float>").toArrow().combine_chunks()
     if not got.num_rows:
         return None
     held, y = got["held"].to_numpy(), got["y"].to_numpy().astype(float)

@@ -5,9 +5,10 @@ Hilbert curve, and rows are cut into shards along it. Neighbours on the curve ar
 dimension, so a shard's files span a small range of each one, and readers that filter by any of them
 skip most files by their min/max statistics.
 
-Law `rows`: shard sizes differ by one row at most, and slots are gapless from 0 in curve order. Equal
-texts of the same metadata are neighbours, but a cut may part them. Ranks come from a range sort of
-narrow rows; texts are not moved to assign shards.
+Strings are told apart whole, by their rank among the distinct values. Law `rows`: shard sizes differ by
+one row at most, and slots are gapless from 0 in curve order. Equal texts lie where their metadata put
+them: apart where their languages or sources differ, and a cut may part neighbours. Ranks come from a
+range sort of narrow rows; texts are not moved to assign shards.
 
 A null dimension is a cell value below all others; a null text has 0 bytes (size 1) and CRC 0. A null
 doc_id sorts first; rows that share one each get a slot. An empty table gives an empty result.
@@ -21,8 +22,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
-from .common import dense_index, saved
+from .common import dense_index, numbered, saved
 
 
 @dataclass(frozen=True)
@@ -34,13 +36,8 @@ class ShardParams:
     accuracy: int = 10_000
 
 
-def string_rank(c: Column) -> Column:
-    """A long in the order of the first seven UTF-8 bytes of a string; null is -1."""
-    return F.coalesce(F.conv(F.rpad(F.hex(F.substring(c.cast("binary"), 1, 7)), 14, "0"), 16, 10).cast("long"), F.lit(-1).cast("long"))
-
-
 def default_dimensions() -> dict[str, Column]:
-    return {"lang": string_rank(F.col("lang")), "source": string_rank(F.col("source")), "size": F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")}
+    return {"lang": F.col("lang"), "source": F.col("source"), "size": F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")}
 
 
 def hilbert_index(coords: list[np.ndarray], bits: int) -> np.ndarray:
@@ -76,43 +73,75 @@ def curve(cuts: dict[str, list[int]], dims: list[Column], bits: int) -> Column:
 
     @F.arrow_udf("long")
     def place(*values: pa.Array) -> pa.Array:
-        return pa.array(hilbert_index([np.searchsorted(t, v.to_numpy(zero_copy_only=False), "right") for t, v in zip(tables, values)], bits))
+        return pa.array(hilbert_index([np.searchsorted(t, v.to_numpy(zero_copy_only=False)) for t, v in zip(tables, values)], bits))
 
     return place(*dims)
 
 
-def hilbert_shards(docs: DataFrame, params: ShardParams = ShardParams(), dims: dict[str, Column] | None = None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per row of docs: doc_id, size, text_crc32, place (on the curve), shard, slot."""
-    dims = dims or default_dimensions()
-    names = {d: f"dim_{k}" for k, d in enumerate(dims)}
+def _columns(docs: DataFrame, dims: dict[str, Column], doc_id: str, text: str) -> dict[str, Column]:
+    """What is needed of a row to place it: doc_id, size, text_crc32 and a column per dimension, a long or a string."""
     body = F.coalesce(F.col(text), F.lit(""))
-    narrow = saved(docs.select(F.col(doc_id).cast("long").alias("doc_id"), (F.octet_length(body) + 1).cast("long").alias("size"), F.crc32(body.cast("binary")).alias("text_crc32"), *(c.cast("long").alias(names[d]) for d, c in dims.items())), "shard-sizes")
-    cuts = quantile_cuts(narrow, list(names.values()), params)
-    placed = narrow.select("doc_id", "size", "text_crc32", curve(cuts, [F.coalesce(F.col(c), F.lit(-1).cast("long")) for c in names.values()], params.bits).alias("place"))
-    ranked = dense_index(placed, [F.col("place"), F.col("doc_id"), F.col("text_crc32")], "shard-ranks", "rank")
+    kinds = {f.name: f.dataType for f in docs.select(*(c.alias(f"dim_{k}") for k, c in enumerate(dims.values()))).schema}
+    of = {f"dim_{k}": c.cast("string" if isinstance(kinds[f"dim_{k}"], StringType) else "long") for k, c in enumerate(dims.values())}
+    return {"doc_id": F.col(doc_id).cast("long"), "size": (F.octet_length(body) + 1).cast("long"), "text_crc32": F.crc32(body.cast("binary")), **of}
+
+
+def string_ranks(narrow: DataFrame) -> dict[str, DataFrame]:
+    """For each dimension that is a string: (of, rank), its distinct whole values by code point; null has none."""
+    names = [f.name for f in narrow.schema if f.name.startswith("dim_") and isinstance(f.dataType, StringType)]
+    return {n: saved(dense_index(narrow.where(F.col(n).isNotNull()).select(F.col(n).alias("of")).distinct(), [F.col("of")], "shard-values", "rank"), "shard-ranks") for n in names}
+
+
+def _with_ranks(rows: DataFrame, ranks: dict[str, DataFrame]) -> DataFrame:
+    """rows with strings as ranks; Spark sends the ranks where they are few and joins by value beyond that."""
+    for name, of in ranks.items():
+        joined = rows.join(of, rows[name] == of["of"], "left")
+        rows = joined.select(*(F.col("rank").alias(c) if c == name else F.col(c) for c in rows.columns))
+    return rows
+
+
+def _placed(rows: DataFrame, ranks: dict[str, DataFrame], cuts: dict[str, list[int]], bits: int) -> DataFrame:
+    dims = [F.coalesce(F.col(n), F.lit(-1).cast("long")) for n in cuts]
+    return _with_ranks(rows, ranks).withColumn("place", curve(cuts, dims, bits)).drop(*cuts)
+
+
+def _assigned(narrow: DataFrame, params: ShardParams) -> tuple[DataFrame, dict[str, DataFrame], dict[str, list[int]]]:
+    """narrow with place, shard and slot; and the ranks and cuts that place other columns of the same rows alike."""
+    ranks = string_ranks(narrow)
+    cuts = quantile_cuts(_with_ranks(narrow, ranks), [c for c in narrow.columns if c.startswith("dim_")], params)
+    ranked = dense_index(_placed(narrow, ranks, cuts, params.bits), [F.col(c) for c in ORDER], "shard-places", "rank")
     n = max(1, narrow.count())
-    return ranked.withColumn("shard", F.expr(f"cast(rank * {params.shards} div {n} as int)")).withColumn("slot", F.expr(f"rank - (cast(shard as bigint) * {n} + {params.shards - 1}) div {params.shards}")).drop("rank")
+    shards = ranked.withColumn("shard", F.expr(f"cast(rank * {params.shards} div {n} as int)"))
+    return shards.withColumn("slot", F.expr(f"rank - (cast(shard as bigint) * {n} + {params.shards - 1}) div {params.shards}")).drop("rank"), ranks, cuts
+
+
+#: Rows along the curve; the row's number parts rows that are equal in all else.
+ORDER = ["place", "doc_id", "text_crc32", "row"]
+
+
+def hilbert_shards(docs: DataFrame, params: ShardParams = ShardParams(), dims: dict[str, Column] | None = None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per row of docs: doc_id, size, text_crc32, place (on the curve), shard, slot."""
+    columns = _columns(docs, dims or default_dimensions(), doc_id, text)
+    narrow = saved(docs.select(F.monotonically_increasing_id().alias("row"), *(c.alias(n) for n, c in columns.items())), "shard-sizes")
+    return _assigned(narrow, params)[0].drop("row")
 
 
 def write_shards(docs: DataFrame, path: str, params: ShardParams = ShardParams(), dims: dict[str, Column] | None = None, doc_id: str = "doc_id", text: str = "text") -> None:
-    """docs as Parquet below path/shard=K, each shard sorted along the curve.
+    """docs as Parquet below path/shard=K, each file a run of the curve; a column `shard` of docs gives way to it.
 
-    Rows find their shard by the first row of each shard, so of rows that are equal in place, id and
-    CRC those around a cut stay together. Texts are moved once.
+    Rows find their shard by the first row of each, in the one order of all rows. Texts are moved once.
     """
-    shards = saved(hilbert_shards(docs, params, dims, doc_id, text), "shards")
-    key = F.struct("place", "doc_id", "text_crc32")
-    firsts = [r.k for r in shards.groupBy("shard").agg(F.min(key).alias("k")).orderBy("shard").collect()]  # one row per shard
-    dims = dims or default_dimensions()
-    body = F.coalesce(F.col(text), F.lit(""))
-    whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("kept_row"), F.col(doc_id).cast("long").alias("doc_id"), F.crc32(body.cast("binary")).alias("text_crc32"), *(F.coalesce(c.cast("long"), F.lit(-1).cast("long")).alias(f"dim_{k}") for k, c in enumerate(dims.values())))
-    narrow = docs.select(*(c.cast("long").alias(f"dim_{k}") for k, c in enumerate(dims.values())))
-    names = [f"dim_{k}" for k in range(len(dims))]
-    placed = whole.withColumn("place", curve(quantile_cuts(narrow, names, params), [F.col(c) for c in names], params.bits))
-    bounds = F.array(*(F.struct(F.lit(k.place).cast("long").alias("place"), F.lit(k.doc_id).cast("long").alias("doc_id"), F.lit(k.text_crc32).cast("long").alias("text_crc32")) for k in firsts[1:])) if len(firsts) > 1 else F.array()
-    shard = F.size(F.filter(bounds, lambda k: k <= key)) if len(firsts) > 1 else F.lit(0)
-    out = placed.withColumn("shard", shard).repartition(params.shards, "shard").sortWithinPartitions("shard", "place", "doc_id")
-    out.select("kept_row.*", F.col("shard").alias("_shard")).withColumnRenamed("_shard", "shard").write.partitionBy("shard").parquet(path)
+    rows = numbered(docs, "shard-rows", _columns(docs, dims or default_dimensions(), doc_id, text))
+    shards, ranks, cuts = _assigned(rows.drop("kept_row", "block"), params)
+    key = F.struct(*ORDER)
+    firsts = shards.groupBy("shard").agg(F.min(key).alias("k")).orderBy("shard").collect()  # one row per shard
+    bound = lambda k: F.struct(*(F.lit(v).cast("long").alias(n) for n, v in zip(ORDER, k)))
+    shard = F.lit(-1)
+    for first in firsts[::-1]:
+        shard = F.when(key >= bound(first.k), F.lit(first.shard)) if first is firsts[-1] else shard.when(key >= bound(first.k), F.lit(first.shard))
+    out = _placed(rows, ranks, cuts, params.bits).withColumn("_shard", shard).repartitionByRange(*ORDER).sortWithinPartitions(*ORDER)
+    kept = [F.col("kept_row").getField(c).alias(c) for c in docs.columns if c != "shard"]
+    out.select(*kept, F.col("_shard").alias("shard")).write.partitionBy("shard").parquet(path)
 
 
 def shard_report(docs: DataFrame, params: ShardParams = ShardParams()) -> DataFrame:

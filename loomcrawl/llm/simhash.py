@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import numbered, saved, text_batches, without
+from .common import numbered, saved, without
 from .components import components
 from .substring import SubstringParams, similar_documents
 
@@ -146,7 +146,6 @@ def _links(anchor: np.ndarray, fp: np.ndarray, rep: np.ndarray) -> pa.RecordBatc
 
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One row per row of docs: doc_id, fp (long, the fingerprint's bits), component_id."""
-    text_batches(docs.sparkSession)
     prints = saved(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(_fingerprints, "doc_id long, fp long"), "fingerprints")
     entries = saved(prints.select("fp", F.col("fp").alias("rep")).distinct(), "entries")
     spread = entries.mapInArrow(_replicate, "anchor long, fp long, rep long")
@@ -163,7 +162,6 @@ def drop_near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc
     Groups are texts whose sets of params.shingle words have exact Jaccard params.similarity, or a chain of
     such texts; candidates come from params.bands, as a fingerprint of 64 bits tells nothing at that distance.
     """
-    text_batches(docs.sparkSession)
     rows = numbered(docs, "rows")
     labels = similar_documents(rows.select("row", F.col("kept_row").getField(doc_id).cast("long").alias("doc_id"), F.col("kept_row").getField(text).alias("text")), params)
     many = labels.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("stays"), F.count("*").alias("n")).where("n > 1").withColumnRenamed("component", "of")

@@ -383,13 +383,31 @@ def test_sharding(spark, tmp_path):
     back = spark.read.parquet(str(tmp_path / "out"))
     assert back.columns == [*docs.columns, "shard"]
     n = [r.n for r in back.groupBy("shard").count().withColumnRenamed("count", "n").collect()]
-    assert back.count() == len(rows) and len(n) == 16 and max(n) - min(n) <= 2
+    assert back.count() == len(rows) and len(n) == 16 and max(n) - min(n) <= 1
     seen = back.where("doc_id is not null").groupBy("shard").agg({"source": "approx_count_distinct", "lang": "approx_count_distinct"}).collect()
     assert sum(r[1] * r[2] for r in seen) / len(seen) < 0.5 * 3 * 8  # a shard spans a small part of the grid
+    of = lambda df: Counter((r.doc_id, r.shard) for r in df.collect())
+    assert of(back) == of(sharding.shard_report(docs))
+    sharding.write_shards(docs.withColumnRenamed("place", "shard"), str(tmp_path / "clash"))
+    assert spark.read.parquet(str(tmp_path / "clash")).columns == ["doc_id", "text", "lang", "source", "shard"]
+    sharding.write_shards(docs.limit(0), str(tmp_path / "none"))
     assert sharding.shard_report(docs.limit(0)).count() == 0
     assert [r.shard for r in sharding.shard_report(docs.limit(3)).orderBy("shard").collect()] == [0, 5, 10]
 
 
+def test_shards_tell_long_names_apart(spark):
+    docs = spark.createDataFrame([(i, "same text", "en", f"https://www.example.org/crawl/{i % 16:02d}", "x") for i in range(320)], "doc_id long, text string, lang string, source string, place string")
+    got = sharding.hilbert_shards(docs).join(docs.select("doc_id", "source"), "doc_id").groupBy("shard").agg({"source": "approx_count_distinct"}).collect()
+    assert [r[1] for r in got] == [1] * 16
+
+
+def test_repeated_rows_at_a_cut(spark, tmp_path):
+    docs = spark.createDataFrame([(7, "same", "en", "s")] * 100, "doc_id long, text string, lang string, source string")
+    sharding.write_shards(docs, str(tmp_path / "out"))
+    n = [r[1] for r in spark.read.parquet(str(tmp_path / "out")).groupBy("shard").count().collect()]
+    assert sum(n) == 100 and len(n) == 16 and max(n) - min(n) <= 1
+
+
 def test_substring_of_empty_and_short_tables(spark):
     docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
     assert substring.repeated_spans(docs).count() == 0 and substring.repeated_spans(docs.limit(0)).count() == 0

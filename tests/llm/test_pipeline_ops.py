@@ -327,6 +327,27 @@ def test_quality(spark):
     assert all(r.probability is None and r.kept == (not r.base_failed) for r in none)
 
 
+def test_ngrams_are_of_whole_code_points(monkeypatch):
+    p = quality.QualityParams()
+    text = "Straße élan 日本語 x " * 9 + "word" * 30
+    for part in (1 << 20, 7):
+        monkeypatch.setattr(quality, "_PART", part)
+        got = {k: Counter(np.concatenate([g for j, g in quality.ngrams(text.encode(), p) if j == k]).tolist()) for k in (0, 1)}
+        assert got[1].total() == len(text) - 3 and got[0].total() == 2 * len(text.split()) - 1
+        assert sorted(got[1].values()) == sorted(Counter(text[i : i + 4] for i in range(len(text) - 3)).values())
+        w = text.split()
+        assert sorted(got[0].values()) == sorted((Counter(w) + Counter(zip(w, w[1:]))).values())
+    assert not any(len(g) for _, g in quality.ngrams(b"", p))
+
+
+def test_a_labelled_id_counts_once(spark):
+    docs = spark.createDataFrame([(i % 40, f"word{i % 2} " * 60) for i in range(4000)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    once = quality.fit(docs.dropDuplicates(["doc_id", "text"]), labels)
+    many = quality.fit(docs, labels)
+    assert np.array_equal(np.sort(once.weights), np.sort(many.weights)) and once.slope == pytest.approx(many.slope)
+
+
 def test_empty(spark, docs):
     empty, labels = docs.limit(0), spark.createDataFrame([], "doc_id long, quality int")
     assert exact_dedup.exact_groups(empty).count() == 0 and exact_dedup.drop_exact_duplicates(empty).count() == 0
