@@ -4,32 +4,38 @@ A bidirectional window network predicts every token of a document from the token
 it, the token itself masked; the sum of the conditional log-probabilities is the document's score.
 
 The network, in numpy: the `side` tokens before and after are embedded, each place with a table of
-its own, and summed into a hidden layer (tanh); the token's probability is that of its class times
-that of its place in the class, two small softmaxes, so each token costs 2 * sqrt(vocabulary) outputs.
-Tokens are words: the most frequent of the corpus have an id of their own, the others share
-hashed ids; edges of a document are a token of their own.
-
-Everything is learnt from all documents. Word counts are combined per task before the shuffle. Every
-task then trains on all documents of its partition, from the same start, and the resulting networks
-are averaged weight by weight, in a shuffle; `rounds` such rounds follow one another.
-The driver holds the vocabulary's hashes and one network, both of fixed size.
+its own, and summed into a hidden layer (tanh); an id's probability is that of its class times that of
+its place in the class, two small softmaxes, so each token costs 2 * sqrt(vocabulary) outputs.
+Tokens are words: the most frequent of the corpus have an id of their own, the others share hashed ids;
+edges of a document are a token of their own. A word that shares an id has the id's probability times
+its own among the words of that id, from its count in the corpus, smoothed: every word of the corpus is
+predicted as itself. Being masked, a token is not in the counts that predict it.
+
+Everything is learnt from all documents. Counts of words are a table that grows with the corpus; it is
+never gathered, but joined with the distinct words of each block of documents, some numbers per word and
+block, and the blocks' texts are not moved for that. Every task trains on all documents of its partition,
+from the same start, and the resulting networks are averaged weight by weight, in a shuffle; `rounds` such
+rounds follow one another. So scores depend on how docs is partitioned: a network learns from one
+partition's tokens, 128 MB of input in Spark's default; more partitions of that size average more networks
+and change none of them. Reruns over the same partitions agree. The driver holds the hashes of the frequent
+words, one network and two numbers per shared id, all of fixed size, as the cost of a token grows with them.
 
 A null text and a text without words have no tokens: score 0 and a null mean. An empty table gives an
 empty result; without any word the network stays as it starts. Rows that share a doc_id are documents
-of their own.
+of their own. With a model of another corpus, a word that corpus lacks has the probability of one more word.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches
+from .common import numbered, saved, small_batches
 from .hashing import mix, words
 
 
@@ -45,6 +51,10 @@ class LmParams:
     step: int = 4096
     rounds: int = 1
     seed: int = 5
+    #: Added to each word's count among those that share its id.
+    smooth: float = 0.1
+    #: Documents whose distinct words are looked up together, a power of two.
+    block: int = 1024
 
     @property
     def vocabulary(self) -> int:
@@ -144,13 +154,32 @@ class Vocabulary:
         self.known, self.rank, self.p = frequent[order], order + 1 + p.hashed, p
 
     def ids(self, h: np.ndarray) -> np.ndarray:
-        other = 1 + (h % np.uint64(self.p.hashed)).astype(np.int64)
+        other = 1 + ((h >> np.uint64(1)) % np.uint64(self.p.hashed)).astype(np.int64)
         if not len(self.known):
             return other
         at = np.minimum(np.searchsorted(self.known, h), len(self.known) - 1)
         return np.where(self.known[at] == h, self.rank[at], other)
 
 
+@dataclass(frozen=True)
+class LmModel:
+    vocabulary: Vocabulary
+    network: Network
+    #: (word, n): every word of the corpus and how often it occurs; never gathered.
+    counts: DataFrame
+    #: Of each shared id, from 1 on: occurrences and distinct words.
+    shared: np.ndarray
+    #: Count and hash of the last frequent word; words after it share ids. None without any word.
+    last: tuple[int, int] | None = None
+
+
+def _shares_id(last: tuple[int, int] | None) -> Column:
+    """Whether the word of a row (word, n) comes after the last frequent one."""
+    if last is None:
+        return F.lit(False)
+    return (F.col("n") < last[0]) | (F.col("n") == last[0]) & (F.col("word") > last[1])
+
+
 def windows(ids: np.ndarray, side: int) -> np.ndarray:
     """(tokens, 2 * side): the ids before, from the farthest, and after each token; 0 beyond the edges."""
     padded = np.concatenate([np.zeros(side, ids.dtype), ids, np.zeros(side, ids.dtype)])
@@ -163,26 +192,54 @@ def _text_hashes(batch: pa.Array) -> Iterator[np.ndarray]:
         yield mix(words((t.as_py() or b"").lower())[0])
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _block_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(block, word, n): the distinct words of each block of texts, or of a part of it."""
     for b in batches:
-        for k in range(0, b.num_rows, 1024):
-            hashes = list(_text_hashes(b.column(0).slice(k, 1024)))
-            word, n = np.unique(np.concatenate(hashes) if hashes else np.empty(0, np.uint64), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(n.astype(np.int64))], ["word", "n"])
+        block = b.column(0).to_numpy()
+        ends = [*np.flatnonzero(np.diff(block)) + 1, len(block)] if len(block) else []
+        at = 0
+        for end in ends:
+            hashes = list(_text_hashes(b.column(1).slice(at, end - at)))
+            word, n = np.unique(np.concatenate(hashes), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(word), block[at])), pa.array(word.view(np.int64)), pa.array(n.astype(np.int64))], ["block", "word", "n"])
+            at = end
+
+
+def counted_words(rows: DataFrame) -> DataFrame:
+    """(block, word, n): each block's distinct words (rows: block, text), with their counts over all blocks."""
+    found = rows.select("block", "text").mapInArrow(_block_words, "block long, word long, n long")
+    # a word has a row per block at most, however often it occurs
+    return saved(found.selectExpr("block", "word", "sum(n) over (partition by word) as n"), "word-counts")
+
+
+def word_table(counted: DataFrame, p: LmParams) -> LmModel:
+    """The vocabulary (ties by hash), all words' counts and the totals of the shared ids, with a network that knows nothing."""
+    counts = saved(counted.select("word", "n").distinct(), "words")
+    top = counts.orderBy(F.desc("n"), "word").limit(p.vocabulary - 1 - p.hashed).collect()  # a fixed number
+    vocab = Vocabulary(np.array([r.word for r in top], np.int64).view(np.uint64), p)
+    shared, last = np.zeros((p.hashed + 1, 2)), (top[-1].n, top[-1].word) if top else None
+    id_of = (F.shiftrightunsigned("word", 1) % p.hashed + 1).alias("id")
+    for r in counts.where(_shares_id(last)).groupBy(id_of).agg(F.sum("n").alias("n"), F.count("*").alias("words")).collect():  # a row per shared id
+        shared[r.id] = r.n, r.words
+    return LmModel(vocab, Network(p), counts, shared, last)
 
 
-def vocabulary(texts: DataFrame, p: LmParams) -> Vocabulary:
-    """The most frequent words of all texts (column text), ties by hash."""
-    counts = texts.mapInArrow(_count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    top = counts.orderBy(F.desc("n"), "word").limit(p.vocabulary - 1 - p.hashed).collect()  # a fixed number
-    return Vocabulary(np.array([r.word for r in top], np.int64).view(np.uint64), p)
+def _rows(docs: DataFrame, p: LmParams, text: str, doc_id: str) -> DataFrame:
+    """(block, doc_id, text) of a written table whose blocks stay together."""
+    rows = numbered(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")), "lm-rows", block=p.block)
+    return rows.select("block", F.col("kept_row.doc_id").alias("doc_id"), F.col("kept_row.text").alias("text"))
 
 
-def fit(texts: DataFrame, params: LmParams = LmParams()) -> tuple[Vocabulary, Network]:
-    """A vocabulary and a network from all rows of texts (column text)."""
-    p, sc = params, texts.sparkSession.sparkContext
-    vocab = vocabulary(texts, p)
-    net = Network(p)
+def fit(docs: DataFrame, params: LmParams = LmParams(), text: str = "text", doc_id: str = "doc_id") -> LmModel:
+    """A model of all rows of docs."""
+    rows = _rows(docs, params, text, doc_id)
+    return _fitted(docs.select(F.col(text).alias("text")), counted_words(rows), params)
+
+
+def _fitted(texts: DataFrame, counted: DataFrame, p: LmParams) -> LmModel:
+    sc = texts.sparkSession.sparkContext
+    model = word_table(counted, p)
+    vocab, net = model.vocabulary, model.network
     for _ in range(p.rounds):
         told = sc.broadcast((vocab, net.flat))
 
@@ -218,53 +275,87 @@ def fit(texts: DataFrame, params: LmParams = LmParams()) -> tuple[Vocabulary, Ne
         trained = texts.mapInArrow(run, "seen long, weights array<double>")
         # every weight is summed on its own, as rows arrive: no task holds the networks of all tasks
         mean = trained.select("seen", F.posexplode("weights").alias("at", "w")).groupBy("at").agg((F.sum("w") / F.sum("seen")).alias("w"))
-        got = mean.toArrow()  # one network
+        with small_batches(texts.sparkSession):
+            got = mean.toArrow()  # one network
         if got.num_rows:
             flat = np.zeros(len(net.flat), np.float64)
             flat[got["at"].to_numpy()] = got["w"].to_numpy()
             net = Network(p, flat)
-    return vocab, net
+    return replace(model, network=net)
 
 
 #: Tokens scored at once, of one long text or many short ones.
 TOGETHER = 1 << 15
 
 
-def score_texts(texts: list[np.ndarray], vocab: Vocabulary, net: Network) -> list[float]:
-    """For each text (its word hashes): the sum of the log-probabilities of its tokens, given their neighbours."""
-    ids = [vocab.ids(h) for h in texts]
+def own_log_probability(n: np.ndarray, ids: np.ndarray, shared: np.ndarray, smooth: float, masked: bool) -> np.ndarray:
+    """Of words that occur n times, among those that share their ids; with `masked` one occurrence is the token itself."""
+    total, words = shared[ids, 0], shared[ids, 1]
+    if masked:
+        return np.log(n - 1 + smooth) - np.log(total - 1 + smooth * words)
+    return np.log(n + smooth) - np.log(total + smooth * (words + 1))
+
+
+def score_texts(texts: list[np.ndarray], model: LmModel, known: np.ndarray, n: np.ndarray, masked: bool) -> list[float]:
+    """For each text (its word hashes): the sum of the log-probabilities of its tokens, given their neighbours.
+
+    known: sorted hashes of the words that share ids, as far as the corpus has them, and n their counts.
+    """
+    net = model.network
+    ids = [model.vocabulary.ids(h) for h in texts]
     of = np.repeat(np.arange(len(ids)), [len(x) for x in ids])
     total = np.zeros(len(ids))
     if len(of):
-        context, token = np.concatenate([windows(x, net.p.side) for x in ids]), np.concatenate(ids)
+        context, token, h = np.concatenate([windows(x, net.p.side) for x in ids]), np.concatenate(ids), np.concatenate(texts)
         for k in range(0, len(of), TOGETHER):
             part = slice(k, k + TOGETHER)
-            total += np.bincount(of[part], weights=net.log_probability(context[part], token[part]), minlength=len(ids))
+            out = net.log_probability(context[part], token[part])
+            rare = np.flatnonzero(token[part] <= net.p.hashed)
+            if len(rare):
+                count = np.zeros(len(rare), np.int64)
+                if len(known):
+                    at = np.minimum(np.searchsorted(known, h[part][rare]), len(known) - 1)
+                    count = np.where(known[at] == h[part][rare], n[at], 0)
+                out[rare] += own_log_probability(count, token[part][rare], model.shared, net.p.smooth, masked)
+            total += np.bincount(of[part], weights=out, minlength=len(ids))
     return total.tolist()
 
 
-def score_documents(docs: DataFrame, params: LmParams = LmParams(), text: str = "text", doc_id: str = "doc_id", model: tuple[Vocabulary, Network] | None = None) -> DataFrame:
+SCORES = "doc_id long, n_tokens long, log_likelihood double, mean_log_likelihood double"
+
+
+def score_documents(docs: DataFrame, params: LmParams = LmParams(), text: str = "text", doc_id: str = "doc_id", model: LmModel | None = None) -> DataFrame:
     """One row per row of docs: doc_id, n_tokens, log_likelihood (the sum) and mean_log_likelihood (null without tokens).
 
-    The model is fitted on docs unless one is given.
+    The model is fitted on docs unless one is given. Only in the first case are docs part of its counts.
     """
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    vocab, net = model or fit(rows.select("text"), params)
-    told = docs.sparkSession.sparkContext.broadcast((vocab, net.flat, net.p))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab, flat, p = told.value
-        net = Network(p, flat)
-        for b in batches:
-            n, total, some = [], [], []
-            for h in _text_hashes(b.column(1)):
+    masked = model is None
+    p = params if masked else model.network.p
+    rows = _rows(docs, p, text, doc_id)
+    counted = counted_words(rows)
+    if masked:
+        model = _fitted(docs.select(F.col(text).alias("text")), counted, p)
+    else:
+        counted = counted.drop("n").join(model.counts.withColumnRenamed("word", "of"), F.col("word") == F.col("of")).select("block", "word", "n")
+    told = docs.sparkSession.sparkContext.broadcast((model.vocabulary, model.network.flat, model.shared, p))
+
+    def run(texts: pa.Table, words: pa.Table) -> pa.Table:
+        """All documents of one block, and the counts of its rare words."""
+        vocab, flat, shared, p = told.value
+        one = LmModel(vocab, Network(p, flat), None, shared)
+        known, count = words["word"].to_numpy().view(np.uint64), words["n"].to_numpy()
+        order = np.unique(known, return_index=True)[1]  # a block read in parts brings a word more than once
+        known, count = known[order], count[order]
+        n, total, some = [], [], []
+        for chunk in texts["text"].chunks:
+            for h in _text_hashes(chunk):
                 n.append(len(h))
                 some.append(h)
                 if len(h) >= TOGETHER or len(some) >= 64:
-                    total += score_texts(some, vocab, net)
+                    total += score_texts(some, one, known, count, masked)
                     some = []
-            total += score_texts(some, vocab, net)
-            mean = [t / k if k else None for t, k in zip(total, n)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(total, pa.float64()), pa.array(mean, pa.float64())], ["doc_id", "n_tokens", "log_likelihood", "mean_log_likelihood"])
+        total += score_texts(some, one, known, count, masked)
+        mean = [t / k if k else None for t, k in zip(total, n)]
+        return pa.table([texts["doc_id"], pa.array(n, pa.int64()), pa.array(total, pa.float64()), pa.array(mean, pa.float64())], names=["doc_id", "n_tokens", "log_likelihood", "mean_log_likelihood"])
 
-    return rows.mapInArrow(run, "doc_id long, n_tokens long, log_likelihood double, mean_log_likelihood double")
+    return rows.groupBy("block").cogroup(counted.where(_shares_id(model.last)).select("block", "word", "n").groupBy("block")).applyInArrow(run, SCORES)

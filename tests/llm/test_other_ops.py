@@ -201,9 +201,10 @@ def test_pseudo_likelihood(spark):
     rows = [(i, t, 1.0) for i, t in enumerate(good)] + [(900, " ".join(rng.permutation(good[0].split())), 1.0), (901, None, 1.0), (902, " \n", 1.0), (902, good[1], 1.0), (None, "t1", 1.0)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, log_likelihood double").repartition(3)
     p = lm.LmParams(classes=8, hashed=8, step=128, rounds=3)
-    vocab, net = lm.fit(docs.select("text"), p)
+    model = lm.fit(docs, p)
+    vocab, net = model.vocabulary, model.network
     assert set(vocab.known.tolist()) == set(hashing.mix(hashing.words(" ".join(order).encode())[0]).tolist())
-    got = lm.score_documents(docs, p, model=(vocab, net)).collect()
+    got = lm.score_documents(docs, p, model=model).collect()
     by = {r.doc_id: r for r in got}
     mean = np.mean([by[i].mean_log_likelihood for i in range(300)])
     assert mean > -1.5 and by[900].mean_log_likelihood < mean - 2
@@ -215,6 +216,42 @@ def test_pseudo_likelihood(spark):
     assert lm.score_documents(docs.limit(0), p).count() == 0
 
 
+def test_every_word_has_its_own_probability(spark):
+    common = [f"c{i}" for i in range(24)]
+    texts = [" ".join([*rng.choice(common, 30), *(f"rare{rng.integers(400)}" for _ in range(20))]) for _ in range(120)] + ["once " * 3 + "x" * 5000 + " c1" * 40000]
+    texts += [" ".join(f"twin{i}" for i in range(60))] * 2 + [" ".join(f"lone{i}" for i in range(60))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    p = lm.LmParams(classes=6, hashed=8, step=128, block=16)
+    got = {r.doc_id: r for r in lm.score_documents(docs, p).collect()}
+    assert got[121].mean_log_likelihood == pytest.approx(got[122].mean_log_likelihood)
+    assert got[121].mean_log_likelihood > got[123].mean_log_likelihood + 1  # its words occur elsewhere
+    # against loops over all words
+    model = lm.fit(docs, p)
+    count = Counter(w for t in texts for w in t.split())
+    key = {w: int(hashing.mix(hashing.words(w.encode())[0])[0]) for w in count}
+    top = sorted(count, key=lambda w: (-count[w], int(np.uint64(key[w]).astype(np.int64))))[: 36 - 1 - 8]
+    assert set(model.vocabulary.known.tolist()) == {key[w] for w in top}
+    share = defaultdict(list)
+    for w in count:
+        if w not in top:
+            share[1 + (key[w] >> 1) % 8].append(w)
+    assert {r.word: r.n for r in model.counts.collect()} == {int(np.uint64(key[w]).astype(np.int64)): n for w, n in count.items()}
+    for doc in (0, 7, 120, 123):
+        h = hashing.mix(hashing.words(texts[doc].encode())[0])
+        ids = model.vocabulary.ids(h)
+        want = float(model.network.log_probability(lm.windows(ids, 2), ids).sum())
+        for w, i in zip(texts[doc].split(), ids.tolist()):
+            if i <= 8:
+                total = sum(count[x] for x in share[i])
+                want += np.log(count[w] - 1 + p.smooth) - np.log(total - 1 + p.smooth * len(share[i]))
+        assert got[doc].log_likelihood == pytest.approx(want, rel=1e-4)
+    for i, some in share.items():  # a distribution over the words of an id, and one more word
+        n = np.array([*(count[w] for w in some), 0])
+        assert np.exp(lm.own_log_probability(n, np.full(len(n), i), model.shared, p.smooth, False)).sum() == pytest.approx(1)
+    other = {r.doc_id: r for r in lm.score_documents(spark.createDataFrame([(1, "never seen words"), (2, texts[0])], "doc_id long, text string"), p, model=model).collect()}
+    assert np.isfinite(other[1].log_likelihood) and other[2].log_likelihood > got[0].log_likelihood
+
+
 # HTML text
 
 NAV = '<nav><ul><li><a href="/a">Menu&nbsp;one</a></li></ul></nav>'
