@@ -1,24 +1,28 @@
 """Substring dedup by paragraph MinHash banding.
 
-Paragraphs are the lines of a text with at least `min_words` words. Each has a MinHash signature over
-its 5-word shingles, cut into bands; paragraphs that collide in a band are compared by the exact
-Jaccard similarity of their shingle sets, those at 0.8 or more are linked, and components of links are
-clusters. With 8 bands of 3 rows a pair at 0.8 collides with probability 0.997, one at 0.9 with 0.99997.
-
-A passage that repeats inside lines that are otherwise different is found by its parts: lines are cut
-where a word's hash is the least among the `reach` words on either side, which depends on those words
-alone, so a repeated passage is cut alike wherever it stands. Equal parts are paragraphs at Jaccard 1;
-they take one band, the hash of the part.
+Paragraphs are of two kinds. Lines with at least `min_words` words are one. The others, passages, are
+windows of `window` words over the whole word sequence of a text, across its lines: a window begins
+where a shingle's hash is the least of `reach` neighbouring ones, which depends on those words alone, so
+a repeated passage has its windows at the same places wherever it stands. Every `reach` shingles hold such
+a place: of a passage of window + reach - 1 words or more at least one whole window is found, and windows
+follow one another without a gap, as they are no shorter than the places are apart.
+
+Each paragraph has a MinHash signature over its 5-word shingles, cut into bands; paragraphs of a kind that
+collide in a band are compared by the exact Jaccard similarity of their shingle sets, those at 0.8 or
+more are linked, and components of links are clusters. A pair at 0.8 collides with probability 0.997 as
+lines (8 bands of 3 rows) and 0.983 as passages (4 bands of 2), at 0.9 with 0.99997 and 0.9987.
 
 A cluster counts when it holds texts of two documents or more; repeats within one document are left to
 quality rules. In each cluster the document with the smallest doc_id keeps its paragraph. Spans that
 overlap or follow one another in a document are joined, and spans of fewer than `min_words` words in
-all are dropped: common short phrases and short lines stay as they are.
+all are dropped: common short phrases and short lines on their own stay as they are.
 
-Equal paragraphs are one node before banding. Buckets with one node end there. A bucket beyond `block`
-nodes is dealt out in blocks that share sixteen pivots, so that no task gets a hot bucket whole; nodes
-of such a bucket that are not in its largest cluster afterwards are then compared with all blocks, so
-that no link is lost. Hashes have 64 bits.
+Equal paragraphs are one node. A task hands on each node once a batch and, where it is in several
+documents, once in all, so a hot passage costs a task a row or two. Buckets with one node end there. A
+bucket beyond `block` nodes is dealt out in blocks that share sixteen pivots, so that no task gets a hot
+bucket whole. Where that leaves more than one cluster, its nodes meet again by the shingles that all
+pairs at the similarity must share (each set's rarest ones, as many as it may lack and one more): no link
+is lost, and nodes that are not alike do not meet. Hashes have 64 bits.
 
 Words are compared with A-Z in lower case. A null text has no spans. Rows that share a doc_id are one
 document; rows with a null doc_id are left out. An empty table gives an empty result.
@@ -40,8 +44,10 @@ from .common import saved
 from .components import components
 from .hashing import mix, range_hashes, words
 
-SPANS = "doc_id long, start int, end int, first int, last int, hash long"
+SPANS = "doc_id long, start int, end int, first int, last int, node long"
 PIVOTS = 16
+#: Told apart from a line of the same words.
+PASSAGE = np.uint64(1)
 
 
 @dataclass(frozen=True)
@@ -51,10 +57,13 @@ class SubstringParams:
     bands: int = 8
     rows: int = 3
     min_words: int = 20
-    reach: int = 4
+    window: int = 25
+    reach: int = 25
+    window_bands: int = 4
+    window_rows: int = 2
     #: Nodes of a bucket that one task compares.
     block: int = 512
-    #: Documents' ids of lines to verify that are sent to all executors, at most; more are joined.
+    #: Places of paragraphs to verify that are sent to all executors, at most, some 60 bytes each; more are joined.
     send: int = 500_000
 
 
@@ -70,101 +79,141 @@ def ragged(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.arange(int(end[-1]) if len(end) else 0) + np.repeat(begin - (end - size), size)
 
 
-def cuts(h: np.ndarray, a: np.ndarray, z: np.ndarray, reach: int) -> np.ndarray:
-    """Of the words a to z of each line, those whose hash is the least within reach on both sides of its line, of equal ones the first."""
-    at = ragged(a, z - a)
-    step = np.repeat(np.arange(1, len(a) + 1) * reach, z - a)  # lines stand apart by more than anything reaches
-    padded = np.full(len(at) + (len(a) + 1) * reach, np.iinfo(np.uint64).max, np.uint64)
-    where = np.arange(len(at)) + step
-    padded[where] = h[at]
-    least = np.ones(len(at), bool)
-    for k in range(1, reach + 1):
-        least &= (h[at] < padded[where - k]) & (h[at] <= padded[where + k])
-    return at[least]
+def anchors(sh: np.ndarray, first: np.ndarray, last: np.ndarray, reach: int) -> np.ndarray:
+    """Places of the least of each `reach` neighbouring shingles of one document, of equal ones the last; first, last: documents of their words."""
+    n = len(sh) - reach + 1
+    if n < 1:
+        return np.empty(0, np.int64)
+    value, at, size = sh, np.arange(len(sh)), 1
+
+    def least(by: int) -> None:
+        nonlocal value, at
+        left, right = slice(0, len(value) - by), slice(by, None)
+        value, at = np.minimum(value[left], value[right]), np.where(value[right] <= value[left], at[right], at[left])
 
+    while 2 * size <= reach:
+        least(size)
+        size *= 2
+    if size < reach:
+        least(reach - size)
+    at = at[first[:n] == last[reach - 1 :]]
+    return at[np.concatenate(([True], at[1:] != at[:-1]))] if len(at) else at
 
-def band_keys(sh: np.ndarray, begin: np.ndarray, p: SubstringParams) -> np.ndarray:
+
+def band_keys(sh: np.ndarray, begin: np.ndarray, bands: int, rows: int) -> np.ndarray:
     """The MinHash bands of sets of shingles that lie one after another, each from its place in begin on."""
-    mins = np.empty((len(begin), p.bands * p.rows), np.uint64)
-    for k in range(p.bands * p.rows):
+    mins = np.empty((len(begin), bands * rows), np.uint64)
+    for k in range(bands * rows):
         one = sh * np.uint64(2 * k + 0x9E3779B97F4A7C15 & (1 << 64) - 1 | 1)  # another order of the shingles, by a product and its upper half
         mins[:, k] = np.minimum.reduceat((one ^ (one >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93 + 4 * k), begin)
     flat = mix(mins.ravel())
-    start = np.arange(0, len(flat), p.rows)
-    return mix(range_hashes(flat, start, start + p.rows).reshape(-1, p.bands) + np.arange(p.bands, dtype=np.uint64)).view(np.int64)
+    start = np.arange(0, len(flat), rows)
+    return mix(range_hashes(flat, start, start + rows).reshape(-1, bands) + np.arange(bands, dtype=np.uint64)).view(np.int64)
 
 
-def spans(texts: list[bytes], p: SubstringParams) -> tuple[dict[str, np.ndarray], dict[str, np.ndarray]]:
-    """Lines and parts of some texts: arrays of, start, end, first, last, hash; of lines also bands, one row a line.
+@dataclass
+class Paragraphs:
+    """of (the text's place in a list), first and last word in the text (last excluded), start and end code points, node, and bands if asked for."""
 
-    of is the text's place in the list, start and end are code points of it, first and last are words
-    of it, last excluded. Words are numbered through all texts here, and no text shares a line with another.
-    """
+    of: np.ndarray
+    first: np.ndarray
+    last: np.ndarray
+    start: np.ndarray
+    end: np.ndarray
+    node: np.ndarray
+    bands: np.ndarray | None = None
+
+
+def paragraphs(texts: list[bytes], p: SubstringParams, banded: bool = False) -> tuple[Paragraphs, Paragraphs]:
+    """The lines and the passages of some texts, in their order."""
     data = b"\n".join(texts)
     h, s, e = words(data.lower())
+    h = mix(h)
     b = np.frombuffer(data, np.uint8)
     base = np.cumsum([0, *(len(t) + 1 for t in texts[:-1])])
     line = np.searchsorted(np.flatnonzero(b == 10), s)
     edge = np.flatnonzero(np.concatenate(([True], line[1:] != line[:-1]))) if len(s) else np.empty(0, np.int64)
     stop = np.append(edge[1:], len(h))[: len(edge)]
     long = stop - edge >= p.min_words
-    a, z = edge[long], stop[long]
-    h = mix(h)
     word = np.searchsorted(s, base)
-    ascii_only = data.isascii()
-    point = None if ascii_only else np.concatenate(([0], np.cumsum((b & 0xC0) != 0x80)))
-    at_point = (lambda k: k) if ascii_only else (lambda k: point[k])
+    point = None if data.isascii() else np.concatenate(([0], np.cumsum((b & 0xC0) != 0x80)))
+    at_point = (lambda k: k) if point is None else (lambda k: point[k])
+    all_sh = shingles(h, p.shingle) if len(h) >= p.shingle else np.empty(0, np.uint64)
 
-    def table(x: np.ndarray, y: np.ndarray, v: np.ndarray) -> dict[str, np.ndarray]:
+    def found(x: np.ndarray, y: np.ndarray, salt: np.uint64, bands: int, rows: int) -> Paragraphs:
+        node = range_hashes(h, x, y) if len(x) else np.empty(0, np.uint64)
         of = np.searchsorted(base, s[x], "right") - 1 if len(x) else x
-        return {"of": of, "start": at_point(s[x]) - at_point(base[of]), "end": at_point(e[y - 1]) - at_point(base[of]), "first": x - word[of], "last": y - word[of], "hash": v.view(np.int64)}
+        out = Paragraphs(of, x - word[of], y - word[of], at_point(s[x]) - at_point(base[of]), at_point(e[y - 1]) - at_point(base[of]), (mix(node + salt) if salt else node).view(np.int64))
+        if banded:
+            count = y - x - p.shingle + 1  # one after another
+            out.bands = band_keys(all_sh[ragged(x, count)], np.cumsum(count) - count, bands, rows) if len(x) else np.empty((0, bands), np.int64)
+            out.bands ^= salt.astype(np.int64)
+        return out
+
+    doc = np.searchsorted(base, s, "right")
+    x = anchors(all_sh, doc[: len(all_sh)], doc[p.shingle - 1 :], p.reach)
+    x = x[doc[np.minimum(x + p.window, len(doc)) - 1] == doc[x]] if len(x) else x
+    x = x[x + p.window <= len(h)]
+    return found(edge[long], stop[long], np.uint64(0), p.bands, p.rows), found(x, x + p.window, PASSAGE, p.window_bands, p.window_rows)
 
-    lines = table(a, z, range_hashes(h, a, z))
-    if not len(a):
-        return lines | {"bands": np.empty((0, p.bands), np.int64)}, table(a, z, np.empty(0, np.uint64))
-    # shingles of the long lines, one after another
-    count = z - a - p.shingle + 1
-    begin, at = np.cumsum(count) - count, ragged(a, count)
-    sh = range_hashes(h, at, at + p.shingle)
-    lines["bands"] = band_keys(sh, begin, p)
-    inner = cuts(h, a, z, p.reach)
-    x = np.unique(np.concatenate([a, inner]))
-    y = np.append(x[1:], z[-1])
-    y = np.minimum(y, z[np.searchsorted(a, x, "right") - 1])  # a line's last part ends with it
-    full = y - x > p.reach
-    x, y = x[full], y[full]
-    return lines, table(x, y, mix(range_hashes(h, x, y) + np.uint64(1)))
 
+#: Bytes of text whose paragraphs are found together, and nodes of several documents that a task remembers.
+TOGETHER, REMEMBERED = 1 << 20, 1_000_000
 
-#: Bytes of text whose spans are found together.
-TOGETHER = 1 << 20
 
+def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, list[bytes]]]:
+    for b in batches:
+        ids, some, first, size = b.column(0).to_numpy(), [], 0, 0
+        for k, t in enumerate(b.column(1).cast(pa.binary())):
+            some.append(t.as_py() or b"")
+            size += len(some[-1])
+            if size >= TOGETHER or k == b.num_rows - 1:
+                yield ids[first : k + 1], some
+                some, first, size = [], k + 1, 0
 
-def _scan(p: SubstringParams):
-    names = ["doc_id", "start", "end", "first", "last", "hash", *(f"band{k}" for k in range(p.bands))]
 
-    def handed(ids: np.ndarray, t: dict[str, np.ndarray]) -> pa.RecordBatch:
-        n = len(t["of"])
-        bands = [pa.array(np.ascontiguousarray(t["bands"][:, k])) if "bands" in t else pa.nulls(n, pa.int64()) for k in range(p.bands)]
-        return pa.RecordBatch.from_arrays([pa.array(ids[t["of"]]), *(pa.array(t[c].astype(np.int32)) for c in names[1:5]), pa.array(t["hash"]), *bands], names)
+def _keys(p: SubstringParams):
+    """(key, node): the bands of the nodes of some texts, once for a node, twice where it is in several documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            ids, some, first, size = b.column(0).to_numpy(), [], 0, 0
-            for k, t in enumerate(b.column(1).cast(pa.binary())):
-                some.append(t.as_py() or b"")
-                size += len(some[-1])
-                if size >= TOGETHER or k == b.num_rows - 1:
-                    for t in spans(some, p):
-                        if len(t["of"]):
-                            yield handed(ids[first : k + 1], t)
-                    some, first, size = [], k + 1, 0
+        told = np.empty(0, np.int64)
+        for ids, texts in _together(batches):
+            for x in paragraphs(texts, p, True):
+                if not len(x.of):
+                    continue
+                order = np.lexsort((ids[x.of], x.node))
+                node, doc = x.node[order], ids[x.of][order]
+                starts = np.flatnonzero(np.concatenate(([True], node[1:] != node[:-1])))
+                many = np.minimum.reduceat(doc, starts) != np.maximum.reduceat(doc, starts)
+                nodes, bands = node[starts], x.bands[order][starts]
+                new = ~np.isin(nodes, told)
+                told = np.concatenate([told if len(told) < REMEMBERED else told[:0], nodes[many & new]])
+                times = np.where(many, 2, 1)[new]
+                key, held = np.repeat(bands[new], times, axis=0), np.repeat(nodes[new], times)
+                yield pa.RecordBatch.from_arrays([pa.array(key.ravel()), pa.array(np.repeat(held, key.shape[1]))], ["key", "node"])
+
+    return run
+
+
+def _spans(p: SubstringParams):
+    """All paragraphs; of equal ones that overlap in a document, as in a text of one repeated word, one span."""
+    names = ["doc_id", "start", "end", "first", "last", "node"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ids, texts in _together(batches):
+            for x in paragraphs(texts, p):
+                if not len(x.of):
+                    continue
+                goes_on = (x.node[1:] == x.node[:-1]) & (x.of[1:] == x.of[:-1]) & (x.first[1:] <= x.last[:-1])
+                begin, end = np.flatnonzero(np.concatenate(([True], ~goes_on))), np.flatnonzero(np.concatenate((~goes_on, [True])))
+                columns = [x.start[begin], x.end[end], x.first[begin], x.last[end]]
+                yield pa.RecordBatch.from_arrays([pa.array(ids[x.of[begin]]), *(pa.array(c.astype(np.int32)) for c in columns), pa.array(x.node[begin])], names)
 
     return run
 
 
 def _shared_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by key, those whose key stands in another row too."""
+    """Of rows sorted by key and node, each pair once whose key stands in two rows or more."""
     held = None
     for b in batches:
         key, node = b.column(0).to_numpy(), b.column(1).to_numpy()
@@ -173,15 +222,20 @@ def _shared_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if held is not None:
             key, node = np.concatenate(([held[0]], key)), np.concatenate(([held[1]], node))
         same = key[1:] == key[:-1]
-        before = np.concatenate(([held is not None and held[2]], same))
-        on = before | np.concatenate((same, [False]))
-        held = (key[-1], node[-1], bool(on[-1]))
-        # the first row was held back; if it was on before it has not been handed on yet either
-        yield pa.RecordBatch.from_arrays([pa.array(key[:-1][on[:-1]]), pa.array(node[:-1][on[:-1]])], ["key", "node"])
-    if held is not None and held[2]:
+        on = np.concatenate(([held is not None and held[2]], same)) | np.concatenate((same, [False]))
+        again = np.concatenate(([held is not None and held[3]], same & (node[1:] == node[:-1])))
+        held = (key[-1], node[-1], bool(on[-1]), bool(again[-1]))
+        # the last row is held back, as the next may have its key
+        out = (on & ~again)[:-1]
+        yield pa.RecordBatch.from_arrays([pa.array(key[:-1][out]), pa.array(node[:-1][out])], ["key", "node"])
+    if held is not None and held[2] and not held[3]:
         yield pa.RecordBatch.from_arrays([pa.array([held[0]], pa.int64()), pa.array([held[1]], pa.int64())], ["key", "node"])
 
 
+def _shared(keys: DataFrame, name: str) -> DataFrame:
+    return saved(keys.repartition("key").sortWithinPartitions("key", "node").mapInArrow(_shared_keys, "key long, node long"), name)
+
+
 def jaccard(a: np.ndarray, b: np.ndarray) -> float:
     """Of two sorted arrays without repeats."""
     small, large = (a, b) if len(a) < len(b) else (b, a)
@@ -256,7 +310,9 @@ def _payload(docs: DataFrame, nodes: DataFrame, p: SubstringParams) -> DataFrame
             for text, want in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 for x in want:
                     h = mix(words((text or "")[x["start"] : x["end"]].encode().lower())[0])
-                    if len(h) and range_hashes(h, np.array([0]), np.array([len(h)])).view(np.int64)[0] == x["node"]:
+                    if len(h) and range_hashes(h, np.array([0]), np.array([len(h)])).view(np.int64)[0] != x["node"]:
+                        h = h[: p.window]  # a passage, or several in one span
+                    if len(h) and x["node"] in (whole := range_hashes(h, np.array([0]), np.array([len(h)]))).view(np.int64).tolist() + mix(whole + PASSAGE).view(np.int64).tolist():
                         nodes.append(x["node"])
                         sets.append(np.unique(shingles(h, p.shingle).view(np.int64)))
             yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], ["node", "sh"])
@@ -302,9 +358,26 @@ def _compared(rows: DataFrame, p: SubstringParams) -> DataFrame:
     return dealt.mapInArrow(run, "a long, b long")
 
 
-def similar_nodes(buckets: DataFrame, payload: DataFrame, p: SubstringParams) -> DataFrame:
-    """(node, component) of all nodes that have a link, from (key, node) of shared buckets."""
-    size = saved(buckets.groupBy("key").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("who")), "bucket-sizes")
+def _sharing_rare(rows: DataFrame, payload: DataFrame, p: SubstringParams) -> DataFrame:
+    """(key, node) from (key, node): nodes of a key that share one of their rarest shingles there get a key of their own.
+
+    Two sets of a similarity t or more have ceil(t * size) elements in common at least, so in any one order
+    of all elements they share one of the first size - ceil(t * size) + 1 of either. Rarest first, few others do.
+    """
+    sets = rows.join(payload.withColumnRenamed("node", "of"), F.col("node") == F.col("of")).select("key", "node", F.size("sh").alias("size"), F.explode("sh").alias("e"))
+    sets = saved(sets, "open-sets")
+    often = saved(sets.groupBy(F.col("key").alias("k"), F.col("e").alias("el")).agg(F.count("*").alias("n")).where("n > 1"), "open-shingles")
+    counted = sets.join(often, (F.col("key") == F.col("k")) & (F.col("e") == F.col("el")), "left")
+    # a node's own shingles; those that no other has are first, and are no keys
+    first = counted.groupBy("key", "node", "size").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(1)).alias("n"), "e"))).alias("order"))
+    need = F.col("size") - F.ceil(F.col("size") * p.similarity - 1e-9) + 1
+    each = first.select("key", "node", F.explode(F.slice("order", F.lit(1), need.cast("int"))).alias("x")).where("x.n > 1")
+    return each.select(F.xxhash64("key", "x.e").alias("key"), "node")
+
+
+def similar_nodes(buckets: DataFrame, payload: DataFrame, p: SubstringParams, finer: bool = True) -> DataFrame:
+    """(node, component) of all nodes that have a link, from (key, node) of shared buckets, each pair once."""
+    size = saved(buckets.groupBy("key").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("who")).where("n > 1"), "bucket-sizes")
     # bands often bring the same nodes together: one bucket of each kind will do
     kinds = saved(size.groupBy("n", "who").agg(F.min("key").alias("of")).select("of", "n"), "bucket-kinds")
     rows = saved(buckets.join(kinds, buckets["key"] == kinds["of"]).drop("of").withColumn("blocks", F.ceil(F.col("n") / p.block).cast("int")), "buckets")
@@ -321,11 +394,17 @@ def similar_nodes(buckets: DataFrame, payload: DataFrame, p: SubstringParams) ->
     labelled = saved(big.join(found.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left").select("key", "block", "blocks", "node", F.coalesce("component", "node").alias("component")), "labelled")
     counts = labelled.groupBy("key", "component").agg(F.count("*").alias("n")).groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count("*").alias("parts")).where("parts > 1")
     open_keys = saved(counts.select(F.col("key").alias("of"), "main"), "open-buckets")
+    if open_keys.isEmpty():
+        return found
     left = labelled.join(open_keys, F.col("key") == F.col("of")).drop("of")
-    asking = left.where("component <> main").select("key", every, "node", F.lit(True).alias("asks"))
-    asked = left.select("key", "block", "node", F.lit(False).alias("asks"))
-    pairs = asked.unionByName(asking).groupBy("key", "block", "node").agg(F.max("asks").alias("asks"))
-    more = saved(_compared(with_sets(pairs), p), "more-links")
+    if finer:
+        more = similar_nodes(saved(_sharing_rare(left.select("key", "node"), payload, p), "finer-buckets"), payload, p, False)
+        more = more.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    else:  # what shares its rarest shingles and is not alike still: those outside the largest cluster ask every block
+        asking = left.where("component <> main").select("key", every, "node", F.lit(True).alias("asks"))
+        asked = left.select("key", "block", "node", F.lit(False).alias("asks"))
+        pairs = asked.unionByName(asking).groupBy("key", "block", "node").agg(F.max("asks").alias("asks"))
+        more = saved(_compared(with_sets(pairs), p), "more-links")
     return saved(components(links.unionByName(more)), "all-clusters")
 
 
@@ -337,7 +416,7 @@ def _documents(p: SubstringParams):
                 h = mix(words((t.as_py() or b"").lower())[0])
                 if len(h):
                     node[k] = range_hashes(h, np.array([0]), np.array([len(h)])).view(np.int64)[0]
-                    bands[k] = band_keys(shingles(h, p.shingle), np.array([0]), p)[0]
+                    bands[k] = band_keys(shingles(h, p.shingle), np.array([0]), p.bands, p.rows)[0]
             some = pa.array(node != 0)
             columns = [pa.array(node), *(pc.if_else(some, pa.array(np.ascontiguousarray(c)), None) for c in bands.T)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *columns], ["row", "doc_id", "node", *(f"band{k}" for k in range(p.bands))])
@@ -353,7 +432,7 @@ def similar_documents(rows: DataFrame, p: SubstringParams) -> DataFrame:
     bands = [f"band{k}" for k in range(p.bands)]
     keyed = saved(rows.mapInArrow(_documents(p), ", ".join(["row long, doc_id long, node long", *(f"{c} long" for c in bands)])), "documents")
     nodes = saved(keyed.where("band0 is not null").groupBy("node").agg(F.min("row").alias("row"), *(F.min(c).alias(c) for c in bands)), "document-nodes")
-    buckets = saved(nodes.select(F.explode(F.array(*bands)).alias("key"), "node").repartition("key").sortWithinPartitions("key").mapInArrow(_shared_keys, "key long, node long"), "shared-document-bands")
+    buckets = _shared(nodes.select(F.explode(F.array(*bands)).alias("key"), "node"), "shared-document-bands")
     shared = buckets.select(F.col("node").alias("of")).distinct()
     near = saved(nodes.join(shared, F.col("node") == F.col("of")).select("node", F.col("row").alias("doc_id"), F.lit(0).alias("start"), F.lit((1 << 31) - 1).alias("end")), "near-documents")
     payload = saved(_payload(rows.select(F.col("row").alias("doc_id"), "text"), near, p), "document-shingles")
@@ -369,34 +448,32 @@ def repeated_spans(docs: DataFrame, params: SubstringParams = SubstringParams(),
     """
     p = params
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).where("doc_id is not null")
-    bands = [f"band{k}" for k in range(p.bands)]
-    found = saved(docs.mapInArrow(_scan(p), ", ".join([SPANS, *(f"{c} long" for c in bands)])).withColumn("span", F.monotonically_increasing_id()), "spans")
-    lines, parts = found.where("band0 is not null"), found.where("band0 is null").drop(*bands)
-    # lines: equal ones are one node; nodes that share a band are compared
-    nodes = saved(lines.groupBy("hash").agg(F.min("span").alias("span"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), *(F.min(c).alias(c) for c in bands)), "nodes")
-    banded = nodes.select(F.explode(F.array(*bands)).alias("key"), F.col("hash").alias("node"))
-    buckets = saved(banded.repartition("key").sortWithinPartitions("key").mapInArrow(_shared_keys, "key long, node long"), "shared-bands")
-    shared = buckets.select(F.col("node").alias("of")).distinct()
-    near = saved(nodes.join(shared, F.col("hash") == F.col("of")).select(F.col("span").alias("at")), "near-nodes")
-    near = lines.join(near, F.col("span") == F.col("at")).select(F.col("hash").alias("node"), "doc_id", "start", "end")
-    payload = saved(_payload(docs, saved(near, "near-lines"), p), "shingle-sets")
-    clusters = similar_nodes(buckets, payload, p)
-    members = nodes.join(clusters.withColumnRenamed("node", "of"), F.col("hash") == F.col("of"), "left").select("hash", F.coalesce("component", "hash").alias("component"), "lo", "hi")
-    members = saved(members, "members")
+    shared = _shared(docs.mapInArrow(_keys(p), "key long, node long"), "shared-bands")
+    # nodes that share a band, if only with themselves, and where they stand
+    of = shared.select(F.col("node").alias("of")).distinct()
+    places = saved(docs.mapInArrow(_spans(p), SPANS).join(saved(of, "shared-nodes"), F.col("node") == F.col("of")).drop("of"), "places")
+    nodes = saved(places.groupBy("node").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.min(F.struct("doc_id", "start", (F.col("last") - F.col("first")).alias("n"), "end")).alias("at")), "nodes")
+    # those that share a band with others are compared, from the text of one place
+    alone = shared.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select(F.col("key").alias("of"))
+    buckets = saved(shared.join(saved(alone, "keys-of-several"), F.col("key") == F.col("of")).select("key", "node"), "buckets-of-several")
+    met = saved(buckets.select(F.col("node").alias("of")).distinct(), "met-nodes")
+    near = saved(nodes.join(met, F.col("node") == F.col("of")).select("node", "at.doc_id", "at.start", "at.end"), "near-places")
+    payload = saved(_payload(docs, near, p), "shingle-sets")
+    clusters = similar_nodes(buckets, payload, p).withColumnRenamed("node", "of")
+    members = saved(nodes.join(clusters, F.col("node") == F.col("of"), "left").select("node", F.coalesce("component", "node").alias("component"), "lo", "hi"), "members")
     reach = saved(members.groupBy("component").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("lo < hi").select(F.col("component").alias("of"), "lo"), "repeated")
-    line_groups = saved(members.select("hash", "component").join(reach, F.col("component") == F.col("of")).select("hash", "lo"), "repeated-lines")
-    # parts: equal ones in two documents or more
-    part_groups = saved(parts.groupBy("hash").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("hash", "lo"), "repeated-parts")
-    cols = ["doc_id", "start", "end", "first", "last", "lo"]
-    hit = lambda s, g: s.join(g.withColumnRenamed("hash", "of"), F.col("hash") == F.col("of")).select(*cols)
-    hits = saved(hit(lines, line_groups).unionByName(hit(parts, part_groups)), "hits")
+    repeated = saved(members.select("node", "component").join(reach, F.col("component") == F.col("of")).select(F.col("node").alias("of"), "lo"), "repeated-nodes")
+    hits = saved(places.join(repeated, F.col("node") == F.col("of")).select("doc_id", "start", "end", "first", "last", "lo"), "hits")
     # a document's spans are bounded by its words
     removed = F.col("lo") < F.col("doc_id")
     by_doc = hits.withColumn("removed", removed)
     islands = by_doc.selectExpr("*", "case when first > coalesce(max(last) over (partition by doc_id, removed order by first, last rows between unbounded preceding and 1 preceding), -1) then 1 else 0 end as opens")
     numbered = islands.selectExpr("*", "sum(opens) over (partition by doc_id, removed order by first, last rows unbounded preceding) as island")
     joined = numbered.groupBy("doc_id", "removed", "island").agg(F.min("start").alias("start"), F.max("end").alias("end"), (F.max("last") - F.min("first")).cast("long").alias("n_words"), F.min("lo").alias("component_id"))
-    return joined.where(F.col("n_words") >= p.min_words).select("doc_id", "start", "end", "n_words", "component_id", "removed")
+    long = joined.where(F.col("n_words") >= p.min_words)
+    # a text that stays as part of one that goes is no span of its own
+    gone = long.selectExpr("*", "max(case when removed then end end) over (partition by doc_id order by start, removed desc, end desc rows unbounded preceding) as gone")
+    return gone.where("removed or gone is null or gone < end").select("doc_id", "start", "end", "n_words", "component_id", "removed")
 
 
 def remove_spans(docs: DataFrame, params: SubstringParams = SubstringParams(), text: str = "text", doc_id: str = "doc_id") -> DataFrame:

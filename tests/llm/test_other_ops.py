@@ -57,11 +57,67 @@ def test_substring(spark):
         assert r.component_id == lo and r.removed == (doc != lo)
         cut = text[doc][r.start : r.end].lower()
         assert cut in PASSAGE.lower() or cut in text[doc].split("\n") or cut in text[doc]
-        assert r.n_words >= (30 if doc < 3 else 70)
-    assert text[4][by[4][0].start : by[4][0].end] == edited(LINE, 30)
+        assert r.n_words >= (25 if doc < 3 else 70)
+    assert text[4][by[4][0].start : by[4][0].end].startswith(edited(LINE, 30))
     left = {r.doc_id: r for r in substring.remove_spans(docs).collect()}
     assert left[1].text == text[1] and left[3].text == text[3] and left[6].text is None and left[None].text == LINE
-    assert LINE.split()[0] not in left[4].text.split() and SHORT in left[4].text
+    assert LINE.split()[0] not in left[4].text.split() and SHORT in left[5].text == text[5]
+
+
+def test_passages_cross_lines(spark):
+    """Verse: every line is short, and a passage of 49 words or more is found wherever it stands."""
+    wrapped = lambda t, n: "\n".join(" ".join(t.split()[k : k + n]) for k in range(0, len(t.split()), n))
+    shared = [prose(49 + k) for k in range(12)]
+    rows = [(k, wrapped(f"{prose(int(rng.integers(0, 60)))} {t} {prose(int(rng.integers(0, 60)))}", 7)) for k, t in enumerate(shared)]
+    rows += [(100 + k, wrapped(f"{prose(int(rng.integers(0, 60)))} {t} {prose(int(rng.integers(0, 60)))}", 11)) for k, t in enumerate(shared)]
+    rows += [(200, "same " * 4000), (201, "same " * 3000), (202, "a b c " * 500)]
+    got = substring.repeated_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    by = defaultdict(list)
+    for r in got:
+        by[r.doc_id].append(r)
+    assert set(by) == {*range(12), *range(100, 112), 200, 201}
+    for k in range(12):
+        assert {r.component_id for r in by[100 + k]} == {k} and all(r.removed for r in by[100 + k])
+    assert [(r.start, r.end, r.removed) for r in by[201]] == [(0, 3000 * 5 - 1, True)]
+
+
+def test_paragraphs_against_all_pairs(spark):
+    """Recall of links over all pairs of paragraphs of a kind, by brute force over shingle sets."""
+    p = substring.SubstringParams()
+    base = [prose(90) for _ in range(25)]
+    copies = [edited(t, *rng.choice(90, int(rng.integers(0, 4)), replace=False)) for t in base for _ in range(4)]
+    rows = [(k, "\n".join([prose(int(rng.integers(3, 40))), t, prose(int(rng.integers(3, 40)))])) for k, t in enumerate(rng.permutation(copies).tolist())]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    both = substring.paragraphs([t.encode() for _, t in rows], p)
+    words = [t.lower().split() for _, t in rows]
+    expected = set()
+    for x in both:
+        places = list(zip(x.of.tolist(), x.first.tolist(), x.last.tolist()))
+        sets = [{tuple(words[o][k : k + 5]) for k in range(a, b - 4)} for o, a, b in places]
+        holds = defaultdict(set)
+        for k, one in enumerate(sets):
+            for e in one:
+                holds[e].add(k)
+        label = list(range(len(sets)))
+
+        def find(i):
+            while label[i] != i:
+                i = label[i]
+            return i
+
+        for i, one in enumerate(sets):
+            for j in set().union(*(holds[e] for e in one)):
+                if j < i and len(one & sets[j]) / len(one | sets[j]) >= 0.8:
+                    label[find(i)] = find(j)
+        members = defaultdict(set)
+        for k, (o, a, b) in enumerate(places):
+            members[find(k)].add((o, a, b))
+        for m in members.values():
+            lo = min(o for o, _, _ in m)
+            if len({o for o, _, _ in m}) > 1:
+                expected |= {(o, k) for o, a, b in m if o > lo for k in range(a, b)}
+    got = {(r.doc_id, k) for r in substring.repeated_spans(docs).where("removed").collect() for k in range(len(rows[r.doc_id][1][: r.start].split()), len(rows[r.doc_id][1][: r.end].split()))}
+    assert len(got - expected) == 0 and len(got & expected) >= 0.95 * len(expected)
 
 
 def brute_components(sets, similarity):
@@ -103,9 +159,22 @@ def test_big_buckets_lose_no_link(spark):
     sets = sets_like_chains(120)
     payload = spark.createDataFrame([(i, sorted(s)) for i, s in enumerate(sets)], "node long, sh array<long>")
     buckets = spark.createDataFrame([(7, i) for i in range(120)] + [(8, 0), (8, 1)], "key long, node long")
-    got = {r.node: r.component for r in substring.similar_nodes(buckets, payload, substring.SubstringParams(block=8)).collect()}
     want = brute_components(sets, 0.8)
-    assert [got.get(i, i) for i in range(120)] == want
+    for finer in (True, False):
+        got = {r.node: r.component for r in substring.similar_nodes(buckets, payload, substring.SubstringParams(block=8), finer).collect()}
+        assert [got.get(i, i) for i in range(120)] == want
+
+
+def test_nodes_that_are_not_alike_do_not_meet(spark):
+    """One common shingle brings 400 sets together; what they are compared by in the end are rare ones."""
+    sets = [{0, *range(1000 * i + 1, 1000 * i + 40)} for i in range(400)]
+    sets[7] = sets[3] | {9}
+    payload = spark.createDataFrame([(i, sorted(s)) for i, s in enumerate(sets)], "node long, sh array<long>")
+    p = substring.SubstringParams(block=8)
+    finer = substring._sharing_rare(spark.createDataFrame([(7, i) for i in range(400)], "key long, node long"), payload, p).groupBy("key").count().collect()
+    assert max(r[1] for r in finer) == 2 and len(finer) <= 18
+    got = {r.node: r.component for r in substring.similar_nodes(spark.createDataFrame([(7, i) for i in range(400)], "key long, node long"), payload, p).collect()}
+    assert got[7] == got[3]
 
 
 def test_bands_reach_their_recall():
@@ -113,28 +182,39 @@ def test_bands_reach_their_recall():
     for _ in range(150):
         line = prose(60)
         other = edited(line, *rng.choice(60, 1, replace=False))
-        a, b = map(set, substring.spans([line.encode(), other.encode()], p)[0]["bands"].tolist())
+        a, b = map(set, substring.paragraphs([line.encode(), other.encode()], p, True)[0].bands.tolist())
         n, met = n + 1, met + bool(a & b)
     assert met / n > 0.97
+    met = n = 0
+    for _ in range(400):  # windows at 19 of 23 shingles
+        a, b = (prose(50).split() for _ in range(2))
+        sh = [substring.shingles(hashing.mix(hashing.words(" ".join(w).encode())[0]), 5) for w in (a[:25], [*a[:23], *b[:2]])]
+        one, two = (set(substring.band_keys(x, np.array([0]), p.window_bands, p.window_rows)[0].tolist()) for x in sh)
+        n, met = n + 1, met + bool(one & two)
+    assert met / n > 0.97
 
 
 def test_spans_do_not_depend_on_their_company():
     p = substring.SubstringParams()
     texts = ["", f"é {prose(30)}\n{prose(5)}\n\n {prose(45)} ", prose(400), " \n", f"{prose(21)} ünd\n{prose(25)}", "x"]
     data = [t.encode() for t in texts]
-    both = [{k: v for k, v in t.items()} for t in substring.spans(data, p)]
-    for which, n in ((0, 5), (1, 40)):
+    both = substring.paragraphs(data, p)
+    columns = ("start", "end", "first", "last", "node")
+    for which, n in ((0, 5), (1, 20)):
         rows = []
         for i, d in enumerate(data):
-            t = substring.spans([d], p)[which]
-            rows += [(i, *(t[c][k] for c in ("start", "end", "first", "last", "hash"))) for k in range(len(t["of"]))]
+            t = substring.paragraphs([d], p)[which]
+            rows += [(i, *(getattr(t, c)[k] for c in columns)) for k in range(len(t.of))]
         got = both[which]
-        assert rows == [(got["of"][k], *(got[c][k] for c in ("start", "end", "first", "last", "hash"))) for k in range(len(got["of"]))]
+        assert rows == [(got.of[k], *(getattr(got, c)[k] for c in columns)) for k in range(len(got.of))]
         assert len(rows) >= n
         for i, start, end, first, last, _ in rows:
             assert texts[i][start:end].split() == texts[i].split()[first:last]
-    x = {tuple(t["hash"].tolist()) for t in (substring.spans([f"{prose(25)} {texts[2]}".encode()], p)[1],)}.pop()
-    assert len(set(x) & set(substring.spans([data[2]], p)[1]["hash"].tolist())) >= 25
+    x = set(substring.paragraphs([f"{prose(25)} {texts[2]}".encode()], p)[1].node.tolist())
+    own = set(substring.paragraphs([data[2]], p)[1].node.tolist())
+    assert own <= x
+    at = substring.paragraphs([data[2]], p)[1].first
+    assert np.diff(at).max() <= p.reach and at[0] < p.reach
 
 
 def test_shared_keys():
@@ -146,6 +226,12 @@ def test_shared_keys():
     got = sorted(n for b in substring._shared_keys(iter(batches)) for n in b.column(1).to_pylist())
     count = Counter(key.tolist())
     assert got == [i for i in range(400) if count[key[i]] > 1]
+    node = rng.integers(0, 3, 400)
+    order = np.lexsort((node, key))
+    key, node = key[order], node[order]
+    batches = [pa.RecordBatch.from_arrays([pa.array(key[p]), pa.array(node[p])], ["key", "node"]) for p in parts]
+    got = [r for b in substring._shared_keys(iter(batches)) for r in zip(b.column(0).to_pylist(), b.column(1).to_pylist())]
+    assert sorted(got) == sorted({(k, n) for k, n in zip(key.tolist(), node.tolist()) if count[k] > 1})
 
 
 def test_word_hashes():
