@@ -18,7 +18,7 @@ The template decides inside article and main elements too: a notice that repeats
 out there whatever its class name is. Copies of an article are no template: a class that makes up at
 least `copied` of the article text of the pages it is in is such a copy, its text stays, and so does that
 of classes in no more pages than it, which are parts that some copies lack. The text of a page that has
-nothing but template text stays. Hosts with fewer than `min_pages` pages have no template; the element
+nothing but template text stays. On a host of one page nothing repeats, so it has no template; the element
 rules still hold.
 
 A null html is an empty page with empty text. Pages that share an id are pages of their own. A null
@@ -50,15 +50,22 @@ CLOSES_ITSELF = frozenset("p li dt dd tr td th option".split())
 HOLDS_ITEMS = frozenset("ul ol dl table select menu div article section main body".split())
 NOT_TEXT = frozenset("head nav footer aside form button select iframe dialog menu object video audio canvas fieldset".split())
 NOT_TEXT_ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alertdialog alert".split())
-#: Words that mark a region when they are a whole part (between - _ and spaces) of its class or id.
+#: Words that mark a region as the whole of a class or id, or with others of them and of those that tell a place only.
 NOT_TEXT_NAMES = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login "
     "nav navbar navigation menu menus breadcrumb breadcrumbs pagination pager sidebar sidebars aside widget widgets footer masthead topbar toolbar related recommended recommendations share sharing social "
     "comment comments discussion disqus replies reply respond feedback disclaimer copyright".split()
 )
+PLACES = frozenset(
+    "site page main top bottom left right center upper lower inner outer global primary secondary container wrapper wrap box block section area region zone panel pane bar strip slot unit row col column "
+    "list item items links link button buttons text title label form body content header head group holder frame layer mobile desktop fixed sticky js the my reader readers user users visitor article articles post posts entry entries story stories reading".split()
+)
 RAW = "script|style|noscript|template|svg|math|textarea|title|xmp|noembed|noframes"
 
-TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<({RAW})\b(?:[^>\"']+|\"[^\"]*\"|'[^']*')*+>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']+|\"[^\"]*\"|'[^']*')*+)>|<[!?][^>]*>", re.S | re.I)
+# Attributes up to the end of a tag: a value's quotes count where the value ends with its tag or before more of it,
+# so a quote that is never closed, or closed in another tag, ends with its own tag. A tag cut off by the page's end is one.
+_ATTRIBUTES = r"(?:=\s*\"[^\"]*\"(?=[\s/>])|=\s*'[^']*'(?=[\s/>])|=|[^>=]+)*+(?:>|\Z)"
+TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<({RAW})\b{_ATTRIBUTES}.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][^\s/>]*)({_ATTRIBUTES})|<[!?/][^>]*(?:>|\Z)", re.S | re.I)
 ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 HIDDEN = re.compile(r"(?:^|\s)hidden(?=[\s=/]|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 PARTS = re.compile(r"[\s_-]+|(?<=[a-z])(?=[A-Z])")
@@ -66,9 +73,9 @@ PARTS = re.compile(r"[\s_-]+|(?<=[a-z])(?=[A-Z])")
 
 @dataclass(frozen=True)
 class ExtractParams:
-    #: Pages a host needs for a template, and the share of them that a large class is in.
-    min_pages: int = 4
+    #: Share of a host's pages that a large class is in, and pages at least, as a template is what repeats.
     share: float = 0.5
+    min_pages: int = 2
     #: Share of its pages' article text from which on a class is a copied article.
     copied: float = 0.8
 
@@ -84,6 +91,12 @@ class Block:
     link: bool
 
 
+def _marks_region(name: str) -> bool:
+    """Whether a class or id is a region's: `site-footer` and `cookie-banner` are, `related-work` and `share-price` are not."""
+    parts = [p.lower() for p in PARTS.split(name) if p and not p.isdigit()]
+    return any(p in NOT_TEXT_NAMES for p in parts) and all(p in NOT_TEXT_NAMES or p in PLACES for p in parts)
+
+
 def _is_out(name: str, attributes: str, in_article: bool) -> bool:
     if name in NOT_TEXT or (name == "header" and not in_article):
         return True
@@ -96,7 +109,7 @@ def _is_out(name: str, attributes: str, in_article: bool) -> bool:
         if key.lower() == "role":
             if value.lower() in NOT_TEXT_ROLES:
                 return True
-        elif any(p.lower() in NOT_TEXT_NAMES for p in PARTS.split(value)):
+        elif any(_marks_region(name) for name in value.split()):
             return True
     return False
 
@@ -153,7 +166,7 @@ def parse(page: str) -> tuple[list[Block], list[int]]:
                 if stack[k][0] in HOLDS_ITEMS:
                     break
         _, path, article, out = stack[-1]
-        attributes = m[4]
+        attributes = m[4].removesuffix(">")
         path = xxhash.xxh64_intdigest(name, path) & ~1
         tokens.append(path)
         if name in VOID or attributes.endswith("/"):
@@ -211,16 +224,20 @@ def _count(batches: Iterator[pa.RecordBatch], sizes: bool = False) -> Iterator[p
 
 def valid_classes(vector: np.ndarray, pages: np.ndarray, place: np.ndarray) -> np.ndarray:
     """True for tokens of classes that nest: no two of their spans, from the first token to the last, overlap in part."""
-    spans: list[tuple[float, float]] = []
     keep = np.zeros(len(vector), bool)
-    classes: dict[tuple[int, int], list[int]] = {}
-    for k, key in enumerate(zip(pages.tolist(), vector.tolist())):
-        classes.setdefault(key, []).append(k)
-    for (_, _), members in sorted(classes.items(), key=lambda c: (-c[0][0], -len(c[1]))):
-        a, b = float(place[members].min()), float(place[members].max())
-        if all(b < x or y < a or (x <= a and b <= y) or (a <= x and y <= b) for x, y in spans):
-            spans.append((a, b))
-            keep[members] = True
+    _, of = np.unique(np.stack([pages, vector], 1), axis=0, return_inverse=True)
+    order = np.argsort(of, kind="stable")
+    begin = np.flatnonzero(np.concatenate(([True], of[order][1:] != of[order][:-1]))) if len(of) else np.empty(0, np.int64)
+    size = np.diff(np.append(begin, len(of)))
+    low, high = (f.reduceat(place[order], begin) if len(begin) else np.empty(0) for f in (np.minimum, np.maximum))
+    at, known = np.empty((2, len(begin))), 0
+    for k in np.lexsort((-size, -pages[order][begin])).tolist():  # the most frequent first, of those the largest
+        a, b = low[k], high[k]
+        x, y = at[:, :known]
+        if ((b < x) | (y < a) | (x <= a) & (b <= y) | (a <= x) & (y <= b)).all():
+            at[:, known] = a, b
+            known += 1
+            keep[order[begin[k] : begin[k] + size[k]]] = True
     return keep
 
 
@@ -238,7 +255,7 @@ def deduce_templates(pages: DataFrame, params: ExtractParams = ExtractParams(),
     found = pages.select(host_of(F.col(url)).alias("host"), F.col(html).alias("html")).mapInArrow(partial(_count, sizes=True), "host string, token long, pages long, vector long, place long, size long, whole long")
     tokens = saved(found.groupBy("host", "token").agg(F.sum("pages").alias("pages"), F.bit_xor("vector").alias("vector"), *(F.sum(c).alias(c) for c in ("place", "size", "whole"))), "tokens")
     hosts = saved(tokens.where(f"token = 0 and pages >= {params.min_pages}").select(F.col("host").alias("of"), F.col("pages").alias("all_pages")), "hosts")
-    large = tokens.where(f"token <> 0 and pages >= {params.min_pages} * {params.share}").join(hosts, F.col("host") == F.col("of")).where(F.col("pages") >= F.col("all_pages") * params.share)
+    large = tokens.where(f"token <> 0 and pages >= {params.min_pages}").join(hosts, F.col("host") == F.col("of")).where(F.col("pages") >= F.col("all_pages") * params.share)
 
     def nest(key, t):
         ok = valid_classes(t.vector.to_numpy(), t.pages.to_numpy(), (t.place / t.pages).to_numpy())

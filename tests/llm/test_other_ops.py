@@ -406,6 +406,66 @@ def test_equivalence_classes(spark):
     assert sorted(map(sorted, classes.values())) == sorted(map(sorted, brute.values()))
 
 
+def test_markup_and_names():
+    text = lambda body: html_text.main_text(html_text.parse(page(body))[0], frozenset())
+    assert text('<article><p class="x>Hello</p><p class="y">there</p></article>') == "Hello there"
+    assert text("<article><p title=it's>It</p><p>doesn't</p></article>") == "It doesn't"
+    assert html_text.main_text(html_text.parse('<article><p>one</p><a href="x" ')[0], frozenset()) == "one"
+    assert html_text.main_text(html_text.parse("<article><p>one</p></arti")[0], frozenset()) == "one"
+    assert text("<article><p data-x='a > b' title=\"c > d\">kept</p><p>1 < 2</p></article>") == "kept 1 < 2"
+    assert text('<main><div class="related-work">Body</div><p class="share-price">1</p><table class="widget-specs"><tr><td>2</td></tr></table></main>') == "Body 1 2"
+    for name in ("comments-section", "siteFooter", "cookie_banner", "ad", "ad-slot-3", "nav-bar", "newsletter signup"):
+        assert text(f'<article><p>kept</p><div class="{name}">gone</div></article>') == "kept"
+    long = "<article>" + "<p>word</p>" * 50_000 + "</article>"
+    assert text(long) == " ".join(["word"] * 50_000)
+    assert html_text.parse("<" * 3000 + "a" * 3000 + '"' * 3001)[0] is not None
+
+
+def brute_template(pages, share):
+    """Tokens of nesting classes by whole vectors, classes from the most frequent and largest down."""
+    count = [Counter(html_text.parse(p)[1]) for p in pages]
+    place = [{} for _ in pages]
+    for k, p in enumerate(pages):
+        for i, t in enumerate(html_text.parse(p)[1]):
+            place[k].setdefault(t, i)
+    classes = defaultdict(list)
+    for t in set().union(*count):
+        vector = tuple(c[t] for c in count)
+        if sum(map(bool, vector)) >= share * len(pages):
+            classes[vector].append((t, np.mean([q[t] for q in place if t in q])))
+    spans, template = [], set()
+    for vector, members in sorted(classes.items(), key=lambda c: (-sum(map(bool, c[0])), -len(c[1]))):
+        a, b = min(x for _, x in members), max(x for _, x in members)
+        if all(b < x or y < a or (x <= a and b <= y) or (a <= x and y <= b) for x, y in spans):
+            spans.append((a, b))
+            template |= {t for t, _ in members}
+    return template
+
+
+@pytest.mark.parametrize("tag", ["article", "div"])
+def test_slots_against_a_brute_force_template(spark, tag):
+    """Pages of small hosts, with and without article elements; without the template their texts would differ."""
+    rows, k = [], 0
+    for host in range(6):
+        notice = f"<p>{prose(9)}</p>"
+        for _ in range(5 + host):
+            parts = [f"<p>{prose(int(rng.integers(5, 30)))}</p>" for _ in range(int(rng.integers(1, 5)))]
+            parts.insert(int(rng.integers(len(parts) + 1)), notice)
+            rows.append((k, f"http://h{host}.org/{k}", page(f"<{tag}>" + "".join(parts) + f"</{tag}>"), notice[3:-4]))
+            k += 1
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, notice string")
+    got = {r.page_id: r.text for r in html_text.extract_text(pages).collect()}
+    changed = 0
+    for host in {r[1].split("/")[2] for r in rows}:
+        mine = [r for r in rows if r[1].split("/")[2] == host]
+        template = brute_template([r[2] for r in mine], 0.5)
+        for i, _, html, notice in mine:
+            blocks = html_text.parse(html)[0]
+            assert got[i] == html_text.main_text(blocks, template) and notice not in got[i]
+            changed += got[i] != html_text.main_text(blocks, frozenset())
+    assert changed == len(rows)
+
+
 def test_valid_classes_nest():
     place, pages = np.array([0.0, 9, 2, 4, 3, 6, 5, 12]), np.array([9, 9, 8, 8, 7, 7, 6, 6])
     keep = html_text.valid_classes(pages.copy(), pages, place)
