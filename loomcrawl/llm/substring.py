@@ -7,10 +7,12 @@ a repeated passage has its windows at the same places wherever it stands. Every
 a place: of a passage of window + reach - 1 words or more at least one whole window is found, and windows
 follow one another without a gap, as they are no shorter than the places are apart.
 
-Each paragraph has a MinHash signature over its 5-word shingles, cut into bands; paragraphs of a kind that
-collide in a band are compared by the exact Jaccard similarity of their shingle sets, those at 0.8 or
-more are linked, and components of links are clusters. A pair at 0.8 collides with probability 0.997 as
-lines (8 bands of 3 rows) and 0.983 as passages (4 bands of 2), at 0.9 with 0.99997 and 0.9987.
+Each line has a MinHash signature over its 5-word shingles, cut into bands; lines that collide in a band
+are compared by the exact Jaccard similarity of their shingle sets, those at 0.8 or more are linked, and
+components of links are clusters. A pair at 0.8 collides with probability 0.997 (8 bands of 3 rows), one at
+0.9 with 0.99997. Passages are linked at Jaccard 1: their one band is the hash of their words. (One word
+changed inside a window takes 5 of its 21 shingles, so windows are mostly equal or not alike; bands for
+those that differ at an end cost more than is gained, see the README.)
 
 A cluster counts when it holds texts of two documents or more; repeats within one document are left to
 quality rules. In each cluster the document with the smallest doc_id keeps its paragraph. Spans that
@@ -59,8 +61,6 @@ class SubstringParams:
     min_words: int = 20
     window: int = 25
     reach: int = 25
-    window_bands: int = 4
-    window_rows: int = 2
     #: Nodes of a bucket that one task compares.
     block: int = 512
     #: Places of paragraphs to verify that are sent to all executors, at most, some 60 bytes each; more are joined.
@@ -140,21 +140,23 @@ def paragraphs(texts: list[bytes], p: SubstringParams, banded: bool = False) ->
     at_point = (lambda k: k) if point is None else (lambda k: point[k])
     all_sh = shingles(h, p.shingle) if len(h) >= p.shingle else np.empty(0, np.uint64)
 
-    def found(x: np.ndarray, y: np.ndarray, salt: np.uint64, bands: int, rows: int) -> Paragraphs:
+    def found(x: np.ndarray, y: np.ndarray) -> Paragraphs:
         node = range_hashes(h, x, y) if len(x) else np.empty(0, np.uint64)
         of = np.searchsorted(base, s[x], "right") - 1 if len(x) else x
-        out = Paragraphs(of, x - word[of], y - word[of], at_point(s[x]) - at_point(base[of]), at_point(e[y - 1]) - at_point(base[of]), (mix(node + salt) if salt else node).view(np.int64))
-        if banded:
-            count = y - x - p.shingle + 1  # one after another
-            out.bands = band_keys(all_sh[ragged(x, count)], np.cumsum(count) - count, bands, rows) if len(x) else np.empty((0, bands), np.int64)
-            out.bands ^= salt.astype(np.int64)
-        return out
+        return Paragraphs(of, x - word[of], y - word[of], at_point(s[x]) - at_point(base[of]), at_point(e[y - 1]) - at_point(base[of]), node.view(np.int64))
 
+    lines = found(x := edge[long], y := stop[long])
+    if banded:
+        count = y - x - p.shingle + 1  # one after another
+        lines.bands = band_keys(all_sh[ragged(x, count)], np.cumsum(count) - count, p.bands, p.rows) if len(x) else np.empty((0, p.bands), np.int64)
     doc = np.searchsorted(base, s, "right")
     x = anchors(all_sh, doc[: len(all_sh)], doc[p.shingle - 1 :], p.reach)
     x = x[doc[np.minimum(x + p.window, len(doc)) - 1] == doc[x]] if len(x) else x
     x = x[x + p.window <= len(h)]
-    return found(edge[long], stop[long], np.uint64(0), p.bands, p.rows), found(x, x + p.window, PASSAGE, p.window_bands, p.window_rows)
+    passages = found(x, x + p.window)
+    passages.node = mix(passages.node.view(np.uint64) + PASSAGE).view(np.int64)
+    passages.bands = passages.node[:, None]
+    return lines, passages
 
 
 #: Bytes of text whose paragraphs are found together, and nodes of several documents that a task remembers.
@@ -299,22 +301,28 @@ def link_block(sets: list[np.ndarray], similarity: float, only: np.ndarray | Non
 
 
 def _payload(docs: DataFrame, nodes: DataFrame, p: SubstringParams) -> DataFrame:
-    """(node, sh): the shingle set of each node (node, doc_id, start, end), from the text it was found in."""
-    wanted = nodes.groupBy("doc_id").agg(F.collect_list(F.struct("node", "start", "end")).alias("wanted")).withColumnRenamed("doc_id", "of")
+    """(node, sh): the shingle set of each node (node, doc_id, first, last: words), from the text it was found in."""
+    wanted = nodes.groupBy("doc_id").agg(F.collect_list(F.struct("node", "first", "last")).alias("wanted")).withColumnRenamed("doc_id", "of")
     if nodes.count() <= p.send:
         wanted = F.broadcast(wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             nodes, sets = [], []
-            for text, want in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                for x in want:
-                    h = mix(words((text or "")[x["start"] : x["end"]].encode().lower())[0])
-                    if len(h) and range_hashes(h, np.array([0]), np.array([len(h)])).view(np.int64)[0] != x["node"]:
-                        h = h[: p.window]  # a passage, or several in one span
-                    if len(h) and x["node"] in (whole := range_hashes(h, np.array([0]), np.array([len(h)]))).view(np.int64).tolist() + mix(whole + PASSAGE).view(np.int64).tolist():
-                        nodes.append(x["node"])
-                        sets.append(np.unique(shingles(h, p.shingle).view(np.int64)))
+            want, at = b.column(1).values, b.column(1).offsets.to_numpy()
+            node, first, last = (want.field(k).to_numpy() for k in range(3))
+            for k, t in enumerate(b.column(0).cast(pa.binary())):
+                h = mix(words((t.as_py() or b"").lower())[0])
+                mine = slice(at[k], at[k + 1])
+                x, y = first[mine].astype(np.int64), last[mine].astype(np.int64)
+                inside = y <= len(h)
+                sh = shingles(h, p.shingle)
+                x, y, want_node = x[inside], y[inside], node[mine][inside]
+                ok = range_hashes(h, x, y).view(np.int64) == want_node  # rows that share an id have other texts
+                n = p.shingle if len(h) >= p.shingle else 1
+                for i, j, of in zip(x[ok].tolist(), y[ok].tolist(), want_node[ok].tolist()):
+                    nodes.append(of)
+                    sets.append(np.unique(sh[i : max(i + 1, j - n + 1)].view(np.int64)))
             yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], ["node", "sh"])
 
     return docs.join(wanted, docs["doc_id"] == wanted["of"]).select("text", "wanted").mapInArrow(run, "node long, sh array<long>")
@@ -411,15 +419,16 @@ def similar_nodes(buckets: DataFrame, payload: DataFrame, p: SubstringParams, fi
 def _documents(p: SubstringParams):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            node, bands = np.zeros(b.num_rows, np.int64), np.zeros((b.num_rows, p.bands), np.int64)
+            node, n, bands = np.zeros(b.num_rows, np.int64), np.zeros(b.num_rows, np.int32), np.zeros((b.num_rows, p.bands), np.int64)
             for k, t in enumerate(b.column(2).cast(pa.binary())):
                 h = mix(words((t.as_py() or b"").lower())[0])
+                n[k] = len(h)
                 if len(h):
                     node[k] = range_hashes(h, np.array([0]), np.array([len(h)])).view(np.int64)[0]
                     bands[k] = band_keys(shingles(h, p.shingle), np.array([0]), p.bands, p.rows)[0]
             some = pa.array(node != 0)
             columns = [pa.array(node), *(pc.if_else(some, pa.array(np.ascontiguousarray(c)), None) for c in bands.T)]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *columns], ["row", "doc_id", "node", *(f"band{k}" for k in range(p.bands))])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n), *columns], ["row", "doc_id", "n", "node", *(f"band{k}" for k in range(p.bands))])
 
     return run
 
@@ -430,11 +439,11 @@ def similar_documents(rows: DataFrame, p: SubstringParams) -> DataFrame:
     Texts of equal words are one node, those without words too.
     """
     bands = [f"band{k}" for k in range(p.bands)]
-    keyed = saved(rows.mapInArrow(_documents(p), ", ".join(["row long, doc_id long, node long", *(f"{c} long" for c in bands)])), "documents")
-    nodes = saved(keyed.where("band0 is not null").groupBy("node").agg(F.min("row").alias("row"), *(F.min(c).alias(c) for c in bands)), "document-nodes")
+    keyed = saved(rows.mapInArrow(_documents(p), ", ".join(["row long, doc_id long, n int, node long", *(f"{c} long" for c in bands)])), "documents")
+    nodes = saved(keyed.where("band0 is not null").groupBy("node").agg(F.min("row").alias("row"), F.first("n").alias("n"), *(F.min(c).alias(c) for c in bands)), "document-nodes")
     buckets = _shared(nodes.select(F.explode(F.array(*bands)).alias("key"), "node"), "shared-document-bands")
     shared = buckets.select(F.col("node").alias("of")).distinct()
-    near = saved(nodes.join(shared, F.col("node") == F.col("of")).select("node", F.col("row").alias("doc_id"), F.lit(0).alias("start"), F.lit((1 << 31) - 1).alias("end")), "near-documents")
+    near = saved(nodes.join(shared, F.col("node") == F.col("of")).select("node", F.col("row").alias("doc_id"), F.lit(0).alias("first"), F.col("n").alias("last")), "near-documents")
     payload = saved(_payload(rows.select(F.col("row").alias("doc_id"), "text"), near, p), "document-shingles")
     found = similar_nodes(buckets, payload, p).withColumnRenamed("node", "of")
     return saved(keyed.join(found, F.col("node") == F.col("of"), "left").select("row", "doc_id", F.coalesce("component", "node").alias("component")), "document-groups")
@@ -452,12 +461,12 @@ def repeated_spans(docs: DataFrame, params: SubstringParams = SubstringParams(),
     # nodes that share a band, if only with themselves, and where they stand
     of = shared.select(F.col("node").alias("of")).distinct()
     places = saved(docs.mapInArrow(_spans(p), SPANS).join(saved(of, "shared-nodes"), F.col("node") == F.col("of")).drop("of"), "places")
-    nodes = saved(places.groupBy("node").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.min(F.struct("doc_id", "start", (F.col("last") - F.col("first")).alias("n"), "end")).alias("at")), "nodes")
+    nodes = saved(places.groupBy("node").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.min(F.struct("doc_id", "first", "last")).alias("at")), "nodes")
     # those that share a band with others are compared, from the text of one place
     alone = shared.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select(F.col("key").alias("of"))
     buckets = saved(shared.join(saved(alone, "keys-of-several"), F.col("key") == F.col("of")).select("key", "node"), "buckets-of-several")
     met = saved(buckets.select(F.col("node").alias("of")).distinct(), "met-nodes")
-    near = saved(nodes.join(met, F.col("node") == F.col("of")).select("node", "at.doc_id", "at.start", "at.end"), "near-places")
+    near = saved(nodes.join(met, F.col("node") == F.col("of")).select("node", "at.*"), "near-places")
     payload = saved(_payload(docs, near, p), "shingle-sets")
     clusters = similar_nodes(buckets, payload, p).withColumnRenamed("node", "of")
     members = saved(nodes.join(clusters, F.col("node") == F.col("of"), "left").select("node", F.coalesce("component", "node").alias("component"), "lo", "hi"), "members")
