@@ -54,7 +54,7 @@ class LmParams:
     #: Added to each word's count among those that share its id.
     smooth: float = 0.1
     #: Documents whose distinct words are looked up together, a power of two.
-    block: int = 1024
+    block: int = 4096
 
     @property
     def vocabulary(self) -> int:
@@ -84,9 +84,19 @@ class Network:
         return np.concatenate([h, np.ones((len(h), 1), np.float32)], 1)
 
     @staticmethod
-    def _log_softmax(z: np.ndarray) -> np.ndarray:
-        z = z - z.max(1, keepdims=True)
-        return z - np.log(np.exp(z).sum(1, keepdims=True))
+    def _log_softmax_at(z: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Each row's log-softmax at one place."""
+        top = z.max(1)
+        own = z[np.arange(len(z)), at] - top
+        z -= top[:, None]
+        return own - np.log(np.exp(z, out=z).sum(1))
+
+    @staticmethod
+    def _softmax(z: np.ndarray) -> np.ndarray:
+        z -= z.max(1, keepdims=True)
+        np.exp(z, out=z)
+        z /= z.sum(1, keepdims=True)
+        return z
 
     def _by_class(self, c: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         order, ends = _grouped(c, self.p.classes)
@@ -96,21 +106,21 @@ class Network:
     def log_probability(self, context: np.ndarray, token: np.ndarray) -> np.ndarray:
         c, m = token // self.p.classes, token % self.p.classes
         h = self.hidden(context)
-        out = self._log_softmax(h @ self.parts[2])[np.arange(len(c)), c].astype(np.float64)
+        out = self._log_softmax_at(h @ self.parts[2], c).astype(np.float64)
         for k, at in self._by_class(c):
-            out[at] += self._log_softmax(h[at] @ self.parts[3][k])[np.arange(len(at)), m[at]]
+            out[at] += self._log_softmax_at(h[at] @ self.parts[3][k], m[at])
         return out
 
     def gradient(self, context: np.ndarray, token: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Of the mean negative log-probability, but for the embeddings: theirs by hidden row, outer, inner, and bias."""
         c, m, n = token // self.p.classes, token % self.p.classes, len(token)
         h = self.hidden(context)
-        d = np.exp(self._log_softmax(h @ self.parts[2]))
+        d = self._softmax(h @ self.parts[2])
         d[np.arange(n), c] -= 1
         g_outer, back = h.T @ d, d @ self.parts[2].T
         g_inner = np.zeros_like(self.parts[3])
         for k, at in self._by_class(c):
-            e = np.exp(self._log_softmax(h[at] @ self.parts[3][k]))
+            e = self._softmax(h[at] @ self.parts[3][k])
             e[np.arange(len(at)), m[at]] -= 1
             g_inner[k] = h[at].T @ e
             back[at] += e @ self.parts[3][k].T
@@ -193,16 +203,28 @@ def _text_hashes(batch: pa.Array) -> Iterator[np.ndarray]:
 
 
 def _block_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(block, word, n): the distinct words of each block of texts, or of a part of it."""
+    """(block, word, n): the distinct words of each block of texts, whose rows come together."""
+    now, held = None, []
+
+    def close() -> pa.RecordBatch:
+        word, of = np.unique(np.concatenate([w for w, _ in held]), return_inverse=True)
+        n = np.bincount(of, weights=np.concatenate([n for _, n in held]), minlength=len(word)).astype(np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(word), now)), pa.array(word.view(np.int64)), pa.array(n)], ["block", "word", "n"])
+
     for b in batches:
         block = b.column(0).to_numpy()
         ends = [*np.flatnonzero(np.diff(block)) + 1, len(block)] if len(block) else []
         at = 0
         for end in ends:
-            hashes = list(_text_hashes(b.column(1).slice(at, end - at)))
-            word, n = np.unique(np.concatenate(hashes), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(word), block[at])), pa.array(word.view(np.int64)), pa.array(n.astype(np.int64))], ["block", "word", "n"])
+            if now is not None and block[at] != now:
+                yield close()
+                held = []
+            now = block[at]
+            for k in range(at, end, 256):
+                held.append(np.unique(np.concatenate(list(_text_hashes(b.column(1).slice(k, min(256, end - k))))), return_counts=True))
             at = end
+    if now is not None:
+        yield close()
 
 
 def counted_words(rows: DataFrame) -> DataFrame:
