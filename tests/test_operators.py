@@ -76,11 +76,13 @@ def test_entities(spark):
     assert assemble(STATEMENTS) == [("e", e.props)]
 
 
-def test_itemsets():
-    pairs = {("A", "B"): 5, ("B", "C"): 4, ("A", "C"): 3, ("A", "D"): 2, ("B", "D"): 2, ("C", "D"): 2}
-    got = {"".join(sorted(s)): n for s, n in cooc.itemsets(pairs, 10, 0, 2)}
-    assert got == {"AB": 5, "BC": 4, "ABC": 3, "ABCD": 2}
-    assert cooc.itemsets({}, 10) == [] and cooc.itemsets({("a", "a"): 3}, 10) == []
+def test_itemsets(spark):
+    table = lambda rows: spark.createDataFrame(rows, "a string, b string, support long")
+    pairs = table([("A", "B", 5), ("B", "C", 4), ("C", "A", 3), ("A", "D", 2), ("B", "D", 2), ("C", "D", 2), ("A", "A", 9)])
+    got = {r["items"].replace(" ", ""): (r.support, r.share) for r in cooc.itemset_table(pairs, 10, 0, 2).collect()}
+    assert got == {"AB": (5, 0.5), "BC": (4, 0.4), "ABC": (3, 0.3), "ABCD": (2, 0.2)}
+    assert cooc.itemset_table(table([]), 10, 0).count() == 0 and cooc.itemset_table(table([("a", "a", 3)]), 10, 0).count() == 0
+    assert {r["items"] for r in cooc.itemset_table(pairs, 10, 0.3).collect()} == {"A B", "B C", "A C"}  # grown sets must beat it
 
 
 def test_cooc_domains(spark):
