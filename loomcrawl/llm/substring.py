@@ -248,56 +248,62 @@ def jaccard(a: np.ndarray, b: np.ndarray) -> float:
     return both / (len(a) + len(b) - both)
 
 
+#: Sets whose pairs are compared one by one; more are compared through a matrix.
+FEW = 6
+#: Sets that ask at once, elements that are numbered at once, and cells of a matrix of sets and elements.
+ASKING, NUMBERED, CELLS = 512, 1 << 22, 1 << 21
+
+
+def _shared_elements(sets: list[np.ndarray], part: int, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """(element, set) of the elements of a part that several sets have, numbered from 0 and sorted by number."""
+    sets = sets if parts == 1 else [s[s.view(np.uint64) % np.uint64(parts) == part] for s in sets]
+    _, element, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    on = (often > 1)[element]
+    element, of = (np.cumsum(often > 1) - 1)[element[on]], np.repeat(np.arange(len(sets)), [len(s) for s in sets])[on]
+    order = np.argsort(element, kind="stable")
+    return element[order], of[order]
+
+
+def alike(sets: list[np.ndarray], rows: np.ndarray, similarity: float) -> Iterator[tuple[int, np.ndarray]]:
+    """For each of the rows (places in the list): its place, and which of all sets have the similarity to it; exact.
+
+    What two sets have in common is counted by products of a matrix of sets and elements, some elements at a time.
+    """
+    n, size = len(sets), np.fromiter(map(len, sets), np.int64, len(sets))
+    width, parts = max(64, CELLS // n), 1 + int(size.sum()) // NUMBERED
+    for k in range(0, len(rows), ASKING):
+        asking = rows[k : k + ASKING]
+        both = np.zeros((len(asking), n))
+        for part in range(parts):
+            element, of = _shared_elements(sets, part, parts)
+            cuts = np.searchsorted(element, np.arange(0, (int(element[-1]) if len(element) else 0) + width + 1, width)).tolist()
+            for c, (i, j) in enumerate(zip(cuts[:-1], cuts[1:])):
+                held = np.zeros((n, min(width, int(element[j - 1]) - c * width + 1) if j > i else 0), np.float32)  # sums of so few ones are exact
+                held[of[i:j], element[i:j] - c * width] = 1
+                both += held[asking] @ held.T
+        either = size[asking, None] + size[None] - both
+        near = np.where(either > 0, both / np.maximum(either, 1), 1.0) >= similarity
+        yield from zip(asking.tolist(), near)
+
+
 def link_block(sets: list[np.ndarray], similarity: float, only: np.ndarray | None = None) -> list[tuple[int, int]]:
     """Links that join all pairs at the similarity or above, through others of the block or not.
 
-    Each set is compared with the leaders of the clusters so far. Jaccard distance is a metric, so
-    members of two clusters can be similar only if each lies within twice the distance of the other
-    cluster's leader, and the leaders within three times; only such pairs are compared, and only until
-    the clusters are joined. With `only`, at least one of each pair is marked there.
+    The links go from each set to the first one of its cluster. With `only`, at least one of each pair is marked there.
     """
-    far, root = 1 - similarity, list(range(len(sets)))
-
-    def find(i: int) -> int:
-        while root[i] != i:
-            root[i] = root[root[i]]
-            i = root[i]
-        return i
-
-    links: list[tuple[int, int]] = []
-
-    def join(i: int, j: int) -> None:
-        if find(i) != find(j):
-            root[find(i)] = find(j)
-            links.append((i, j))
-
-    if only is not None:
-        for i in np.flatnonzero(only).tolist():
-            for j in range(len(sets)):
-                if find(i) != find(j) and jaccard(sets[i], sets[j]) >= similarity:
-                    join(i, j)
-        return links
-    members: dict[int, list[int]] = {}
-    eps = 1e-9
-    for i in range(len(sets)):
-        own = None
-        for j in members:
-            if (own is None or find(i) != find(j)) and jaccard(sets[i], sets[j]) >= similarity:
-                join(i, j)
-                own = j if own is None else own
-        members.setdefault(i if own is None else own, []).append(i)
-    leaders = list(members)
-    for k, a in enumerate(leaders):
-        for b in leaders[:k]:
-            if find(a) == find(b) or 1 - jaccard(sets[a], sets[b]) > 3 * far + eps:
-                continue
-            xs = [x for x in members[a] if 1 - jaccard(sets[x], sets[b]) <= 2 * far + eps]
-            ys = [y for y in members[b] if 1 - jaccard(sets[y], sets[a]) <= 2 * far + eps]
-            for x, y in ((x, y) for x in xs for y in ys):
-                if jaccard(sets[x], sets[y]) >= similarity:
-                    join(x, y)
-                    break
-    return links
+    n = len(sets)
+    label = np.arange(n)
+    rows = np.arange(n) if only is None else np.flatnonzero(only)
+    if n <= FEW:
+        found = ((i, np.array([jaccard(sets[i], x) >= similarity for x in sets], bool)) for i in rows.tolist())
+    else:
+        found = alike(sets, rows, similarity)
+    for i, near in found:
+        met = label[near]
+        first = min(label[i], met.min(initial=n))
+        if (met != first).any() or label[i] != first:
+            label[np.isin(label, met) | (label == label[i])] = first
+    return [(i, int(label[i])) for i in np.flatnonzero(label != np.arange(n)).tolist()]
 
 
 def _payload(docs: DataFrame, nodes: DataFrame, p: SubstringParams) -> DataFrame:
@@ -383,8 +389,11 @@ def _sharing_rare(rows: DataFrame, payload: DataFrame, p: SubstringParams) -> Da
     return each.select(F.xxhash64("key", "x.e").alias("key"), "node")
 
 
-def similar_nodes(buckets: DataFrame, payload: DataFrame, p: SubstringParams, finer: bool = True) -> DataFrame:
-    """(node, component) of all nodes that have a link, from (key, node) of shared buckets, each pair once."""
+def similar_nodes(buckets: DataFrame, payload: DataFrame, p: SubstringParams, finer: bool = True, known: DataFrame | None = None) -> DataFrame:
+    """(node, component) of all nodes that have a link, from (key, node) of shared buckets, each pair once.
+
+    known: links (a, b) that were found before; nodes that they join are not compared again in the end.
+    """
     size = saved(buckets.groupBy("key").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("who")).where("n > 1"), "bucket-sizes")
     # bands often bring the same nodes together: one bucket of each kind will do
     kinds = saved(size.groupBy("n", "who").agg(F.min("key").alias("of")).select("of", "n"), "bucket-kinds")
@@ -396,7 +405,8 @@ def similar_nodes(buckets: DataFrame, payload: DataFrame, p: SubstringParams, fi
     dealt = rows.select("key", "block", "node").unionByName(pivots.select("key", every, "node"))
     with_sets = lambda r: r.join(payload.withColumnRenamed("node", "of"), F.col("node") == F.col("of")).drop("of")
     links = saved(_compared(with_sets(dealt.withColumn("asks", F.lit(None).cast("boolean"))), p), "links")
-    found = saved(components(links), "clusters")
+    found = components(links if known is None else links.unionByName(known))
+    before = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
     if big.isEmpty():
         return found
     labelled = saved(big.join(found.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left").select("key", "block", "blocks", "node", F.coalesce("component", "node").alias("component")), "labelled")
@@ -406,14 +416,12 @@ def similar_nodes(buckets: DataFrame, payload: DataFrame, p: SubstringParams, fi
         return found
     left = labelled.join(open_keys, F.col("key") == F.col("of")).drop("of")
     if finer:
-        more = similar_nodes(saved(_sharing_rare(left.select("key", "node"), payload, p), "finer-buckets"), payload, p, False)
-        more = more.select(F.col("node").alias("a"), F.col("component").alias("b"))
-    else:  # what shares its rarest shingles and is not alike still: those outside the largest cluster ask every block
-        asking = left.where("component <> main").select("key", every, "node", F.lit(True).alias("asks"))
-        asked = left.select("key", "block", "node", F.lit(False).alias("asks"))
-        pairs = asked.unionByName(asking).groupBy("key", "block", "node").agg(F.max("asks").alias("asks"))
-        more = saved(_compared(with_sets(pairs), p), "more-links")
-    return saved(components(links.unionByName(more)), "all-clusters")
+        return similar_nodes(saved(_sharing_rare(left.select("key", "node"), payload, p), "finer-buckets"), payload, p, False, before)
+    # what shares its rarest shingles and is not alike still: those outside the largest cluster ask every block
+    asking = left.where("component <> main").select("key", every, "node", F.lit(True).alias("asks"))
+    asked = left.select("key", "block", "node", F.lit(False).alias("asks"))
+    pairs = asked.unionByName(asking).groupBy("key", "block", "node").agg(F.max("asks").alias("asks"))
+    return components(before.unionByName(saved(_compared(with_sets(pairs), p), "more-links")))
 
 
 def _documents(p: SubstringParams):
