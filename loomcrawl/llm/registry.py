@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .clustering import cluster_vectors
 from .common import table
 from .exact_dedup import exact_groups
 from .html_text import extract_text
@@ -69,6 +70,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster_vectors(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_simhash": op2_simhash,
@@ -80,8 +85,35 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_sharding": op9_sharding,
     "op10_quality": op10_quality,
+    "op12_clustering": op12_clustering,
 }
 
+def _clustering_sql(rounds: int = 3) -> str:
+    """k-means as the contract of op12 has it: near (of all centroids the nearest) and moved (floors of means), once a round."""
+
+    def near(i: int) -> str:
+        return f"""
+        near{i} as materialized (select vec_id, cluster, distance from
+            (select v.vec_id, v.x, c.cluster, list_sum(list_transform(list_zip(v.x, c.x), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::bigint as distance from v, c{i} c)
+            qualify row_number() over (partition by vec_id order by distance, cluster) = 1)"""
+
+    def moved(i: int) -> str:
+        return f"""
+        means{i} as (select cluster, list((s - mod(mod(s, n) + n, n)) // n order by dim) as x from
+            (select n{i}.cluster, u.dim, sum(u.e) as s, count(*) as n from near{i} n{i} join
+                (select vec_id, unnest(x) as e, generate_subscripts(x, 1) as dim from v) u using (vec_id) group by 1, 2) group by cluster),
+        c{i + 1} as materialized (select c.cluster, coalesce(m.x, c.x) as x from c{i} c left join means{i} m using (cluster))"""
+
+    steps = ",".join(f"{near(i)},{moved(i)}" for i in range(rounds))
+    return f"""
+        with v as materialized (select vec_id, list_transform(embedding, lambda e: floor(64 * e::double)::hugeint) as x from embeddings
+            where len(embedding) = 64 and len(list_filter(embedding, lambda e: e is null or not isfinite(e))) = 0),
+        c0 as materialized (select row_number() over (order by sha256('1:' || vec_id)) - 1 as cluster, x from v qualify cluster < 16),{steps},{near(rounds)}
+        select vec_id, cluster::int as cluster, distance, sum(distance) over (partition by cluster)::bigint as cluster_inertia, sum(distance) over ()::bigint as inertia,
+               sha256(array_to_string(c.x, ',')) as centroid_sha256
+        from near{rounds} join c{rounds} c using (cluster)"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op4_mixing": r"""
         with d as (select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::bigint as size from documents),
@@ -102,4 +134,5 @@ ORACLE_SQL: dict[str, str] = {
         select doc_id, max(doc_id) over (partition by t) as keep_id, count(*) over (partition by t) as group_size,
                doc_id = max(doc_id) over (partition by t) as kept, sha256(t) as text_sha256
         from d""",
+    "op12_clustering": _clustering_sql(),
 }
