@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .clustering import cluster_vectors
+from .collocation import collocations
 from .common import table
 from .exact_dedup import exact_groups
 from .html_text import extract_text
@@ -70,6 +71,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 def op12_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cluster_vectors(table(spark, sf_dir, "embeddings"))
 
@@ -85,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_sharding": op9_sharding,
     "op10_quality": op10_quality,
+    "op11_collocations": op11_collocations,
     "op12_clustering": op12_clustering,
 }
 
@@ -134,5 +140,18 @@ ORACLE_SQL: dict[str, str] = {
         select doc_id, max(doc_id) over (partition by t) as keep_id, count(*) over (partition by t) as group_size,
                doc_id = max(doc_id) over (partition by t) as kept, sha256(t) as text_sha256
         from d""",
+    "op11_collocations": r"""
+        with p as (select coalesce(lang, 'und') as lang, regexp_extract_all(unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')), '[^ \t]+') as w from documents),
+        s as (select lang, w, m, unnest(range(1, len(w) - m + 2)) as i from p, range(1, 6) g(m) where len(w) >= m),
+        f as materialized (select lang, m, array_to_string(w[i:i + m - 1], ' ') as phrase, count(*)::hugeint as a from s group by all),
+        t as (select lang, sum(a)::hugeint as n from f where m = 1 group by 1),
+        c as materialized (select *, string_split(phrase, ' ') as w from f where m > 1 and a >= 100),
+        k as (select lang, w, m, a, phrase, unnest(range(1, m)) as k from c),
+        x as (select k.lang, k.phrase, k.a, k.k, l.a as l, r.a as r, n, 1000 * k.a * n // (l.a * r.a) as score from k join t using (lang)
+              join f l on l.lang = k.lang and l.phrase = array_to_string(w[1:k.k], ' ') join f r on r.lang = k.lang and r.phrase = array_to_string(w[k.k + 1:], ' ')
+              qualify row_number() over (partition by k.lang, k.phrase order by score, k.k) = 1),
+        h as (select distinct c.lang, c.phrase from c join c b on b.lang = c.lang and b.m > c.m and contains(' ' || b.phrase || ' ', ' ' || c.phrase || ' ') and 100 * b.a >= 100 * c.a)
+        select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase, a::bigint as a, l::bigint as l, r::bigint as r, n::bigint as n, score::bigint as score
+        from x anti join h using (lang, phrase) qualify rank <= 2000""",
     "op12_clustering": _clustering_sql(),
 }
