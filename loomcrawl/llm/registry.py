@@ -20,6 +20,7 @@ from .records import RecordParams, record_report
 from .sharding import shard_report
 from .simhash import simhash_report
 from .substring import repeated_spans
+from .suffix_dedup import repeat_report
 
 
 def tokenizer_file(name: str) -> str:
@@ -79,6 +80,10 @@ def op12_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cluster_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeat_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_simhash": op2_simhash,
@@ -92,6 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quality": op10_quality,
     "op11_collocations": op11_collocations,
     "op12_clustering": op12_clustering,
+    "op13_suffix_dedup": op13_suffix_dedup,
 }
 
 def _clustering_sql(rounds: int = 3) -> str:
@@ -154,4 +160,16 @@ ORACLE_SQL: dict[str, str] = {
         select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase, a::bigint as a, l::bigint as l, r::bigint as r, n::bigint as n, score::bigint as score
         from x anti join h using (lang, phrase) qualify rank <= 2000""",
     "op12_clustering": _clustering_sql(),
+    "op13_suffix_dedup": """
+        with d as materialized (select doc_id, hex(encode(coalesce(text, ''))) as x, len(x) // 2 as n from documents),
+        w as (select doc_id, unnest(range(0, n - 99)) as s, x from d where n >= 100),
+        k as materialized (select doc_id, s, substr(x, 2 * s + 1, 200) as k from w),
+        f as (select k, min((doc_id, s)) as first from k group by k having count(*) > 1),
+        r as materialized (select doc_id, s, lag(s) over (partition by doc_id order by s) as before from k join f using (k) where (doc_id, s) <> first),
+        g as (select doc_id, s, sum(case when before is null or s > before + 100 then 1 else 0 end) over (partition by doc_id order by s) as run from r),
+        o as materialized (select doc_id, run, min(s) as b, max(s) + 100 as e, lag(max(s) + 100, 1, 0) over (partition by doc_id order by run) as since from g group by doc_id, run),
+        c as (select doc_id, sum(e - b)::bigint as n_removed, count(*) as n_spans, string_agg(substr(x, 2 * since + 1, 2 * (b - since)), '' order by run) as head, max(e) as e from o join d using (doc_id) group by doc_id)
+        select d.doc_id, n::bigint as n_bytes, coalesce(n_removed, 0)::bigint as n_removed, coalesce(n_spans, 0)::bigint as n_spans,
+               sha256(unhex(coalesce(head, '') || substr(x, 2 * coalesce(e, 0) + 1))) as kept_sha256
+        from d left join c using (doc_id)""",
 }
