@@ -12,8 +12,8 @@ to sort mostly suffixes that have no copy, so those that may have one are found
 3. Suffixes. Contexts that share an anchor but differ may share some of their strings. Their suffixes, to the right of
    the anchor and, read backwards, to the left of it, are sorted deep-shallow (suffix_sort.py): contexts share a string
    when both its halves lie in runs of long enough common prefixes. The first of each is told by order.
-   An anchor with more than `block` contexts is not sorted in one task: its contexts are cut
-   into their strings, which are grouped as rows.
+   An anchor with more than `block` unlike contexts is not sorted in one task: these
+   are cut into their strings, which are grouped as rows.
 4. Cut. Each text reads which of its strings are repeats, and is cut once.
 
 Contexts are told apart by 128 bits of hash in step 2, and byte by byte in step 3 (by sha256 beyond `block`). Texts are
@@ -63,8 +63,8 @@ class SuffixParams:
     filter_bits: int = 1 << 27
     #: Bytes of a suffix that quicksort looks at.
     shallow: int = 24
-    #: Contexts of an anchor that one task sorts.
-    block: int = 4096
+    #: Contexts of an anchor that one task sorts: 10 MB.
+    block: int = 1 << 16
 
     @property
     def before(self) -> int:
@@ -93,18 +93,37 @@ def anchors(data: np.ndarray, ends: np.ndarray, p: SuffixParams) -> tuple[np.nda
     return at, h[at]
 
 
-def text_anchors(texts: list[bytes], p: SuffixParams) -> Iterator[tuple[list[int], np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """For some texts at a time: their numbers in the list, and of each anchor the text (a place in those numbers), its place there, the hash, and the place in the joined bytes."""
+@dataclass
+class Found:
+    """Anchors of some texts (numbers in a list): of is the place of each one's text among them, at its place there, place that in data (their bytes), h its hash."""
+
+    some: list[int]
+    of: np.ndarray
+    at: np.ndarray
+    h: np.ndarray
+    data: np.ndarray
+    place: np.ndarray
+
+
+def text_anchors(texts: list[bytes], p: SuffixParams) -> Iterator[Found]:
+    """The anchors of texts, of many short ones or of a part of a long one at a time; where parts meet one may come twice."""
     some, size = [], 0
     for k, t in enumerate(texts):
-        if len(t) >= p.span:
+        if len(t) > TOGETHER:
+            for first in range(0, len(t) - p.span + 1, TOGETHER):
+                # strings that begin in the part, and what their contexts reach
+                low, stop = max(0, first - p.before), min(len(t), first + TOGETHER + p.span - 1)
+                at, h = anchors(np.frombuffer(t, np.uint8)[first:stop], np.array([stop - first]), p)
+                yield Found([k], np.zeros(len(at), np.int64), at + first, h, np.frombuffer(t, np.uint8)[low : stop + p.span], at + first - low)
+        elif len(t) >= p.span:
             some.append(k)
             size += len(t)
         if some and (size >= TOGETHER or k == len(texts) - 1):
             ends = np.cumsum([len(texts[i]) for i in some])
-            at, h = anchors(np.frombuffer(b"".join([texts[i] for i in some]), np.uint8), ends, p)
+            data = np.frombuffer(b"".join([texts[i] for i in some]), np.uint8)
+            at, h = anchors(data, ends, p)
             of = np.searchsorted(ends, at, "right")
-            yield some, of, at - np.concatenate(([0], ends))[of], h, at
+            yield Found(some, of, at - np.concatenate(([0], ends))[of], h, data, at)
             some, size = [], 0
 
 
@@ -134,15 +153,13 @@ def contexts(texts: list[bytes], of: np.ndarray, at: np.ndarray, p: SuffixParams
         yield here, rows[base[of[here]] + at[here]]
 
 
-def context_hash(texts: list[bytes], some: list[int], of: np.ndarray, at: np.ndarray, place: np.ndarray, p: SuffixParams) -> np.ndarray:
-    """A hash of the context of each anchor of joined texts, from sums of their bytes; what is beyond a text's ends is told by their distance."""
-    data = np.frombuffer(b"".join([texts[i] for i in some]), np.uint8)
-    up, down = power_tables(len(data) + 1)
-    total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_OTHER[data] * up[: len(data)], dtype=np.uint64, out=total[1:])
-    before = np.minimum(at, p.before)
-    after = np.minimum(np.array([len(texts[i]) for i in some])[of] - at, p.span)
-    a, b = place - before, place + after
+def context_hash(found: Found, sizes: np.ndarray, p: SuffixParams) -> np.ndarray:
+    """A hash of the context of each anchor, of a text of a size, from sums of its bytes; what is beyond a text's ends is told by their distance."""
+    up, down = power_tables(len(found.data) + 1)
+    total = np.zeros(len(found.data) + 1, np.uint64)
+    np.cumsum(_OTHER[found.data] * up[: len(found.data)], dtype=np.uint64, out=total[1:])
+    before, after = np.minimum(found.at, p.before), np.minimum(sizes - found.at, p.span)
+    a, b = found.place - before, found.place + after
     return mix(mix((total[b] - total[a]) * down[a]) + (before * 1024 + after).astype(np.uint64))
 
 
@@ -155,7 +172,7 @@ def _hashes(p: SuffixParams):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [h for _, _, _, h, _ in text_anchors(_texts(b.column(0)), p)]
+            found = [x.h for x in text_anchors(_texts(b.column(0)), p)]
             if found:
                 h, n = np.unique(np.concatenate(found) >> np.uint64(24), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(h.astype(np.int64)), pa.array(n)], ["h", "n"])
@@ -192,12 +209,12 @@ def _first_anchors(p: SuffixParams, filt):
         for b in batches:
             row, ord_ = b.column(0).to_numpy(), b.column(1).to_numpy()
             texts, found = _texts(b.column(2)), []
-            for some, of, at, h, place in text_anchors(texts, p):
-                k = np.flatnonzero(in_filter(filt.value, h))
-                if len(k):
-                    c = context_hash(texts, some, of[k], at[k], place[k], p)
-                    text = np.array(some)[of[k]]
-                    found.append(np.stack([h[k].view(np.int64), c.view(np.int64), ord_[text], row[text], at[k]], 1))
+            size = np.array([len(t) for t in texts], np.int64)
+            for x in text_anchors(texts, p):
+                text = np.array(x.some)[x.of]
+                c = context_hash(x, size[text], p)
+                k = np.flatnonzero(in_filter(filt.value, x.h))
+                found.append(np.stack([x.h[k].view(np.int64), c[k].view(np.int64), ord_[text[k]], row[text[k]], x.at[k]], 1))
             if found:
                 x = np.concatenate(found)
                 x = x[np.lexsort(x.T[::-1])]
@@ -303,13 +320,18 @@ def repeat_bits(rows: DataFrame, first: DataFrame, p: SuffixParams) -> DataFrame
 
 def removed_runs(size: int, at: np.ndarray, bits: np.ndarray, p: SuffixParams) -> np.ndarray:
     """Begin and end of the runs of bytes of one text that repeated strings cover; bit x of an anchor: the string that begins x bytes before it."""
-    on = bits[:, None] >> np.arange(p.before + 1) & 1
-    begin = (at[:, None] - np.arange(p.before + 1))[on == 1]
-    begin = np.unique(begin[(begin >= 0) & (begin + p.span <= size)])
-    if not len(begin):
+    begins = np.zeros(size + 1, np.int8)
+    back = np.arange(p.before + 1)
+    for k in range(0, len(at), AT_ONCE):
+        here = slice(k, k + AT_ONCE)
+        begin = (at[here, None] - back)[bits[here, None] >> back & 1 == 1]
+        begins[begin[(begin >= 0) & (begin + p.span <= size)]] = 1
+    edge = np.flatnonzero(np.diff(begins, prepend=np.int8(0)))
+    first, last = edge[::2], edge[1::2] + p.span - 1
+    if not len(first):
         return np.empty((0, 2), np.int64)
-    edge = np.flatnonzero(np.concatenate(([True], begin[1:] > begin[:-1] + p.span)))
-    return np.stack([begin[edge], begin[np.append(edge[1:], len(begin)) - 1] + p.span], 1)
+    apart = np.flatnonzero(first[1:] > last[:-1])
+    return np.stack([first[np.append(0, apart + 1)], last[np.append(apart, len(last) - 1)]], 1)
 
 
 OUT = "row long, doc_id long, n_bytes long, removed array<struct<begin:long,end:long>>, kept binary"
@@ -326,18 +348,21 @@ def _cut(p: SuffixParams, filt):
         key, own = key[sort], first["bits"].to_numpy()[sort]
         starts = _ends(key)
         key, own = key[starts], np.bitwise_or.reduceat(own, starts) if len(starts) else own
+        places: dict[int, list[np.ndarray]] = {}
         runs = [np.empty((0, 2), np.int64)] * len(known)
-        for some, of, at, h, _ in text_anchors(known, p):
-            k = np.flatnonzero(in_filter(filt.value, h))
-            of, at = of[k], at[k]
-            for x in np.unique(of).tolist():
-                mine = at[of == x] if len(some) == 1 else at[slice(*np.searchsorted(of, [x, x + 1]))]
-                a, b = np.searchsorted(key[:, 0], [row[some[x]], row[some[x]] + 1])
-                bits = np.full(len(mine), all_bits, np.int64)
-                place = np.minimum(a + np.searchsorted(key[a:b, 1], mine), max(b - 1, 0))
-                if b > a:
-                    bits = np.where(key[place, 1] == mine, own[place], bits)
-                runs[some[x]] = removed_runs(len(known[some[x]]), mine, bits, p)
+        for x in text_anchors(known, p):
+            k = np.flatnonzero(in_filter(filt.value, x.h))
+            of, at = x.of[k], x.at[k]
+            for i, part in zip(np.unique(of).tolist(), np.split(at, np.flatnonzero(np.diff(of)) + 1)):
+                places.setdefault(x.some[i], []).append(part)
+        for i, parts in places.items():
+            mine = np.concatenate(parts)
+            a, b = np.searchsorted(key[:, 0], [row[i], row[i] + 1])
+            bits = np.full(len(mine), all_bits, np.int64)
+            if b > a:
+                place = np.minimum(a + np.searchsorted(key[a:b, 1], mine), b - 1)
+                bits = np.where(key[place, 1] == mine, own[place], bits)
+            runs[i] = removed_runs(len(known[i]), mine, bits, p)
         kept = [b"".join(t[i:j] for i, j in zip([0, *r[:, 1].tolist()], [*r[:, 0].tolist(), len(t)])) if len(r) else t for t, r in zip(known, runs)]
         told = [[{"begin": a, "end": b} for a, b in r.tolist()] for r in runs]
         n = pa.array([len(t) for t in known], pa.int64())
