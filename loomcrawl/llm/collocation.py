@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .bloom import fixed_filter, in_filter
 from .common import saved
 from .hashing import mix, words
 from .substring import ragged
@@ -36,8 +37,6 @@ SPACE, END = 32, 10
 READ_AS = bytes(END if chr(b) in ".,;:!?\n\v\f\r" else SPACE if b == 9 else b + 32 if 65 <= b <= 90 else b for b in range(256))
 #: Bytes of text whose phrases are counted together.
 TOGETHER = 1 << 22
-#: Bits of a block of a filter, as bitmap_construct_agg has them.
-BLOCK_BITS = 32768
 
 
 @dataclass(frozen=True)
@@ -91,18 +90,6 @@ def gram_hash(lang: str, hashes: np.ndarray) -> np.ndarray:
     return h
 
 
-def probes(h: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """The two bits of a hash."""
-    return (h % np.uint64(bits)).astype(np.int64), (mix(h + np.uint64(1)) % np.uint64(bits)).astype(np.int64)
-
-
-def in_filter(filt: np.ndarray, h: np.ndarray) -> np.ndarray:
-    found = np.ones(len(h), bool)
-    for at in probes(h, len(filt) * 8):
-        found &= (filt[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
-    return found
-
-
 def counted(w: Words, lang: str, lengths: range, filt: np.ndarray | None) -> Iterator[tuple[pa.Array, np.ndarray]]:
     """(phrases, counts) for each length; with a filter (of words for pairs, of pairs beyond), of phrases whose parts are in it."""
     n_words = len(w.ids)
@@ -179,9 +166,8 @@ def _summed(texts: DataFrame, p: CollocationParams, lengths: range, filt=None) -
 
 
 def _filter_of(frequent: DataFrame, n: int, p: CollocationParams):
-    """A broadcast Bloom filter of phrases of n words: p.filter_bits bits, whatever their number is."""
-    bits = p.filter_bits
-    if not bits:
+    """A broadcast Bloom filter of phrases of n words."""
+    if not p.filter_bits:
         return None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -189,16 +175,9 @@ def _filter_of(frequent: DataFrame, n: int, p: CollocationParams):
             langs = np.array(b.column(0).to_pylist(), object)
             own = words(b"\n".join(x.encode() for x in b.column(1).to_pylist()))[0].reshape(-1, n)
             for lang in set(langs):
-                at = np.concatenate(probes(gram_hash(lang, own[langs == lang]), bits))
-                yield pa.RecordBatch.from_arrays([pa.array(at)], ["bit"])
-
-    at = frequent.where("phrase is not null").select("lang", "phrase").mapInArrow(run, "bit long")
-    blocks = at.groupBy(F.expr(f"bit div {BLOCK_BITS}").alias("block")).agg(F.bitmap_construct_agg(F.col("bit") % BLOCK_BITS).alias("bits")).collect()
-    whole = np.zeros(max(bits, BLOCK_BITS) // 8, np.uint8)
-    for r in blocks:
-        here = whole[r["block"] * (BLOCK_BITS // 8) :][: BLOCK_BITS // 8]
-        here[:] = np.frombuffer(r["bits"], np.uint8)[: len(here)]
-    return frequent.sparkSession.sparkContext.broadcast(whole)
+                yield pa.RecordBatch.from_arrays([pa.array(gram_hash(lang, own[langs == lang]).view(np.int64))], ["h"])
+
+    return fixed_filter(frequent.where("phrase is not null").select("lang", "phrase").mapInArrow(run, "h long"), p.filter_bits)
 
 
 def phrase_counts(docs: DataFrame, params: CollocationParams = CollocationParams(), text: str = "text", lang: str = "lang") -> DataFrame:

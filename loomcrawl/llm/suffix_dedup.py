@@ -31,9 +31,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .bloom import fixed_filter, in_filter
 from .common import numbered_texts, saved
 from .hashing import mix, power_tables
 from .suffix_sort import deep_shallow, shared_with_previous
@@ -42,10 +44,11 @@ from .suffix_sort import deep_shallow, shared_with_previous
 NONE = 0xFF
 #: Bytes of short texts whose anchors are found together, contexts cut out at once, contexts sorted at once.
 TOGETHER, AT_ONCE, SORTED = 1 << 18, 1 << 15, 1 << 16
-BLOCK_BITS = 32768
 #: Rows of a block: 2^13.
 ROW_BITS = 13
 SIGNED = 1 << 63
+#: Hashes of anchors are counted by their upper 40 bits.
+SHORT = np.uint64(24)
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _OTHER = mix(np.arange(257, 513, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
@@ -127,21 +130,10 @@ def text_anchors(texts: list[bytes], p: SuffixParams) -> Iterator[Found]:
             some, size = [], 0
 
 
-def in_filter(filt: np.ndarray, h: np.ndarray) -> np.ndarray:
-    found = np.ones(len(h), bool)
-    for at in probes(h, len(filt) * 8):
-        found &= (filt[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
-    return found
-
-
-def probes(h: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Two bits of a hash of 40 bits."""
-    h = h >> np.uint64(24)
-    return (mix(h) % np.uint64(bits)).astype(np.int64), (mix(h + np.uint64(SIGNED)) % np.uint64(bits)).astype(np.int64)
-
-
 def contexts(texts: list[bytes], of: np.ndarray, at: np.ndarray, p: SuffixParams) -> Iterator[tuple[slice, np.ndarray]]:
     """Of anchors at `at` of the texts `of`: their contexts, a row each, some at a time."""
+    if not len(of):
+        return
     pad = bytes([NONE]) * p.before, bytes([NONE]) * p.span
     used = np.unique(of)
     base = np.zeros(len(texts), np.int64)
@@ -174,27 +166,20 @@ def _hashes(p: SuffixParams):
         for b in batches:
             found = [x.h for x in text_anchors(_texts(b.column(0)), p)]
             if found:
-                h, n = np.unique(np.concatenate(found) >> np.uint64(24), return_counts=True)
+                h, n = np.unique(np.concatenate(found) >> SHORT, return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(h.astype(np.int64)), pa.array(n)], ["h", "n"])
 
     return run
 
 
-def repeat_filter(rows: DataFrame, p: SuffixParams):
-    """A broadcast Bloom filter of the anchors that occur twice or more: p.filter_bits bits, whatever their number is."""
-    spark = rows.sparkSession
+def repeat_filter(rows: DataFrame, p: SuffixParams) -> Broadcast:
+    """A Bloom filter of the anchors that occur twice or more."""
+    hashes = rows.select("text").mapInArrow(_hashes(p), "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where("n > 1").select("h")
+    return fixed_filter(hashes, p.filter_bits)
 
-    def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(probes(b.column(0).to_numpy().astype(np.uint64) << np.uint64(24), p.filter_bits)))], ["bit"])
 
-    hashes = saved(rows.select("text").mapInArrow(_hashes(p), "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where("n > 1").select("h"), "suffix-hashes")
-    blocks = hashes.mapInArrow(bits, "bit long").groupBy(F.expr(f"bit div {BLOCK_BITS}").alias("block")).agg(F.bitmap_construct_agg(F.col("bit") % BLOCK_BITS).alias("bits")).collect()
-    whole = np.zeros(max(p.filter_bits, BLOCK_BITS) // 8, np.uint8)
-    for r in blocks:
-        here = whole[r["block"] * (BLOCK_BITS // 8) :][: BLOCK_BITS // 8]
-        here[:] = np.frombuffer(r["bits"], np.uint8)[: len(here)]
-    return spark.sparkContext.broadcast(whole)
+def maybe_repeated(filt: Broadcast, h: np.ndarray) -> np.ndarray:
+    return np.flatnonzero(in_filter(filt.value, h >> SHORT))
 
 
 def _ends(keys: np.ndarray) -> np.ndarray:
@@ -213,7 +198,7 @@ def _first_anchors(p: SuffixParams, filt):
             for x in text_anchors(texts, p):
                 text = np.array(x.some)[x.of]
                 c = context_hash(x, size[text], p)
-                k = np.flatnonzero(in_filter(filt.value, x.h))
+                k = maybe_repeated(filt, x.h)
                 found.append(np.stack([x.h[k].view(np.int64), c[k].view(np.int64), ord_[text[k]], row[text[k]], x.at[k]], 1))
             if found:
                 x = np.concatenate(found)
@@ -351,7 +336,7 @@ def _cut(p: SuffixParams, filt):
         places: dict[int, list[np.ndarray]] = {}
         runs = [np.empty((0, 2), np.int64)] * len(known)
         for x in text_anchors(known, p):
-            k = np.flatnonzero(in_filter(filt.value, x.h))
+            k = maybe_repeated(filt, x.h)
             of, at = x.of[k], x.at[k]
             for i, part in zip(np.unique(of).tolist(), np.split(at, np.flatnonzero(np.diff(of)) + 1)):
                 places.setdefault(x.some[i], []).append(part)
