@@ -63,16 +63,30 @@ def path_rollup(objects: DataFrame, path: str, size: str, separator: str = "/")
     return objects.select(F.explode(prefixes).alias("prefix"), F.col(size).alias("size")).groupBy("prefix").agg(F.count("*").alias("files"), F.sum("size").alias("bytes"))
 
 
-def rate_window(samples: DataFrame, ts: str, value: str, by: str, seconds: int = 120) -> DataFrame:
+def rate_window(samples: DataFrame, ts: str, value: str, by: str | None = None, seconds: int = 120, slices: int = 8) -> DataFrame:
     """Per sample: the value of the oldest sample of the last `seconds`, the fall per second since then, and the time left at that rate.
 
-    `by` partitions the samples: each series is a window of its own.
+    `by`: each series has windows of its own; without it all samples are one series. A series is cut into slices
+    of `slices` times the window's length, and a slice is read with a halo, the samples of one window before it: every sample
+    is answered in its own slice, which has all that it looks back to. So tasks hold a slice and its halo, however long
+    the series is, and about one sample in `slices` is read twice. Of oldest samples at one time that of the smallest value
+    counts. A sample without a time has no window: its oldest, rate and seconds_left are null.
     """
-    at = f"unix_micros(cast({ts} as timestamp))"
-    frame = f"over (partition by {by} order by {at} range between {seconds * 1_000_000} preceding and current row)"
-    x = samples.selectExpr("*", f"min_by({value}, struct({at}, {value})) {frame} as oldest", f"(max({at}) {frame} - min({at}) {frame}) / 1e6 as span")
-    rate = F.when(F.col("span") > 0, (F.col("oldest") - F.col(value)) / F.col("span"))
-    return x.withColumn("rate", rate).withColumn("seconds_left", F.when(rate > 0, F.col(value) * F.col("span") / (F.col("oldest") - F.col(value))))
+    at, window = F.unix_micros(F.col(ts).cast("timestamp")), seconds * 1_000_000
+    named = samples.select(F.struct(*(F.col(f"`{c}`") for c in samples.columns)).alias("row"), at.alias("at"), F.col(value).alias("value"), (F.col(by) if by else F.lit(0)).alias("series"))
+    length = window * slices
+    own, after = (F.expr(f"({x} - pmod({x}, {length})) div {length}") for x in ("at", f"(at + {window})"))
+    # a sample without a time is alone in its window
+    alone = F.when(F.col("at").isNull(), F.monotonically_increasing_id())
+    cut = named.withColumns({"own": own, "alone": alone}).withColumn("slice", F.explode(F.array_distinct(F.array("own", after))))
+    frame = f"over (partition by series, slice, alone order by at range between {window} preceding and current row)"
+    x = cut.selectExpr("*", f"min_by(value, struct(at, value)) {frame} as first_value", f"min(at) {frame} as first_at")
+    x = x.where("slice <=> own")
+    span = (F.col("at") - F.col("first_at")) / 1e6
+    rate = F.when(span > 0, (F.col("oldest") - F.col("value")) / span)
+    x = x.withColumn("oldest", F.when(F.col("at").isNotNull(), F.col("first_value"))).withColumn("rate", rate)
+    left = F.when(F.col("rate") > 0, F.col("value") * span / (F.col("oldest") - F.col("value")))
+    return x.withColumn("seconds_left", left).select("row.*", "oldest", span.alias("span"), "rate", "seconds_left")
 
 
 def attribute_counts(rows: DataFrame, column: str) -> DataFrame:
@@ -147,6 +161,13 @@ def queue_rate_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.select("event_id", "oldest", F.round("rate", 6).alias("rate"), F.round("seconds_left", 3).alias("seconds_left"))
 
 
+def queue_rate_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events as one series."""
+    e = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "ts", (F.lit(100_000) - F.col("event_id")).alias("left"))
+    s = rate_window(e, "ts", "left", seconds=600)
+    return s.select("event_id", "oldest", F.round("rate", 6).alias("rate"), F.round("seconds_left", 3).alias("seconds_left"))
+
+
 def attribute_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = spark.read.parquet(f"{sf_dir}/part.parquet")
     return attribute_counts(p.select(F.concat_ws(",", F.col("p_brand"), F.lit(" "), F.concat(F.lit(" "), "p_type"), F.col("p_brand")).alias("a")), "a")
@@ -161,7 +182,7 @@ def url_span_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.agg(F.min("ts").alias("first"), F.max("ts").alias("last"), F.sum(F.octet_length("props").cast("long")).alias("bytes"))
 
 
-QUERIES = {f.__name__: f for f in (format_profiles, format_top_domains, topk_exact, desc_stats, crawl_totals, path_rollups, queue_rate_window, attribute_count, corpus_count, url_span_totals)}
+QUERIES = {f.__name__: f for f in (format_profiles, format_top_domains, topk_exact, desc_stats, crawl_totals, path_rollups, queue_rate_window, queue_rate_series, attribute_count, corpus_count, url_span_totals)}
 _STATS = """s as (select 'http://h' || (user_id % 50) || '.example.org/p' || event_id as uri, 'h' || (user_id % 50) || '.example.org' as domain, event_id % 2 as m,
         event_id % 5 as a, (event_id % 3) * 2 as b, case when event_id % 7 = 0 then 0 else event_id % 4 end as c, case when event_id % 2 = 0 then event_id % 11 else 0 end as d from events),
     x as (select uri, domain, f as format, t as triples from (
@@ -184,6 +205,10 @@ ORACLE_SQL = {
               window f as (partition by queue order by t range between 120000000 preceding and current row))
         select event_id, oldest, round((oldest - v) / nullif(t - t0, 0) * 1e6, 6) as rate, round(case when oldest > v and t > t0 then v * ((t - t0) / 1e6) / (oldest - v) end, 3) as seconds_left
         from (select w.*, (select min(e.v) from e where e.queue = w.queue and e.t = w.t0) as oldest from w)""",
+    "queue_rate_series": """with e as (select event_id, epoch_us(ts) as t, 100000 - event_id as v from events),
+        w as (select *, min(t) over (order by t range between 600000000 preceding and current row) as t0 from e),
+        o as (select t as t0, min(v) as oldest from e group by t)
+        select event_id, oldest, round((oldest - v) / nullif(t - t0, 0) * 1e6, 6) as rate, round(case when oldest > v and t > t0 then v * ((t - t0) / 1e6) / (oldest - v) end, 3) as seconds_left from w join o using (t0)""",
     "attribute_count": "select attribute, count(*) as n from (select p_brand as attribute from part union all select p_type from part union all select p_brand from part) group by 1",
     "corpus_count": "select count(*) as n from documents",
     "url_span_totals": "select min(ts) as first, max(ts) as last, sum(strlen(props))::bigint as bytes from events",

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loomcrawl.operators.prefixes import abbreviate
+
 # The extractors whose statements are told apart.
 EXTRACTORS = (
     "html-rdfa", "html-rdfa11", "html-microdata", "html-mf-geo", "html-mf-hcalendar", "html-mf-hcard", "html-mf-adr", "html-mf2-h-adr",
@@ -86,15 +88,6 @@ def filter_predicates(quads: DataFrame, negative: tuple[str, ...] = (XHTML,), po
     return quads.where(~starts(negative) | starts(positive))
 
 
-def abbreviate(iri: Column, prefixes: DataFrame | dict[str, str]) -> Column:
-    """prefix:rest for the longest namespace of a dict prefix -> namespace that the IRI starts with; else the IRI."""
-    table = sorted(prefixes.items(), key=lambda x: (-len(x[1]), x[0]))
-    hit = F.lit(None).cast("string")
-    for prefix, namespace in reversed(table):
-        hit = F.when(iri.startswith(namespace), F.concat(F.lit(f"{prefix}:"), F.substring(iri, len(namespace) + 1, 1 << 30))).otherwise(hit)
-    return F.coalesce(hit, iri)
-
-
 # Queries: quads built from nation, customer and supplier, written as text and read back.
 
 _BASE = "http://data.example.org/"
@@ -136,7 +129,8 @@ def quad_demux(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def quad_ns_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     q = filter_predicates(parse_quads(_customer_lines(spark, sf_dir)))
-    return q.groupBy(abbreviate(F.col("p"), {"d": _BASE, "rdf": RDF_TYPE[:-4]}).alias("predicate")).agg(F.count("*").alias("quads"))
+    names = spark.createDataFrame([("d", _BASE), ("rdf", RDF_TYPE[:-4])], "prefix string, namespace string")
+    return abbreviate(q.groupBy("p").agg(F.count("*").alias("quads")), "p", names, "predicate").drop("p")
 
 
 def quad_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
