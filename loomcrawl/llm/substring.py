@@ -42,7 +42,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved
+from .common import dense_index, numbered, saved
 from .components import components
 from .hashing import mix, range_hashes, words
 
@@ -373,20 +373,23 @@ def _compared(rows: DataFrame, p: SubstringParams) -> DataFrame:
 
 
 def _sharing_rare(rows: DataFrame, payload: DataFrame, p: SubstringParams) -> DataFrame:
-    """(key, node) from (key, node): nodes of a key that share one of their rarest shingles there get a key of their own.
+    """(key, node) from (key, node, component): nodes of a key that share one of their rarest shingles there get a key of their own, where these are of two components or more.
 
     Two sets of a similarity t or more have ceil(t * size) elements in common at least, so in any one order
     of all elements they share one of the first size - ceil(t * size) + 1 of either. Rarest first, few others do.
     """
-    sets = rows.join(payload.withColumnRenamed("node", "of"), F.col("node") == F.col("of")).select("key", "node", F.size("sh").alias("size"), F.explode("sh").alias("e"))
+    sets = rows.join(payload.withColumnRenamed("node", "of"), F.col("node") == F.col("of")).select("key", "node", "component", F.size("sh").alias("size"), F.explode("sh").alias("e"))
     sets = saved(sets, "open-sets")
     often = saved(sets.groupBy(F.col("key").alias("k"), F.col("e").alias("el")).agg(F.count("*").alias("n")).where("n > 1"), "open-shingles")
     counted = sets.join(often, (F.col("key") == F.col("k")) & (F.col("e") == F.col("el")), "left")
     # a node's own shingles; those that no other has are first, and are no keys
-    first = counted.groupBy("key", "node", "size").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(1)).alias("n"), "e"))).alias("order"))
+    first = counted.groupBy("key", "node", "component", "size").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(1)).alias("n"), "e"))).alias("order"))
     need = F.col("size") - F.ceil(F.col("size") * p.similarity - 1e-9) + 1
-    each = first.select("key", "node", F.explode(F.slice("order", F.lit(1), need.cast("int"))).alias("x")).where("x.n > 1")
-    return each.select(F.xxhash64("key", "x.e").alias("key"), "node")
+    each = first.select("key", "node", "component", F.explode(F.slice("order", F.lit(1), need.cast("int"))).alias("x")).where("x.n > 1")
+    finer = saved(each.select(F.xxhash64("key", "x.e").alias("key"), "node", "component"), "rare-shingles")
+    # what is joined already need not meet again
+    unlike = saved(finer.groupBy(F.col("key").alias("of")).agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("of"), "unlike-shingles")
+    return finer.join(unlike, F.col("key") == F.col("of")).select("key", "node")
 
 
 def similar_nodes(buckets: DataFrame, payload: DataFrame, p: SubstringParams, finer: bool = True, known: DataFrame | None = None) -> DataFrame:
@@ -416,7 +419,7 @@ def similar_nodes(buckets: DataFrame, payload: DataFrame, p: SubstringParams, fi
         return found
     left = labelled.join(open_keys, F.col("key") == F.col("of")).drop("of")
     if finer:
-        return similar_nodes(saved(_sharing_rare(left.select("key", "node"), payload, p), "finer-buckets"), payload, p, False, before)
+        return similar_nodes(saved(_sharing_rare(left.select("key", "node", "component"), payload, p), "finer-buckets"), payload, p, False, before)
     # what shares its rarest shingles and is not alike still: those outside the largest cluster ask every block
     asking = left.where("component <> main").select("key", every, "node", F.lit(True).alias("asks"))
     asked = left.select("key", "block", "node", F.lit(False).alias("asks"))
@@ -494,8 +497,17 @@ def repeated_spans(docs: DataFrame, params: SubstringParams = SubstringParams(),
 
 
 def remove_spans(docs: DataFrame, params: SubstringParams = SubstringParams(), text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """docs with the removed spans cut out of their texts; documents keep their other columns and their number."""
-    spans_of = repeated_spans(docs, params, text, doc_id).where("removed").groupBy(F.col("doc_id").alias("_of")).agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("_spans"))
+    """docs with the removed spans cut out of their texts; documents keep their other columns, whatever these are, and their number.
+
+    Rows that share a doc_id are documents of their own here, in the order in which they are read: each is cut by its own spans.
+    Rows with a null doc_id stay as they are.
+    """
+    rows = numbered(docs, "span-rows")
+    body = rows.select("row", F.col("kept_row").getField(doc_id).cast("long").alias("doc_id"), F.col("kept_row").getField(text).alias("text")).where("doc_id is not null")
+    ranks = saved(dense_index(body.select("row", "doc_id"), [F.col("doc_id"), F.col("row")], "span-order", "rank").select(F.col("row").alias("of"), "rank"), "span-ranks")
+    ranked = saved(body.join(ranks, F.col("row") == F.col("of")).select("row", "rank", "text"), "span-texts")
+    spans = repeated_spans(ranked, params, "text", "rank").where("removed").groupBy(F.col("doc_id").alias("of")).agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans"))
+    by_row = saved(spans.join(ranks.select("rank", F.col("of").alias("row_of")), F.col("of") == F.col("rank")).select("row_of", "spans"), "cut-spans")
 
     @F.pandas_udf("string")
     def cut(t: pd.Series, s: pd.Series) -> pd.Series:
@@ -510,6 +522,6 @@ def remove_spans(docs: DataFrame, params: SubstringParams = SubstringParams(), t
 
         return pd.Series([one(x, y) for x, y in zip(t, s)], dtype=object)
 
-    spans_of = saved(spans_of, "cut-spans")
-    joined = docs.join(spans_of, docs[doc_id] == spans_of["_of"], "left")
-    return joined.select(*(cut(F.col(f"`{c}`"), F.col("_spans")).alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns))
+    joined = rows.join(by_row, F.col("row") == F.col("row_of"), "left").select("kept_row", "spans")
+    field = lambda c: F.col("kept_row").getField(c)
+    return joined.select(*(cut(field(c), F.col("spans")).alias(c) if c == text else field(c).alias(c) for c in docs.columns))

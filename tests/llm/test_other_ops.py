@@ -595,3 +595,10 @@ def test_rows_that_share_an_id_are_one_document(spark):
     text = prose(60)
     docs = spark.createDataFrame([(1, text), (1, text)], "doc_id long, text string")
     assert substring.repeated_spans(docs).count() == 0
+
+
+def test_rows_that_share_an_id_are_cut_on_their_own(spark):
+    a, b = prose(60), prose(60)
+    docs = spark.createDataFrame([(1, a, "x", 1), (2, a, "y", 2), (2, b, "z", 3), (2, None, "n", 4), (None, a, "u", 5)], "doc_id long, text string, _of string, _spans int")
+    got = {r._spans: (r.doc_id, r.text, r._of) for r in substring.remove_spans(docs).collect()}
+    assert got == {1: (1, a, "x"), 2: (2, "", "y"), 3: (2, b, "z"), 4: (2, None, "n"), 5: (None, a, "u")}

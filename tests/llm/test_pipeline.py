@@ -17,11 +17,26 @@ def prose(n):
     return " ".join(rng.choice(WORDS, n))
 
 
+def edited(text, *places):
+    w = text.split()
+    for k in places:
+        w[k] = f"edit{k}"
+    return " ".join(w)
+
+
+def shingles(text):
+    w = text.lower().split()
+    return {" ".join(w[i : i + 5]) for i in range(max(1, len(w) - 4))}
+
+
 @pytest.fixture(scope="module")
 def corpus(spark, tmp_path_factory):
     folder = tmp_path_factory.mktemp("corpus")
     rows = [(i, prose(int(rng.integers(60, 150))), "en", f"s{i % 3}", 1) for i in range(150)]
     rows += [(200 + i, rows[i][1].upper() if i % 2 else rows[i][1], "en", "s0", 1) for i in range(20)]  # exact copies
+    rows += [(500 + i, edited(rows[30 + i][1], 20), "en", "s1", 1) for i in range(25)]  # near copies, above 0.8
+    rows += [(540 + i, edited(rows[60 + i][1], 5, 15, 25, 35, 45, 55), "en", "s1", 1) for i in range(10)]  # and below
+    rows += [(560 + i, edited(rows[170 + i][1], 40), "en", "s1", 1) for i in range(3)]  # a chain of them
     rows += [(300 + i, " ".join(x + "!!" for x in prose(80).upper().split()), "en", "s1", 1) for i in range(60)]  # junk
     rows += [(400, None, None, None, None), (401, "short", "en", "s2", 1), (402, prose(9000), "en", None, 1), rows[0]]
     spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(folder / "documents.parquet"))
@@ -50,16 +65,15 @@ def test_stages(spark, corpus, tmp_path):
         t = rows[i][1].lower()
         texts[t] = max(texts.get(t, -1), i)
     assert sorted(r.doc_id for r in exact.collect()) == sorted(texts.values())
-    from loomcrawl.llm.simhash import fingerprint
-
-    prints = {i: fingerprint(rows[i][1].encode()) for i in texts.values()}
-    label = {i: i for i in prints}
-    for _ in range(5):
-        for i in prints:
-            for j in prints:
-                if (prints[i] ^ prints[j]).bit_count() <= 2:
-                    label[i] = label[j] = min(label[i], label[j])
-    assert sorted(r.doc_id for r in near.collect()) == sorted({v for v in label.values()})
+    sets = {i: shingles(rows[i][1]) for i in texts.values()}
+    label = {i: i for i in sets}
+    alike = [(i, j) for i in sets for j in sets if i < j and 10 * len(sets[i] & sets[j]) >= 8 * len(sets[i] | sets[j])]
+    for _ in range(len(alike)):
+        for i, j in alike:
+            label[i] = label[j] = min(label[i], label[j])
+    stay = set(label.values())
+    assert len(alike) >= 25 and not any(540 + i not in stay for i in range(10))
+    assert sorted(r.doc_id for r in near.collect()) == sorted(stay)
     size = Counter()
     for r in near.collect():
         size[r.source] += len(r.text.split())
