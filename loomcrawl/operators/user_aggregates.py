@@ -195,9 +195,9 @@ class DomainSupport:
 
 
 def user_support(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Of two thirds of all lines one ship mode is the group."""
-    x = spark.read.parquet(f"{sf_dir}/lineitem.parquet").withColumn("mode", F.when(F.col("l_orderkey") % 3 > 0, "all").otherwise(F.col("l_shipmode")))
-    return aggregate_by(x.withColumn("n", F.when(F.col("l_linenumber") < 5, F.col("l_linenumber")).cast("long")), ["mode"], Support("n"), "support")
+    """Two thirds of all lines are one group."""
+    x = spark.read.parquet(f"{sf_dir}/lineitem.parquet").withColumn("flag", F.when(F.col("l_orderkey") % 3 > 0, "all").otherwise(F.col("l_returnflag")))
+    return aggregate_by(x.withColumn("n", F.when(F.col("l_linenumber") < 5, F.col("l_linenumber")).cast("long")), ["flag"], Support("n"), "support")
 
 
 def user_intersection(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -214,7 +214,7 @@ def user_domain_support(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (user_support, user_intersection, user_domain_support)}
 ORACLE_SQL = {
-    "user_support": "select case when l_orderkey % 3 > 0 then 'all' else l_shipmode end as mode, coalesce(sum(l_linenumber) filter (l_linenumber < 5), 0)::bigint as support from lineitem group by 1",
+    "user_support": "select case when l_orderkey % 3 > 0 then 'all' else l_returnflag end as flag, coalesce(sum(l_linenumber) filter (l_linenumber < 5), 0)::bigint as support from lineitem group by 1",
     "user_intersection": "select o_custkey, min(case when o_orderkey % 61 > 0 then trunc(o_totalprice * 100)::bigint else 0 end) as common from orders group by 1",
     "user_domain_support": """with c as (select user_id % 5 as class, 'h' || (event_id * 7 % 23) || '.example.org' as domain, count(*) as n from events group by 1, 2)
         select class, list(domain || ' ' || n order by n desc, domain)[1:4] as top from c group by 1""",
