@@ -22,9 +22,9 @@ all are dropped: common short phrases and short lines on their own stay as they
 Equal paragraphs are one node. A task hands on each node once a batch and, where it is in several
 documents, once in all, so a hot passage costs a task a row or two. Buckets with one node end there. A
 bucket beyond `block` nodes is dealt out in blocks that share sixteen pivots, so that no task gets a hot
-bucket whole. Where that leaves more than one cluster, its nodes meet again by the shingles that all
-pairs at the similarity must share (each set's rarest ones, as many as it may lack and one more): no link
-is lost, and nodes that are not alike do not meet. Hashes have 64 bits.
+bucket whole. Where that leaves more than one cluster, nodes outside the largest are compared with all blocks, if these are
+few; in larger buckets nodes meet again by the shingles that all pairs at the similarity must share (each
+set's rarest ones, as many as it may lack and one more): no link is lost, and nodes that are not alike do not meet. Hashes have 64 bits.
 
 Words are compared with A-Z in lower case. A null text has no spans. Rows that share a doc_id are one
 document; rows with a null doc_id are left out. An empty table gives an empty result.
@@ -63,6 +63,8 @@ class SubstringParams:
     reach: int = 25
     #: Nodes of a bucket that one task compares.
     block: int = 512
+    #: Blocks of a bucket in which each node that is outside its largest cluster is compared with all; in more they meet by rare shingles.
+    direct: int = 16
     #: Places of paragraphs to verify that are sent to all executors, at most, some 60 bytes each; more are joined.
     send: int = 500_000
 
@@ -418,13 +420,16 @@ def similar_nodes(buckets: DataFrame, payload: DataFrame, p: SubstringParams, fi
     if open_keys.isEmpty():
         return found
     left = labelled.join(open_keys, F.col("key") == F.col("of")).drop("of")
-    if finer:
-        return similar_nodes(saved(_sharing_rare(left.select("key", "node", "component"), payload, p), "finer-buckets"), payload, p, False, before)
-    # what shares its rarest shingles and is not alike still: those outside the largest cluster ask every block
-    asking = left.where("component <> main").select("key", every, "node", F.lit(True).alias("asks"))
-    asked = left.select("key", "block", "node", F.lit(False).alias("asks"))
+    # those outside the largest cluster ask every block: where blocks are few, and where all share their rarest shingles and are not alike still
+    near = left.where(F.col("blocks") <= p.direct) if finer else left
+    asking = near.where("component <> main").select("key", every, "node", F.lit(True).alias("asks"))
+    asked = near.select("key", "block", "node", F.lit(False).alias("asks"))
     pairs = asked.unionByName(asking).groupBy("key", "block", "node").agg(F.max("asks").alias("asks"))
-    return components(before.unionByName(saved(_compared(with_sets(pairs), p), "more-links")))
+    told = before.unionByName(saved(_compared(with_sets(pairs), p), "more-links"))
+    far = left.where(F.col("blocks") > p.direct).select("key", "node", "component")
+    if not finer or far.isEmpty():
+        return components(told)
+    return similar_nodes(saved(_sharing_rare(far, payload, p), "finer-buckets"), payload, p, False, told)
 
 
 def _documents(p: SubstringParams):

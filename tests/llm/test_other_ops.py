@@ -160,8 +160,8 @@ def test_big_buckets_lose_no_link(spark):
     payload = spark.createDataFrame([(i, sorted(s)) for i, s in enumerate(sets)], "node long, sh array<long>")
     buckets = spark.createDataFrame([(7, i) for i in range(120)] + [(8, 0), (8, 1)], "key long, node long")
     want = brute_components(sets, 0.8)
-    for finer in (True, False):
-        got = {r.node: r.component for r in substring.similar_nodes(buckets, payload, substring.SubstringParams(block=8), finer).collect()}
+    for finer, direct in ((True, 0), (True, 16), (False, 0)):
+        got = {r.node: r.component for r in substring.similar_nodes(buckets, payload, substring.SubstringParams(block=8, direct=direct), finer).collect()}
         assert [got.get(i, i) for i in range(120)] == want
 
 
@@ -171,7 +171,7 @@ def test_nodes_that_are_not_alike_do_not_meet(spark):
     sets[7] = sets[3] | {9}
     payload = spark.createDataFrame([(i, sorted(s)) for i, s in enumerate(sets)], "node long, sh array<long>")
     p = substring.SubstringParams(block=8)
-    finer = substring._sharing_rare(spark.createDataFrame([(7, i) for i in range(400)], "key long, node long"), payload, p).groupBy("key").count().collect()
+    finer = substring._sharing_rare(spark.createDataFrame([(7, i, i) for i in range(400)], "key long, node long, component long"), payload, p).groupBy("key").count().collect()
     assert max(r[1] for r in finer) == 2 and len(finer) <= 18
     got = {r.node: r.component for r in substring.similar_nodes(spark.createDataFrame([(7, i) for i in range(400)], "key long, node long"), payload, p).collect()}
     assert got[7] == got[3]
