@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomcrawl.functions.urls import domain
+from loomcrawl.operators.scratch import scratch_path
 
 
 def job_totals(stats: DataFrame) -> DataFrame:
@@ -50,6 +51,34 @@ def top_k_lossy(df: DataFrame, key: str, k: int, tracked: int = 10_000) -> DataF
     return got.select(F.explode("t").alias("t")).select(F.col("t.item").alias(key), F.col("t.count").alias("n"))
 
 
+def hitter_sketches(df: DataFrame, key: str, by: list[str] = (), tracked: int = 10_000) -> DataFrame:
+    """(*by, sketch): a sketch of the frequent values of a column for each group, as a column that can be written and merged later."""
+    return df.groupBy(*by).agg(F.expr(f"approx_top_k_accumulate(`{key}`, {int(tracked)})").alias("sketch"))
+
+
+def merged_sketches(sketches: DataFrame, by: list[str] = (), tracked: int = 10_000) -> DataFrame:
+    """(*by, sketch): sketches of several days or parts as one. No sketches: no row."""
+    keys = [F.col(c) for c in by] or [F.lit(0).alias("_all")]
+    return sketches.groupBy(*keys).agg(F.expr(f"approx_top_k_combine(sketch, {int(tracked)})").alias("sketch")).select(*by, "sketch")
+
+
+def sketched_hitters(sketches: DataFrame, key: str, k: int, by: list[str] = ()) -> DataFrame:
+    """(*by, key, n): the k most frequent values that each sketch knows, in order of n and value; k is no more than it tracks.
+
+    Of N rows in a sketch of t tracked values, n is off by hitter_error(N, t) at most, and every value that occurs more often
+    than that is known. With fewer distinct values than three quarters of t, counts are exact.
+    """
+    known = sketches.select(*by, F.explode(F.expr(f"approx_top_k_estimate(sketch, {int(k)})")).alias("t")).select(*by, F.col("t.item").alias(key), F.col("t.count").alias("n"))
+    if not by:
+        return known.orderBy(F.desc("n"), key).limit(k)
+    return known.selectExpr("*", f"row_number() over (partition by {', '.join(by)} order by n desc, {key}) as place").where(F.col("place") <= k).drop("place")
+
+
+def hitter_error(rows: int, tracked: int) -> int:
+    """How far counts of a sketch may be off, merged or not: 3.5 times the rows over the size of its table, a power of two of `tracked` or more."""
+    return int(3.5 * rows / (1 << max(3, (tracked - 1).bit_length()))) + 1
+
+
 def describe(df: DataFrame, value: str, by: list[str] = ()) -> DataFrame:
     """min, max, mean, exact median and count of a column, by the groups given."""
     c = F.col(value)
@@ -136,6 +165,13 @@ def topk_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(spark.read.parquet(f"{sf_dir}/events.parquet"), "user_id", F.lit(1), 100)
 
 
+def topk_by_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users of all events, from sketches of each day that are written, read and merged."""
+    e, path = spark.read.parquet(f"{sf_dir}/events.parquet"), scratch_path(spark, "sketches")
+    hitter_sketches(e.withColumn("day", F.to_date("ts")), "user_id", ["day"], 50_000).write.parquet(path)
+    return sketched_hitters(merged_sketches(spark.read.parquet(path), tracked=50_000), "user_id", 100)
+
+
 def desc_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = describe(spark.read.parquet(f"{sf_dir}/lineitem.parquet"), "l_quantity", ["l_returnflag"])
     return d.withColumn("mean", F.round("mean", 6))
@@ -182,7 +218,7 @@ def url_span_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.agg(F.min("ts").alias("first"), F.max("ts").alias("last"), F.sum(F.octet_length("props").cast("long")).alias("bytes"))
 
 
-QUERIES = {f.__name__: f for f in (format_profiles, format_top_domains, topk_exact, desc_stats, crawl_totals, path_rollups, queue_rate_window, queue_rate_series, attribute_count, corpus_count, url_span_totals)}
+QUERIES = {f.__name__: f for f in (format_profiles, format_top_domains, topk_exact, topk_by_sketch, desc_stats, crawl_totals, path_rollups, queue_rate_window, queue_rate_series, attribute_count, corpus_count, url_span_totals)}
 _STATS = """s as (select 'http://h' || (user_id % 50) || '.example.org/p' || event_id as uri, 'h' || (user_id % 50) || '.example.org' as domain, event_id % 2 as m,
         event_id % 5 as a, (event_id % 3) * 2 as b, case when event_id % 7 = 0 then 0 else event_id % 4 end as c, case when event_id % 2 = 0 then event_id % 11 else 0 end as d from events),
     x as (select uri, domain, f as format, t as triples from (
@@ -194,6 +230,7 @@ ORACLE_SQL = {
     "format_top_domains": f"""with {_STATS}, n as (select format, domain, sum(triples)::bigint as n from x group by 1, 2)
         select * from (select *, (row_number() over (partition by format order by n desc, domain))::int as place from n) where place <= 5""",
     "topk_exact": "select user_id, count(*) as n from events group by 1 order by n desc, user_id limit 100",
+    "topk_by_sketch": "select user_id, count(*) as n from events group by 1 order by n desc, user_id limit 100",
     "desc_stats": "select l_returnflag, min(l_quantity) as min, max(l_quantity) as max, round(avg(l_quantity), 6) as mean, median(l_quantity) as median, count(l_quantity) as n from lineitem group by 1",
     "crawl_totals": """select sum(o_orderkey % 100)::bigint as pages_total, sum(o_orderkey % 90)::bigint as pages_parsed, sum(o_orderkey % 40)::bigint as pages_triples, sum(o_orderkey * 3)::bigint as size,
         round(avg(o_orderkey % 64) filter (o_orderkey % 10 <> 0 and o_orderkey % 11 <> 0), 6) as mean_rate, round(sum(o_orderkey % 1000) / 60000.0, 6) as cpu_minutes from orders""",

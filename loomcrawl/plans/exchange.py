@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from loomcrawl.functions.text import human_bytes, shorten
 from loomcrawl.functions.urls import path_terms
+from loomcrawl.operators import quads
 from loomcrawl.operators.cooc import pair_supports_with_domains
 from loomcrawl.operators.profile import attribute_union, merge_counters
 from loomcrawl.operators.scratch import scratch_path
-from loomcrawl.sources import archives, sinks, text
+from loomcrawl.sources import archives, chunks, sinks, text
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,6 +45,30 @@ def arc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _archived(spark, sf_dir, "arc")
 
 
+def warc_by_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages as one archive, a member a record, and a third of its records fetched by an index, in tasks of 64 KB of it."""
+    pages = _table(spark, sf_dir, "pages")
+    path, index = scratch_path(spark, "pages-archive"), scratch_path(spark, "pages-index")
+    rows = pages.select(F.lit("response").alias("type"), F.col("url").alias("uri"), F.lit("2020-01-02T03:04:05Z").alias("ts"), F.lit("application/http").alias("mime"), F.encode(_response(F.coalesce("html", F.lit(""))), "UTF-8").alias("content"))
+    archives.register(spark)
+    rows.coalesce(1).sortWithinPartitions("uri").write.format("warc").mode("append").save(path)
+    archives.index_records(spark.read.format("warc").load(path)).write.parquet(index)
+    wanted = spark.read.parquet(index).where("substr(md5(uri), 1, 1) < '5'")
+    found = archives.fetch_records(wanted, task_bytes=64 << 10)
+    return found.select("uri", "offset", (F.col("end_offset") - F.col("offset")).alias("bytes"), F.md5(F.expr("substring(content, locate('\r\n\r\n', decode(content, 'iso-8859-1')) + 4, length(content))")).alias("html_md5"))
+
+
+def quad_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statements and broken lines as chunks of 20,000 packed bytes at most, read back: lines by extractor, and what was counted."""
+    path = scratch_path(spark, "chunks")
+    chunks.write_chunks(quads._customer_lines(spark, sf_dir), path, 20_000, 5_000)
+    files = text.listing(spark, path, ".nq.gz").agg((F.max("bytes") <= 20_000).alias("bounded"))
+    lines = chunks.read_chunks(spark, path).groupBy(F.regexp_extract("value", "<ex:([^<>]+)> [.]$", 1).alias("extractor")).agg(F.count("*").alias("quads"))
+    counts = chunks.chunk_counts(spark, path).select("lines", "unknown", "unparsable")
+    one = lambda df: df.withColumn("one", F.lit(1))
+    return one(lines).join(one(counts), "one").join(one(files), "one").drop("one")
+
+
 def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics as CSV and back; the name has quotes and commas."""
     path = scratch_path(spark, "csv")
@@ -136,7 +161,7 @@ def shown_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        warc_round_trip, arc_round_trip, csv_round_trip, adjacency_text, edge_text_round_trip, key_value_lookup, labelled_pages_round_trip, record_dump, listed_files,
+        warc_round_trip, arc_round_trip, warc_by_index, quad_chunks, csv_round_trip, adjacency_text, edge_text_round_trip, key_value_lookup, labelled_pages_round_trip, record_dump, listed_files,
         class_map, segment_list, merged_counters, attribute_names, cooc_pairs_by_flag, url_path_terms, shown_texts,
     )
 }
@@ -145,6 +170,12 @@ _BYTES = "case when n_chars < {u} then n_chars || ' B' when n_chars < {u} * {u}
 ORACLE_SQL = {
     "warc_round_trip": _PAGES,
     "arc_round_trip": _PAGES,
+    "warc_by_index": """with p as (select url as uri, strlen('HTTP/1.1 200 OK') + 2 + strlen('Content-Type: text/html; charset=utf-8') + 2 + strlen('Last-Modified: today') + 4 + strlen(coalesce(html, '')) as n, md5(coalesce(html, '')) as html_md5 from pages),
+        s as (select uri, html_md5, strlen('WARC/1.0') + 2 + strlen('WARC-Type: response') + 2 + strlen('WARC-Target-URI: ' || uri) + 2 + strlen('WARC-Date: 2020-01-02T03:04:05Z') + 2 + strlen('Content-Type: application/http') + 2 + strlen('Content-Length: ' || n) + 4 + n as bytes from p)
+        select uri, bytes, html_md5, coalesce(sum(bytes + 4) over (order by uri rows between unbounded preceding and 1 preceding), 0)::bigint as offset from s qualify substr(md5(uri), 1, 1) < '5'""",
+    "quad_chunks": """with n as (select count(*) filter (c_custkey % 10 = 0) as cut, count(*) filter (c_custkey % 50 = 0) as notes, count(*) filter (c_custkey % 4 = 3) as odd, count(*) as n from customer)
+        select ['html-microdata', 'html-rdfa', 'rdf-jsonld'][c_custkey % 4 + 1] as extractor, 5 * count(*) as quads, 5 * (n - odd) as lines, 5 * odd as unknown, cut + notes as unparsable, true as bounded
+        from customer, n where c_custkey % 4 < 3 group by all""",
     "csv_round_trip": """select c_custkey, 'say "x", ' || c_name as c_name, c_mktsegment from customer""",
     "adjacency_text": "select o || chr(9) || string_agg(c_name, chr(9) order by c_name) as line from (select distinct c_mktsegment || '-' || c_nationkey as o, c_name from customer) group by o",
     "edge_text_round_trip": "select s_name as origin, s_nationkey::varchar as target from supplier",

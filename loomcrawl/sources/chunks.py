@@ -9,38 +9,26 @@ that fails leaves nothing behind, and of a task that is tried again only the att
 
 from __future__ import annotations
 
-import contextlib
 import json
 import re
-import uuid
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass, field
 
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter
 
 from loomcrawl.operators.quads import EXTRACTORS, format_quads
-from loomcrawl.sources.archives import _open
+from loomcrawl.sources.staged import Staged, StagedWriter, open_path
 
 CHUNK_BYTES = 100 << 20
 #: Bytes of lines that are packed as one member.
 MEMBER = 256 << 10
-STAGE = "_stage"
 COUNTS = "counts.json"
+COUNTED = ("files", "lines", "unknown", "unparsable")
 _EXTRACTOR = re.compile(rb"<ex:([^<>]+)>\s*\.\s*$")
 
 
-@dataclass
-class ChunksDone(WriterCommitMessage):
-    files: list[str] = field(default_factory=list)
-    lines: int = 0
-    unknown: int = 0
-    unparsable: int = 0
-
-
 class _Chunk:
     """The open chunk of an extractor."""
 
@@ -48,23 +36,17 @@ class _Chunk:
         self.name, self.number, self.size, self.lines, self.held, self.file = name, 0, 0, [], 0, None
 
 
-class ChunkWriter(DataSourceArrowWriter):
-    """Options: path; chunkBytes; extractors (comma-separated, all known ones if not told). The first column is the line."""
+class ChunkWriter(StagedWriter):
+    """Options: path; chunkBytes; memberBytes; extractors (comma-separated, all known ones if not told). The first column is the line."""
 
     def __init__(self, options: dict):
-        self.path = options["path"].rstrip("/")
+        super().__init__(options["path"])
         self.most, self.member = int(options.get("chunkBytes", CHUNK_BYTES)), int(options.get("memberBytes", MEMBER))
         self.known = frozenset(options.get("extractors", ",".join(EXTRACTORS)).split(","))
-        self.job = uuid.uuid4().hex
 
-    def _stage(self) -> str:
-        return f"{self.path}/{STAGE}-{self.job}"
-
-    def write(self, batches: Iterator[pa.RecordBatch]) -> ChunksDone:
-        task = TaskContext.get()
-        system, root = _open(self._stage())  # made by the driver; once it is gone, a task that still runs fails
-        own = f"{task.partitionId():06d}-{task.taskAttemptId()}"
-        done, chunks = ChunksDone(), {}
+    def write(self, batches: Iterator[pa.RecordBatch]) -> Staged:
+        system, stage, own = self.task_folder()
+        done, chunks = Staged(), {}
 
         def pack(c: _Chunk) -> None:
             packer = zlib.compressobj(6, zlib.DEFLATED, 31)
@@ -79,23 +61,24 @@ class ChunkWriter(DataSourceArrowWriter):
                 c.file = None
             if c.file is None:
                 name = f"{own}/{c.name}.{own}.{c.number}.nq.gz"
-                c.file, c.size, c.number = system.open_output_stream(f"{root}/{name}", compression=None), 0, c.number + 1
-                done.files.append(name)
+                c.file, c.size, c.number = system.open_output_stream(f"{stage}/{name}", compression=None), 0, c.number + 1
+                done.files.append((name, c.name))
+                done.add("files")
             c.file.write(data)
             c.size, c.lines, c.held = c.size + len(data), [], 0
 
         try:
-            system.create_dir(f"{root}/{own}", recursive=False)
             for b in batches:
                 for line in b.column(0).cast(pa.binary()).to_pylist():
                     m = _EXTRACTOR.search(line or b"")
                     name = m[1].decode("utf-8", "replace") if m else None
                     if name not in self.known:
-                        done.unparsable, done.unknown = done.unparsable + (m is None), done.unknown + (m is not None)
+                        done.add("unknown" if m else "unparsable")
                         continue
                     c = chunks.setdefault(name, _Chunk(name))
                     c.lines.append(line)
-                    c.held, done.lines = c.held + len(line) + 1, done.lines + 1
+                    c.held += len(line) + 1
+                    done.add("lines")
                     if c.held >= self.member:
                         pack(c)
             for c in chunks.values():
@@ -107,32 +90,11 @@ class ChunkWriter(DataSourceArrowWriter):
                     c.file.close()
         return done
 
-    def commit(self, messages: list[ChunksDone | None]) -> None:
-        system, root = _open(self.path)
-        stage = _open(self._stage())[1]
-        told = [m for m in messages if m is not None]
-        for m in told:
-            for name in m.files:
-                extractor = name.split("/")[1].split(".")[0]
-                system.create_dir(f"{root}/{extractor}", recursive=True)
-                system.move(f"{stage}/{name}", f"{root}/{extractor}/{name.rpartition('/')[2]}")
-        self._clear()
+    def finish(self, told: list[Staged]) -> None:
+        system, root = open_path(self.path)
         system.create_dir(root, recursive=True)
         with system.open_output_stream(f"{root}/{COUNTS}", compression=None) as f:
-            f.write(json.dumps({"files": sum(len(m.files) for m in told), "lines": sum(m.lines for m in told), "unknown": sum(m.unknown for m in told), "unparsable": sum(m.unparsable for m in told)}).encode())
-
-    def abort(self, messages: list[ChunksDone | None]) -> None:
-        self._clear()
-
-    def _clear(self) -> None:
-        from pyarrow import fs
-
-        system, stage = _open(self._stage())
-        for _ in range(5):  # a task that still runs may be adding a file
-            with contextlib.suppress(OSError):
-                if system.get_file_info(stage).type == fs.FileType.Directory:
-                    system.delete_dir(stage)
-                return
+            f.write(json.dumps({c: sum(m.counts.get(c, 0) for m in told) for c in COUNTED}).encode())
 
 
 class ChunkSink(DataSource):
@@ -146,10 +108,7 @@ class ChunkSink(DataSource):
         return "value string"
 
     def writer(self, schema, overwrite: bool) -> DataSourceArrowWriter:
-        one = ChunkWriter(self.options)
-        system, stage = _open(one._stage())
-        system.create_dir(stage, recursive=True)
-        return one
+        return ChunkWriter(self.options).prepare()
 
 
 def write_chunks(lines: DataFrame, path: str, chunk_bytes: int = CHUNK_BYTES, member_bytes: int = MEMBER) -> None:
@@ -164,7 +123,7 @@ def write_quad_chunks(quads: DataFrame, path: str, chunk_bytes: int = CHUNK_BYTE
 
 def chunk_counts(spark: SparkSession, path: str) -> DataFrame:
     """(files, lines, unknown, unparsable) of what was written."""
-    return spark.read.schema("files long, lines long, unknown long, unparsable long").json(f"{path}/{COUNTS}")
+    return spark.read.schema(", ".join(f"{c} long" for c in COUNTED)).json(f"{path}/{COUNTS}")
 
 
 def read_chunks(spark: SparkSession, path: str) -> DataFrame:

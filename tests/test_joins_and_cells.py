@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from loomcrawl.operators import cooc, postings, prefixes, profile, user_aggregates
 from loomcrawl.operators.quads import EXTRACTORS
 from loomcrawl.operators.relations import text_index
-from loomcrawl.sources import chunks
+from loomcrawl.sources import archives, chunks
 from loomcrawl.streaming import files
 from loomcrawl.streaming.files import process_new_files
 
@@ -272,3 +272,109 @@ def test_attempts_count_across_restarts(spark, tmp_path, monkeypatch):
     go()
     assert [(r.attempts, r.error) for r in spark.read.parquet(str(tmp_path / "dead")).collect()] == [(3, "ended the run")]
     assert not (tmp_path / "out").exists()
+
+
+# archives
+
+
+def test_records_by_index(spark, tmp_path):
+    archives.register(spark)
+    rows = [("response", f"http://a.example/{i}", "2020-01-02T03:04:05Z", "text/html", bytes([i % 251]) * (i * 37 % 5000) + b"\r\n\r\nWARC/1.0\r\n" + gzip.compress(b"WARC/1.0\r\nContent-Length: 0\r\n\r\n")) for i in range(300)] + [("request", None, None, None, b""), ("response", "http://a.example/none", None, None, None)]
+    df = spark.createDataFrame(rows, "type string, uri string, ts string, mime string, content binary").coalesce(1)
+    path = str(tmp_path / "w")
+    df.write.format("warc").mode("append").save(path)
+    (file,) = (tmp_path / "w").glob("*.warc.gz")
+    records = spark.read.format("warc").load(path)
+    found = records.collect()
+    assert [(r.type, r.uri, r.ts, r.mime, bytes(r.content)) for r in found] == [(t, u, s, m, c or b"") for t, u, s, m, c in rows]
+    raw = file.read_bytes()
+    plain = gzip.decompress(raw)
+    for r in found:
+        assert plain[r.offset : r.offset + 5] == b"WARC/" and raw[r.member : r.member + 2] == b"\x1f\x8b" and gzip.decompress(raw[r.member :])[:100] == plain[r.offset :][:100]
+    index = archives.index_records(records)
+    index.write.parquet(str(tmp_path / "index"))
+    index = spark.read.parquet(str(tmp_path / "index"))
+    got = archives.fetch_records(index, task_bytes=20_000)
+    assert sorted(map(tuple, got.collect()), key=lambda r: r[1]) == [tuple(r) for r in found]
+    assert got.select(F.spark_partition_id()).distinct().count() > 1  # one file, several tasks
+    some = archives.fetch_records(index.where("uri like '%/1_' or uri like '%/29_'")).collect()
+    assert {r.uri: bytes(r.content) for r in some} == {u: c for _, u, _, _, c in rows if u and len(u) in (19, 20) and (u[-2] == "1" and len(u) == 19 or u[-3:-1] == "29")}
+    lost = archives.fetch_records(index.limit(1).withColumn("member", F.lit(5).cast("long")))
+    assert lost.first().error == "no record there" and lost.count() == 1
+
+
+def test_members_that_hold_several_records(spark, tmp_path):
+    record = lambda i: b"WARC/1.0\r\nWARC-Type: response\r\nContent-Length: 3\r\n\r\nab%d\r\n\r\n" % i
+    (tmp_path / "two.warc.gz").write_bytes(gzip.compress(record(1) + record(2)) + b"\0\0" + gzip.compress(record(3)))
+    (tmp_path / "plain.warc").write_bytes(record(4) + record(5))
+    archives.register(spark)
+    got = {bytes(r.content): (r.offset, r.member) for r in spark.read.format("warc").load(str(tmp_path)).collect()}
+    first = len(gzip.compress(record(1) + record(2)))
+    n = len(record(1))
+    assert got == {b"ab1": (0, 0), b"ab2": (n, None), b"ab3": (2 * n, first + 2), b"ab4": (0, 0), b"ab5": (n, n)}
+    index = archives.index_records(spark.read.format("warc").load(str(tmp_path)))
+    assert {bytes(r.content) for r in archives.fetch_records(index).collect()} == {b"ab1", b"ab3", b"ab4", b"ab5"}
+
+
+def test_arc_records_by_index(spark, tmp_path):
+    record = lambda i: b"http://a/%d 1.2.3.4 20200102030405 text/html 4\nab%02d\n" % (i, i)
+    (tmp_path / "x.arc.gz").write_bytes(b"".join(gzip.compress(record(i)) for i in range(30)))
+    archives.register(spark)
+    index = archives.index_records(spark.read.format("arc").load(str(tmp_path)))
+    got = archives.fetch_records(index, True, 300)
+    assert sorted((r.uri, bytes(r.content)) for r in got.collect()) == sorted((f"http://a/{i}", b"ab%02d" % i) for i in range(30))
+
+
+def test_filters_reach_the_reader(spark, tmp_path):
+    archives.register(spark)
+    spark.createDataFrame([(t, f"http://{h}/x", b"c") for t in ("response", "request") for h in "ab"], "type string, uri string, content binary").write.format("warc").mode("append").save(str(tmp_path / "w"))
+    df = spark.read.format("warc").load(str(tmp_path / "w")).where("type = 'response' and uri like 'http://a%' and offset >= 0")
+    assert [(r.type, r.uri) for r in df.collect()] == [("response", "http://a/x")]
+    reader = archives._Reader({"path": str(tmp_path / "w")}, False)
+    left = list(reader.pushFilters([archives.EqualTo(("type",), "response"), archives.EqualTo(("offset",), 1)]))
+    assert len(left) == 1 and [r[5] for p in reader.partitions() for r in reader.read(p)] == ["http://a/x", "http://b/x"]
+
+
+# sketches and state
+
+
+def test_sketches_of_days(spark):
+    rows = spark.range(60_000).selectExpr("id % 6 as day", "case when id % 10 < 3 then cast(sqrt(id % 900) as int) else 1000 + id end as k")
+    sketches = profile.hitter_sketches(rows, "k", ["day"], 512)
+    exact = {r.k: r.n for r in rows.groupBy("k").agg(F.count("*").alias("n")).collect()}
+    error = profile.hitter_error(60_000, 512)
+    merged = profile.merged_sketches(sketches, tracked=512)
+    got = {r.k: r.n for r in profile.sketched_hitters(merged, "k", 512).collect()}
+    above = {k for k, n in exact.items() if n > error}
+    assert len(above) > 10 and above <= set(got) and all(abs(n - exact[k]) <= error for k, n in got.items())
+    by_day = profile.sketched_hitters(sketches, "k", 2, ["day"]).groupBy("day").count().collect()
+    assert {(r["day"], r["count"]) for r in by_day} == {(d, 2) for d in range(6)}
+    assert profile.sketched_hitters(profile.merged_sketches(sketches.where("day > 9"), tracked=512), "k", 3).count() == 0
+    few = profile.sketched_hitters(profile.hitter_sketches(rows.where("k < 30"), "k", tracked=512), "k", 100)
+    assert {r.k: r.n for r in few.collect()} == {k: n for k, n in exact.items() if k < 30}
+
+
+def test_domain_totals_of_a_stream(spark, tmp_path):
+    from loomcrawl.streaming import domains
+
+    rows = [(f"d{i % 5}.example", f"f{i % 3}", i % 7, i * 100) for i in range(10, 210)] + [("d1.example", "f0", 4, 40_000), ("end", "f0", 0, 400_000), ("later", "f0", 0, 800_000)]
+    for k in range(0, len(rows), 51):
+        spark.createDataFrame(rows[k : k + 51], "domain string, format string, triples long, t long").withColumn("ts", F.timestamp_seconds("t")).drop("t").coalesce(1).write.parquet(str(tmp_path / f"in/{k:04d}"))
+    spark.createDataFrame([("zz", "f0", 0, 1_600_000)], "domain string, format string, triples long, t long").withColumn("ts", F.timestamp_seconds("t")).drop("t").coalesce(1).write.parquet(str(tmp_path / "in/9999"))
+    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    domains.use_state(spark)
+    try:
+        stream = spark.readStream.schema("domain string, format string, triples long, ts timestamp").option("recursiveFileLookup", True).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+        out = domains.domain_totals(stream).writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
+        out.awaitTermination(100)
+        assert not out.isActive
+    finally:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
+    got = spark.read.schema(domains.TOTALS).parquet(str(tmp_path / "out"))
+    want = Counter()
+    for d, f, n, _ in rows:
+        want[d, f, "triples"] += n
+        want[d, f, "urls"] += 1
+    sums = got.groupBy("domain", "format").agg(F.sum("triples").alias("triples"), F.sum("urls").alias("urls")).collect()
+    assert {(r.domain, r.format): (r.triples, r.urls) for r in sums} == {(d, f): (want[d, f, "triples"], want[d, f, "urls"]) for d, f, _ in want}
+    assert got.where("domain = 'd1.example'").count() > 3  # quiet for an hour, and back
