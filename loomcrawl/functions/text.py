@@ -5,20 +5,25 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# English stop words; month names; ways to write dates and times. Look-aheads are written
-# as groups that take the next sign: for a test of presence that is the same.
+# English stop words; month names.
 STOP_WORDS = "a an and are as at be but by for if in into is it no not of on or such that the their then there these they this to was will with".split()
-_END = r"(\s|\.|\n|$|,)"
+MONTHS = "January February March April May June July August September October November December".split()
+
+
+def _month(name: str) -> str:
+    """A month's name or its first three letters; the first letter in either case, but for May, as `may` is a verb."""
+    first = name[0] if name == "May" else f"[{name[0]}{name[0].lower()}]"
+    return f"{first}{name[1:3]}" + (f"(?:{name[3:]})?" if name[3:] else "")
+
+
+#: What follows an expression: the end, white space, a full stop or a comma; after a year also a dash or a slash.
+_ENDS, _YEAR_ENDS, _ERA = r"(?![^\s.,])", r"(?![^\s.,/-])", r"(?:BC|AC|B\.C\.|A\.C\.)"
 TIME_PATTERNS = {
-    "date": rf"[0-3]?[0-9][-|.][0-3]?[0-9][-|.](?:[0-9]{{2}})?[0-9]{{2}}{_END}",
-    "month": rf"([J|j]an(?:uary)?|[F|f]eb(?:ruary)?|[M|m]ar(?:ch)?|[A|a]pr(?:il)?|May|[J|j]un(?:e)?|[J|j]ul(?:y)?|[A|a]ug(?:ust)?|[S|s]ep(?:tember)?|[O|o]ct(?:ober)?|[N|n]ov(?:ember)?|[D|d]ec(?:ember)?){_END}",
-    "clock_12": rf"(1[0-2]|0?[1-9]):([0-5]?[0-9])(\s)?([AP]M)?{_END}",
-    "clock_24": rf"(2[0-3]|[01]?[0-9]):([0-5]?[0-9]){_END}",
-    "clock_24_seconds": rf"(2[0-3]|[01]?[0-9]):([0-5]?[0-9]):([0-5]?[0-9]){_END}",
-    "clock_12_seconds": rf"(1[0-2]|0?[1-9]):([0-5]?[0-9]):([0-5]?[0-9])(\s)?([AP]M)?{_END}",
-    "year": r"(([1-2][0-9]{3})(\s?(BC|AC|B.C.|A.C.)?)|([0-9]{3})\s?(BC|AC|B.C.|A.C.)|([0-9]{2})\s?(BC|AC|B.C.|A.C.)|([0-9]{1})\s?(BC|AC|B.C.|A.C.))(\s|\n|\.|$|,|-|/)",
-    "hour": rf"(1[0-2]|0?[1-9]):([0-5]?[0-9])(\s)?(H|h)?{_END}",
-    "o_clock": rf"(([1]?[0-9]|[2]?[0-4])\s?([O|o]['|`][C|c]lock)){_END}",
+    "day": rf"[0-3]?\d[-.][0-3]?\d[-.](?:\d{{2}})?\d{{2}}{_ENDS}",
+    "month": rf"(?:{'|'.join(map(_month, MONTHS))}){_ENDS}",
+    "clock": rf"(?:2[0-3]|[01]?\d):[0-5]?\d(?::[0-5]?\d)?\s?(?:[AP]M|[Hh])?{_ENDS}",
+    "year": rf"(?:[12]\d{{3}}(?:\s?{_ERA})?|\d{{1,3}}\s?{_ERA}){_YEAR_ENDS}",
+    "o_clock": rf"(?:1?\d|2?[0-4])\s?[Oo]['`][Cc]lock{_ENDS}",
 }
 _ACCENTED, _PLAIN = "ÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖØÙÚÛÜÝàáâãäåçèéêëìíîïñòóôõöøùúûüýÿ", "AAAAAACEEEEIIIINOOOOOOUUUUYaaaaaaceeeeiiiinoooooouuuuyy"
 MAX_TOKEN = 255

@@ -16,30 +16,41 @@ MAX_DEPTH = 3
 VCARD = "http://www.w3.org/2006/vcard/ns#"
 
 
-def entity_properties(quads: DataFrame, depth: int = MAX_DEPTH) -> DataFrame:
-    """(graph, subject, p, o, o_kind, pos): all statements of each entity, with those of blank nodes it holds.
+def entity_statements(quads: DataFrame, depth: int = MAX_DEPTH) -> DataFrame:
+    """(graph, subject, st): arrays of the statements (p, pos, o, kind) of each entity, and one more for each blank node that it holds.
 
     An entity is a subject of a graph with an rdf:type; quads need a column pos, their place in the
-    input. Every step is a join by graph and node, written once and left out when no blank node is left;
-    a blank node that several entities hold is merged into each of them, and one beyond `depth`
-    contributes nothing.
+    input. A node of a document is one row from the first aggregation on, so that statements move once for that and
+    once for each level that their node is reached on; a level is written once and left out when no blank node is left. A
+    blank node that several entities hold is merged into each of them, and one beyond `depth` contributes nothing.
     """
-    q = quads.select("graph", "s", "p", "o", "o_kind", "pos")
-    roots = q.where(F.col("p") == RDF_TYPE).select("graph", F.col("s").alias("subject")).distinct()
-    levels = [saved(roots.join(q.withColumnRenamed("s", "subject"), ["graph", "subject"]), "entities")]
+    st = F.struct("p", "pos", "o", F.col("o_kind").alias("kind"))
+    nodes = saved(quads.groupBy("graph", "s").agg(F.collect_list(st).alias("st"), F.max(F.col("p") == RDF_TYPE).alias("typed")), "nodes")
+    held = nodes.select(F.col("graph").alias("in_graph"), F.col("s").alias("node"), "st")
+    levels = [nodes.where("typed").select("graph", F.col("s").alias("subject"), "st")]
     for _ in range(depth):
-        nested = levels[-1].where("o_kind = 'bnode'").select("graph", "subject", F.col("o").alias("s"))
+        below = F.explode(F.filter("st", lambda x: x["kind"] == "bnode"))
+        nested = levels[-1].select("graph", "subject", below.alias("x")).select("graph", "subject", F.col("x.o").alias("of"))
         if nested.isEmpty():
             break
-        levels.append(saved(nested.join(q, ["graph", "s"]).select("graph", "subject", "p", "o", "o_kind", "pos"), "nested"))
-    return reduce(DataFrame.unionByName, levels).where("o_kind <> 'bnode'")
+        levels.append(saved(nested.join(held, (F.col("graph") == F.col("in_graph")) & (F.col("of") == F.col("node"))).select("graph", "subject", "st"), "nested"))
+    return reduce(DataFrame.unionByName, levels)
+
+
+def entity_properties(quads: DataFrame, depth: int = MAX_DEPTH) -> DataFrame:
+    """(graph, subject, p, o, o_kind, pos): all statements of each entity but those that hold a blank node, with those of blank nodes it holds."""
+    x = entity_statements(quads, depth).select("graph", "subject", F.explode("st").alias("x")).where("x.kind <> 'bnode'")
+    return x.select("graph", "subject", "x.p", "x.o", F.col("x.kind").alias("o_kind"), "x.pos")
 
 
 def entities(quads: DataFrame, depth: int = MAX_DEPTH) -> DataFrame:
     """(url, context, props): one row per entity; of several values of a property the last in the input wins."""
-    last = entity_properties(quads, depth).groupBy("graph", "subject", "p").agg(F.max_by("o", F.struct("pos", "o")).alias("o"))
-    props = F.map_from_entries(F.array_sort(F.collect_list(F.struct("p", "o"))))
-    return last.groupBy("graph", "subject").agg(props.alias("props")).select(F.col("subject").alias("url"), F.col("graph").alias("context"), "props")
+    kept = entity_statements(quads, depth).select("graph", "subject", F.filter("st", lambda x: x["kind"] != "bnode").alias("st"))
+    # of an entity's statements in order, those that the next one does not replace
+    whole = kept.groupBy("graph", "subject").agg(F.array_sort(F.flatten(F.collect_list("st"))).alias("st")).where(F.size("st") > 0)
+    last = F.filter("st", lambda x, i: F.coalesce(F.get("st", i + 1)["p"] != x["p"], F.lit(True)))
+    props = F.map_from_entries(F.transform(last, lambda x: F.struct(x["p"], x["o"])))
+    return whole.select(F.col("subject").alias("url"), F.col("graph").alias("context"), props.alias("props"))
 
 
 def entity_table(ents: DataFrame, trigger: str, columns: list[str], required: str) -> DataFrame:

@@ -80,7 +80,7 @@ def adjacency_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of an adjacency list: a customer's segment and the customers in it."""
     c, path = _table(spark, sf_dir, "customer"), scratch_path(spark, "adjacency")
     sinks.write_adjacency(c.groupBy(F.concat("c_mktsegment", F.lit("-"), F.col("c_nationkey").cast("string")).alias("origin")).agg(F.sort_array(F.collect_set("c_name")).alias("links")), path)
-    return spark.read.text(path).select(F.col("value").alias("line"))
+    return text.adjacency(spark, path).select("origin", F.array_join("links", "|").alias("links"))
 
 
 def edge_text_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,18 +106,19 @@ def labelled_pages_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def record_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Texts of the benchmark, a line each, dumped in files of seven records at most."""
+    """Texts of the benchmark, a line each, dumped in files of seven records at most: how many files have how many."""
     path = scratch_path(spark, "dump")
-    sinks.write_record_dump(_table(spark, sf_dir, "benchmark").select(F.regexp_replace("text", r"\s+", " ").alias("text")), path, 7)
-    sizes = spark.read.text(path).where("value <> ''").groupBy(F.input_file_name()).agg(F.count("*").alias("n"))
-    return sizes.agg(F.sum("n").alias("records"), (F.max("n") <= 7).alias("bounded"))
+    sinks.write_record_dump(_table(spark, sf_dir, "benchmark").coalesce(1).select(F.regexp_replace("text", r"\s+", " ").alias("text")), path, 7)
+    sizes = spark.read.text(path).where("value <> ''").groupBy(F.input_file_name()).agg(F.count("*").alias("records"))
+    return sizes.groupBy("records").agg(F.count("*").alias("files"))
 
 
 def listed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files of a folder that was written in one piece, by listing."""
+    """Files of a folder that has one for each nation of customers, by listing."""
     path = scratch_path(spark, "listed")
-    _table(spark, sf_dir, "region").repartition(1).write.csv(path)
-    return text.listing(spark, path, ".csv").agg(F.count("*").alias("files"), (F.min("bytes") > 0).alias("filled"))
+    _table(spark, sf_dir, "customer").repartition("c_nationkey").write.partitionBy("c_nationkey").csv(path)
+    nation = F.regexp_extract("path", "c_nationkey=([0-9]+)", 1).cast("int")
+    return text.listing(spark, path, ".csv").groupBy(nation.alias("nation")).agg(F.count("*").alias("files"), (F.min("bytes") > 0).alias("filled"))
 
 
 def class_map(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -166,7 +167,13 @@ QUERIES = {
     )
 }
 _PAGES = "select url as uri, 200::int as status, 'text/html; charset=utf-8' as content_type, 'today' as last_modified, md5(coalesce(html, '')) as html_md5 from pages"
-_BYTES = "case when n_chars < {u} then n_chars || ' B' when n_chars < {u} * {u} then printf('%.1f {k}', n_chars / {u}.0) else printf('%.1f {m}', n_chars / {u}.0 / {u}) end"
+def _bytes(unit: int, thousand: str, million: str) -> str:
+    """In tenths of a unit, by whole numbers, a half up."""
+    tenths = lambda u: f"((n_chars * 10 + {u // 2}) // {u})"
+    shown = lambda u, name: f"{tenths(u)} // 10 || '.' || {tenths(u)} % 10 || ' {name}'"
+    return f"case when n_chars < {unit} then n_chars || ' B' when n_chars < {unit**2} then {shown(unit, thousand)} else {shown(unit**2, million)} end"
+
+
 ORACLE_SQL = {
     "warc_round_trip": _PAGES,
     "arc_round_trip": _PAGES,
@@ -177,12 +184,12 @@ ORACLE_SQL = {
         select ['html-microdata', 'html-rdfa', 'rdf-jsonld'][c_custkey % 4 + 1] as extractor, 5 * count(*) as quads, 5 * (n - odd) as lines, 5 * odd as unknown, cut + notes as unparsable, true as bounded
         from customer, n where c_custkey % 4 < 3 group by all""",
     "csv_round_trip": """select c_custkey, 'say "x", ' || c_name as c_name, c_mktsegment from customer""",
-    "adjacency_text": "select o || chr(9) || string_agg(c_name, chr(9) order by c_name) as line from (select distinct c_mktsegment || '-' || c_nationkey as o, c_name from customer) group by o",
+    "adjacency_text": "select o as origin, string_agg(c_name, '|' order by c_name) as links from (select distinct c_mktsegment || '-' || c_nationkey as o, c_name from customer) group by o",
     "edge_text_round_trip": "select s_name as origin, s_nationkey::varchar as target from supplier",
     "key_value_lookup": "select o_orderkey as key, o_orderstatus as status, o_custkey as customer from orders where o_orderkey in (1, 2, 3, 500, 999999999)",
     "labelled_pages_round_trip": "select url as uri, 'text/html' as content_type, case when page_id % 2 = 0 then 'even' else 'odd' end as class, md5(html) as content_md5 from pages",
-    "record_dump": "select count(*) as records, true as bounded from benchmark where trim(text) <> ''",
-    "listed_files": "select 1::bigint as files, true as filled",
+    "record_dump": "with n as (select count(*) as n from benchmark where trim(text) <> '') select 7::bigint as records, n // 7 as files from n where n >= 7 union all select n % 7, 1 from n where n % 7 > 0",
+    "listed_files": "select c_nationkey::int as nation, 1::bigint as files, true as filled from customer group by 1",
     "class_map": "select url, 'class ' || (page_id % 3) as class from pages",
     "segment_list": "select distinct c_mktsegment as segment from customer where c_nationkey <> 3",
     "merged_counters": "select counter, sum(n)::bigint as n from (select o_orderstatus as counter, 1 as n from orders union all select o_orderpriority, 1 from orders union all select 'F', 2 from orders) group by 1",
@@ -192,6 +199,6 @@ ORACLE_SQL = {
         r as (select *, row_number() over (partition by a, b order by n desc, flag) as place, sum(n) over (partition by a, b)::bigint as support from n)
         select a, b, support, place, flag, n from r where place <= 2""",
     "url_path_terms": r"""select page_id, array_to_string(list_filter(regexp_split_to_array(regexp_extract(url, '^https?://[^/?#]+([^?#]*)', 1) || '/some-long_name%20here/index', '/|_|-|%20'), lambda x: x <> ''), '|') as terms from pages""",
-    "shown_texts": f"""select doc_id, {_BYTES.format(u=1024, k='KiB', m='MiB')} as size, {_BYTES.format(u=1000, k='kB', m='MB')} as si,
+    "shown_texts": f"""select doc_id, {_bytes(1024, 'KiB', 'MiB')} as size, {_bytes(1000, 'kB', 'MB')} as si,
         case when length(text) > 40 then substr(text, 1, 40) || ' ...' else text end as short from documents""",
 }

@@ -53,6 +53,12 @@ def segments(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(F.trim("value").alias("segment")).where("segment <> ''").distinct()
 
 
+def adjacency(spark: SparkSession, path: str) -> DataFrame:
+    """(origin, links) of lines `origin TAB target TAB …`; a line without targets has an empty array."""
+    parts = F.split("value", "\t")
+    return spark.read.text(path).select(F.element_at(parts, 1).alias("origin"), F.slice(parts, F.lit(2), F.size(parts)).alias("links"))
+
+
 def edge_text(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.csv(path, sep="\t", schema="origin string, target string")
 
@@ -68,4 +74,4 @@ def listing(spark: SparkSession, path: str, suffix: str = "", limit: int | None
     return out if limit is None else out.orderBy("path").limit(limit)
 
 
-__all__ = ["WAT_SCHEMA", "wat", "redirects", "nquads", "nquads_series", "csv_lines", "table_corpus", "url_classes", "segments", "edge_text", "index_text", "listing"]
+__all__ = ["WAT_SCHEMA", "wat", "redirects", "nquads", "nquads_series", "csv_lines", "table_corpus", "url_classes", "segments", "adjacency", "edge_text", "index_text", "listing"]

@@ -24,23 +24,28 @@ class DomainCounters(StatefulProcessor):
         self.counts = handle.getMapState("counts", "format string", "triples long, urls long")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        timers = list(self.handle.listTimers())
+        for t in timers:
+            self.handle.deleteTimer(t)
+        if timers and max(timers) <= timerValues.getCurrentWatermarkInMs():  # quiet for long, and back before the timer was asked
+            yield self._flushed(key)
+            timers = []
         last = 0
         for batch in rows:
             last = max(last, int(batch["at"].max()))
             for name, some in batch.groupby("format"):
                 known = self.counts.getValue((name,)) or (0, 0)
                 self.counts.updateValue((name,), (known[0] + int(some["triples"].sum()), known[1] + len(some)))
-        due = [last + self.idle_ms, *self.handle.listTimers()]
-        for t in due[1:]:
-            self.handle.deleteTimer(t)
-        self.handle.registerTimer(max(due))
-        return iter(())
+        self.handle.registerTimer(max([last + self.idle_ms, *timers]))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        yield self._flushed(key)
+
+    def _flushed(self, key) -> pd.DataFrame:
         found = [(key[0], name[0], *n) for name, n in self.counts.iterator()]
         self.counts.clear()
         # as plain objects: strings kept by Arrow come in chunks, which Spark's writer does not take
-        yield pd.DataFrame(found, columns=["domain", "format", "triples", "urls"]).astype({"domain": object, "format": object})
+        return pd.DataFrame(found, columns=["domain", "format", "triples", "urls"]).astype({"domain": object, "format": object})
 
     def close(self) -> None:
         pass

@@ -357,9 +357,9 @@ def test_sketches_of_days(spark):
 def test_domain_totals_of_a_stream(spark, tmp_path):
     from loomcrawl.streaming import domains
 
-    rows = [(f"d{i % 5}.example", f"f{i % 3}", i % 7, i * 100) for i in range(10, 210)] + [("d1.example", "f0", 4, 40_000), ("end", "f0", 0, 400_000), ("later", "f0", 0, 800_000)]
-    for k in range(0, len(rows), 51):
-        spark.createDataFrame(rows[k : k + 51], "domain string, format string, triples long, t long").withColumn("ts", F.timestamp_seconds("t")).drop("t").coalesce(1).write.parquet(str(tmp_path / f"in/{k:04d}"))
+    rows = [(f"d{i % 5}.example", f"f{i % 3}", i % 7, i * 100) for i in range(10, 210)] + [("end", "f0", 0, 30_000), ("d1.example", "f0", 4, 40_000), ("end", "f0", 0, 400_000), ("later", "f0", 0, 800_000)]
+    for k, part in enumerate((rows[:100], rows[100:200], *([r] for r in rows[200:]))):
+        spark.createDataFrame(part, "domain string, format string, triples long, t long").withColumn("ts", F.timestamp_seconds("t")).drop("t").coalesce(1).write.parquet(str(tmp_path / f"in/{k:04d}"))
     spark.createDataFrame([("zz", "f0", 0, 1_600_000)], "domain string, format string, triples long, t long").withColumn("ts", F.timestamp_seconds("t")).drop("t").coalesce(1).write.parquet(str(tmp_path / "in/9999"))
     before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
     domains.use_state(spark)
