@@ -16,17 +16,25 @@ WAT_SCHEMA = (
 )
 
 
+#: A link's address in double, single or no quotes, wherever it stands among the attributes.
+_HREF = r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+
+
+def _unquoted(href: Column) -> Column:
+    return F.when(href.rlike("^[\"']"), F.substring(href, F.lit(2), F.length(href) - 2)).otherwise(href)
+
+
 def page_links(pages: DataFrame) -> DataFrame:
-    """(page_id, url, href), one row per `<a href>` in page order; pages without links give none."""
-    return pages.select("page_id", "url", F.explode(F.regexp_extract_all("html", F.lit(r'<a href="([^"]*)"'), 1)).alias("href"))
+    """(page_id, url, href), one row per `<a href>` in page order, however it is quoted; pages without links give none."""
+    return pages.select("page_id", "url", F.explode(F.regexp_extract_all("html", F.lit(_HREF), 1)).alias("href")).withColumn("href", _unquoted(F.col("href")))
 
 
 def page_anchors(pages: DataFrame) -> DataFrame:
     """(page_id, url, target, anchor), one row per `<a href>` with its text without markup; white space collapsed."""
-    pattern = F.lit(r'(?is)<a\b[^>]*\bhref="([^"]*)"[^>]*>(.*?)</a>')
+    pattern = F.lit(rf"{_HREF}[^>]*>(.*?)</a>")
     both = F.arrays_zip(F.regexp_extract_all("html", pattern, F.lit(1)).alias("target"), F.regexp_extract_all("html", pattern, F.lit(2)).alias("anchor"))
     x = pages.select("page_id", "url", F.explode(both).alias("x"))
-    return x.select("page_id", "url", "x.target", F.trim(F.regexp_replace(F.regexp_replace("x.anchor", "<[^>]*>", ""), r"\s+", " ")).alias("anchor"))
+    return x.select("page_id", "url", _unquoted(F.col("x.target")).alias("target"), F.trim(F.regexp_replace(F.regexp_replace("x.anchor", "<[^>]*>", ""), r"\s+", " ")).alias("anchor"))
 
 
 def wat_records(lines: DataFrame) -> DataFrame:
@@ -179,6 +187,15 @@ def site_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _pages(spark, sf_dir).groupBy(registered_domain(F.col("url")).alias("site")).agg(F.count("*").alias("pages"), F.countDistinct(domain(F.col("url"))).alias("hosts"))
 
 
+def link_quoting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of pages whose every third has single quotes and another attribute before, and whose every third has no quotes."""
+    pages = _pages(spark, sf_dir)
+    single = F.regexp_replace("html", '<a href="([^"]*)"', "<A class=\"x\"\n HREF = '$1' id=y")
+    bare = F.regexp_replace("html", '<a href="([^" ]*)"', "<a data-href='no' href=$1")
+    html = F.when(F.col("page_id") % 3 == 1, single).when(F.col("page_id") % 3 == 2, bare).otherwise(F.col("html"))
+    return page_links(pages.withColumn("html", html)).select("page_id", "href")
+
+
 def link_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     links = page_links(_pages(spark, sf_dir))
     return links.select("page_id", domain(F.col("url")).alias("host"), "href")
@@ -241,7 +258,7 @@ def wat_link_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wat_counters(wat_records(_wat_lines(spark, sf_dir)))
 
 
-QUERIES = {f.__name__: f for f in (target_indegree, anchor_texts, site_pages, link_extract, link_clean_resolve, url_distinct_sorted, url_index_ids, edge_index_inner, edge_index_keep, edge_distinct_sorted, host_graph, wat_filter_links, wat_redirect_uris, wat_link_counters)}
+QUERIES = {f.__name__: f for f in (target_indegree, anchor_texts, site_pages, link_extract, link_quoting, link_clean_resolve, url_distinct_sorted, url_index_ids, edge_index_inner, edge_index_keep, edge_distinct_sorted, host_graph, wat_filter_links, wat_redirect_uris, wat_link_counters)}
 
 _LINKS = """l as (select page_id, url as origin, unnest(regexp_extract_all(html, '<a href="([^"]*)"', 1)) as href from pages)"""
 _HOST = "lower(regexp_extract({}, '^https?://(?:[^/?#@]*@)?([^/?#:@]+)', 1))"
@@ -264,6 +281,7 @@ ORACLE_SQL = {
         select target, trim(anchor) as anchor, count(distinct page_id) as pages from a group by 1, 2""",
     "site_pages": f"""with h as (select {_HOST.format("url")} as host from pages), p as (select host, str_split(host, '.') as x from h)
         select x[-2] || '.' || x[-1] as site, count(*) as pages, count(distinct host) as hosts from p group by 1""",
+    "link_quoting": f"with {_LINKS} select page_id, href from l",
     "link_extract": f"with {_LINKS} select page_id, {_HOST.format('origin')} as host, href from l",
     "link_clean_resolve": f"with {_EDGES} select origin, target, count(*) as links from e group by 1, 2",
     "url_distinct_sorted": f"with {_EDGES} select origin as url from e union select target from e order by 1",

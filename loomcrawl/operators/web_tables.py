@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from loomcrawl.functions.html_dom import Node, parse
 from loomcrawl.functions.text import has_time_expression
 from loomcrawl.operators.relations import header_row, key_column, transposed
+from loomcrawl.operators.scratch import saved
 
 CELL = "struct<tag:string,text:string,forms:int,links:int,images:int,inputs:int,selects:int,heads:int>"
 TABLE = f"url string, table_no int, page_title string, title string, in_form boolean, has_table boolean, has_span boolean, widths array<int>, grid array<array<{CELL}>>, before string, after string, paragraphs_before array<string>, paragraphs_after array<string>"
@@ -208,10 +209,12 @@ def content_type(cell: Column) -> Column:
 def features(tables: DataFrame, key: list[str]) -> DataFrame:
     """key and the features of both phases as doubles, one row per table with a grid of 2 x 2 at least.
 
-    Cells are rows; whole-table features are one aggregate, those of the first, second and last rows and
-    columns another, by line.
+    Grids are written once, so that HTML is parsed once, and dealt by key once: cells are rows of their table's
+    partition, where whole-table features are one aggregate, those of the first, second and last rows and columns
+    another, by line, and all of them are joined.
     """
-    t = tables.where("grid is not null and size(grid) >= 2 and size(grid[0]) >= 2").select(*key, F.size("grid").alias("h"), F.size(F.col("grid")[0]).alias("w"), F.posexplode("grid").alias("r", "cells"))
+    grids = saved(tables.where("grid is not null and size(grid) >= 2 and size(grid[0]) >= 2").select(*key, "grid"), "grids").repartition(*key)
+    t = grids.select(*key, F.size("grid").alias("h"), F.size(F.col("grid")[0]).alias("w"), F.posexplode("grid").alias("r", "cells"))
     x = t.select(*key, "h", "w", "r", F.posexplode("cells").alias("c", "cell")).withColumn("kind", content_type(F.col("cell"))).withColumn("is", F.col("cell").isNotNull())
     of = lambda cond: F.count_if(F.col("is") & cond)
     cells = F.count_if("is")
@@ -228,7 +231,7 @@ def features(tables: DataFrame, key: list[str]) -> DataFrame:
         n = x.where("is").groupBy(*key, axis, "kind").agg(F.count("*").alias("n"))
         return n.groupBy(*key, axis).agg(F.sum("n").alias("cells"), F.max("n").alias("most")).withColumn("agree", 2 * F.col("most") - F.col("cells"))
 
-    shape = tables.where("grid is not null").select(*key, F.size("grid").alias("h"), F.size(F.col("grid")[0]).alias("w"))
+    shape = grids.select(*key, F.size("grid").alias("h"), F.size(F.col("grid")[0]).alias("w"))
     deviation = lambda n: F.sqrt(F.greatest(F.sum(F.col("cells") * F.col("cells")) / n - F.pow(F.sum("cells") / n, F.lit(2)), F.lit(0.0)))
     rows = lines("r", "c").join(shape, key).groupBy(*key).agg(F.max("cells").cast("double").alias("MAX_COLS"), deviation(F.first("h")).alias("STD_DEV_COLS"), (F.sum("agree") / F.first("h")).alias("agree_r"))
     cols = lines("c", "r").join(shape, key).groupBy(*key).agg(deviation(F.first("w")).alias("STD_DEV_ROWS"), (F.sum("agree") / F.first("w")).alias("agree_c"))
@@ -317,21 +320,51 @@ def table_relations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def table_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     f = features(extract_tables(_table_pages(spark, sf_dir)), ["url"])
-    return f.select("url", *(F.round(c, 6).alias(c.lower()) for c in ("AVG_CELL_LENGTH", "LOCAL_RATIO_IS_NUMBER_COL_2", "LOCAL_RATIO_HEADER_ROW_0", "MAX_COLS", "RATIO_ALPHABETICAL", "CUMULATIVE_CONTENT_CONSISTENCY")))
+    return f.select("url", *(F.round(c, 6).alias(c.lower()) for c in dict.fromkeys(PHASE_1 + PHASE_2)))
 
 
 QUERIES = {f.__name__: f for f in (table_filters, table_relations, table_features)}
+def _features_sql() -> str:
+    """Cells of the queries' pages, made from the customers, and all features from these."""
+    local = {
+        "LOCAL_AVG_LENGTH": "coalesce(avg(len(txt)), 0)", "LOCAL_LENGTH_VARIANCE": "coalesce(var_pop(len(txt)), 0)", "LOCAL_SPAN_RATIO": "count(*) filter (txt is null) / count(*)",
+        "LOCAL_RATIO_HEADER": "head", "LOCAL_RATIO_ANCHOR": "link", "LOCAL_RATIO_IMAGE": "false", "LOCAL_RATIO_INPUT": "false", "LOCAL_RATIO_SELECT": "false",
+        "LOCAL_RATIO_COLON": "ends_with(txt, ':')", "LOCAL_RATIO_COMMA": "contains(txt, ',')", "LOCAL_RATIO_CONTAINS_NUMBER": "txt ~ '.*[0-9].*'", "LOCAL_RATIO_IS_NUMBER": "try_cast(txt as double) is not null",
+    }
+    line = {"ROW_0": "r = 0", "ROW_1": "r = 1", "ROW_2": "r = h - 1", "COL_0": "c = 0", "COL_1": "c = 1", "COL_2": "c = w - 1"}
+
+    def one(name: str) -> str:
+        what, where = local[name[:-6]], line[name[-5:]]
+        if "(" in what and not what.startswith(("ends", "contains", "try")):
+            return what.replace("avg(len(txt))", f"avg(len(txt)) filter ({where})").replace("var_pop(len(txt))", f"var_pop(len(txt)) filter ({where})").replace("filter (txt is null)", f"filter (txt is null and {where})").replace("/ count(*)", f"/ count(*) filter ({where})")
+        return f"coalesce(count(*) filter (txt is not null and ({what}) and {where}) / nullif(count(*) filter (txt is not null and {where}), 0), 0)"
+
+    whole = {
+        "AVG_ROWS": "count(txt) / any_value(w)", "AVG_COLS": "count(txt) / any_value(h)", "AVG_CELL_LENGTH": "avg(len(txt))", "RATIO_IMG": "0",
+        "RATIO_ALPHABETICAL": "count(*) filter (kind = 'letters') / count(txt)", "RATIO_DIGIT": "count(*) filter (kind = 'digits') / count(txt)", "RATIO_EMPTY": "count(*) filter (kind = 'empty') / count(txt)",
+        "MAX_COLS": "any_value(max_cols)", "STD_DEV_COLS": "any_value(dev_cols)", "STD_DEV_ROWS": "any_value(dev_rows)", "CUMULATIVE_CONTENT_CONSISTENCY": "greatest(any_value(agree_r), any_value(agree_c))",
+    }
+    shown = ", ".join(f"round(({whole[n] if n in whole else one(n)})::double, 6) as {n.lower()}" for n in dict.fromkeys(PHASE_1 + PHASE_2))
+    lines = lambda axis, size: f"""
+        n{axis} as (select url, {axis}, kind, count(*) as n from x where txt is not null group by all),
+        l{axis} as (select url, {axis}, sum(n) as cells, 2 * max(n) - sum(n) as agree from n{axis} group by all),
+        t{axis} as (select url, max(cells) as most, sqrt(greatest(sum(cells * cells) / any_value({size}) - (sum(cells) / any_value({size})) ** 2, 0)) as dev, sum(agree) / any_value({size}) as agree from l{axis} join s using (url) group by url)"""
+    return rf"""
+        with o as (select *, (c_custkey // 3) % 6 as k, row_number() over (partition by c_nationkey, (c_custkey // 3) % 6 order by c_custkey) as place from customer),
+        b as (select 'http://t.example.org/' || c_nationkey || '/' || k as url, k, place - (k <> 1)::int as r, unnest([c_name, c_mktsegment, floor(c_acctbal)::bigint::varchar]) as txt, unnest(case when k = 4 then [0, 2, 3] else [0, 1, 2] end) as c, k = 5 as link, false as head from o where k <> 3 or place <= 2
+              union all select distinct 'http://t.example.org/' || c_nationkey || '/1', 1, 0, unnest(['', 'segment', 'balance']), unnest([0, 1, 2]), false, unnest([false, true, true]) from o where k = 1),
+        s as (select url, max(r) + 1 as h, any_value(case when k = 4 then 4 else 3 end) as w from b group by url having max(r) >= 1),
+        a as (select b.* from b union all select url, 4, r, null, 1, false, false from b where k = 4 and c = 0),
+        x as (select a.*, h, w, case when txt is null then null when link then 'link' when trim(txt) = '' then 'empty' when len(regexp_replace(txt, '[^0-9]', '', 'g')) > len(regexp_replace(txt, '[^\p{{L}}]', '', 'g')) then 'digits'
+              when txt ~ '.*[\p{{L}}0-9].*' then 'letters' else 'others' end as kind from a join s using (url)),{lines('r', 'h')},{lines('c', 'w')}
+        select x.url, {shown} from (select x.*, tr.most as max_cols, tr.dev as dev_cols, tc.dev as dev_rows, tr.agree as agree_r, tc.agree as agree_c from x join tr using (url) join tc using (url)) x group by x.url"""
+
+
 _G = "g as (select c_nationkey, (c_custkey // 3) % 6 as k, count(*) as n from customer group by 1, 2)"
 ORACLE_SQL = {
     "table_filters": f"""with {_G} select case when k = 2 then 'in_form' when least(n, case when k = 3 then 2 else n end) + (k = 1)::int < 3 then 'few_rows' when k = 4 then 'spans' when k = 5 then 'link_list' else 'kept' end as counter, count(*) as n
         from g group by 1""",
     "table_relations": f"""with {_G} select 'http://t.example.org/' || c_nationkey || '/' || k as url, case when k = 1 then 'FIRST_ROW' else 'NONE' end as header_position,
         (n + (k = 1)::int)::int as rows, 1 as dated_before, 0 as dated_after from g where k < 2 and n + (k = 1)::int >= 3""",
-    "table_features": f"""with c as (select c_nationkey, (c_custkey // 3) % 6 as k, c_custkey, len(c_name) + len(c_mktsegment) + len(floor(c_acctbal)::bigint::varchar) as l, row_number() over (partition by c_nationkey, (c_custkey // 3) % 6 order by c_custkey) as place from customer),
-        g as (select c_nationkey, k, count(*) as n, sum(l) as l from c where k <> 3 or place <= 2 group by 1, 2),
-        x as (select *, n + (k = 1)::int as m from g)
-        select 'http://t.example.org/' || c_nationkey || '/' || k as url, round((l + case when k = 1 then 14 else 0 end) / (3 * m), 6) as avg_cell_length, round(n / m, 6) as local_ratio_is_number_col_2,
-            round(case when k = 1 then 2 / 3 else 0.0 end, 6) as local_ratio_header_row_0, 3.0::double as max_cols, round(case k when 1 then (n + 2) / (3 * m) when 5 then 0.0 else 1 / 3 end, 6) as ratio_alphabetical,
-            round(case k when 1 then greatest(1.0, (3 * n - 1) / 3) when 4 then greatest(1.0, 0.75 * m) when 5 then greatest(3.0, m) else greatest(1.0, m) end, 6)::double as cumulative_content_consistency
-        from x where m >= 2""",
+    "table_features": _features_sql(),
 }

@@ -128,11 +128,29 @@ def class_map(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def segment_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Segments of all customers in the order in which they first come, by key."""
     path = scratch_path(spark, "segments")
-    _table(spark, sf_dir, "customer").select(F.concat(F.lit("  "), F.when(F.col("c_nationkey") == 3, "").otherwise(F.col("c_mktsegment")))).write.text(path)
+    c = _table(spark, sf_dir, "customer").coalesce(1).sortWithinPartitions("c_custkey")
+    c.select(F.concat(F.lit("  "), F.when(F.col("c_nationkey") == 3, "").otherwise(F.col("c_mktsegment")))).write.text(path)
     return text.segments(spark, path)
 
 
+def corpus_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as a corpus of gzip files by status, and how many lines each has."""
+    path = scratch_path(spark, "corpus")
+    _table(spark, sf_dir, "orders").select("o_orderstatus", F.to_json(F.struct("o_orderkey", "o_totalprice")).alias("value")).repartition("o_orderstatus").write.partitionBy("o_orderstatus").option("compression", "gzip").text(path)
+    files = text.corpus_files(spark, path)
+    return files.select(F.regexp_extract("file", "o_orderstatus=([A-Z])", 1).alias("status"), "lines", "error")
+
+
+def report_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as a report of 100 rows a page, read back: rows and first name of every page."""
+    path = scratch_path(spark, "report")
+    sinks.write_report_pages(_table(spark, sf_dir, "customer").select("c_name", "c_mktsegment"), path, ["c_name"], 100)
+    page = spark.read.text(path, wholetext=True)
+    return page.select(F.col("page").cast("long").alias("page"), F.size(F.regexp_extract_all("value", F.lit("<tr><td>"), 0)).cast("long").alias("rows"), F.regexp_extract("value", "<tr><td>([^<]*)</td>", 1).alias("first"))
+
+
 def merged_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = _table(spark, sf_dir, "orders")
     return merge_counters(o.groupBy(F.col("o_orderstatus").alias("counter")).agg(F.count("*").alias("n")), o.select(F.col("o_orderpriority").alias("counter"), F.lit(1).cast("long").alias("n")), o.select(F.lit("F").alias("counter"), F.lit(2).cast("long").alias("n")))
@@ -163,7 +181,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         warc_round_trip, arc_round_trip, warc_by_index, quad_chunks, csv_round_trip, adjacency_text, edge_text_round_trip, key_value_lookup, labelled_pages_round_trip, record_dump, listed_files,
-        class_map, segment_list, merged_counters, attribute_names, cooc_pairs_by_flag, url_path_terms, shown_texts,
+        class_map, segment_list, corpus_files, report_pages, merged_counters, attribute_names, cooc_pairs_by_flag, url_path_terms, shown_texts,
     )
 }
 _PAGES = "select url as uri, 200::int as status, 'text/html; charset=utf-8' as content_type, 'today' as last_modified, md5(coalesce(html, '')) as html_md5 from pages"
@@ -191,7 +209,9 @@ ORACLE_SQL = {
     "record_dump": "with n as (select count(*) as n from benchmark where trim(text) <> '') select 7::bigint as records, n // 7 as files from n where n >= 7 union all select n % 7, 1 from n where n % 7 > 0",
     "listed_files": "select c_nationkey::int as nation, 1::bigint as files, true as filled from customer group by 1",
     "class_map": "select url, 'class ' || (page_id % 3) as class from pages",
-    "segment_list": "select distinct c_mktsegment as segment from customer where c_nationkey <> 3",
+    "segment_list": "select row_number() over (order by min(c_custkey)) - 1 as place, c_mktsegment as segment from customer where c_nationkey <> 3 group by c_mktsegment",
+    "corpus_files": "select o_orderstatus as status, count(*) as lines, null::varchar as error from orders group by 1",
+    "report_pages": "with p as (select c_name, (row_number() over (order by c_name) - 1) // 100 as page from customer) select page, count(*) as rows, min(c_name) as first from p group by page",
     "merged_counters": "select counter, sum(n)::bigint as n from (select o_orderstatus as counter, 1 as n from orders union all select o_orderpriority, 1 from orders union all select 'F', 2 from orders) group by 1",
     "attribute_names": "select event_type as attribute from events union select 'user' || (user_id % 7) from events",
     "cooc_pairs_by_flag": """with b as (select distinct l_orderkey, l_returnflag as flag, p_brand from lineitem join part on l_partkey = p_partkey),

@@ -8,7 +8,9 @@ import json
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loomcrawl.operators.postings import write_postings
 from loomcrawl.operators.quads import format_quads, write_by_extractor
+from loomcrawl.operators.ranks import dense_ids
 from loomcrawl.operators.relations import text_index, write_datasets
 
 
@@ -32,9 +34,8 @@ def write_edges(edges: DataFrame, path: str) -> None:
 
 
 def write_text_index(tables: DataFrame, path: str, doc_id: str, fields: dict) -> None:
-    """An inverted index as Parquet below path/field=NAME, sorted by term inside each file so that term filters skip row groups."""
-    index = text_index(tables, doc_id, fields)
-    index.repartition("field", "term").sortWithinPartitions("field", "term", doc_id).write.partitionBy("field").parquet(path)
+    """An inverted index as posting blocks below path/field=NAME, see operators.postings; doc_id is a number."""
+    write_postings(text_index(tables, doc_id, fields), path, doc_id)
 
 
 def write_key_value(rows: DataFrame, path: str, key: str) -> None:
@@ -74,4 +75,21 @@ def report(tables: dict[str, DataFrame], rows: int = REPORT_ROWS) -> tuple[str,
     return json.dumps({n: x[:rows] for n, x in data.items()}, default=str, ensure_ascii=False, indent=1), f"<!DOCTYPE html><meta charset=utf-8><title>Report</title>{''.join(parts)}"
 
 
-__all__ = ["write_nquads", "write_csv", "write_adjacency", "write_edges", "write_text_index", "write_key_value", "read_key_value", "write_labelled_pages", "write_record_dump", "report", "write_by_extractor", "write_datasets"]
+def write_report_pages(table: DataFrame, path: str, order: list[str], rows: int = REPORT_ROWS) -> None:
+    """A table of any length as HTML files below path/page=N, of `rows` rows each in the order given, with links to the pages around.
+
+    Rows are numbered by a range sort, a page is an aggregate of its rows, and executors write all pages.
+    """
+    text = lambda c: F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+    cell = lambda c: F.concat(F.lit("<td>"), text(F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(""))), F.lit("</td>"))
+    lines = table.select(*(F.col(c).alias(f"_by{k}") for k, c in enumerate(order)), F.concat(F.lit("<tr>"), *map(cell, table.columns), F.lit("</tr>")).alias("row"))
+    placed = dense_ids(lines, [f"_by{k}" for k in range(len(order))], "place", "report").withColumn("page", F.expr(f"place div {rows}"))
+    pages = placed.groupBy("page").agg(F.array_sort(F.collect_list(F.struct("place", "row"))).alias("rows"), F.count("*").alias("n"))
+    head = "".join(f"<th>{entities.escape(c)}</th>" for c in table.columns)
+    link = lambda page, name: F.concat(F.lit("<a href='../page="), page.cast("string"), F.lit(f"/'>{name}</a> "))
+    around = F.concat(F.when(F.col("page") > 0, link(F.col("page") - 1, "before")).otherwise(""), F.when(F.col("n") == rows, link(F.col("page") + 1, "after")).otherwise(""))
+    html = F.concat(F.lit("<!DOCTYPE html><meta charset=utf-8><title>Report</title>"), around, F.lit(f"<table><tr>{head}</tr>"), F.array_join(F.col("rows.row"), ""), F.lit("</table>"))
+    pages.select("page", html.alias("value")).write.partitionBy("page").text(path)
+
+
+__all__ = ["write_nquads", "write_csv", "write_adjacency", "write_edges", "write_text_index", "write_key_value", "read_key_value", "write_labelled_pages", "write_record_dump", "report", "write_report_pages", "write_by_extractor", "write_datasets"]

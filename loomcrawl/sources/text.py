@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import gzip
+import zlib
+from collections.abc import Iterator
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomcrawl.operators.links import WAT_SCHEMA, wat_records
 from loomcrawl.operators.quads import parse_quads
+from loomcrawl.operators.ranks import dense_ids
 from loomcrawl.operators.relations import read_datasets
+from loomcrawl.sources.staged import open_path
 
 
 def wat(spark: SparkSession, path: str) -> DataFrame:
@@ -37,10 +43,54 @@ def csv_lines(spark: SparkSession, path: str, header: bool = True) -> DataFrame:
     return spark.read.csv(path, header=header, multiLine=False, quote='"', escape='"', mode="PERMISSIVE")
 
 
+#: Lines of a file that cross to the JVM at once.
+LINES = 5000
+
+
+def gz_lines(spark: SparkSession, path: str, suffix: str = ".gz") -> DataFrame:
+    """(file, value, error): the lines of all files below a path that end so, each file read by one task.
+
+    What can be read of a damaged file is kept; then comes a row with the error and no value, and the other files go on. An
+    empty file is not listed.
+    """
+    files = listing(spark, path, suffix).select("path")
+    # by number, as names are too small for Spark to see the files behind them
+    dealt = files.repartition(max(1, min(files.count(), 100_000)), "path")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows(file: str, values: list[bytes], error: str | None = None) -> pa.RecordBatch:
+            told = pa.array([v.decode("utf-8", "replace") for v in values] + [None] * (error is not None), pa.string())
+            return pa.RecordBatch.from_arrays([pa.array([file] * len(told), pa.string()), told, pa.array([None] * len(values) + [error] * (error is not None), pa.string())], ["file", "value", "error"])
+
+        for b in batches:
+            for file in b.column(0).to_pylist():
+                values: list[bytes] = []
+                try:
+                    system, where = open_path(file)
+                    with system.open_input_stream(where, compression=None) as raw, gzip.GzipFile(fileobj=raw) as lines:
+                        for line in lines:
+                            values.append(line.rstrip(b"\r\n"))
+                            if len(values) == LINES:
+                                yield rows(file, values)
+                                values = []
+                    if values:
+                        yield rows(file, values)
+                except (OSError, EOFError, zlib.error) as e:
+                    yield rows(file, values, f"{type(e).__name__}: {e}"[:200])
+
+    return dealt.mapInArrow(run, "file string, value string, error string")
+
+
 def table_corpus(spark: SparkSession, path: str) -> DataFrame:
-    """Tables of all *.gz files below a path; damaged files are passed over, lines that are no tables have a null dataset."""
-    lines = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.gz").option("ignoreCorruptFiles", True).text(path)
-    return read_datasets(lines)
+    """Tables of all *.gz files below a path; lines that are no tables have a null dataset. What damaged files have is kept, see corpus_files."""
+    return read_datasets(gz_lines(spark, path).where("error is null").select("value"))
+
+
+def corpus_files(spark: SparkSession, path: str) -> DataFrame:
+    """(file, lines, error): a row for each file of a corpus that is not empty, with the lines that could be read and what stopped that, if anything did."""
+    found = gz_lines(spark, path).groupBy("file").agg(F.count("value").alias("lines"), F.max("error").alias("error"))
+    files = listing(spark, path, ".gz").select("path")
+    return files.join(found, F.col("path") == F.col("file"), "left").select(F.col("path").alias("file"), F.coalesce("lines", F.lit(0)).cast("long").alias("lines"), "error")
 
 
 def url_classes(spark: SparkSession, path: str) -> DataFrame:
@@ -49,8 +99,11 @@ def url_classes(spark: SparkSession, path: str) -> DataFrame:
 
 
 def segments(spark: SparkSession, path: str) -> DataFrame:
-    """Distinct names of a list, one a line, blank ones left out."""
-    return spark.read.text(path).select(F.trim("value").alias("segment")).where("segment <> ''").distinct()
+    """(place, segment): distinct names of a list, one a line, blank ones left out, numbered from 0 in the order of their first line (of several files: by path)."""
+    at = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("line"))
+    lines = spark.read.text(path).select(at.alias("at"), F.trim("value").alias("segment")).where("segment <> ''")
+    first = lines.groupBy("segment").agg(F.min("at").alias("at"))
+    return dense_ids(first.select("at.file", "at.start", "at.line", "segment"), ["file", "start", "line"], "place", "segments").select("place", "segment")
 
 
 def adjacency(spark: SparkSession, path: str) -> DataFrame:
@@ -74,4 +127,4 @@ def listing(spark: SparkSession, path: str, suffix: str = "", limit: int | None
     return out if limit is None else out.orderBy("path").limit(limit)
 
 
-__all__ = ["WAT_SCHEMA", "wat", "redirects", "nquads", "nquads_series", "csv_lines", "table_corpus", "url_classes", "segments", "adjacency", "edge_text", "index_text", "listing"]
+__all__ = ["WAT_SCHEMA", "wat", "redirects", "nquads", "nquads_series", "csv_lines", "gz_lines", "table_corpus", "corpus_files", "url_classes", "segments", "adjacency", "edge_text", "index_text", "listing"]

@@ -11,10 +11,11 @@ import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
-from loomcrawl.operators import cooc, postings, prefixes, profile, user_aggregates
+from loomcrawl.functions.text import human_bytes
+from loomcrawl.operators import cooc, postings, prefixes, profile, relations, user_aggregates
 from loomcrawl.operators.quads import EXTRACTORS
 from loomcrawl.operators.relations import text_index
-from loomcrawl.sources import archives, chunks
+from loomcrawl.sources import archives, chunks, text
 from loomcrawl.streaming import files
 from loomcrawl.streaming.files import process_new_files
 
@@ -38,8 +39,8 @@ def test_longest_namespace_wins(spark):
 
 def test_a_table_of_thousands_is_joined(spark):
     rows = spark.range(10).select(F.lit("http://data.example.org/v3/x").alias("iri"))
-    text = plan(prefixes.abbreviate(rows, "iri", prefixes._namespaces(spark)))
-    assert text.count("CASE WHEN") < 20 and "Join" in text
+    shown = plan(prefixes.abbreviate(rows, "iri", prefixes._namespaces(spark)))
+    assert shown.count("CASE WHEN") < 20 and "Join" in shown
 
 
 def test_public_suffix_rules(spark):
@@ -114,8 +115,8 @@ def test_a_series_in_slices(spark, slices):
 
 def test_no_window_is_longer_than_a_slice_and_its_halo(spark):
     df = spark.range(50_000).select("id", F.timestamp_seconds("id").alias("ts"), F.lit(1).alias("v"))
-    text = plan(profile.rate_window(df, "ts", "v"))
-    assert "slice" in text and "SinglePartition" not in text.split("Physical Plan")[1]
+    shown = plan(profile.rate_window(df, "ts", "v"))
+    assert "slice" in shown and "SinglePartition" not in shown.split("Physical Plan")[1]
 
 
 # postings
@@ -178,8 +179,8 @@ def test_user_aggregates(spark):
 
 def test_states_meet_in_a_tree(spark):
     df = spark.range(64).selectExpr("'hot' as k", "id").repartition(64)
-    text = plan(user_aggregates.aggregate_by(df, ["k"], user_aggregates.Support("id"))).split("Physical Plan")[1]
-    assert text.count("MapInArrow") == 1 + len(user_aggregates.PARTS) + 1
+    shown = plan(user_aggregates.aggregate_by(df, ["k"], user_aggregates.Support("id"))).split("Physical Plan")[1]
+    assert shown.count("MapInArrow") == 1 + len(user_aggregates.PARTS) + 1
     assert user_aggregates.aggregate_by(df, ["k"], user_aggregates.Support("id"), "n").first().n == 64 * 63 // 2
 
 
@@ -378,3 +379,34 @@ def test_domain_totals_of_a_stream(spark, tmp_path):
     sums = got.groupBy("domain", "format").agg(F.sum("triples").alias("triples"), F.sum("urls").alias("urls")).collect()
     assert {(r.domain, r.format): (r.triples, r.urls) for r in sums} == {(d, f): (want[d, f, "triples"], want[d, f, "urls"]) for d, f, _ in want}
     assert got.where("domain = 'd1.example'").count() > 3  # quiet for an hour, and back
+
+
+# corpus files
+
+
+def test_damaged_files_are_told(spark, tmp_path):
+    line = b'{"relation": [["a", "b"]], "url": "u"}\n'
+    packed = gzip.compress(os.urandom(30_000).hex().encode() + b"\n" + line * 3)
+    (tmp_path / "good.gz").write_bytes(gzip.compress(line * 2) + gzip.compress(b"no table\n"))
+    (tmp_path / "cut.gz").write_bytes(gzip.compress(line) + packed[: len(packed) // 2])
+    (tmp_path / "none.gz").write_bytes(b"")
+    (tmp_path / "plain.gz").write_bytes(line)
+    (tmp_path / "other.txt").write_bytes(line)
+    got = {os.path.basename(r.file): (r.lines, r.error) for r in text.corpus_files(spark, str(tmp_path)).collect()}
+    assert set(got) == {"good.gz", "cut.gz", "plain.gz"} and got["good.gz"] == (3, None)  # Spark lists no empty files
+    assert got["cut.gz"][0] == 1 and "EOF" in got["cut.gz"][1] and got["plain.gz"][0] == 0 and "gzip" in got["plain.gz"][1]
+    tables = text.table_corpus(spark, str(tmp_path)).collect()
+    assert sum(r.dataset is not None for r in tables) == 3 and sum(r.dataset is None for r in tables) == 1
+
+
+def test_terms_of_rows(spark):
+    rows = [(1, "b a b The c's c d"), (1, "a"), (2, None), (3, ""), (4, "é É e x.y")]
+    df = spark.createDataFrame(rows, "doc_id int, t string")
+    got = [tuple(r) for r in relations.top_terms(df, "doc_id", "t", 2).collect()]
+    assert sorted(got) == [(1, "b", 2), (1, "c", 2), (4, "e", 3), (4, "x.y", 1)]
+    assert relations.top_terms(df.limit(0), "doc_id", "t").count() == 0
+
+
+def test_shown_sizes(spark):
+    shown = spark.createDataFrame([(1250,), (1280,), (999,), (1_250_000,)], "n long").select(human_bytes(F.col("n"), True).alias("si"), human_bytes(F.col("n")).alias("b")).collect()
+    assert [(r.si, r.b) for r in shown] == [("1.3 kB", "1.2 KiB"), ("1.3 kB", "1.3 KiB"), ("999 B", "999 B"), ("1.3 MB", "1.2 MiB")]

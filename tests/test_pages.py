@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loomcrawl.functions.html_dom import parse
-from loomcrawl.operators import quads, structured_data as sd, web_tables
+from loomcrawl.operators import postings, quads, structured_data as sd, web_tables
 from loomcrawl.sources import archives, sinks, text
 from loomcrawl.streaming import entities as stream_entities
 from loomcrawl.streaming.files import process_new_files
@@ -163,7 +163,7 @@ def test_text_sources(spark, tmp_path):
     got = text.table_corpus(spark, str(tmp_path / "c")).collect()
     assert sorted(len(r.dataset.relation) if r.dataset else 0 for r in got) == [0, 1, 1]
     (tmp_path / "seg").write_text("a\n\nb\na \n")
-    assert {r.segment for r in text.segments(spark, str(tmp_path / "seg")).collect()} == {"a", "b"}
+    assert {r.segment: r.place for r in text.segments(spark, str(tmp_path / "seg")).collect()} == {"a": 0, "b": 1}
     (tmp_path / "map").write_text("http://a/\tC\n")
     assert text.url_classes(spark, str(tmp_path / "map")).first().asDict() == {"url": "http://a/", "class": "C"}
     assert text.listing(spark, str(tmp_path), ".gz", 1).count() == 1
@@ -182,7 +182,7 @@ def test_sinks(spark, tmp_path):
     sinks.write_csv(df.withColumnRenamed("id", "z"), str(tmp_path / "csv"))
     assert spark.read.csv(str(tmp_path / "csv"), header=True).columns == ["t", "z"]
     sinks.write_text_index(df, str(tmp_path / "ix"), "id", {"t": F.col("t")})
-    assert {r.id for r in spark.read.parquet(str(tmp_path / "ix")).where("field = 't' and term = 'b'").collect()} == {1, 2}
+    assert {r.doc_id for r in postings.lookup(postings.read_postings(spark, str(tmp_path / "ix")), "t", ["b"]).collect()} == {1, 2}
     sinks.write_key_value(df, str(tmp_path / "kv"), "id")
     assert json.loads(sinks.read_key_value(spark, str(tmp_path / "kv"), [2]).first().json) == {"id": 2, "t": "b c"}
     as_json, as_html = sinks.report({"T": df}, 1)
