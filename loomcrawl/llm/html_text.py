@@ -14,7 +14,8 @@ costs each task one row per token. A template holds at most twice the tokens of
 each is in half of the pages. Pages are read a second time with their host's template; they are not
 moved where Spark finds the templates small enough to send, and joined by host beyond that.
 
-The template decides inside article and main elements too: a notice that repeats over a host is left
+Which region is the article is told by slot text: article and main elements where they hold at least half of it, else
+the whole page. The template decides inside article and main elements too: a notice that repeats over a host is left
 out there whatever its class name is. Copies of an article are no template: a class that makes up at
 least `copied` of the article text of the pages it is in is such a copy, its text stays, and so does that
 of classes in no more pages than it, which are parts that some copies lack. The text of a page that has
@@ -60,6 +61,7 @@ PLACES = frozenset(
     "site page main top bottom left right center upper lower inner outer global primary secondary container wrapper wrap box block section area region zone panel pane bar strip slot unit row col column "
     "list item items links link button buttons text title label form body content header head group holder frame layer mobile desktop fixed sticky js the my reader readers user users visitor article articles post posts entry entries story stories reading".split()
 )
+LIST_ITEMS = frozenset("li dt dd".split())
 RAW = "script|style|noscript|template|svg|math|textarea|title|xmp|noembed|noframes"
 
 # Attributes up to the end of a tag: a value's quotes count where the value ends with its tag or before more of it,
@@ -82,13 +84,14 @@ class ExtractParams:
 
 @dataclass(slots=True)
 class Block:
-    """A block of text: `article` if it is inside an article or main element, `out` if inside a region that holds no main text."""
+    """A block of text: `article` if it is inside an article or main element, `out` if inside a region that holds no main text, `link` if it is mostly links, `listed` if inside an item of a list."""
 
     text: str
     token: int
     article: bool
     out: bool
     link: bool
+    listed: bool = False
 
 
 def _marks_region(name: str) -> bool:
@@ -117,8 +120,8 @@ def _is_out(name: str, attributes: str, in_article: bool) -> bool:
 def parse(page: str) -> tuple[list[Block], list[int]]:
     """Blocks of text of a page, and the hashes of its tokens (tags with their paths, and blocks) in page order."""
     blocks, tokens = [], []
-    # (name, path hash, article depth, out depth) of the open elements
-    stack: list[tuple[str, int, bool, bool]] = [("", 0, False, False)]
+    # (name, path hash, in an article, in a region without main text, in an item of a list) of the open elements
+    stack: list[tuple[str, int, bool, bool, bool]] = [("", 0, False, False, False)]
     run: list[str] = []
     links = words = 0
 
@@ -129,7 +132,7 @@ def parse(page: str) -> tuple[list[Block], list[int]]:
             if text:
                 token = xxhash.xxh64_intdigest(f"{stack[-1][1]}\0{text}")
                 tokens.append(token)
-                blocks.append(Block(text, token, stack[-1][2], stack[-1][3], 2 * links > words))
+                blocks.append(Block(text, token, stack[-1][2], stack[-1][3], 2 * links > words, stack[-1][4]))
             run.clear()
         links = words = 0
 
@@ -165,23 +168,35 @@ def parse(page: str) -> tuple[list[Block], list[int]]:
                     break
                 if stack[k][0] in HOLDS_ITEMS:
                     break
-        _, path, article, out = stack[-1]
+        _, path, article, out, listed = stack[-1]
         attributes = m[4].removesuffix(">")
         path = xxhash.xxh64_intdigest(name, path) & ~1
         tokens.append(path)
         if name in VOID or attributes.endswith("/"):
             continue
-        stack.append((name, path, article or name in ("article", "main") or "role" in attributes and bool(re.search(r"role\s*=\s*[\"']?main\b", attributes)), out or _is_out(name, attributes, article)))
+        stack.append((name, path, article or name in ("article", "main") or "role" in attributes and bool(re.search(r"role\s*=\s*[\"']?main\b", attributes)), out or _is_out(name, attributes, article), listed or name in LIST_ITEMS))
     add(page[end:])
     flush()
     return blocks, tokens
 
 
+def article_of(blocks: list[Block]) -> list[Block]:
+    """Of a page's blocks outside regions without main text those of the article.
+
+    Article elements are the article where they hold most of what there is besides links; otherwise it is all
+    blocks, without items of lists that are links beside other such items.
+    """
+    inside = [b for b in blocks if b.article]
+    if inside and 2 * sum(len(b.text) for b in inside) >= sum(len(b.text) for b in blocks if b.article or not b.link):
+        return inside
+    item = [False, *(b.link and b.listed for b in blocks), False]
+    return [b for k, b in enumerate(blocks, 1) if not (item[k] and (item[k - 1] or item[k + 1]))]
+
+
 def main_text(blocks: list[Block], template: frozenset[int] | set[int]) -> str:
-    """Blocks of the article's slots, in page order; without article text, of the slots that hold more than links."""
-    free = [b for b in blocks if b.article and not b.out] or [b for b in blocks if not b.out and not b.link]
-    own = [b for b in free if b.token not in template]
-    return " ".join(b.text for b in own or free)  # a page of nothing but template text keeps it
+    """The article of the slots, in page order; a page of nothing but template text keeps it."""
+    free = [b for b in blocks if not b.out]
+    return " ".join(b.text for b in article_of([b for b in free if b.token not in template] or free))
 
 
 def host_of(url: Column) -> Column:
@@ -203,9 +218,8 @@ def _count(batches: Iterator[pa.RecordBatch], sizes: bool = False) -> Iterator[p
             seed = xxhash.xxh64_intdigest(f"{task}:{row}")
             blocks, tokens = parse(page.as_py() or "")
             size: Counter[int] = Counter()
-            for x in blocks:
-                if x.article and not x.out:
-                    size[x.token] += len(x.text)
+            for x in article_of([x for x in blocks if not x.out]):
+                size[x.token] += len(x.text)
             whole = size.total()
             first: dict[int, int] = {}
             for k, t in enumerate(tokens):

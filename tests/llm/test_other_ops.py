@@ -602,3 +602,21 @@ def test_rows_that_share_an_id_are_cut_on_their_own(spark):
     docs = spark.createDataFrame([(1, a, "x", 1), (2, a, "y", 2), (2, b, "z", 3), (2, None, "n", 4), (None, a, "u", 5)], "doc_id long, text string, _of string, _spans int")
     got = {r._spans: (r.doc_id, r.text, r._of) for r in substring.remove_spans(docs).collect()}
     assert got == {1: (1, a, "x"), 2: (2, "", "y"), 3: (2, b, "z"), 4: (2, None, "n"), 5: (None, a, "u")}
+
+
+def test_the_article_is_what_holds_the_text(spark):
+    of = lambda page: html_text.main_text(html_text.parse(page)[0], frozenset())
+    body = prose(40)
+    assert body in of(f"<body><article class='teaser'>Teaser</article><div><p>{body}</p></div></body>")
+    assert of(f"<body><div>Aside of some words</div><article><p>{body}</p></article></body>") == body
+    assert of("<p>Intro text.</p><p><a href='/x'>all of it a link</a></p><p>End.</p>") == "Intro text. all of it a link End."
+    assert of("<ul><li><a href='/a'>One</a><li><a href='/b'>Two</a></ul><p>Text.</p><ul><li><a href='/c'>A reference</a></ul>") == "Text. A reference"
+    assert of("") == "" and of("<ul><li><a href='/a'>One</a><li><a href='/b'>Two</a></ul>") == ""
+
+
+def test_templates_alone_part_text_from_the_rest(spark):
+    """Pages of nothing but div and p, with a teaser, a line of links and a notice that repeat."""
+    texts = [prose(30) for _ in range(6)]
+    page = lambda t: f"<div><article>Read on</article></div><div><p>Home of words</p></div><div><p>{t}</p><p><a href='/l'>{t[:20]}</a></p></div><div><p>We said it before</p></div>"
+    pages = spark.createDataFrame([(k, f"http://h.example/{k}", page(t)) for k, t in enumerate(texts)], "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in html_text.extract_text(pages).collect()} == {k: f"{t} {t[:20].strip()}" for k, t in enumerate(texts)}
