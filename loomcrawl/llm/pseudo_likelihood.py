@@ -13,12 +13,12 @@ predicted as itself. Being masked, a token is not in the counts that predict it.
 
 Everything is learnt from all documents. Counts of words are a table that grows with the corpus; it is
 never gathered, but joined with the distinct words of each block of documents, some numbers per word and
-block, and the blocks' texts are not moved for that. Every task trains on all documents of its partition,
-from the same start, and the resulting networks are averaged weight by weight, in a shuffle; `rounds` such
-rounds follow one another. So scores depend on how docs is partitioned: a network learns from one
-partition's tokens, 128 MB of input in Spark's default; more partitions of that size average more networks
-and change none of them. Reruns over the same partitions agree. The driver holds the hashes of the frequent
-words, one network and two numbers per shared id, all of fixed size, as the cost of a token grows with them.
+block, and the blocks' texts are not moved for that. Documents are dealt, as ids of two bytes a token, to shards by a
+hash of their id and text, as many as the corpus has `shard` tokens; a network is trained on each shard, in the order of
+the hashes and from the same start, and the networks are averaged weight by weight, in a shuffle; `rounds` such rounds
+follow one another. So scores do not depend on how docs is partitioned, but for the rounding of sums. A larger corpus averages more
+networks. The driver holds the hashes of the frequent words, one network and two numbers per shared id,
+all of fixed size, as the cost of a token grows with them.
 
 A null text and a text without words have no tokens: score 0 and a null mean. An empty table gives an
 empty result; without any word the network stays as it starts. Rows that share a doc_id are documents
@@ -32,10 +32,11 @@ from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import numbered, saved, small_batches
+from .common import numbered_texts, saved, small_batches
 from .hashing import mix, words
 
 
@@ -53,8 +54,10 @@ class LmParams:
     seed: int = 5
     #: Added to each word's count among those that share its id.
     smooth: float = 0.1
-    #: Documents whose distinct words are looked up together, a power of two.
+    #: Documents whose distinct words are looked up together at most, a power of two; a block also ends after some MB.
     block: int = 4096
+    #: Tokens that a network is trained on, about.
+    shard: int = 2_000_000
 
     @property
     def vocabulary(self) -> int:
@@ -227,16 +230,14 @@ def _block_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield close()
 
 
-def counted_words(rows: DataFrame) -> DataFrame:
-    """(block, word, n): each block's distinct words (rows: block, text), with their counts over all blocks."""
-    found = rows.select("block", "text").mapInArrow(_block_words, "block long, word long, n long")
-    # a word has a row per block at most, however often it occurs
-    return saved(found.selectExpr("block", "word", "sum(n) over (partition by word) as n"), "word-counts")
+def block_words(rows: DataFrame) -> DataFrame:
+    """(block, word, n): each block's distinct words (rows: block, text), and how often they are in it."""
+    return saved(rows.select("block", "text").mapInArrow(_block_words, "block long, word long, n long"), "block-words")
 
 
-def word_table(counted: DataFrame, p: LmParams) -> LmModel:
-    """The vocabulary (ties by hash), all words' counts and the totals of the shared ids, with a network that knows nothing."""
-    counts = saved(counted.select("word", "n").distinct(), "words")
+def word_table(found: DataFrame, p: LmParams) -> LmModel:
+    """From the words of blocks: the vocabulary (ties by hash), all words' counts and the totals of the shared ids, with a network that knows nothing."""
+    counts = saved(found.groupBy("word").agg(F.sum("n").alias("n")), "words")
     top = counts.orderBy(F.desc("n"), "word").limit(p.vocabulary - 1 - p.hashed).collect()  # a fixed number
     vocab = Vocabulary(np.array([r.word for r in top], np.int64).view(np.uint64), p)
     shared, last = np.zeros((p.hashed + 1, 2)), (top[-1].n, top[-1].word) if top else None
@@ -247,57 +248,78 @@ def word_table(counted: DataFrame, p: LmParams) -> LmModel:
 
 
 def _rows(docs: DataFrame, p: LmParams, text: str, doc_id: str) -> DataFrame:
-    """(block, doc_id, text) of a written table whose blocks stay together."""
-    rows = numbered(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")), "lm-rows", block=p.block)
-    return rows.select("block", F.col("kept_row.doc_id").alias("doc_id"), F.col("kept_row.text").alias("text"))
+    """(row, block, doc_id, text) of a written table whose blocks stay together."""
+    return numbered_texts(docs, "lm-rows", {"doc_id": F.col(doc_id).cast("long"), "text": F.col(text)}, p.block.bit_length() - 1)
 
 
 def fit(docs: DataFrame, params: LmParams = LmParams(), text: str = "text", doc_id: str = "doc_id") -> LmModel:
     """A model of all rows of docs."""
     rows = _rows(docs, params, text, doc_id)
-    return _fitted(docs.select(F.col(text).alias("text")), counted_words(rows), params)
+    return _fitted(rows, block_words(rows), params)
 
 
-def _fitted(texts: DataFrame, counted: DataFrame, p: LmParams) -> LmModel:
-    sc = texts.sparkSession.sparkContext
-    model = word_table(counted, p)
-    vocab, net = model.vocabulary, model.network
+def sharded(rows: DataFrame, vocab: Vocabulary, tokens: int, p: LmParams) -> DataFrame:
+    """(shard, key, ids): the ids of each text with words, as little-endian numbers of two bytes (four in a large vocabulary), by shard and key."""
+    shards, kind = max(1, -(-tokens // p.shard)), "<u2" if p.vocabulary <= 1 << 16 else "<u4"
+    told = rows.sparkSession.sparkContext.broadcast(vocab)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ids = [told.value.ids(h).astype(kind).tobytes() for h in _text_hashes(b.column(1))]
+            out = pa.RecordBatch.from_arrays([pc.cast(pc.bit_wise_and(b.column(0), (1 << 62) - 1), pa.int64()), pa.array(ids, pa.binary())], ["key", "ids"])
+            yield out.filter(pc.greater(pc.binary_length(out.column(1)), 0))
+
+    found = rows.select(F.xxhash64("doc_id", "text").alias("key"), "text").mapInArrow(run, "key long, ids binary")
+    return found.select((F.col("key") % shards).cast("int").alias("shard"), "key", "ids").repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", "key")
+
+
+def _fitted(rows: DataFrame, found: DataFrame, p: LmParams) -> LmModel:
+    sc = rows.sparkSession.sparkContext
+    model = word_table(found, p)
+    net = model.network
+    tokens = model.counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    shards = sharded(rows, model.vocabulary, tokens, p)
+    shards = saved(shards, "lm-shards") if p.rounds > 1 else shards
+    kind = "<u2" if p.vocabulary <= 1 << 16 else "<u4"
     for _ in range(p.rounds):
-        told = sc.broadcast((vocab, net.flat))
+        told = sc.broadcast(net.flat)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            vocab, flat = told.value
-            net = Network(p, flat)
-            squares = np.full(len(flat), 0.01, np.float32)
-            contexts, tokens, held, seen = [], [], 0, 0
+            now, net, squares = None, None, None
+            contexts, held, seen = [], 0, 0
 
             def steps(last: bool) -> None:
-                nonlocal contexts, tokens, held
-                context, token = np.concatenate(contexts), np.concatenate(tokens)
+                nonlocal contexts, held
+                context, token = (np.concatenate(x) for x in zip(*contexts))
                 stop = len(token) if last else len(token) - len(token) % p.step
                 for k in range(0, stop, p.step):
                     net.train(context[k : min(stop, k + p.step)], token[k : min(stop, k + p.step)], squares)
-                contexts, tokens, held = [context[stop:]], [token[stop:]], len(token) - stop
+                contexts, held = [(context[stop:], token[stop:])], len(token) - stop
+
+            def done() -> pa.RecordBatch:
+                if held:
+                    steps(True)
+                return pa.RecordBatch.from_arrays([pa.array([seen], pa.int64()), pa.array([net.flat.astype(np.float64) * seen], pa.list_(pa.float64()))], ["seen", "weights"])
 
             for b in batches:
-                for h in _text_hashes(b.column(0)):
-                    if not len(h):
-                        continue
-                    ids = vocab.ids(h)
-                    contexts.append(windows(ids, p.side))
-                    tokens.append(ids)
+                for shard, data in zip(b.column(0).to_pylist(), b.column(1)):
+                    if shard != now:
+                        if seen:
+                            yield done()
+                        now, net, squares = shard, Network(p, told.value), np.full(len(told.value), 0.01, np.float32)
+                        contexts, held, seen = [], 0, 0
+                    ids = np.frombuffer(data.as_buffer(), kind).astype(np.int64)
+                    contexts.append((windows(ids, p.side), ids))
                     held, seen = held + len(ids), seen + len(ids)
                     if held >= 16 * p.step:
                         steps(False)
-            if held:
-                steps(True)
             if seen:
-                yield pa.RecordBatch.from_arrays([pa.array([seen], pa.int64()), pa.array([net.flat.astype(np.float64) * seen], pa.list_(pa.float64()))], ["seen", "weights"])
+                yield done()
 
-        trained = texts.mapInArrow(run, "seen long, weights array<double>")
+        trained = shards.select("shard", "ids").mapInArrow(run, "seen long, weights array<double>")
         # every weight is summed on its own, as rows arrive: no task holds the networks of all tasks
         mean = trained.select("seen", F.posexplode("weights").alias("at", "w")).groupBy("at").agg((F.sum("w") / F.sum("seen")).alias("w"))
-        with small_batches(texts.sparkSession):
+        with small_batches(rows.sparkSession):
             got = mean.toArrow()  # one network
         if got.num_rows:
             flat = np.zeros(len(net.flat), np.float64)
@@ -354,11 +376,11 @@ def score_documents(docs: DataFrame, params: LmParams = LmParams(), text: str =
     masked = model is None
     p = params if masked else model.network.p
     rows = _rows(docs, p, text, doc_id)
-    counted = counted_words(rows)
+    found = block_words(rows)
     if masked:
-        model = _fitted(docs.select(F.col(text).alias("text")), counted, p)
-    else:
-        counted = counted.drop("n").join(model.counts.withColumnRenamed("word", "of"), F.col("word") == F.col("of")).select("block", "word", "n")
+        model = _fitted(rows, found, p)
+    rare = model.counts.where(_shares_id(model.last)).withColumnRenamed("word", "of")
+    counted = found.drop("n").join(rare, F.col("word") == F.col("of")).select("block", "word", "n")
     told = docs.sparkSession.sparkContext.broadcast((model.vocabulary, model.network.flat, model.shared, p))
 
     def run(texts: pa.Table, words: pa.Table) -> pa.Table:
@@ -380,4 +402,4 @@ def score_documents(docs: DataFrame, params: LmParams = LmParams(), text: str =
         mean = [t / k if k else None for t, k in zip(total, n)]
         return pa.table([texts["doc_id"], pa.array(n, pa.int64()), pa.array(total, pa.float64()), pa.array(mean, pa.float64())], names=["doc_id", "n_tokens", "log_likelihood", "mean_log_likelihood"])
 
-    return rows.groupBy("block").cogroup(counted.where(_shares_id(model.last)).select("block", "word", "n").groupBy("block")).applyInArrow(run, SCORES)
+    return rows.select("block", "doc_id", "text").groupBy("block").cogroup(counted.groupBy("block")).applyInArrow(run, SCORES)

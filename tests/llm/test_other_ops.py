@@ -620,3 +620,13 @@ def test_templates_alone_part_text_from_the_rest(spark):
     page = lambda t: f"<div><article>Read on</article></div><div><p>Home of words</p></div><div><p>{t}</p><p><a href='/l'>{t[:20]}</a></p></div><div><p>We said it before</p></div>"
     pages = spark.createDataFrame([(k, f"http://h.example/{k}", page(t)) for k, t in enumerate(texts)], "page_id long, url string, html string")
     assert {r.page_id: r.text for r in html_text.extract_text(pages).collect()} == {k: f"{t} {t[:20].strip()}" for k, t in enumerate(texts)}
+
+
+def test_scores_do_not_depend_on_partitions(spark):
+    docs = spark.createDataFrame([(i % 150, prose(int(rng.integers(1, 60)))) for i in range(200)] + [(7, None), (None, prose(5))], "doc_id long, text string")
+    p = lm.LmParams(classes=6, hashed=8, step=64, block=16, shard=700)
+    one, many = ({(r.doc_id, r.n_tokens): r.log_likelihood for r in lm.score_documents(df, p).collect()} for df in (docs.coalesce(1), docs.repartition(9)))
+    assert set(one) == set(many) and all(one[k] == pytest.approx(many[k], rel=1e-5) for k in one)
+    rows = lm._rows(docs, p, "text", "doc_id")
+    dealt = lm.sharded(rows, lm.fit(docs, p).vocabulary, 5000, p)
+    assert dealt.select("shard").distinct().count() == 8 == dealt.rdd.getNumPartitions()  # as many as the corpus asks for
