@@ -28,9 +28,20 @@ def escape(text: Column) -> Column:
     return text
 
 
+def _short_escapes(text: Column) -> Column:
+    r"""Text whose \UXXXXXXXX are characters, or \uXXXX where these do; null where one is no code point. An escaped backslash is \ afterwards."""
+    parts = F.split(F.replace(text, F.lit("\\\\"), F.lit("\\u005C")), r"\\U")
+    rest = lambda x: F.substring(x, F.lit(9), F.length(x))
+    low = lambda x: F.concat(F.lit("\\u"), F.substring(x, F.lit(5), F.lit(4)), rest(x))
+    high = lambda x: F.concat(F.decode(F.unhex(F.left(x, F.lit(8))), "UTF-32"), rest(x))
+    one = lambda x: F.when(x.rlike("^0000[0-9A-Fa-f]{4}"), low(x)).when(x.rlike("^00(?:0[1-9A-Fa-f]|10)[0-9A-Fa-f]{4}"), high(x))
+    return F.aggregate(F.slice(parts, F.lit(2), F.size(parts)), F.element_at(parts, 1), lambda a, x: F.concat(a, one(x)))
+
+
 def unescape(text: Column) -> Column:
-    """The text of a literal; JSON has the same escapes, but for \\' and \\UXXXXXXXX, which stay. Null if an escape is broken."""
-    return F.when(text.contains("\\"), F.get_json_object(F.concat(F.lit('{"t":"'), F.replace(text, F.lit("\\'"), F.lit("'")), F.lit('"}')), "$.t")).otherwise(text)
+    r"""The text of a literal; JSON has the same escapes, but for \' and \UXXXXXXXX. Null if an escape is broken."""
+    short = F.when(text.contains("\\U"), _short_escapes(text)).otherwise(text)
+    return F.when(text.contains("\\"), F.get_json_object(F.concat(F.lit('{"t":"'), F.replace(short, F.lit("\\'"), F.lit("'")), F.lit('"}')), "$.t")).otherwise(text)
 
 
 def parse_quads(lines: DataFrame) -> DataFrame:
@@ -133,16 +144,25 @@ def quad_ns_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return abbreviate(q.groupBy("p").agg(F.count("*").alias("quads")), "p", names, "predicate").drop("p")
 
 
+def quad_escapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Literals with short and long escapes of all planes, an escaped backslash before a U, and a long one that is no code point."""
+    c = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    made = F.array(*map(F.lit, (r"a\U0001F600b", r"é\U000000E9", r"\\U0001F600", r"q\U00000022\U0000005C", r"\U00110000", r"\U0010FFFD\t")))
+    literal = F.concat(F.element_at(made, (F.col("c_custkey") % 6 + 1).cast("int")), F.col("c_custkey").cast("string"))
+    return parse_quads(c.select(F.concat(F.lit('<http://s> <http://p> "'), literal, F.lit('" <http://g> .')).alias("value"))).select("o")
+
+
 def quad_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return broken_lines(_customer_lines(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (quad_roundtrip, quad_demux, quad_ns_filter, quad_quarantine)}
+QUERIES = {f.__name__: f for f in (quad_roundtrip, quad_demux, quad_ns_filter, quad_escapes, quad_quarantine)}
 _EX = "['html-microdata', 'html-rdfa', 'rdf-jsonld', 'unknown-kind'][c_custkey % 4 + 1]"
 ORACLE_SQL = {
     "quad_roundtrip": f"select '{_BASE}c/' || c_custkey as s, '\"q\\' || c_name || chr(10) as o, 'http://g' || (c_custkey % 17) || '.example.org/' as graph, {_EX} as extractor from customer",
     "quad_demux": f"""select {_EX} as extractor, k as o_kind, sum(n)::bigint as quads, count(distinct c_custkey) as subjects
         from customer, (values ('iri', 2), ('literal', 3)) v(k, n) where c_custkey % 4 < 3 group by 1, 2""",
     "quad_ns_filter": "select p as predicate, count(*) as quads from customer, (values ('rdf:type'), ('d:name'), ('d:balance'), ('d:nation')) v(p) group by 1",
+    "quad_escapes": """select case c_custkey % 6 when 0 then 'a' || chr(128512) || 'b' when 1 then chr(233) || chr(233) when 2 then '\\U0001F600' when 3 then 'q"' || chr(92) when 4 then null else chr(1114109) || chr(9) end || c_custkey as o from customer""",
     "quad_quarantine": "select '<http://x> <http://y> \"cut off ' || c_name as value from customer where c_custkey % 10 = 0",
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,11 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir, or a temporary folder where that is unset (tests)."""
+    """spark.checkpoint.dir; where that is unset the session's checkpoint folder, or a temporary one if all executors are in this process, as in tests."""
     if told := spark.conf.get("spark.checkpoint.dir", None):
         return told
     sc = spark.sparkContext
     if not (told := sc.getCheckpointDir()):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="loomcrawl-"))
         told = sc.getCheckpointDir()
     return told
