@@ -201,7 +201,7 @@ def queue_rate_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All events as one series."""
     e = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "ts", (F.lit(100_000) - F.col("event_id")).alias("left"))
     s = rate_window(e, "ts", "left", seconds=600)
-    return s.select("event_id", "oldest", F.round("rate", 6).alias("rate"), F.floor("seconds_left").alias("seconds_left"))
+    return s.select("event_id", "oldest", F.round("rate", 6).alias("rate"), F.floor("seconds_left").cast("double").alias("seconds_left"))
 
 
 def attribute_count(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -245,7 +245,7 @@ ORACLE_SQL = {
     "queue_rate_series": """with e as (select event_id, epoch_us(ts) as t, 100000 - event_id as v from events),
         w as (select *, min(t) over (order by t range between 600000000 preceding and current row) as t0 from e),
         o as (select t as t0, min(v) as oldest from e group by t)
-        select event_id, oldest, round((oldest - v) / nullif(t - t0, 0) * 1e6, 6) as rate, floor(case when oldest > v and t > t0 then v * ((t - t0) / 1e6) / (oldest - v) end)::bigint as seconds_left from w join o using (t0)""",
+        select event_id, oldest, round((oldest - v) / nullif(t - t0, 0) * 1e6, 6) as rate, floor(case when oldest > v and t > t0 then v * ((t - t0) / 1e6) / (oldest - v) end)::double as seconds_left from w join o using (t0)""",
     "attribute_count": "select attribute, count(*) as n from (select p_brand as attribute from part union all select p_type from part union all select p_brand from part) group by 1",
     "corpus_count": "select count(*) as n from documents",
     "url_span_totals": "select min(ts) as first, max(ts) as last, sum(strlen(props))::bigint as bytes from events",

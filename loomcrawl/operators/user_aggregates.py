@@ -209,7 +209,7 @@ def user_intersection(spark: SparkSession, sf_dir: str) -> DataFrame:
 def user_domain_support(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = spark.read.parquet(f"{sf_dir}/events.parquet")
     url = F.concat(F.lit("http://h"), (F.col("event_id") * 7 % 23).cast("string"), F.lit(".example.org/"))
-    return aggregate_by(e.select((F.col("user_id") % 5).alias("class"), domain(url).alias("domain")), ["class"], DomainSupport("domain", 4), "top")
+    return aggregate_by(e.select((F.col("user_id") % 5).alias("class"), domain(url).alias("domain")), ["class"], DomainSupport("domain", 4), "top").withColumn("top", F.array_join("top", ", "))
 
 
 QUERIES = {f.__name__: f for f in (user_support, user_intersection, user_domain_support)}
@@ -217,5 +217,5 @@ ORACLE_SQL = {
     "user_support": "select case when l_orderkey % 3 > 0 then 'all' else l_returnflag end as flag, coalesce(sum(l_linenumber) filter (l_linenumber < 5), 0)::bigint as support from lineitem group by 1",
     "user_intersection": "select o_custkey, min(case when o_orderkey % 61 > 0 then trunc(o_totalprice * 100)::bigint else 0 end) as common from orders group by 1",
     "user_domain_support": """with c as (select user_id % 5 as class, 'h' || (event_id * 7 % 23) || '.example.org' as domain, count(*) as n from events group by 1, 2)
-        select class, list(domain || ' ' || n order by n desc, domain)[1:4] as top from c group by 1""",
+        select class, array_to_string(list(domain || ' ' || n order by n desc, domain)[1:4], ', ') as top from c group by 1""",
 }
