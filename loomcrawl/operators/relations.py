@@ -121,26 +121,28 @@ def label_lookup(rows: DataFrame, labels: DataFrame, on: str) -> DataFrame:
     return rows.join(labels, on)
 
 
-def top_terms(docs: DataFrame, doc_id: str, text: str, n: int = 100) -> DataFrame:
-    """(doc_id, term, tf): the n most frequent terms of each row, ties by term. Terms are counted inside their row; nothing is shuffled."""
-    found = F.array_sort(terms(F.col(text)))
+def most_frequent(n: int):
+    """A function of arrays of terms: their n most frequent ones as (term, tf), ties by term; nothing for null."""
 
     @F.arrow_udf(ArrayType(StructType([StructField("term", StringType()), StructField("tf", LongType())])))
-    def runs(t: pa.Array) -> pa.Array:
-        """The runs of each sorted array, the most frequent n of them first."""
-        size, flat = np.asarray(t.value_lengths().fill_null(0)), t.flatten()
-        row = np.repeat(np.arange(len(t)), size)
+    def runs(ordered: pa.Array) -> pa.Array:
+        size, flat = np.asarray(ordered.value_lengths().fill_null(0)), ordered.flatten()
+        row = np.repeat(np.arange(len(ordered)), size)
         code = flat.dictionary_encode().indices.to_numpy() if len(flat) else np.empty(0, np.int64)
         starts = np.flatnonzero(np.concatenate(([True], (row[1:] != row[:-1]) | (code[1:] != code[:-1])))) if len(flat) else np.empty(0, np.int64)
         tf, of = np.diff(np.append(starts, len(flat))), row[starts]
         order = np.lexsort((np.arange(len(tf)), -tf, of))  # runs come by term
-        at = np.arange(len(order)) - np.searchsorted(of, of)
-        order = order[at < n]
-        kept = np.bincount(of[order], minlength=len(t))
+        order = order[np.arange(len(order)) - np.searchsorted(of, of) < n]
+        kept = np.bincount(of[order], minlength=len(ordered))
         pairs = pa.StructArray.from_arrays([flat.take(pa.array(starts[order])), pa.array(tf[order], pa.int64())], ["term", "tf"])
         return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(kept))), pa.int32()), pairs)
 
-    return docs.select(doc_id, F.explode(runs(found)).alias("t")).select(doc_id, "t.term", "t.tf")
+    return lambda found: runs(F.array_sort(found))
+
+
+def top_terms(docs: DataFrame, doc_id: str, text: str, n: int = 100) -> DataFrame:
+    """(doc_id, term, tf): the n most frequent terms of each row, ties by term. Terms are counted inside their row; nothing is shuffled."""
+    return docs.select(doc_id, F.explode(most_frequent(n)(terms(F.col(text)))).alias("t")).select(doc_id, "t.term", "t.tf")
 
 
 def text_index(tables: DataFrame, doc_id: str, fields: dict[str, Column]) -> DataFrame:

@@ -14,8 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomcrawl.functions.html_dom import Node, parse
-from loomcrawl.functions.text import has_time_expression
-from loomcrawl.operators.relations import header_row, key_column, transposed
+from loomcrawl.functions.text import has_time_expression, terms
+from loomcrawl.operators.relations import header_row, key_column, most_frequent, transposed
 from loomcrawl.operators.scratch import saved
 
 CELL = "struct<tag:string,text:string,forms:int,links:int,images:int,inputs:int,selects:int,heads:int>"
@@ -197,6 +197,26 @@ def relations(tables: DataFrame) -> DataFrame:
     return t.withColumn("key_column", key_column(body)).withColumn("time_before", timed("paragraphs_before")).withColumn("time_after", timed("paragraphs_after"))
 
 
+def body_text(html: Column) -> Column:
+    """The text of a page's body, or of the whole page without one: no scripts, styles, comments and tags."""
+    body = F.regexp_extract(html, r"(?is)<body\b[^>]*>(.*)", 1)
+    return F.regexp_replace(F.when(body == "", html).otherwise(body), r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|</body\s*>.*|<[^>]*>", " ")
+
+
+def lenient_relations(pages: DataFrame, html: str = "html", url: str = "url", n_terms: int = 100) -> DataFrame:
+    """(url, table_no, page_title, title, has_header, header_position, relation, term_set): all tables that are in no form, hold no other and have 2 x 2 cells.
+
+    relation has columns, as they stand; term_set the page's n_terms most frequent terms, by term. Pages that share a url share
+    the terms of one of them.
+    """
+    t = extract_tables(pages, html, url).where(reject_reason(True).isNull()).withColumn("header_position", header_position())
+    texts = F.transform("grid", lambda r: F.transform(r, lambda c: F.coalesce(c["text"], F.lit(""))))
+    kept = t.select("url", "table_no", "page_title", "title", F.exists(_cells(), lambda c: F.coalesce(c["tag"] == "th", F.lit(False))).alias("has_header"), "header_position", transposed(texts).alias("relation"))
+    found = most_frequent(n_terms)(terms(body_text(F.col(html))))
+    words = pages.where(F.col(html).rlike("(?i)<table")).select(F.col(url).alias("of"), F.array_sort(F.transform(found, lambda x: x["term"])).alias("term_set"))
+    return kept.join(words.groupBy("of").agg(F.min("term_set").alias("term_set")), F.col("url") == F.col("of"), "left").drop("of")
+
+
 def content_type(cell: Column) -> Column:
     signs = F.regexp_replace(cell["text"], r"\s+", "")
     letters, digits = F.length(F.regexp_replace(signs, r"[^\p{IsAlphabetic}]", "")), F.length(F.regexp_replace(signs, r"\P{Nd}", ""))
@@ -318,12 +338,18 @@ def table_relations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.select("url", "header_position", F.size(F.col("relation")[0]).alias("rows"), F.size("time_before").alias("dated_before"), F.size("time_after").alias("dated_after"))
 
 
+def lenient_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = lenient_relations(_table_pages(spark, sf_dir))
+    shape = F.size("relation").alias("columns"), F.size(F.col("relation")[0]).alias("rows")
+    return r.select("url", *shape, "has_header", "header_position", F.element_at(F.col("relation")[0], -1).alias("last"), F.array_join("term_set", " ").alias("terms"))
+
+
 def table_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     f = features(extract_tables(_table_pages(spark, sf_dir)), ["url"])
     return f.select("url", *(F.round(c, 6).alias(c.lower()) for c in dict.fromkeys(PHASE_1 + PHASE_2)))
 
 
-QUERIES = {f.__name__: f for f in (table_filters, table_relations, table_features)}
+QUERIES = {f.__name__: f for f in (table_filters, table_relations, lenient_tables, table_features)}
 def _features_sql() -> str:
     """Cells of the queries' pages, made from the customers, and all features from these."""
     local = {
@@ -366,5 +392,16 @@ ORACLE_SQL = {
         from g group by 1""",
     "table_relations": f"""with {_G} select 'http://t.example.org/' || c_nationkey || '/' || k as url, case when k = 1 then 'FIRST_ROW' else 'NONE' end as header_position,
         (n + (k = 1)::int)::int as rows, 1 as dated_before, 0 as dated_after from g where k < 2 and n + (k = 1)::int >= 3""",
+    "lenient_tables": r"""
+        with o as (select *, (c_custkey // 3) % 6 as k, row_number() over (partition by c_nationkey, (c_custkey // 3) % 6 order by c_custkey) as place from customer),
+        c as (select 'http://t.example.org/' || c_nationkey || '/' || k as url, k, place, c_name, c_mktsegment, floor(c_acctbal)::bigint::varchar as balance from o where k <> 3 or place <= 2),
+        w as (select url, unnest(regexp_extract_all(lower(c_name || ' ' || c_mktsegment || ' ' || balance), '[a-z0-9]+')) as term from c
+              union all select url, unnest(['12', '05', '2010', 'so', 'date']) from (select distinct url from c)
+              union all select url, unnest(['segment', 'balance']) from (select distinct url from c where k = 1)),
+        f as (select url, term, row_number() over (partition by url order by count(*) desc, term) as place from w group by url, term),
+        t as (select url, string_agg(term, ' ' order by term) as terms from f where place <= 100 group by url),
+        g as (select url, any_value(k) as k, count(*) + any_value(k = 1)::int as rows, arg_max(c_name, place) as last from c group by url)
+        select url, case when k = 4 then 4 else 3 end as columns, rows::int as rows, k = 1 as has_header, case when k = 1 then 'FIRST_ROW' else 'NONE' end as header_position, last, terms
+        from g join t using (url) where k <> 2 and rows >= 2""",
     "table_features": _features_sql(),
 }
