@@ -62,13 +62,13 @@ def merged_sketches(sketches: DataFrame, by: list[str] = (), tracked: int = 10_0
     return sketches.groupBy(*keys).agg(F.expr(f"approx_top_k_combine(sketch, {int(tracked)})").alias("sketch")).select(*by, "sketch")
 
 
-def sketched_hitters(sketches: DataFrame, key: str, k: int, by: list[str] = ()) -> DataFrame:
-    """(*by, key, n): the k most frequent values that each sketch knows, in order of n and value; k is no more than it tracks.
+def sketched_hitters(sketches: DataFrame, key: str, k: int, by: list[str] = (), tracked: int = 10_000) -> DataFrame:
+    """(*by, key, n): the k most frequent values that each sketch knows, in order of n and value; tracked: as it was made with.
 
     Of N rows in a sketch of t tracked values, n is off by hitter_error(N, t) at most, and every value that occurs more often
     than that is known. With fewer distinct values than three quarters of t, counts are exact.
     """
-    known = sketches.select(*by, F.explode(F.expr(f"approx_top_k_estimate(sketch, {int(k)})")).alias("t")).select(*by, F.col("t.item").alias(key), F.col("t.count").alias("n"))
+    known = sketches.select(*by, F.explode(F.expr(f"approx_top_k_estimate(sketch, {int(tracked)})")).alias("t")).select(*by, F.col("t.item").alias(key), F.col("t.count").alias("n"))
     if not by:
         return known.orderBy(F.desc("n"), key).limit(k)
     return known.selectExpr("*", f"row_number() over (partition by {', '.join(by)} order by n desc, {key}) as place").where(F.col("place") <= k).drop("place")
@@ -169,7 +169,7 @@ def topk_by_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Users of all events, from sketches of each day that are written, read and merged."""
     e, path = spark.read.parquet(f"{sf_dir}/events.parquet"), scratch_path(spark, "sketches")
     hitter_sketches(e.withColumn("day", F.to_date("ts")), "user_id", ["day"], 50_000).write.parquet(path)
-    return sketched_hitters(merged_sketches(spark.read.parquet(path), tracked=50_000), "user_id", 100)
+    return sketched_hitters(merged_sketches(spark.read.parquet(path), tracked=50_000), "user_id", 100, tracked=50_000)
 
 
 def desc_stats(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -345,13 +345,13 @@ def test_sketches_of_days(spark):
     exact = {r.k: r.n for r in rows.groupBy("k").agg(F.count("*").alias("n")).collect()}
     error = profile.hitter_error(60_000, 512)
     merged = profile.merged_sketches(sketches, tracked=512)
-    got = {r.k: r.n for r in profile.sketched_hitters(merged, "k", 512).collect()}
+    got = {r.k: r.n for r in profile.sketched_hitters(merged, "k", 512, tracked=512).collect()}
     above = {k for k, n in exact.items() if n > error}
     assert len(above) > 10 and above <= set(got) and all(abs(n - exact[k]) <= error for k, n in got.items())
-    by_day = profile.sketched_hitters(sketches, "k", 2, ["day"]).groupBy("day").count().collect()
+    by_day = profile.sketched_hitters(sketches, "k", 2, ["day"], 512).groupBy("day").count().collect()
     assert {(r["day"], r["count"]) for r in by_day} == {(d, 2) for d in range(6)}
-    assert profile.sketched_hitters(profile.merged_sketches(sketches.where("day > 9"), tracked=512), "k", 3).count() == 0
-    few = profile.sketched_hitters(profile.hitter_sketches(rows.where("k < 30"), "k", tracked=512), "k", 100)
+    assert profile.sketched_hitters(profile.merged_sketches(sketches.where("day > 9"), tracked=512), "k", 3, tracked=512).count() == 0
+    few = profile.sketched_hitters(profile.hitter_sketches(rows.where("k < 30"), "k", tracked=512), "k", 100, tracked=512)
     assert {r.k: r.n for r in few.collect()} == {k: n for k, n in exact.items() if k < 30}
 
 
