@@ -335,7 +335,7 @@ def table_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def table_relations(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = relations(extract_tables(_table_pages(spark, sf_dir)))
-    return r.select("url", "header_position", F.size(F.col("relation")[0]).alias("rows"), F.size("time_before").alias("dated_before"), F.size("time_after").alias("dated_after"))
+    return r.select("url", "header_position", "orientation", "page_title", "before", "after", F.size(F.col("relation")[0]).alias("rows"), F.size("time_before").alias("dated_before"), F.size("time_after").alias("dated_after"))
 
 
 def lenient_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -390,8 +390,15 @@ _G = "g as (select c_nationkey, (c_custkey // 3) % 6 as k, count(*) as n from cu
 ORACLE_SQL = {
     "table_filters": f"""with {_G} select case when k = 2 then 'in_form' when least(n, case when k = 3 then 2 else n end) + (k = 1)::int < 3 then 'few_rows' when k = 4 then 'spans' when k = 5 then 'link_list' else 'kept' end as counter, count(*) as n
         from g group by 1""",
-    "table_relations": f"""with {_G} select 'http://t.example.org/' || c_nationkey || '/' || k as url, case when k = 1 then 'FIRST_ROW' else 'NONE' end as header_position,
-        (n + (k = 1)::int)::int as rows, 1 as dated_before, 0 as dated_after from g where k < 2 and n + (k = 1)::int >= 3""",
+    "table_relations": """
+        with o as (select *, (c_custkey // 3) % 6 as k, row_number() over (partition by c_nationkey, (c_custkey // 3) % 6 order by c_custkey) as place from customer),
+        c as (select c_nationkey as n, k, place - (k <> 1)::int as r, unnest([len(c_name), len(c_mktsegment), len(floor(c_acctbal)::bigint::varchar)]) as l, unnest([0, 1, 2]) as c from o where k < 2
+              union all select distinct c_nationkey, 1, 0, unnest([0, 7, 7]), unnest([0, 1, 2]) from o where k = 1),
+        h as (select n, k, max(r) + 1 as rows from c group by all having max(r) >= 2),
+        x as (select n, k, avg(d) as by_column from (select n, k, c, coalesce(stddev_samp(l), 0) as d from c where r < 10 group by all) group by all),
+        y as (select n, k, avg(d) as by_row from (select n, k, r, coalesce(stddev_samp(l), 0) as d from c where r < 10 group by all) group by all)
+        select 'http://t.example.org/' || n || '/' || k as url, case when k = 1 then 'FIRST_ROW' else 'NONE' end as header_position, case when k = 1 or by_column <= by_row then 'HORIZONTAL' else 'VERTICAL' end as orientation,
+            'T' as page_title, 'On 12-05-2010 it was so.' as before, 'no date' as after, (case when k = 1 or by_column <= by_row then rows else 3 end)::int as rows, 1 as dated_before, 0 as dated_after from h join x using (n, k) join y using (n, k)""",
     "lenient_tables": r"""
         with o as (select *, (c_custkey // 3) % 6 as k, row_number() over (partition by c_nationkey, (c_custkey // 3) % 6 order by c_custkey) as place from customer),
         c as (select 'http://t.example.org/' || c_nationkey || '/' || k as url, k, place, c_name, c_mktsegment, floor(c_acctbal)::bigint::varchar as balance from o where k <> 3 or place <= 2),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from loomcrawl.functions.text import human_bytes, shorten
 from loomcrawl.functions.urls import path_terms
-from loomcrawl.operators import quads
+from loomcrawl.operators import links, quads
 from loomcrawl.operators.cooc import pair_supports_with_domains
 from loomcrawl.operators.profile import attribute_union, merge_counters
 from loomcrawl.operators.scratch import scratch_path
@@ -45,6 +45,33 @@ def arc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _archived(spark, sf_dir, "arc")
 
 
+def arc_tolerant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as ARC records with a broken line after every third one, which the tolerant reader passes over."""
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"))
+    head = F.concat("url", F.lit(" 192.0.2.1 20200102030405 text/html "), F.octet_length("html").cast("string"), F.lit("\n"))
+    junk = F.when(F.col("page_id") % 3 == 0, "\nthis is no header").otherwise("")
+    path = scratch_path(spark, "pages-junk")
+    pages.select(F.concat(head, "html", junk).alias("value")).write.option("compression", "gzip").text(path)
+    archives.register(spark)
+    found = spark.read.format("arc").option("tolerant", True).load(path)
+    return found.select("uri", "mime", F.length("content").cast("long").alias("bytes"), F.col("error").isNotNull().alias("broken"))
+
+
+def redirect_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Redirects as lines of a uri and its metadata, quotes doubled; every fifth line's metadata is cut off."""
+    status = F.element_at(F.array(F.lit("301"), F.lit("302"), F.lit("200")), (F.col("c_custkey") % 3 + 1).cast("int"))
+    uri = F.concat(F.lit('http://c.example.org/"q"/'), F.col("c_custkey").cast("string"))
+    envelope = F.to_json(F.struct(F.struct(
+        F.struct(F.lit("response").alias("WARC-Type"), uri.alias("WARC-Target-URI")).alias("WARC-Header-Metadata"),
+        F.struct(F.struct(F.struct(F.lit("text/html").alias("Content-Type")).alias("Headers"), F.struct(status.alias("Status")).alias("Response-Message")).alias("HTTP-Response-Metadata")).alias("Payload-Metadata"),
+    ).alias("Envelope")))
+    cut = F.when(F.col("c_custkey") % 5 == 0, F.substring(envelope, 2, 30)).otherwise(envelope)
+    quoted = lambda c: F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
+    path = scratch_path(spark, "redirects")
+    _table(spark, sf_dir, "customer").select(F.concat(quoted(uri), F.lit(","), quoted(cut)).alias("value")).write.text(path)
+    return links.wat_redirects(text.redirects(spark, path)).select("uri", "status")
+
+
 def warc_by_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages as one archive, a member a record, and a third of its records fetched by an index, in tasks of 64 KB of it."""
     pages = _table(spark, sf_dir, "pages")
@@ -180,7 +207,7 @@ def shown_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        warc_round_trip, arc_round_trip, warc_by_index, quad_chunks, csv_round_trip, adjacency_text, edge_text_round_trip, key_value_lookup, labelled_pages_round_trip, record_dump, listed_files,
+        warc_round_trip, arc_round_trip, arc_tolerant, redirect_csv, warc_by_index, quad_chunks, csv_round_trip, adjacency_text, edge_text_round_trip, key_value_lookup, labelled_pages_round_trip, record_dump, listed_files,
         class_map, segment_list, corpus_files, report_pages, merged_counters, attribute_names, cooc_pairs_by_flag, url_path_terms, shown_texts,
     )
 }
@@ -195,6 +222,8 @@ def _bytes(unit: int, thousand: str, million: str) -> str:
 ORACLE_SQL = {
     "warc_round_trip": _PAGES,
     "arc_round_trip": _PAGES,
+    "arc_tolerant": "select url as uri, 'text/html' as mime, strlen(coalesce(html, ''))::bigint as bytes, false as broken from pages",
+    "redirect_csv": "select 'http://c.example.org/\"q\"/' || c_custkey as uri, case c_custkey % 3 when 0 then 301 else 302 end as status from customer where c_custkey % 3 < 2 and c_custkey % 5 > 0",
     "warc_by_index": """with p as (select url as uri, strlen('HTTP/1.1 200 OK') + 2 + strlen('Content-Type: text/html; charset=utf-8') + 2 + strlen('Last-Modified: today') + 4 + strlen(coalesce(html, '')) as n, md5(coalesce(html, '')) as html_md5 from pages),
         s as (select uri, html_md5, strlen('WARC/1.0') + 2 + strlen('WARC-Type: response') + 2 + strlen('WARC-Target-URI: ' || uri) + 2 + strlen('WARC-Date: 2020-01-02T03:04:05Z') + 2 + strlen('Content-Type: application/http') + 2 + strlen('Content-Length: ' || n) + 4 + n as bytes from p)
         select uri, bytes, html_md5, coalesce(sum(bytes + 4) over (order by uri rows between unbounded preceding and 1 preceding), 0)::bigint as offset from s qualify substr(md5(uri), 1, 1) < '5'""",

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomcrawl.operators.links import WAT_SCHEMA, wat_records
+from loomcrawl.operators.links import WAT_SCHEMA, parse_adjacency, wat_records
 from loomcrawl.operators.quads import parse_quads
 from loomcrawl.operators.ranks import dense_ids
 from loomcrawl.operators.relations import read_datasets
@@ -107,9 +107,8 @@ def segments(spark: SparkSession, path: str) -> DataFrame:
 
 
 def adjacency(spark: SparkSession, path: str) -> DataFrame:
-    """(origin, links) of lines `origin TAB target TAB …`; a line without targets has an empty array."""
-    parts = F.split("value", "\t")
-    return spark.read.text(path).select(F.element_at(parts, 1).alias("origin"), F.slice(parts, F.lit(2), F.size(parts)).alias("links"))
+    """(origin, links) of lines `origin TAB target TAB …`; lines without a target or an origin are dropped."""
+    return parse_adjacency(spark.read.text(path))
 
 
 def edge_text(spark: SparkSession, path: str) -> DataFrame:
