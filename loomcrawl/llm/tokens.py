@@ -17,7 +17,9 @@ CACHE, PARTS = 1_000_000, 150_000
 TOGETHER = 1 << 20
 #: A Latin word, perhaps with punctuation after it: a pre-token each, whatever the tokenizer's pattern.
 _PLAIN = re.compile("([ \n]?[A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?%&*#$|()]*)")
-_RARE_SPACE = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
+#: White space other than the six ASCII characters, all below U+3001, and where it begins or ends a word.
+_RARE_SPACE = "".join(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \t\n\v\f\r")
+_AT_EDGE = re.compile(rf"(?:\A|[ \n])[{_RARE_SPACE}]|[{_RARE_SPACE}](?:[ \n]|\Z)")
 _START, _SPACE, _FEED, _OTHER = 0, 1, 2, 3
 _BEFORE = ["", " ", "\n"]
 
@@ -143,7 +145,7 @@ class WordEncoder:
             whole = np.logical_or.reduceat(gap == _OTHER, bounds[:-1]) | (e[bounds[1:] - 1] != stop)
             rare = [k for k, t in enumerate(texts) if not t.isascii() or any(c in t for c in (b"\x1c", b"\x1d", b"\x1e", b"\x1f"))]
             for k in rare:
-                if not whole[k] and _RARE_SPACE.search(t := texts[k].decode()) and any(w[0].isspace() or w[-1].isspace() for w in re.split("[ \n]", t)):
+                if not whole[k] and _AT_EDGE.search(texts[k].decode()):
                     whole[k] = True
             h = mix(h + gap.astype(np.uint64) * np.uint64(0xD1B54A32D192ED03))
         else:
