@@ -75,13 +75,13 @@ def numbered(docs: DataFrame, name: str, more: dict[str, Column] | None = None,
 
 
 def n_buckets(df: DataFrame) -> int:
-    """Parts to write df in: one per spark.sql.files.maxPartitionBytes of its size by Spark's statistics; spark.sql.shuffle.partitions where these are unknown."""
+    """Parts to write df in: one per spark.sql.files.maxPartitionBytes of its size by Spark's statistics, at most spark.sql.sources.bucketing.maxBuckets; spark.sql.shuffle.partitions where these are unknown."""
     spark = df.sparkSession
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     if size >= UNKNOWN:
         return int(spark.conf.get("spark.sql.shuffle.partitions"))
     at_most = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
-    return max(1, -(-size // at_most))
+    return min(max(1, -(-size // at_most)), int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets")))
 
 
 #: What statistics have for a size that is not known, and sizes that follow from it.

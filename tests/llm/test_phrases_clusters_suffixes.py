@@ -240,10 +240,13 @@ def test_tasks_grow_with_the_input(spark):
         assert n_buckets(many) >= 3 * n_buckets(few) > 3
         told = numbered_texts(many, "grow", {"doc_id": many["doc_id"], "text": many["text"]}, 6)
         assert told.groupBy("block").count().rdd.getNumPartitions() == n_buckets(many)  # read by buckets, whatever shuffle.partitions is
+        spark.conf.set("spark.sql.sources.bucketing.maxBuckets", "2")
+        assert n_buckets(many) == 2
         assert told.selectExpr("count(distinct row)", "max(row >> 6 <> block)").first() == (4000, False)
         assert told.groupBy("block").count().selectExpr("max(count)").first()[0] <= 64
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.sources.bucketing.maxBuckets")
 
 
 def test_blocks_end_by_bytes(spark, monkeypatch):
