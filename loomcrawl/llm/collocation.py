@@ -35,6 +35,8 @@ from .substring import ragged
 SPACE, END = 32, 10
 #: Every byte as it is read: pieces end at END, words at SPACE.
 READ_AS = bytes(END if chr(b) in ".,;:!?\n\v\f\r" else SPACE if b == 9 else b + 32 if 65 <= b <= 90 else b for b in range(256))
+#: Languages whose numbers of words are sent to all executors; of more they are joined.
+LANGUAGES = 10_000
 #: Bytes of text whose phrases are counted together.
 TOGETHER = 1 << 22
 
@@ -198,6 +200,8 @@ def phrase_counts(docs: DataFrame, params: CollocationParams = CollocationParams
 def _scored(counts: DataFrame) -> DataFrame:
     """(lang, phrase, a, l, r, n, score) of each candidate, by its lowest cut."""
     totals = counts.where("phrase is null").select("lang", F.col("a").alias("n"))
+    if totals.limit(LANGUAGES + 1).count() <= LANGUAGES:
+        totals = F.broadcast(totals)  # a row each
     of = counts.where("phrase is not null").select("lang", "phrase", "a")
     cuts = counts.where("n_words > 1").withColumn("k", F.explode(F.sequence(F.lit(1), F.col("n_words") - 1)))
     cuts = cuts.withColumns({"head": F.expr("substring_index(phrase, ' ', k)"), "rest": F.expr("substring_index(phrase, ' ', k - n_words)")})
