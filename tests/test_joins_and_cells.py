@@ -5,6 +5,7 @@ import json
 import os
 import sys
 from collections import Counter
+from hashlib import md5
 
 import pyarrow as pa
 import pytest
@@ -15,6 +16,7 @@ from loomcrawl.functions.text import human_bytes
 from loomcrawl.operators import cooc, postings, prefixes, profile, relations, user_aggregates
 from loomcrawl.operators.quads import EXTRACTORS
 from loomcrawl.operators.relations import text_index
+from loomcrawl.plans import exchange
 from loomcrawl.sources import archives, chunks, text
 from loomcrawl.streaming import files
 from loomcrawl.streaming.files import process_new_files
@@ -119,6 +121,18 @@ def test_no_window_is_longer_than_a_slice_and_its_halo(spark):
     assert "slice" in shown and "SinglePartition" not in shown.split("Physical Plan")[1]
 
 
+# archives
+
+
+def test_records_of_one_uri_lie_in_the_order_of_their_ids(spark, tmp_path):
+    pages = [(9, "http://a.org/1", "x" * 9), (2, "http://a.org/1", "x"), (5, "http://a.org/1", None), (1, "http://a.org/2", "y" * 5), (7, "http://a.org/1", "x" * 4)]
+    pages += [(k + p, u.replace("a.org", f"a{k}.org"), h) for k in range(10, 200, 10) for p, u, h in pages]
+    spark.createDataFrame(pages, "page_id long, url string, html string").coalesce(1).write.parquet(str(tmp_path / "pages.parquet"))
+    got = {(r.uri, r.html_md5): r.offset for r in exchange.warc_by_index(spark, str(tmp_path)).collect()}
+    places = {u: [got[u, md5((h or "").encode()).hexdigest()] for _, x, h in sorted(pages) if x == u] for u in {u for u, _ in got}}
+    assert any(len(v) == 4 for v in places.values()) and all(v == sorted(v) for v in places.values())
+
+
 # postings
 
 
