@@ -98,7 +98,8 @@ def rate_window(samples: DataFrame, ts: str, value: str, by: str | None = None,
     `by`: each series has windows of its own; without it all samples are one series. A series is cut into slices
     of `slices` times the window's length, and a slice is read with a halo, the samples of one window before it: every sample
     is answered in its own slice, which has all that it looks back to. So tasks hold a slice and its halo, however long
-    the series is, and about one sample in `slices` is read twice. Of oldest samples at one time that of the smallest value
+    the series is, and about one sample in `slices` is read twice. A sample is one row that tells and one that asks, a window
+    later; both are sorted once, so that a slice costs its rows, however many of them a window holds. Of oldest samples at one time that of the smallest value
     counts. A sample without a time has no window: its oldest, rate and seconds_left are null.
     """
     at, window = F.unix_micros(F.col(ts).cast("timestamp")), seconds * 1_000_000
@@ -107,10 +108,15 @@ def rate_window(samples: DataFrame, ts: str, value: str, by: str | None = None,
     own, after = (F.expr(f"({x} - pmod({x}, {length})) div {length}") for x in ("at", f"(at + {window})"))
     # a sample without a time is alone in its window
     alone = F.when(F.col("at").isNull(), F.monotonically_increasing_id())
-    cut = named.withColumns({"own": own, "alone": alone}).withColumn("slice", F.explode(F.array_distinct(F.array("own", after))))
-    frame = f"over (partition by series, slice, alone order by at range between {window} preceding and current row)"
-    x = cut.selectExpr("*", f"min_by(value, struct(at, value)) {frame} as first_value", f"min(at) {frame} as first_at")
-    x = x.where("slice <=> own")
+    told = F.struct(F.col("at").alias("first_at"), F.col("value").alias("first_value"))
+    cell = lambda slice_, key, told_, row: F.struct(slice_.alias("slice"), key.alias("key"), told_.alias("told"), row.alias("row"))
+    nothing = lambda of: F.when(F.lit(False), of)
+    tells = F.transform(F.array_distinct(F.array("own", "after")), lambda x: cell(x, F.col("at"), told, nothing(F.col("row"))))
+    asks = F.array(cell(F.col("own"), F.col("at") - window, nothing(told), F.col("row")))
+    cells = named.withColumns({"own": own, "after": after, "alone": alone}).select("series", "alone", "at", "value", F.explode(F.concat(tells, asks)).alias("c")).select("series", "alone", "at", "value", "c.*")
+    # backwards in time, so that the frame only grows: what was told last before a question is the oldest sample of its window
+    x = cells.selectExpr("*", "last(told, true) over (partition by series, slice, alone order by key desc, told is null, value desc rows unbounded preceding) as oldest_of")
+    x = x.where("row is not null").select("row", "at", "value", "oldest_of.*")
     span = (F.col("at") - F.col("first_at")) / 1e6
     rate = F.when(span > 0, (F.col("oldest") - F.col("value")) / span)
     x = x.withColumn("oldest", F.when(F.col("at").isNotNull(), F.col("first_value"))).withColumn("rate", rate)

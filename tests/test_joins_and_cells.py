@@ -121,6 +121,12 @@ def test_no_window_is_longer_than_a_slice_and_its_halo(spark):
     assert "slice" in shown and "SinglePartition" not in shown.split("Physical Plan")[1]
 
 
+def test_windows_only_grow(spark):
+    df = spark.range(50).select("id", F.timestamp_seconds("id").alias("ts"), F.lit(1).alias("v"))
+    shown = plan(profile.rate_window(df, "ts", "v")).split("Physical Plan")[1]
+    assert "RowFrame, unboundedpreceding$(), currentrow$()" in shown and "RangeFrame" not in shown
+
+
 # archives
 
 
