@@ -78,6 +78,17 @@ def test_pairs_of_dealt_baskets(spark, group):
     assert {p: s for p, (s, _) in by.items()} == want
 
 
+def test_pairs_of_hot_baskets_are_counted_where_they_are_made(spark, monkeypatch):
+    monkeypatch.setattr(cooc, "PAIRS", 500)
+    rows = [(b, (k * 7 + b) % 150) for b in range(3) for k in range(130 + b)] + [(b, k) for b in range(3, 40) for k in range(b, 3 * b + 1)] + [(None, k) for k in range(140)] + [(4, None)]
+    df = spark.createDataFrame([(b, f"k{k:03}" if k is not None else None) for b, k in rows], "b int, k string")
+    found = cooc.pair_supports(df, "b", "k", 2)
+    assert {(r.a, r.b): r.support for r in found.collect()} == brute_pairs([(b, f"k{k:03}") for b, k in rows if k is not None])
+    # nothing is dealt by the pair after the cells
+    shown = plan(found).split("Physical Plan")[1]
+    assert "REPARTITION_BY_NUM" in shown and "hashpartitioning(a#" not in shown.split("REPARTITION_BY_NUM")[0]
+
+
 def test_no_row_has_more_than_two_groups(spark):
     n, group = 20_000, 256
     items = spark.range(n).select(F.lit("hot").alias("b"), "id").unionByName(spark.range(100).select((F.col("id") % 10).cast("string").alias("b"), "id"))
