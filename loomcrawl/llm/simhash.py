@@ -40,17 +40,17 @@ CODE_BITS = 63
 BLOCK = 1 << 15
 
 
-def fingerprint(text: bytes | None) -> int:
+def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
     words = (text or b"").lower().split()  # of bytes, both touch ASCII alone
     if not words:
         return 0
     joined = b" ".join(words)
-    if len(words) <= SHINGLE:
+    if len(words) <= shingle:
         return xxhash.xxh64_intdigest(joined, SEED)  # one h: its set bits are in over half of all
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
-    starts = np.concatenate(([0], ends[:-SHINGLE] + 1)).tolist()
+    starts = np.concatenate(([0], ends[:-shingle] + 1)).tolist()
     digest = xxhash.xxh64_intdigest
-    h = np.array([digest(joined[a:b], SEED) for a, b in zip(starts, ends[SHINGLE - 1 :].tolist())], np.uint64)
+    h = np.array([digest(joined[a:b], SEED) for a, b in zip(starts, ends[shingle - 1 :].tolist())], np.uint64)
     ones = np.zeros(64, np.int64)
     for i in range(0, len(h), BLOCK):
         part = h[i : i + BLOCK]
@@ -144,13 +144,23 @@ def _links(anchor: np.ndarray, fp: np.ndarray, rep: np.ndarray) -> pa.RecordBatc
     return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
 
-def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """One row per row of docs: doc_id, fp (long, the fingerprint's bits), component_id."""
-    prints = saved(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(_fingerprints, "doc_id long, fp long"), "fingerprints")
+def fingerprint_groups(prints: DataFrame) -> DataFrame:
+    """(of, component): the fingerprints (fp) that are linked with others, met at anchors."""
     entries = saved(prints.select("fp", F.col("fp").alias("rep")).distinct(), "entries")
     spread = entries.mapInArrow(_replicate, "anchor long, fp long, rep long")
     links = spread.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_compare, "a long, b long")
-    groups = saved(components(links).withColumnRenamed("node", "of"), "groups")
+    return saved(components(links).withColumnRenamed("node", "of"), "groups")
+
+
+def _met(prints: DataFrame) -> DataFrame:
+    """(key, node) from (fp, node): nodes of linked or equal fingerprints share a key."""
+    return prints.join(fingerprint_groups(prints), F.col("fp") == F.col("of"), "left").select(F.xxhash64(F.coalesce("component", "fp")).alias("key"), "node")
+
+
+def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """One row per row of docs: doc_id, fp (long, the fingerprint's bits), component_id."""
+    prints = saved(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(_fingerprints, "doc_id long, fp long"), "fingerprints")
+    groups = fingerprint_groups(prints)
     labels = saved(prints.join(groups, F.col("fp") == F.col("of"), "left").select("doc_id", "fp", F.coalesce("component", "fp").alias("component")), "labels")
     lows = labels.groupBy("component").agg(F.min("doc_id").alias("component_id")).withColumnRenamed("component", "of")
     return labels.join(saved(lows, "component-ids"), F.col("component") == F.col("of")).select("doc_id", "fp", "component_id")
@@ -160,10 +170,11 @@ def drop_near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc
     """One row of each group of docs: that with the smallest doc_id, of rows that share it one; a null doc_id comes last.
 
     Groups are texts whose sets of params.shingle words have exact Jaccard params.similarity, or a chain of
-    such texts; candidates come from params.bands, as a fingerprint of 64 bits tells nothing at that distance.
+    such texts. Texts whose fingerprints of such shingles are linked at anchors are compared, and, as a fingerprint of
+    64 bits tells nothing of most pairs at that distance, so are those that meet in params.bands.
     """
     rows = numbered(docs, "rows")
-    labels = similar_documents(rows.select("row", F.col("kept_row").getField(doc_id).cast("long").alias("doc_id"), F.col("kept_row").getField(text).alias("text")), params)
+    labels = similar_documents(rows.select("row", F.col("kept_row").getField(doc_id).cast("long").alias("doc_id"), F.col("kept_row").getField(text).alias("text")), params, lambda t: fingerprint(t, params.shingle), _met)
     many = labels.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("stays"), F.count("*").alias("n")).where("n > 1").withColumnRenamed("component", "of")
     gone = saved(labels.join(saved(many, "groups-of-many"), F.col("component") == F.col("of")).where("row <> stays.row").select("row"), "gone")
     return without(rows, gone)

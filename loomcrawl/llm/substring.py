@@ -32,7 +32,7 @@ document; rows with a null doc_id are left out. An empty table gives an empty re
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -432,32 +432,37 @@ def similar_nodes(buckets: DataFrame, payload: DataFrame, p: SubstringParams, fi
     return similar_nodes(saved(_sharing_rare(far, payload, p), "finer-buckets"), payload, p, False, told)
 
 
-def _documents(p: SubstringParams):
+def _documents(p: SubstringParams, sketch: Callable[[bytes], int] | None = None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            node, n, bands = np.zeros(b.num_rows, np.int64), np.zeros(b.num_rows, np.int32), np.zeros((b.num_rows, p.bands), np.int64)
+            node, n, bands, fp = np.zeros(b.num_rows, np.int64), np.zeros(b.num_rows, np.int32), np.zeros((b.num_rows, p.bands), np.int64), np.zeros(b.num_rows, np.uint64)
             for k, t in enumerate(b.column(2).cast(pa.binary())):
                 h = mix(words((t.as_py() or b"").lower())[0])
+                fp[k] = sketch(t.as_py() or b"") if sketch else 0
                 n[k] = len(h)
                 if len(h):
                     node[k] = range_hashes(h, np.array([0]), np.array([len(h)])).view(np.int64)[0]
                     bands[k] = band_keys(shingles(h, p.shingle), np.array([0]), p.bands, p.rows)[0]
             some = pa.array(node != 0)
-            columns = [pa.array(node), *(pc.if_else(some, pa.array(np.ascontiguousarray(c)), None) for c in bands.T)]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n), *columns], ["row", "doc_id", "n", "node", *(f"band{k}" for k in range(p.bands))])
+            columns = [pa.array(node), pa.array(fp.view(np.int64)), *(pc.if_else(some, pa.array(np.ascontiguousarray(c)), None) for c in bands.T)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n), *columns], ["row", "doc_id", "n", "node", "fp", *(f"band{k}" for k in range(p.bands))])
 
     return run
 
 
-def similar_documents(rows: DataFrame, p: SubstringParams) -> DataFrame:
+def similar_documents(rows: DataFrame, p: SubstringParams, sketch: Callable[[bytes], int] | None = None, met: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """(row, doc_id, component) of (row, doc_id, text): whole texts whose shingle sets have the similarity share a component.
 
-    Texts of equal words are one node, those without words too.
+    Texts of equal words are one node, those without words too. sketch, met: an unsigned number of 64 bits for a text, and (key, node)
+    from (fp, node), fp being that number; nodes that share such a key are compared besides those that share a band.
     """
     bands = [f"band{k}" for k in range(p.bands)]
-    keyed = saved(rows.mapInArrow(_documents(p), ", ".join(["row long, doc_id long, n int, node long", *(f"{c} long" for c in bands)])), "documents")
-    nodes = saved(keyed.where("band0 is not null").groupBy("node").agg(F.min("row").alias("row"), F.first("n").alias("n"), *(F.min(c).alias(c) for c in bands)), "document-nodes")
-    buckets = _shared(nodes.select(F.explode(F.array(*bands)).alias("key"), "node"), "shared-document-bands")
+    keyed = saved(rows.mapInArrow(_documents(p, sketch), ", ".join(["row long, doc_id long, n int, node long, fp long", *(f"{c} long" for c in bands)])), "documents")
+    nodes = saved(keyed.where("band0 is not null").groupBy("node").agg(F.min("row").alias("row"), F.first("n").alias("n"), F.min("fp").alias("fp"), *(F.min(c).alias(c) for c in bands)), "document-nodes")
+    keys = nodes.select(F.explode(F.array(*bands)).alias("key"), "node")
+    if met is not None:
+        keys = keys.unionByName(met(nodes.select("fp", "node")))
+    buckets = _shared(keys, "shared-document-bands")
     shared = buckets.select(F.col("node").alias("of")).distinct()
     near = saved(nodes.join(shared, F.col("node") == F.col("of")).select("node", F.col("row").alias("doc_id"), F.lit(0).alias("first"), F.col("n").alias("last")), "near-documents")
     payload = saved(_payload(rows.select(F.col("row").alias("doc_id"), "text"), near, p), "document-shingles")

@@ -9,7 +9,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from loomcrawl.llm import components, exact_dedup, mixing, packing, quality, simhash
+from loomcrawl.llm import components, exact_dedup, mixing, packing, quality, simhash, substring
 from loomcrawl.llm.registry import tokenizer_file
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, sha string, size long, component_id long"
@@ -103,6 +103,21 @@ def test_near_duplicates_are_dropped_by_row(spark):
     assert Counter((r.doc_id, " ".join(r.text.split())) for r in got) == Counter([(5, " ".join(BASE.split())), (None, other), (7, third), (None, "x y z")])
 
 
+def test_near_copies_meet_at_anchors(spark):
+    rng = np.random.default_rng(6)
+    rows, near = [], set()
+    for i in range(40):
+        w = [f"u{x}" for x in rng.integers(0, 3000, 400)]
+        rows.append((2 * i, " ".join(w)))
+        w[200] = "edit"
+        rows.append((2 * i + 1, " ".join(w)))
+        if (simhash.fingerprint(rows[-1][1].encode(), 5) ^ simhash.fingerprint(rows[-2][1].encode(), 5)).bit_count() <= simhash.THRESHOLD:
+            near.add(2 * i + 1)
+    params = substring.SubstringParams(bands=1, rows=400)  # a band that almost no pair shares
+    kept = {r.doc_id for r in simhash.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), params=params).collect()}
+    assert len(near) > 10 and not near & kept and {2 * i for i in range(40)} <= kept
+
+
 def test_near_copies_at_jaccard_are_dropped(spark):
     rng = np.random.default_rng(5)
     rows, sets = [], {}
