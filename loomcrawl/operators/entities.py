@@ -26,7 +26,8 @@ def entity_statements(quads: DataFrame, depth: int = MAX_DEPTH) -> DataFrame:
     """
     st = F.struct("p", "pos", "o", F.col("o_kind").alias("kind"))
     nodes = saved(quads.groupBy("graph", "s").agg(F.collect_list(st).alias("st"), F.max(F.col("p") == RDF_TYPE).alias("typed")), "nodes")
-    held = nodes.select(F.col("graph").alias("in_graph"), F.col("s").alias("node"), "st")
+    # names of blank nodes begin so, and no others; the rest need not move to be held
+    held = nodes.where(F.col("s").startswith("_:")).select(F.col("graph").alias("in_graph"), F.col("s").alias("node"), "st")
     levels = [nodes.where("typed").select("graph", F.col("s").alias("subject"), "st")]
     for _ in range(depth):
         below = F.explode(F.filter("st", lambda x: x["kind"] == "bnode"))
@@ -80,10 +81,17 @@ def property_histogram(ents: DataFrame, of_class: str) -> DataFrame:
 
 def totals(ents: DataFrame) -> DataFrame:
     """Entities, properties (rdf:type included), domains, links (values that begin with http), remote links, literals; one row."""
-    x = _exploded(ents)
-    link = F.col("o").startswith("http")
-    sums = x.agg(F.count("*").alias("properties"), F.count_if(link).alias("links"), F.count_if(link & (domain(F.col("o")) != domain(F.col("context")))).alias("remote_links"), F.count_if(~link).alias("literals"))
-    return ents.agg(F.count("*").alias("entities"), F.countDistinct(domain(F.col("context"))).alias("domains")).crossJoin(sums)
+    values, link = F.map_values("props"), lambda x: x.startswith("http")
+    n = lambda test: F.coalesce(F.sum(F.size(F.filter(values, test)).cast("long")), F.lit(0))
+    # one aggregation, as entities are made anew for each
+    return ents.agg(
+        F.count("*").alias("entities"),
+        F.countDistinct(domain(F.col("context"))).alias("domains"),
+        F.coalesce(F.sum(F.size("props").cast("long")), F.lit(0)).alias("properties"),
+        n(link).alias("links"),
+        n(lambda x: link(x) & (domain(x) != domain(F.col("context")))).alias("remote_links"),
+        n(lambda x: ~link(x)).alias("literals"),
+    )
 
 
 def domain_runs(quads: DataFrame) -> DataFrame:
@@ -92,7 +100,8 @@ def domain_runs(quads: DataFrame) -> DataFrame:
     Changes are counted inside ranges of pos, in parallel; each range also tells its first and last
     domain, and only those meet.
     """
-    d = quads.select("pos", domain(F.col("graph")).alias("domain"))
+    # written, as dealing by ranges reads its input twice
+    d = saved(quads.select("pos", domain(F.col("graph")).alias("domain")), "domains")
     part = F.spark_partition_id()
     ranged = d.repartitionByRange("pos").withColumn("part", part)
     inside = ranged.selectExpr("part", "pos", "domain", "case when domain <> lag(domain) over (partition by part order by pos) then 1 else 0 end as changed")
@@ -132,7 +141,7 @@ def _order_quads(spark: SparkSession, sf_dir: str) -> DataFrame:
             )
         ).alias("q")
     )
-    return saved(top.unionByName(below).select("q.*"), "order-quads")  # statements are a table, not made anew for each join
+    return top.unionByName(below).select("q.*")
 
 
 def entity_assembly(spark: SparkSession, sf_dir: str) -> DataFrame:

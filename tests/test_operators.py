@@ -133,3 +133,12 @@ def test_relations(spark):
     head = {r.id: r.h for r in t.select("id", relations.header_row(F.col("relation")).alias("h")).collect()}
     assert head[1] == 0 and head[4] == -1
     assert relations.wide(t, 1).count() == 5 and relations.wide(t).count() == 0
+
+
+def test_totals_make_entities_once(spark):
+    rows = [("http://g1.org/", "u1", {"p": "http://g1.org/x", "q": "a", "r": "http://g2.org/y"}), ("http://g2.org/", "u2", {"p": "b"}), ("http://g2.org/", "u3", {"p": None})]
+    ents = spark.createDataFrame(rows, "context string, url string, props map<string,string>")
+    t = entities.totals(ents)
+    assert t.first().asDict() == {"entities": 3, "domains": 2, "properties": 5, "links": 2, "remote_links": 1, "literals": 2}
+    assert entities.totals(ents.limit(0)).first().asDict() == dict.fromkeys(("entities", "domains", "properties", "links", "remote_links", "literals"), 0)
+    assert "Join" not in t._jdf.queryExecution().optimizedPlan().toString()
