@@ -46,7 +46,9 @@ def terms(text: Column) -> Column:
 
     All but the last is done to the text as a whole, which is much cheaper than to each term.
     """
-    plain = fold(F.regexp_replace(F.lower(text), _POSSESSIVE, ""))
+    low = F.lower(text)
+    bare = F.when(low.contains("'s"), F.regexp_replace(low, _POSSESSIVE, "")).otherwise(low)
+    plain = F.when(F.octet_length(low) > F.length(low), fold(bare)).otherwise(bare)  # ASCII has nothing to fold
     return F.filter(F.regexp_extract_all(plain, F.lit(_TERM), F.lit(0)), lambda t: (F.length(t) <= MAX_TOKEN) & ~t.isin(*STOP_WORDS))
 
 

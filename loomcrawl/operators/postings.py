@@ -9,36 +9,85 @@ have documents between overlapping bounds, and unpacks those alone.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType
 
-from loomcrawl.operators.relations import text_index
-from loomcrawl.operators.scratch import scratch_path
+from loomcrawl.operators.relations import row_terms, text_index
+from loomcrawl.operators.scratch import saved, scratch_path
 
 #: Ids of a range, as a power of two: a block has 65,536 postings at most.
 RANGE_BITS = 16
 
 
+#: Of a block, in the order of its rows.
+_BLOCK = "field string, term string, range long, first long, last long, df int, gaps array<int>, tfs array<int>"
+
+
+def _rows(index: DataFrame, doc_id: str, range_bits: int) -> DataFrame:
+    """(field, term, range, id, tf) of an index's rows."""
+    rows = index.where(F.col("term").isNotNull() & F.col(doc_id).isNotNull())
+    return rows.select("field", "term", F.shiftright(F.col(doc_id).cast("long"), range_bits).alias("range"), F.col(doc_id).cast("long").alias("id"), F.col("tf").cast("int").alias("tf"))
+
+
+def _packed(dealt: DataFrame, range_bits: int) -> DataFrame:
+    """Blocks of rows that are dealt by field, term and range: neighbours in their order, batch by batch."""
+
+    def differ(x: pa.Array) -> np.ndarray:
+        codes = x.dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False) if pa.types.is_string(x.type) else x.to_numpy()
+        return np.concatenate(([True], codes[1:] != codes[:-1]))
+
+    def blocks(t: pa.Table) -> pa.RecordBatch:
+        field, term, rng, ids, tf = (t.column(k).combine_chunks() for k in range(5))
+        opens = differ(field) | differ(term) | differ(rng)
+        rows = np.flatnonzero(opens | differ(ids))  # several rows of a document and term are one posting
+        at, tfs = ids.to_numpy()[rows], np.add.reduceat(tf.to_numpy(), rows)
+        starts = np.flatnonzero(opens[rows])
+        ends, of = np.append(starts[1:], len(rows)), rng.to_numpy()[rows[starts]]
+        gaps = np.diff(at, prepend=0)
+        gaps[starts] = at[starts] - (of << range_bits)
+        cuts = pa.array(np.append(starts, len(rows)), pa.int32())
+        heads = pa.array(rows[starts])
+        lists = [pa.ListArray.from_arrays(cuts, pa.array(x.astype(np.int32))) for x in (gaps, tfs)]
+        return pa.RecordBatch.from_arrays([field.take(heads), term.take(heads), pa.array(of), pa.array(at[starts]), pa.array(at[ends - 1]), pa.array((ends - starts).astype(np.int32)), *lists], ["field", "term", "range", "first", "last", "df", "gaps", "tfs"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for b in batches:
+            if not b.num_rows:
+                continue
+            t = pa.Table.from_batches([b])
+            t = t if held is None else pa.concat_tables([held, t])
+            opens = np.logical_or.reduce([differ(t.column(k).combine_chunks()) for k in range(3)])
+            last = int(np.flatnonzero(opens)[-1])  # the next batch may go on with it
+            held = t.slice(last)
+            if last:
+                yield blocks(t.slice(0, last))
+        if held is not None:
+            yield blocks(held)
+
+    # by term first: its first bytes settle most comparisons, those of a field none
+    return dealt.sortWithinPartitions("term", "field", "id").mapInArrow(run, _BLOCK)
+
+
 def posting_blocks(index: DataFrame, doc_id: str = "doc_id", range_bits: int = RANGE_BITS) -> DataFrame:
-    """(field, term, range, first, last, df, gaps, tfs) from (field, term, doc_id, tf), one row a document and term; doc_id is a long.
+    """(field, term, range, first, last, df, gaps, tfs) from (field, term, doc_id, tf); doc_id is a long. Rows of one document and term are added up.
 
     gaps: the first id of the range's own, then differences; rows with a null term or id are left out.
     """
-    rows = index.where(F.col("term").isNotNull() & F.col(doc_id).isNotNull())
-    of = F.shiftright(F.col(doc_id).cast("long"), range_bits)
-    held = rows.groupBy("field", "term", of.alias("range")).agg(F.array_sort(F.collect_list(F.struct(F.col(doc_id).cast("long").alias("id"), F.col("tf").cast("int").alias("tf")))).alias("p"))
-    start = F.shiftleft(F.col("range"), range_bits)
-    gaps = F.transform("p", lambda x, i: (x["id"] - F.when(i > 0, F.get(F.col("p.id"), i - 1)).otherwise(start)).cast("int"))
-    return held.select("field", "term", "range", F.array_min("p.id").alias("first"), F.array_max("p.id").alias("last"), F.size("p").alias("df"), gaps.alias("gaps"), F.col("p.tf").alias("tfs"))
+    return _packed(_rows(index, doc_id, range_bits).repartition("field", "term", "range"), range_bits)
 
 
 def write_postings(index: DataFrame, path: str, doc_id: str = "doc_id", range_bits: int = RANGE_BITS) -> None:
-    """Posting blocks as Parquet below path/field=NAME, in ranges of (field, term, range)."""
+    """Posting blocks as Parquet below path/field=NAME, in ranges of (field, term, range). Rows move once."""
     order = ["field", "term", "range"]
-    posting_blocks(index, doc_id, range_bits).repartitionByRange(*order).sortWithinPartitions(*order).write.partitionBy("field").parquet(path)
+    # written, as dealing by ranges reads its input twice
+    rows = saved(_rows(index, doc_id, range_bits), "posting-rows")
+    _packed(rows.repartitionByRange(*order), range_bits).sortWithinPartitions(*order).write.partitionBy("field").parquet(path)
 
 
 @F.arrow_udf(ArrayType(LongType()))
@@ -86,7 +135,7 @@ def term_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An index of all documents, written and looked up; ranges of 64 ids, so that a frequent term has many blocks here too."""
     d = spark.read.parquet(f"{sf_dir}/documents.parquet")
     path = scratch_path(spark, "postings")
-    write_postings(text_index(d, "doc_id", {"text": _words(F.col("text")), "source": F.col("source")}), path, range_bits=6)
+    write_postings(row_terms(d, "doc_id", {"text": _words(F.col("text")), "source": F.col("source")}), path, range_bits=6)
     return lookup(read_postings(spark, path), "text", list(LOOKED_UP), 6)
 
 

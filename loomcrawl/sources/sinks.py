@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from loomcrawl.operators.postings import write_postings
 from loomcrawl.operators.quads import format_quads, write_by_extractor
 from loomcrawl.operators.ranks import dense_ids
-from loomcrawl.operators.relations import text_index, write_datasets
+from loomcrawl.operators.relations import row_terms, write_datasets
 
 
 def write_nquads(quads: DataFrame, path: str) -> None:
@@ -35,7 +35,7 @@ def write_edges(edges: DataFrame, path: str) -> None:
 
 def write_text_index(tables: DataFrame, path: str, doc_id: str, fields: dict) -> None:
     """An inverted index as posting blocks below path/field=NAME, see operators.postings; doc_id is a number."""
-    write_postings(text_index(tables, doc_id, fields), path, doc_id)
+    write_postings(row_terms(tables, doc_id, fields), path, doc_id)
 
 
 def write_key_value(rows: DataFrame, path: str, key: str) -> None:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from loomcrawl.functions.text import human_bytes
 from loomcrawl.operators import cooc, postings, prefixes, profile, relations, user_aggregates
 from loomcrawl.operators.quads import EXTRACTORS
-from loomcrawl.operators.relations import text_index
+from loomcrawl.operators.relations import row_terms, text_index
 from loomcrawl.plans import exchange
 from loomcrawl.sources import archives, chunks, text
 from loomcrawl.streaming import files
@@ -174,6 +174,30 @@ def test_a_hot_term_has_many_blocks(spark):
     assert tuple(blocks) == (20, 256, 5000)
 
 
+def test_terms_are_counted_inside_rows_and_added_up_in_blocks(spark):
+    rows = [(7, "b a b", "x"), (7, "b c", None), (None, "lost", "x"), (70, None, "x"), (8, "", "Été's été")]
+    df = spark.createDataFrame(rows, "doc_id int, t string, u string").repartition(3)
+    fields = {"t": F.col("t"), "u": F.col("u")}
+    counted = row_terms(df, "doc_id", fields)
+    assert "Exchange" not in counted._jdf.queryExecution().optimizedPlan().toString() and counted.where("doc_id = 7 and term = 'b'").count() == 2
+    whole = text_index(df, "doc_id", fields)
+    assert counted.schema["doc_id"] == whole.schema["doc_id"]
+    of = lambda index: sorted((r.field, r.term, r.range, r.first, r.last, r.df, r.gaps, r.tfs) for r in postings.posting_blocks(index, range_bits=6).collect())
+    assert of(counted) == of(whole) and ("t", "b", 0, 7, 7, 1, [7], [3]) in of(counted) and ("u", "ete", 0, 8, 8, 1, [8], [2]) in of(counted)
+
+
+def test_blocks_go_on_over_batches(spark):
+    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    was = spark.conf.get(batch)
+    index = spark.range(1000).selectExpr("'f' as field", "'t' || (id % 3) as term", "id as doc_id", "1L as tf")
+    try:
+        spark.conf.set(batch, "7")
+        got = postings.posting_blocks(index, range_bits=8).selectExpr("count(*)", "max(df)", "sum(df)", "sum(aggregate(tfs, 0, (a, x) -> a + x))").first()
+    finally:
+        spark.conf.set(batch, was)
+    assert tuple(got) == (12, 86, 1000, 1000)
+
+
 # user aggregates
 
 
