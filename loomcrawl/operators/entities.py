@@ -17,41 +17,55 @@ VCARD = "http://www.w3.org/2006/vcard/ns#"
 
 
 def entity_statements(quads: DataFrame, depth: int = MAX_DEPTH) -> DataFrame:
-    """(graph, subject, st): arrays of the statements (p, pos, o, kind) of each entity, and one more for each blank node that it holds.
+    """(graph, subject, p, pos, o, kind, typed): statements of each subject that has no blank node as value, and those of blank nodes that it holds.
 
-    An entity is a subject of a graph with an rdf:type; quads need a column pos, their place in the
-    input. A node of a document is one row from the first aggregation on, so that statements move once for that and
-    once for each level that their node is reached on; a level is written once and left out when no blank node is left. A
-    blank node that several entities hold is merged into each of them, and one beyond `depth` contributes nothing.
+    An entity is a subject of a graph with a row that is `typed`: an rdf:type of its own, with a null kind if its value is a blank
+    node. quads need a column pos, their place in the input, and are read for each part of the work: save them where they are costly
+    to make. References between blank nodes are followed first, as names alone, so that statements of blank nodes move once whatever
+    the depth is, and all others not at all. A blank node that several subjects hold is merged into each of them, and one
+    beyond `depth` contributes nothing.
     """
-    st = F.struct("p", "pos", "o", F.col("o_kind").alias("kind"))
-    nodes = saved(quads.groupBy("graph", "s").agg(F.collect_list(st).alias("st"), F.max(F.col("p") == RDF_TYPE).alias("typed")), "nodes")
-    # names of blank nodes begin so, and no others; the rest need not move to be held
-    held = nodes.where(F.col("s").startswith("_:")).select(F.col("graph").alias("in_graph"), F.col("s").alias("node"), "st")
-    levels = [nodes.where("typed").select("graph", F.col("s").alias("subject"), "st")]
-    for _ in range(depth):
-        below = F.explode(F.filter("st", lambda x: x["kind"] == "bnode"))
-        nested = levels[-1].select("graph", "subject", below.alias("x")).select("graph", "subject", F.col("x.o").alias("of"))
-        if nested.isEmpty():
-            break
-        levels.append(saved(nested.join(held, (F.col("graph") == F.col("in_graph")) & (F.col("of") == F.col("node"))).select("graph", "subject", "st"), "nested"))
-    return reduce(DataFrame.unionByName, levels)
+    is_ref, is_type = F.col("o_kind") == "bnode", F.coalesce(F.col("p") == RDF_TYPE, F.lit(False))
+    # names of blank nodes begin so, and no others
+    blank = lambda c: F.coalesce(F.col(c).startswith("_:"), F.lit(False))
+    statements = lambda subject, *typed: [F.col("graph"), subject.alias("subject"), "p", "pos", "o", F.col("o_kind").alias("kind"), *typed]
+    own = quads.where(~is_ref & ~blank("s")).select(*statements(F.col("s"), is_type.alias("typed")))
+    # a blank node with a type is an entity too, and reached from itself
+    marks = quads.where(is_type & (is_ref | blank("s"))).select("graph", F.col("s").alias("subject"), "p", "pos", "o", F.lit(None).cast("string").alias("kind"), F.lit(True).alias("typed"))
+    itself = quads.where(is_type & blank("s")).select("graph", F.col("s").alias("subject"), F.col("s").alias("of")).distinct()
+    refs = quads.where(is_ref).select("graph", F.col("s").alias("subject"), F.col("o").alias("of"))
+    inner = refs.where(blank("subject")).select(F.col("graph").alias("in_graph"), F.col("subject").alias("node"), F.col("of").alias("next"))
+    paths = [refs] if depth > 0 else []
+    if depth > 1 and not inner.isEmpty():
+        inner = saved(inner, "inner")
+        for _ in range(depth - 1):
+            last = paths[-1]
+            paths.append(saved(last.join(inner, (F.col("graph") == F.col("in_graph")) & (F.col("of") == F.col("node"))).select("graph", "subject", F.col("next").alias("of")), "paths"))
+            if paths[-1].isEmpty():
+                break
+    held = quads.where(~is_ref & blank("s")).select(F.col("graph").alias("in_graph"), F.col("s").alias("node"), "p", "pos", "o", "o_kind")
+    # a join by sorting, as rows made from small files are more than Spark can tell beforehand
+    below = reduce(DataFrame.unionByName, [itself, *paths]).join(held.hint("merge"), F.col("graph").eqNullSafe(F.col("in_graph")) & (F.col("of") == F.col("node")))
+    return own.unionByName(marks).unionByName(below.select(*statements(F.col("subject"), F.lit(False).alias("typed"))))
 
 
 def entity_properties(quads: DataFrame, depth: int = MAX_DEPTH) -> DataFrame:
     """(graph, subject, p, o, o_kind, pos): all statements of each entity but those that hold a blank node, with those of blank nodes it holds."""
-    x = entity_statements(quads, depth).select("graph", "subject", F.explode("st").alias("x")).where("x.kind <> 'bnode'")
-    return x.select("graph", "subject", "x.p", "x.o", F.col("x.kind").alias("o_kind"), "x.pos")
+    typed = quads.where(F.col("p") == RDF_TYPE).select(F.col("graph").alias("in_graph"), F.col("s").alias("of")).distinct()
+    x = entity_statements(quads, depth).where(F.col("kind").isNotNull())
+    kept = x.join(typed, F.col("graph").eqNullSafe(F.col("in_graph")) & F.col("subject").eqNullSafe(F.col("of")), "left_semi")
+    return kept.select("graph", "subject", "p", "o", F.col("kind").alias("o_kind"), "pos")
 
 
 def entities(quads: DataFrame, depth: int = MAX_DEPTH) -> DataFrame:
     """(url, context, props): one row per entity; of several values of a property the last in the input wins."""
-    kept = entity_statements(quads, depth).select("graph", "subject", F.filter("st", lambda x: x["kind"] != "bnode").alias("st"))
-    # of an entity's statements in order, those that the next one does not replace
-    whole = kept.groupBy("graph", "subject").agg(F.array_sort(F.flatten(F.collect_list("st"))).alias("st")).where(F.size("st") > 0)
-    last = F.filter("st", lambda x, i: F.coalesce(F.get("st", i + 1)["p"] != x["p"], F.lit(True)))
-    props = F.map_from_entries(F.transform(last, lambda x: F.struct(x["p"], x["o"])))
-    return whole.select(F.col("subject").alias("url"), F.col("graph").alias("context"), props.alias("props"))
+    # dealt before it is aggregated: what lies together beforehand is few, and the sort for it would spill
+    dealt = entity_statements(quads, depth).repartition("graph", "subject")
+    last = F.max(F.when(F.col("kind").isNotNull(), F.struct("pos", "o")))
+    values = dealt.groupBy("graph", "subject", "p").agg(last.alias("last"), F.max("typed").alias("typed"))
+    whole = values.groupBy("graph", "subject").agg(F.collect_list(F.when(F.col("last").isNotNull(), F.struct("p", "last.o"))).alias("props"), F.max("typed").alias("typed"))
+    kept = whole.where(F.col("typed") & (F.size("props") > 0))
+    return kept.select(F.col("subject").alias("url"), F.col("graph").alias("context"), F.map_from_entries(F.sort_array("props")).alias("props"))
 
 
 def entity_table(ents: DataFrame, trigger: str, columns: list[str], required: str) -> DataFrame:

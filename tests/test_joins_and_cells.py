@@ -7,17 +7,19 @@ import sys
 from collections import Counter
 from hashlib import md5
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from loomcrawl.functions.text import human_bytes
-from loomcrawl.operators import cooc, postings, prefixes, profile, relations, user_aggregates
+from loomcrawl.operators import cooc, entities, postings, prefixes, profile, quads, relations, user_aggregates
 from loomcrawl.operators.quads import EXTRACTORS
 from loomcrawl.operators.relations import row_terms, text_index
 from loomcrawl.plans import exchange
 from loomcrawl.sources import archives, chunks, text
+from loomcrawl.streaming import entities as stream_entities
 from loomcrawl.streaming import files
 from loomcrawl.streaming.files import process_new_files
 
@@ -198,6 +200,46 @@ def test_blocks_go_on_over_batches(spark):
     assert tuple(got) == (12, 86, 1000, 1000)
 
 
+# entities
+
+
+def _random_quads(seed):
+    """Statements of a few documents: nested, shared, typed, unheld and circular blank nodes, and types that are blank nodes."""
+    rng, rows = np.random.default_rng(seed), []
+    for pos in range(400):
+        g = int(rng.integers(6))
+        s = f"http://s/{rng.integers(4)}" if rng.random() < 0.4 else f"_:b{rng.integers(6)}"
+        p = quads.RDF_TYPE if rng.random() < 0.15 else f"http://p/{rng.integers(5)}"
+        o, kind = (f"_:b{rng.integers(6)}", "bnode") if rng.random() < 0.3 else (f"v{rng.integers(9)}", "literal")
+        rows.append((f"http://g{g}/", s, p, o, kind, pos))
+    return rows
+
+
+@pytest.mark.parametrize("depth", [0, 1, 3])
+def test_entities_by_brute_force(spark, depth):
+    rows = _random_quads(depth)
+    df = spark.createDataFrame(rows, "graph string, s string, p string, o string, o_kind string, pos long").repartition(3)
+    want = {}
+    for g in {r[0] for r in rows}:
+        for s, props in stream_entities.assemble([(r[1], r[2], r[3], r[4], r[5]) for r in rows if r[0] == g], depth):
+            if props:
+                want[g, s] = props
+    assert {(r.context, r.url): r.props for r in entities.entities(df, depth).collect()} == want and len(want) > 10
+    told = {}
+    for r in entities.entity_properties(df, depth).collect():
+        told.setdefault((r.graph, r.subject), set()).add((r.p, r.o, r.pos))
+    assert told.keys() == want.keys() and all({p for p, _, _ in told[k]} == want[k].keys() for k in want)
+
+
+def test_entities_without_nested_nodes_write_no_tables(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(entities, "saved", lambda df, name: written.append(name) or df)
+    rows = [("g", "s", quads.RDF_TYPE, "T", "iri", 1), ("g", "s", "p", "_:a", "bnode", 2), ("g", "_:a", "q", "v", "literal", 3)]
+    df = spark.createDataFrame(rows, "graph string, s string, p string, o string, o_kind string, pos long")
+    (e,) = entities.entities(df).collect()
+    assert e.props == {quads.RDF_TYPE: "T", "q": "v"} and written == []
+
+
 # user aggregates
 
 
