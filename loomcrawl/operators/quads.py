@@ -18,6 +18,10 @@ XHTML = "http://www.w3.org/1999/xhtml/vocab#"
 _SUBJECT = r"(?:<([^<>]*)>|(_:\S+))"
 _LITERAL = r'"((?:[^"\\]|\\.)*)"(?:@([A-Za-z0-9-]+)|\^\^<([^<>]*)>)?'
 QUAD = rf"^\s*{_SUBJECT}\s+<([^<>]*)>\s+(?:<([^<>]*)>|(_:\S+)|{_LITERAL})\s+<([^<>]*)>\s*(?:<ex:([^<>]+)>)?\s*\.\s*$"
+#: QUAD with the object's first sign as a group of its own, 4, before the others.
+_PARTED = QUAD.replace(r">\s+(?:<([^<>]*)>|(_:", r">\s+(?=([<_\"]))(?:<([^<>]*)>|(_:", 1)
+#: Stands in no part of a statement: IRIs have no >, names of blank nodes no space, and a literal no quotation mark without a backslash before it.
+_BETWEEN = '> "<'
 QUAD_COLUMNS = ["s", "s_kind", "p", "o", "o_kind", "o_lang", "o_dtype", "graph", "extractor"]
 
 
@@ -46,23 +50,22 @@ def unescape(text: Column) -> Column:
 
 def parse_quads(lines: DataFrame) -> DataFrame:
     """Quads from text lines (column value); comments, blank and broken lines are left out."""
-    g = lambda k: F.regexp_extract("value", QUAD, k)
+    # a line is matched as a whole once, not once for each of its parts; behind explode, filters on a part do not match it again
+    parts = F.split(F.regexp_replace("value", _PARTED, _BETWEEN.join(f"${k}" for k in range(1, 12))), F.lit(_BETWEEN))
+    x = lines.select(F.explode(F.when(F.col("value").rlike(QUAD), F.array(parts))).alias("x"))
+    g = lambda k: F.get("x", k - 1)
     filled = lambda c: F.when(c != "", c)
-    kind = F.when(g(5) != "", "bnode").when(F.col("value").rlike(rf"^\s*{_SUBJECT}\s+<[^<>]*>\s+<"), "iri").otherwise("literal")
-    return (
-        lines.where(F.col("value").rlike(QUAD))
-        .withColumn("o_kind", kind)
-        .select(
-            F.coalesce(filled(g(1)), g(2)).alias("s"),
-            F.when(g(2) != "", "bnode").otherwise("iri").alias("s_kind"),
-            g(3).alias("p"),
-            F.when(F.col("o_kind") == "literal", unescape(g(6))).when(F.col("o_kind") == "bnode", g(5)).otherwise(g(4)).alias("o"),
-            "o_kind",
-            filled(g(7)).alias("o_lang"),
-            filled(g(8)).alias("o_dtype"),
-            g(9).alias("graph"),
-            filled(g(10)).alias("extractor"),
-        )
+    kind = F.when(g(4) == "_", "bnode").when(g(4) == "<", "iri").otherwise("literal")
+    return x.withColumn("o_kind", kind).select(
+        F.coalesce(filled(g(1)), g(2)).alias("s"),
+        F.when(g(2) != "", "bnode").otherwise("iri").alias("s_kind"),
+        g(3).alias("p"),
+        F.when(F.col("o_kind") == "literal", unescape(g(7))).when(F.col("o_kind") == "bnode", g(6)).otherwise(g(5)).alias("o"),
+        "o_kind",
+        filled(g(8)).alias("o_lang"),
+        filled(g(9)).alias("o_dtype"),
+        g(10).alias("graph"),
+        filled(g(11)).alias("extractor"),
     )
 
 
@@ -108,9 +111,15 @@ def _quad(s: Column, p: str, o: Column, kind: str, graph: Column, ex: Column, dt
     return F.struct(s.alias("s"), F.lit("iri").alias("s_kind"), F.lit(p).alias("p"), o.cast("string").alias("o"), F.lit(kind).alias("o_kind"), F.lit(None).cast("string").alias("o_lang"), F.lit(dtype).cast("string").alias("o_dtype"), graph.alias("graph"), ex.alias("extractor"))
 
 
-def _customer_quads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Five quads per customer: type, name with a quote and a backslash, balance, nation, an unwanted predicate."""
+def _customers(spark: SparkSession, sf_dir: str, dealt: bool) -> DataFrame:
+    """dealt: to as many tasks as a shuffle has; the file is small, often one row group, but the work on its lines is not."""
     c = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    return c.repartition(int(spark.conf.get("spark.sql.shuffle.partitions"))) if dealt else c
+
+
+def _customer_quads(spark: SparkSession, sf_dir: str, dealt: bool = False) -> DataFrame:
+    """Five quads per customer: type, name with a quote and a backslash, balance, nation, an unwanted predicate."""
+    c = _customers(spark, sf_dir, dealt)
     s, graph = F.concat(F.lit(f"{_BASE}c/"), F.col("c_custkey").cast("string")), F.concat(F.lit("http://g"), (F.col("c_custkey") % 17).cast("string"), F.lit(".example.org/"))
     ex = F.element_at(F.array(F.lit("html-microdata"), F.lit("html-rdfa"), F.lit("rdf-jsonld"), F.lit("unknown-kind")), (F.col("c_custkey") % 4 + 1).cast("int"))
     rows = F.array(
@@ -123,23 +132,23 @@ def _customer_quads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select(F.explode(rows).alias("q")).select("q.*")
 
 
-def _customer_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    good = format_quads(_customer_quads(spark, sf_dir))
+def _customer_lines(spark: SparkSession, sf_dir: str, dealt: bool = False) -> DataFrame:
+    good = format_quads(_customer_quads(spark, sf_dir, dealt))
     c = spark.read.parquet(f"{sf_dir}/customer.parquet")
     return good.unionByName(c.where("c_custkey % 10 = 0").select(F.concat(F.lit('<http://x> <http://y> "cut off '), "c_name").alias("value"))).unionByName(c.where("c_custkey % 50 = 0").select(F.lit("# note").alias("value")))
 
 
 def quad_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parse_quads(_customer_lines(spark, sf_dir)).where(F.col("p") == f"{_BASE}name").select("s", "o", "graph", "extractor")
+    return parse_quads(_customer_lines(spark, sf_dir, dealt=True)).where(F.col("p") == f"{_BASE}name").select("s", "o", "graph", "extractor")
 
 
 def quad_demux(spark: SparkSession, sf_dir: str) -> DataFrame:
-    q = demux(parse_quads(_customer_lines(spark, sf_dir)))
+    q = demux(parse_quads(_customer_lines(spark, sf_dir, dealt=True)))
     return q.groupBy("extractor", "o_kind").agg(F.count("*").alias("quads"), F.countDistinct("s").alias("subjects"))
 
 
 def quad_ns_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    q = filter_predicates(parse_quads(_customer_lines(spark, sf_dir)))
+    q = filter_predicates(parse_quads(_customer_lines(spark, sf_dir, dealt=True)))
     names = spark.createDataFrame([("d", _BASE), ("rdf", RDF_TYPE[:-4])], "prefix string, namespace string")
     return abbreviate(q.groupBy("p").agg(F.count("*").alias("quads")), "p", names, "predicate").drop("p")
 

@@ -3,6 +3,7 @@
 import gzip
 import json
 import os
+import re
 import sys
 from collections import Counter
 from hashlib import md5
@@ -240,6 +241,32 @@ def test_entities_without_nested_nodes_write_no_tables(spark, monkeypatch):
     assert e.props == {quads.RDF_TYPE: "T", "q": "v"} and written == []
 
 
+# quads
+
+
+def test_lines_are_matched_once_and_whole(spark):
+    sep = '> "<'
+    lines = [
+        r'<http://s> <http://p> "a> \"<b> \"<" <http://g> <ex:html-rdfa> .', '_:a> "< <p> _:b <g> .', r'_:a>"< <p> _:b>\"< <g> .', '<> <> <> <> .', '<s> <p> "" <g> .', '<s> <p> ""@en <g> .', r'<s> <p> "x\\"^^<> <g> .',
+        sep.join("12345678901"), sep * 12, None, "", "# no", '<s> <p> "$1 \\\\" <g> .', "  _:x <p> <o>   <g> <ex:e>  .  \n", '<s> <p> "two\nlines" <g> .', "<s> <p> _:_ _:g .",
+    ]
+    df = spark.createDataFrame([(x,) for x in lines], "value string")
+    got = quads.parse_quads(df)
+    want = []
+    for m in (re.match(quads.QUAD.replace("\\S", "[^ \\n]"), x) for x in lines if x):
+        if m:
+            kind = "bnode" if m[5] is not None else "iri" if m[4] is not None else "literal"
+            o = m[5] if kind == "bnode" else m[4] if kind == "iri" else re.sub(r"\\(.)", r"\1", m[6])
+            want.append((m[1] if m[1] else m[2] or "", "bnode" if m[2] else "iri", m[3], o, kind, m[7] or None, m[8] or None, m[9], m[10] or None))
+    assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, want)) and len(want) == 9
+    # with a filter on a part, too
+    assert "regexp_extract" not in plan(quads.demux(got)) and plan(quads.demux(got).select("s")).split("Physical Plan")[1].count("regexp_replace") == 1
+
+
+def test_lines_of_a_small_file_are_dealt(spark):
+    assert "RoundRobinPartitioning" in plan(quads.quad_demux(spark, "/root/testdata/sf0.001"))
+
+
 # user aggregates
 
 
