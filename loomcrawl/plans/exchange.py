@@ -163,11 +163,11 @@ def segment_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def corpus_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as a corpus of gzip files by status, and how many lines each has."""
+    """Orders as a corpus of gzip files by status, and how many lines those of each have; a frequent status has many files, so that no task writes or sorts it whole."""
     path = scratch_path(spark, "corpus")
-    _table(spark, sf_dir, "orders").select("o_orderstatus", F.to_json(F.struct("o_orderkey", "o_totalprice")).alias("value")).repartition("o_orderstatus").write.partitionBy("o_orderstatus").option("compression", "gzip").text(path)
+    _table(spark, sf_dir, "orders").select("o_orderstatus", F.to_json(F.struct("o_orderkey", "o_totalprice")).alias("value")).hint("rebalance", "o_orderstatus").write.partitionBy("o_orderstatus").option("compression", "gzip").text(path)
     files = text.corpus_files(spark, path)
-    return files.select(F.regexp_extract("file", "o_orderstatus=([A-Z])", 1).alias("status"), "lines", "error")
+    return files.groupBy(F.regexp_extract("file", "o_orderstatus=([A-Z])", 1).alias("status")).agg(F.sum("lines").alias("lines"), F.max("error").alias("error"))
 
 
 def report_pages(spark: SparkSession, sf_dir: str) -> DataFrame:

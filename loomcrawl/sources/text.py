@@ -47,38 +47,44 @@ def csv_lines(spark: SparkSession, path: str, header: bool = True) -> DataFrame:
 LINES = 5000
 
 
+def _gz_pieces(file: str) -> Iterator[tuple[list[bytes], str | None]]:
+    """A file's lines, LINES at most at once; what stops that comes last, with the lines before it."""
+    values: list[bytes] = []
+    try:
+        system, where = open_path(file)
+        with system.open_input_stream(where, compression=None) as raw, gzip.GzipFile(fileobj=raw) as lines:
+            for line in lines:
+                values.append(line.rstrip(b"\r\n"))
+                if len(values) == LINES:
+                    yield values, None
+                    values = []
+        if values:
+            yield values, None
+    except (OSError, EOFError, zlib.error) as e:
+        yield values, f"{type(e).__name__}: {e}"[:200]
+
+
+def _dealt_files(spark: SparkSession, path: str, suffix: str) -> DataFrame:
+    """(path): by number, as names are too small for Spark to see the files behind them."""
+    files = listing(spark, path, suffix).select("path")
+    return files.repartition(max(1, min(files.count(), 100_000)), "path")
+
+
 def gz_lines(spark: SparkSession, path: str, suffix: str = ".gz") -> DataFrame:
     """(file, value, error): the lines of all files below a path that end so, each file read by one task.
 
     What can be read of a damaged file is kept; then comes a row with the error and no value, and the other files go on. An
     empty file is not listed.
     """
-    files = listing(spark, path, suffix).select("path")
-    # by number, as names are too small for Spark to see the files behind them
-    dealt = files.repartition(max(1, min(files.count(), 100_000)), "path")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows(file: str, values: list[bytes], error: str | None = None) -> pa.RecordBatch:
-            told = pa.array([v.decode("utf-8", "replace") for v in values] + [None] * (error is not None), pa.string())
-            return pa.RecordBatch.from_arrays([pa.array([file] * len(told), pa.string()), told, pa.array([None] * len(values) + [error] * (error is not None), pa.string())], ["file", "value", "error"])
-
         for b in batches:
             for file in b.column(0).to_pylist():
-                values: list[bytes] = []
-                try:
-                    system, where = open_path(file)
-                    with system.open_input_stream(where, compression=None) as raw, gzip.GzipFile(fileobj=raw) as lines:
-                        for line in lines:
-                            values.append(line.rstrip(b"\r\n"))
-                            if len(values) == LINES:
-                                yield rows(file, values)
-                                values = []
-                    if values:
-                        yield rows(file, values)
-                except (OSError, EOFError, zlib.error) as e:
-                    yield rows(file, values, f"{type(e).__name__}: {e}"[:200])
-
-    return dealt.mapInArrow(run, "file string, value string, error string")
+                for values, error in _gz_pieces(file):
+                    told = pa.array([v.decode("utf-8", "replace") for v in values] + [None] * (error is not None), pa.string())
+                    yield pa.RecordBatch.from_arrays([pa.array([file] * len(told), pa.string()), told, pa.array([None] * len(values) + [error] * (error is not None), pa.string())], ["file", "value", "error"])
+
+    return _dealt_files(spark, path, suffix).mapInArrow(run, "file string, value string, error string")
 
 
 def table_corpus(spark: SparkSession, path: str) -> DataFrame:
@@ -88,9 +94,17 @@ def table_corpus(spark: SparkSession, path: str) -> DataFrame:
 
 def corpus_files(spark: SparkSession, path: str) -> DataFrame:
     """(file, lines, error): a row for each file of a corpus that is not empty, with the lines that could be read and what stopped that, if anything did."""
-    found = gz_lines(spark, path).groupBy("file").agg(F.count("value").alias("lines"), F.max("error").alias("error"))
-    files = listing(spark, path, ".gz").select("path")
-    return files.join(found, F.col("path") == F.col("file"), "left").select(F.col("path").alias("file"), F.coalesce("lines", F.lit(0)).cast("long").alias("lines"), "error")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for file in b.column(0).to_pylist():
+                # counted where they are read: grouped, the lines of a file would be sorted in a task
+                lines, error = 0, None
+                for values, error in _gz_pieces(file):
+                    lines += len(values)
+                yield pa.RecordBatch.from_arrays([pa.array([file]), pa.array([lines], pa.int64()), pa.array([error], pa.string())], ["file", "lines", "error"])
+
+    return _dealt_files(spark, path, ".gz").mapInArrow(run, "file string, lines long, error string")
 
 
 def url_classes(spark: SparkSession, path: str) -> DataFrame:

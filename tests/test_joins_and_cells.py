@@ -523,6 +523,14 @@ def test_damaged_files_are_told(spark, tmp_path):
     assert sum(r.dataset is not None for r in tables) == 3 and sum(r.dataset is None for r in tables) == 1
 
 
+def test_lines_of_files_are_counted_where_they_are_read(spark, tmp_path):
+    (tmp_path / "a.gz").write_bytes(gzip.compress(b"x\n" * (2 * text.LINES + 1)))
+    (tmp_path / "b.gz").write_bytes(gzip.compress(b"x\n" * text.LINES))
+    counted = text.corpus_files(spark, str(tmp_path))
+    assert not re.search("Aggregate|Join|Sort", plan(counted).split("Physical Plan")[1])
+    assert {(os.path.basename(r.file), r.lines, r.error) for r in counted.collect()} == {("a.gz", 2 * text.LINES + 1, None), ("b.gz", text.LINES, None)}
+
+
 def test_terms_of_rows(spark):
     rows = [(1, "b a b The c's c d"), (1, "a"), (2, None), (3, ""), (4, "é É e x.y")]
     df = spark.createDataFrame(rows, "doc_id int, t string")
