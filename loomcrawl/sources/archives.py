@@ -33,6 +33,8 @@ WARC_SCHEMA = "file string, offset long, end_offset long, member long, type stri
 COLUMNS = [c.split()[0] for c in WARC_SCHEMA.split(", ")]
 #: Bytes read at once.
 CHUNK = 1 << 20
+#: Of a record without its content, about.
+ROW_BYTES = 1000
 
 
 class _Inflated(io.RawIOBase):
@@ -40,6 +42,8 @@ class _Inflated(io.RawIOBase):
 
     def __init__(self, raw, packed: int = 0, unpacked: int = 0):
         self.raw, self.buffer, self.done, self.broken = raw, b"", False, False
+        #: the last output filled its chunk
+        self.full = False
         head = raw.read(2)
         self.pending = head
         self.gzip = head == b"\x1f\x8b"
@@ -61,18 +65,21 @@ class _Inflated(io.RawIOBase):
     def readinto(self, target) -> int:
         while not self.buffer and not self.done:
             data = self._more()
-            if not data:
+            # at the end of a file the inflater may still hold what did not fit in the last chunk
+            if not data and not (self.gzip and self.full):
                 self.done = True
                 break
             if not self.gzip:
                 self.buffer = data
                 break
             try:
-                self.buffer = self.inflater.decompress(data)
+                self.buffer = self.inflater.decompress(data, CHUNK)
             except zlib.error:
                 self.done = self.broken = True
                 break
             self.made += len(self.buffer)
+            self.full = len(self.buffer) == CHUNK
+            self.pending = self.inflater.unconsumed_tail
             if self.inflater.eof:
                 self.pending = self.inflater.unused_data.lstrip(b"\0")
                 self.inflater = zlib.decompressobj(31)
@@ -156,6 +163,24 @@ def arc_records(raw, file: str, tolerant: bool = False, packed: int = 0, unpacke
         yield file, start, s.at, member, kind, m[1].decode("utf-8", "replace"), m[2].decode("latin-1"), m[3].decode(), m[4].decode("latin-1"), content, None if len(content) == n else "cut off"
 
 
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    schema = pa.schema([(c, pa.binary() if c == "content" else pa.int64() if c in ("offset", "end_offset", "member") else pa.string()) for c in COLUMNS])
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+
+
+def _batches(rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
+    """Rows of WARC_SCHEMA as batches that end by bytes, so that memory depends on the largest record and not on how many there are."""
+    out, size = [], 0
+    for row in rows:
+        out.append(row)
+        size += len(row[9] or b"") + ROW_BYTES
+        if size >= CHUNK << 3:
+            yield _batch(out)
+            out, size = [], 0
+    if out:
+        yield _batch(out)
+
+
 class _Reader(DataSourceReader):
     def __init__(self, options: dict, arc: bool):
         self.paths, self.arc = [p for p in options.get("paths", options.get("path", "")).split(",") if p], arc
@@ -191,14 +216,14 @@ class _Reader(DataSourceReader):
                 files.append(p)
         return [InputPartition(f) for f in sorted(files)]
 
-    def read(self, partition: InputPartition) -> Iterator[tuple]:
+    def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
         path = partition.value
         system, where = _open(path)
         try:
             with system.open_input_stream(where, compression=None) as raw:
-                yield from filter(self._kept, arc_records(raw, path, self.tolerant) if self.arc else warc_records(raw, path))
+                yield from _batches(filter(self._kept, arc_records(raw, path, self.tolerant) if self.arc else warc_records(raw, path)))
         except OSError as e:
-            yield from filter(self._kept, [(path, *[None] * (len(COLUMNS) - 2), str(e)[:200])])
+            yield from _batches(filter(self._kept, [(path, *[None] * (len(COLUMNS) - 2), str(e)[:200])]))
 
 
 class WarcSource(DataSource):
@@ -287,7 +312,6 @@ def fetch_records(index: DataFrame, arc: bool = False, task_bytes: int = 64 << 2
     dealt = parted.repartition(max(1, parts), "file", "part").sortWithinPartitions("file", "member")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([(c, pa.binary() if c == "content" else pa.int64() if c in ("offset", "end_offset", "member") else pa.string()) for c in COLUMNS])
         now, file, rows, at = None, None, iter(()), -1
         for b in batches:
             out, size = [], 0
@@ -313,10 +337,10 @@ def fetch_records(index: DataFrame, arc: bool = False, task_bytes: int = 64 << 2
                 out.append(row)
                 size += len(row[9] or b"")
                 if size >= CHUNK << 3:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
+                    yield _batch(out)
                     out, size = [], 0
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
+                yield _batch(out)
         if file is not None:
             file.close()
 

@@ -1,6 +1,7 @@
 """Prefix and suffix joins, dealt baskets, sliced windows, posting blocks, user aggregates, chunks, files that fail."""
 
 import gzip
+import io
 import json
 import os
 import re
@@ -505,6 +506,30 @@ def test_domain_totals_of_a_stream(spark, tmp_path):
     assert got.where("domain = 'd1.example'").count() > 3  # quiet for an hour, and back
 
 
+# archives
+
+
+def test_batches_of_records_end_by_bytes(tmp_path):
+    path = tmp_path / "a.arc.gz"
+    path.write_bytes(gzip.compress(b"".join(b"http://h/%d 192.0.2.1 20200102030405 text/html %d\n%s\nno header\n" % (k, 1 << 20, b"x" * (1 << 20)) for k in range(40))))
+    reader = archives._Reader({"path": str(path), "tolerant": "true"}, True)
+    got = list(reader.read(reader.partitions()[0]))
+    assert max(b.nbytes for b in got) < 10 << 20 and len(got) == 5
+    assert [u for b in got for u in b.column("uri").to_pylist()] == [f"http://h/{k}" for k in range(40)] and all(len(x) == 1 << 20 for b in got for x in b.column("content").to_pylist())
+
+
+def test_members_are_unpacked_in_chunks():
+    made = b"a" * (5 * archives.CHUNK + 3), b"", bytes(range(256)) * 9000, b"z"
+    x = archives._Inflated(io.BytesIO(b"".join(map(gzip.compress, made)) + b"\0\0"))
+    sizes, whole = [], b""
+    while piece := x.read(archives.CHUNK * 64):
+        sizes.append(len(piece))
+        whole += piece
+    assert whole == b"".join(made) and max(sizes) <= archives.CHUNK and not x.broken
+    cut = archives._Inflated(io.BytesIO(gzip.compress(made[0])[:-900]))
+    assert 0 < len(cut.readall()) <= len(made[0])
+
+
 # corpus files
 
 
