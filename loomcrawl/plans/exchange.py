@@ -73,12 +73,12 @@ def redirect_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def warc_by_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All pages as one archive, a member a record, and a third of its records fetched by an index, in tasks of 64 KB of it. Pages of one url lie in the order of their ids."""
+    """All pages as one archive, a member a record, and a third of its records fetched by an index, in tasks of 64 KB of it. Pages of one url lie in the order of their ids, those without one at the end."""
     pages = _table(spark, sf_dir, "pages")
     path, index = scratch_path(spark, "pages-archive"), scratch_path(spark, "pages-index")
     rows = pages.select("page_id", F.lit("response").alias("type"), F.col("url").alias("uri"), F.lit("2020-01-02T03:04:05Z").alias("ts"), F.lit("application/http").alias("mime"), F.encode(_response(F.coalesce("html", F.lit(""))), "UTF-8").alias("content"))
     archives.register(spark)
-    rows.coalesce(1).sortWithinPartitions("uri", "page_id").drop("page_id").write.format("warc").mode("append").save(path)
+    rows.coalesce(1).sortWithinPartitions(F.asc_nulls_last("uri"), "page_id").drop("page_id").write.format("warc").mode("append").save(path)
     archives.index_records(spark.read.format("warc").load(path)).write.parquet(index)
     wanted = spark.read.parquet(index).where("substr(md5(uri), 1, 1) < '5'")
     found = archives.fetch_records(wanted, task_bytes=64 << 10)

@@ -9,6 +9,7 @@ import sys
 from collections import Counter
 from hashlib import md5
 
+import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -154,6 +155,16 @@ def test_records_of_one_uri_lie_in_the_order_of_their_ids(spark, tmp_path):
     assert any(len(v) == 4 for v in places.values()) and all(v == sorted(v) for v in places.values())
 
 
+def test_records_without_a_uri_move_no_others(spark, tmp_path):
+    pages = [(k, f"http://a{k}.org/" if k % 3 else None, "x" * k if k % 4 else None) for k in range(60)]
+    spark.createDataFrame(pages, "page_id long, url string, html string").coalesce(1).write.parquet(str(tmp_path / "pages.parquet"))
+    con = duckdb.connect()
+    con.execute(f"create view pages as select * from '{tmp_path}/pages.parquet/*.parquet'")
+    want = con.sql(f"select uri, bytes, html_md5, \"offset\" from ({exchange.ORACLE_SQL['warc_by_index']})").fetchall()
+    got = exchange.warc_by_index(spark, str(tmp_path)).select("uri", "bytes", "html_md5", "offset").collect()
+    assert len(want) > 5 and sorted(map(tuple, got)) == sorted(want)
+
+
 # postings
 
 
