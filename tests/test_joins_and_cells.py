@@ -94,6 +94,38 @@ def test_pairs_of_hot_baskets_are_counted_where_they_are_made(spark, monkeypatch
     assert "REPARTITION_BY_NUM" in shown and "hashpartitioning(a#" not in shown.split("REPARTITION_BY_NUM")[0]
 
 
+def test_no_pair_moves_as_a_row_where_baskets_are_hot(spark, monkeypatch):
+    for name, value in (("PAIRS", 500), ("SIDE", 16), ("CHUNK", 300), ("ROWS", 100)):
+        monkeypatch.setattr(cooc, name, value)
+    hot = [(b, 3 * k) for b in (-1, -2) for k in range(b + 140)] + [(-3, 200 + 2 * k) for k in range(135)]
+    usual = [(b, (b * b + k * 37) % 600) for b in range(60) for k in range(b)] + [(b, 3) for b in range(100, 140)] + [(b, 9) for b in range(100, 140)] + [(None, 3), (None, 6), (None, None)]
+    # keys that hot baskets have, and others beside them
+    for rows in (hot + usual, [(b, k) for b, k in hot + usual if k in {k for _, k in hot}]):
+        found = cooc.pair_supports(spark.createDataFrame(rows, "b int, k long").repartition(3), "b", "k", 2)
+        got = found.collect()
+        assert len(got) == len({(r.a, r.b) for r in got}) and {(r.a, r.b): r.support for r in got} == brute_pairs(rows)
+    assert "hashpartitioning(a#" not in plan(found)
+
+
+def test_packed_pairs_come_back():
+    rng = np.random.default_rng(5)
+    n, side = 3, 512
+    spread, near = rng.integers(0, side * side, 3), rng.integers(0, 9000, 9000)
+    codes = [np.concatenate([1 * side * side + spread, 2 * side * side + near, 2 * side * side + spread, np.full(700, 5 * side * side + side * side - 1), [5 * side * side]])]
+    want = Counter(codes[0].tolist())
+    packed = cooc._packed(codes, side * side)
+    assert max(map(len, packed.column(1).to_pylist())) <= 2 * (cooc.PIECE + side * side // 65535) and packed.num_rows == 5
+    rows = [(c, -1, 2, None, None, at, m) for c, at, m in zip(*(x.to_pylist() for x in packed.columns))]
+    # keys of a cell are places here
+    rows += [(c, -1, k, list(range(side)), None, None, None) for c in (1, 2, 5) for k in (0, 1)]
+    types = [pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int16()), pa.binary(), pa.binary()]
+    for c in (1, 2, 5):
+        some = sorted((r for r in rows if r[0] == c), key=lambda r: r[2])
+        batch = pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*some), types)], names=list("abcdefg"))
+        got = {c * side * side + x * side + y: m for b in cooc._counter(n, side)(iter([batch])) for x, y, m in zip(*(x.to_pylist() for x in b.columns))}
+        assert got == {k: m for k, m in want.items() if k // (side * side) == c}
+
+
 def test_no_row_has_more_than_two_groups(spark):
     n, group = 20_000, 256
     items = spark.range(n).select(F.lit("hot").alias("b"), "id").unionByName(spark.range(100).select((F.col("id") % 10).cast("string").alias("b"), "id"))
